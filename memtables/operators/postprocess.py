@@ -22,10 +22,18 @@ from memtables.operators import retrieval as R
 # -- 36 rerankers: name -> (query_text, chunk_text) -> score Column ----------
 
 def jaccard(query_text: Column, chunk_text: Column) -> Column:
-    """Token-set overlap of query and chunk text (our built-in reranker)."""
-    a, b = tokens(query_text), tokens(chunk_text)
-    union = F.size(F.array_union(a, b))
-    return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
+    """Token-set overlap |A and B| / |A or B| of query and chunk text (our
+    built-in reranker). Each token set is built once: the lambda variables
+    carry them instead of repeating the split."""
+    pair = F.array(F.struct(tokens(query_text).alias("a"), tokens(chunk_text).alias("b")))
+
+    def ratio(p: Column) -> Column:
+        inter = F.array(F.size(F.array_intersect(p["a"], p["b"])))
+        return F.transform(inter, lambda i: F.when(
+            F.size(p["a"]) + F.size(p["b"]) - i > 0,
+            i / (F.size(p["a"]) + F.size(p["b"]) - i)).otherwise(F.lit(0.0)))[0]
+
+    return F.transform(pair, ratio)[0]
 
 
 RERANKERS: dict[str, Callable[[Column, Column], Column]] = {"jaccard": jaccard}
@@ -70,9 +78,10 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
          .join(texts, "chunk_id", "left")
          .join(created, "memory_id", "left"))
 
-    rr = rerank_score(F.col("reranker_id"), F.col("query_text"), F.col("chunk_text"))
-    reranked = F.col("_post") & rr.isNotNull()
-    j = j.withColumn("relevance_score", F.when(reranked, rr).otherwise(F.col("score")))
+    j = j.withColumn("_rr", F.when(F.col("_post"), rerank_score(
+        F.col("reranker_id"), F.col("query_text"), F.col("chunk_text"))))
+    reranked = F.col("_rr").isNotNull()
+    j = j.withColumn("relevance_score", F.coalesce(F.col("_rr"), F.col("score")))
     by_q = Window.partitionBy("query_id")
     j = j.withColumn("_order", F.row_number().over(by_q.orderBy(
         F.when(reranked, F.col("relevance_score")).desc_nulls_last(),

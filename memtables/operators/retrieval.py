@@ -37,6 +37,8 @@ MAX_TILE_QUERIES = 4_096
 # query matrix bytes allowed on the broadcast path (checked before use)
 BROADCAST_QUERY_BYTES = 32 * 1024 * 1024
 _SCORE_BLOCK = 4_000_000          # scores held at once inside one task
+MAX_BROADCAST_SPACES = 1_000_000  # searched-space table rows allowed in a broadcast
+MAX_PUSHED_SPACES = 1_000         # space list pushed to the scan as an IN filter
 
 
 # -- 21 parse_space_keys -----------------------------------------------------
@@ -166,13 +168,17 @@ def _query_rows(requests: DataFrame, default_k: int) -> DataFrame:
 
 def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
            max_tile_chunks: int, max_tile_queries: int) -> DataFrame:
-    c_counts = chunks.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_c"))
     q_counts = queries.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_q"))
+    # the searched-space list is broadcast only behind a row-count check
+    q_counts = broadcast_if_small(q_counts, MAX_BROADCAST_SPACES)
+    searched = chunks.join(q_counts, "space_id")          # semi-join effect, no chunk shuffle
+    c_counts = searched.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_c"))
     tiles = c_counts.join(q_counts, "space_id").select(
         "space_id",
         F.ceil(F.col("n_c") / F.lit(max_tile_chunks)).cast("int").alias("n_ct"),
         F.ceil(F.col("n_q") / F.lit(max_tile_queries)).cast("int").alias("n_qt"),
     )
+    tiles = broadcast_if_small(tiles, MAX_BROADCAST_SPACES)
     c_side = (chunks.join(tiles, "space_id")
               .withColumn("ct", F.pmod(F.xxhash64("chunk_id"), F.col("n_ct")).cast("int"))
               .withColumn("qt", F.explode(F.sequence(F.lit(0), F.col("n_qt") - 1)))
@@ -186,16 +192,27 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
             .applyInPandas(_tile_topk, schema))
 
 
-def _broadcast(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
-    """Score chunk partitions in place against a broadcast query matrix."""
-    spark = queries.sparkSession
-    qpd = queries.toPandas()          # bounded: caller checked the byte size
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``F.broadcast(df)`` when a bounded count proves it has at most
+    ``max_rows`` rows; otherwise ``df`` unchanged (Spark shuffles it)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
+    """Score chunk partitions in place against a broadcast query matrix
+    (``qpd`` is the query table, already proven small by the caller)."""
+    spark = chunks.sparkSession
+    qpd = qpd.reset_index(drop=True)
     q_mat, q_ok = _unit_rows(qpd["query_vector"])
     by_space = {s: g.index.to_numpy() for s, g in qpd.groupby("space_id")}
     payload = spark.sparkContext.broadcast({
         "ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(),
         "mat": q_mat, "ok": q_ok, "by_space": by_space})
     cols = ["query_id", "chunk_id", "memory_id", "space_id", "score", "k"]
+    if len(by_space) <= MAX_PUSHED_SPACES:
+        # a pushed IN filter: partition pruning when the table is laid out by space
+        chunks = chunks.where(F.col("space_id").isin(list(by_space)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = payload.value
@@ -211,14 +228,14 @@ def _broadcast(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> D
                                   grp["chunk_id"].to_numpy(), c_mat, c_ok)
                 parts.append(_frame(b["ids"][rows], b["k"][rows], grp, res, cols))
             if sum(len(p) for p in parts) > 200_000:
-                parts = [_prune(pd.concat(parts, ignore_index=True), b)]
+                parts = [_prune(pd.concat(parts, ignore_index=True))]
         if parts:
-            yield _prune(pd.concat(parts, ignore_index=True), b)
+            yield _prune(pd.concat(parts, ignore_index=True))
 
     return chunks.select("chunk_id", "memory_id", "space_id", "embedding").mapInPandas(run, schema)
 
 
-def _prune(cands: pd.DataFrame, b) -> pd.DataFrame:
+def _prune(cands: pd.DataFrame) -> pd.DataFrame:
     """Keep the best k per query within one task (k of the query)."""
     if cands.empty:
         return cands
@@ -252,13 +269,14 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
     query rows are proven small).
     """
     queries = _query_rows(requests, default_k)
-    chunks = chunks_in_spaces(chunks.select("chunk_id", "memory_id", "space_id", "embedding"),
-                              queries)
+    chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding")
     schema = _candidates_schema(chunks.schema["chunk_id"].dataType)
-    if method == "auto":
-        method = "broadcast" if _queries_fit_broadcast(queries) else "tiled"
+    qpd = None
+    if method in ("auto", "broadcast"):
+        qpd = _small_queries(queries, strict=(method == "broadcast"))
+        method = "broadcast" if qpd is not None else "tiled"
     if method == "broadcast":
-        cands = _broadcast(queries, chunks, schema)
+        cands = _broadcast(qpd, chunks, schema)
     elif method == "tiled":
         cands = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
     else:
@@ -267,16 +285,19 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
         "query_id", "rank", "chunk_id", "memory_id", "space_id", "score")
 
 
-def _queries_fit_broadcast(queries: DataFrame) -> bool:
-    """Byte bound of the query rows: rows x (dimension x 8 + overhead), with the
-    row count capped by a LIMIT so the check itself stays cheap."""
+def _small_queries(queries: DataFrame, strict: bool = False) -> pd.DataFrame | None:
+    """The query rows as pandas when they fit ``BROADCAST_QUERY_BYTES``
+    (rows x (8 x dimension + overhead)); None otherwise. The collect itself is
+    bounded by a LIMIT one row past the cap."""
     probe = queries.select(F.size("query_vector").alias("d")).limit(1).collect()
-    if not probe:
-        return True
-    per_row = 8 * max(int(probe[0]["d"] or 0), 1) + 64
-    cap_rows = BROADCAST_QUERY_BYTES // per_row
-    n = queries.limit(cap_rows + 1).count()
-    return n <= cap_rows
+    dim = int(probe[0]["d"] or 1) if probe else 1
+    cap_rows = max(1, BROADCAST_QUERY_BYTES // (8 * dim + 96))
+    qpd = queries.limit(cap_rows + 1).toPandas()
+    if len(qpd) <= cap_rows:
+        return qpd
+    if strict:
+        raise ValueError(f"query table exceeds {cap_rows} rows; use method='tiled'")
+    return None
 
 
 # -- 31 fetch_memory_definitions --------------------------------------------
