@@ -17,10 +17,21 @@ def val(path: str, type_: str = "string", col: str | Column = "metadata") -> Col
     return F.try_variant_get(c, path, type_)
 
 
+# One whole JSON value, nothing after it: Spark's JSON parser stops after the
+# first value and ignores the rest; a strict reader does not.
+_WHOLE_VALUE = (r'(?s)^[\x00-\x20]*(\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null)'
+                r'[\x00-\x20]*$')
+
+
+def strict_parse_json(text: Column) -> Column:
+    """VARIANT of a JSON text, null unless the whole text is one JSON value."""
+    return F.when(text.rlike(_WHOLE_VALUE), F.try_parse_json(text))
+
+
 def parse_json_object(text: Column) -> tuple[Column, Column]:
     """(variant, is_object) for a JSON text column; the variant is null when the
     text does not parse."""
-    v = F.try_parse_json(text)
+    v = strict_parse_json(text)
     return v, F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
@@ -31,8 +42,8 @@ def labels_from_json(text: Column) -> Column:
     Null members are dropped; numbers and booleans keep their JSON text. A
     nested object or array as a value, or any non-object text, gives an error.
     """
-    raw = F.from_json(text, "map<string,string>")
-    typed = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    raw = F.when(text.rlike(_WHOLE_VALUE), F.from_json(text, "map<string,string>"))
+    typed = F.try_variant_get(strict_parse_json(text), "$", "map<string,variant>")
     nested = F.exists(
         F.map_values(typed),
         lambda x: F.schema_of_variant(x).startswith("OBJECT")

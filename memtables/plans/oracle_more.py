@@ -1,5 +1,199 @@
-"""More SQL oracles (catalogue, ingest, parsers, chunking, streaming)."""
+"""More SQL oracles (catalogue, memories, ingest, parsers, chunking, streaming)."""
 
 from __future__ import annotations
 
-from memtables.plans.oracle import sql  # noqa: F401
+from memtables.plans.oracle import CV, MEM, sql, with_
+
+SP = """sp AS (
+  SELECT d.source AS space_id, d.source AS name, min(e.ts) AS created_at, 'emb-64' AS emb
+  FROM documents d JOIN events e ON e.event_id = d.doc_id GROUP BY d.source)"""
+
+# -- catalogue -----------------------------------------------------------------------
+
+sql("list_spaces", f"""{with_(SP)}
+SELECT space_id, name, emb AS embedder_id, 'recursive' AS strategy, 512 AS chunk_size,
+       50 AS chunk_overlap, false AS public_read, 'kind=docs' AS labels, created_at,
+       count(*) OVER () AS total_spaces
+FROM sp""")
+
+sql("get_space", f"""{with_(SP)},
+rq AS (SELECT DISTINCT source AS space_id FROM documents UNION SELECT DISTINCT lang FROM documents)
+SELECT rq.space_id, sp.space_id IS NOT NULL AS success,
+       CASE WHEN sp.space_id IS NULL THEN 'Space not found: ' || rq.space_id END AS error,
+       sp.name, sp.emb AS embedder_id
+FROM rq LEFT JOIN sp ON sp.space_id = rq.space_id""")
+
+sql("list_embedders", f"""{with_(SP)},
+reg AS (SELECT * FROM (VALUES ('emb-64', 'precomputed 64-d vectors', 64),
+                              ('hash-256', 'hashed bag of words', 256)) t(embedder_id, name, dim)),
+used AS (SELECT emb AS embedder_id, count(*) AS n_spaces FROM sp GROUP BY emb)
+SELECT coalesce(reg.embedder_id, used.embedder_id) AS embedder_id,
+       coalesce(reg.name, used.embedder_id) AS name, reg.dim,
+       coalesce(used.n_spaces, 0) AS n_spaces, count(*) OVER () AS total_embedders
+FROM reg FULL JOIN used ON used.embedder_id = reg.embedder_id""")
+
+CREATE_REQ = """rq AS (
+  SELECT min(doc_id) AS seq, source AS name, 'hash-256' AS embedder_id, NULL::VARCHAR AS strategy,
+         NULL::INTEGER AS chunk_size, NULL::INTEGER AS chunk_overlap
+  FROM documents GROUP BY source
+  UNION ALL
+  SELECT 1000000 + l.m * 10 + o.off, o.prefix || l.lang, o.emb, o.st, o.sz, o.ov
+  FROM (SELECT lang, min(doc_id) AS m FROM documents GROUP BY lang) l,
+       (VALUES (0, 'lang-', 'hash-256', 'sentence', 256, 32),
+               (1, 'lang-', 'hash-256', 'none', NULL, NULL),
+               (2, 'bad-', 'emb-64', 'semantic', 256, 32),
+               (3, 'tight-', 'emb-64', 'fixed', 64, 64),
+               (4, 'tight-', 'emb-64', 'fixed', 64, 16),
+               (5, 'tight-', 'hash-256', 'fixed', 64, 80)) o(off, prefix, emb, st, sz, ov)),
+cfg AS (
+  SELECT *, coalesce(strategy, 'recursive') AS c_st, coalesce(chunk_size, 512)::INTEGER AS c_sz,
+         coalesce(chunk_overlap, 50)::INTEGER AS c_ov FROM rq),
+cfg2 AS (
+  SELECT *, CASE WHEN c_st NOT IN ('none', 'fixed', 'sentence', 'recursive')
+                   THEN 'Unknown chunking strategy: ' || c_st
+                 WHEN c_st <> 'none' AND (c_sz <= 0 OR c_ov < 0 OR c_ov >= c_sz)
+                   THEN 'chunk_overlap must be smaller than chunk_size' END AS c_err
+  FROM cfg)"""
+
+sql("chunking_config", f"""{with_(CREATE_REQ)}
+SELECT seq, c_st AS strategy, CASE WHEN c_st <> 'none' THEN c_sz END AS chunk_size,
+       CASE WHEN c_st <> 'none' THEN c_ov END AS chunk_overlap, c_err AS error
+FROM cfg2""")
+
+sql("create_or_reuse_spaces", f"""{with_(SP, CREATE_REQ)},
+ex AS (SELECT name, arg_min(space_id, created_at) AS ex_id, arg_min(emb, created_at) AS ex_emb
+       FROM sp GROUP BY name),
+r AS (SELECT c.*, ex.ex_id, ex.ex_emb FROM cfg2 c LEFT JOIN ex ON ex.name = c.name),
+cr AS (SELECT name, min(seq) AS c_seq FROM r WHERE ex_id IS NULL AND c_err IS NULL GROUP BY name),
+cr2 AS (SELECT cr.name, cr.c_seq, r.embedder_id AS c_emb
+        FROM cr JOIN r ON r.name = cr.name AND r.seq = cr.c_seq),
+f AS (SELECT r.*, cr2.c_seq, cr2.c_emb, r.ex_id IS NOT NULL AS reuse_ex,
+             coalesce(r.ex_id IS NULL AND r.seq = cr2.c_seq, false) AS creates,
+             coalesce(r.ex_id IS NULL AND r.seq > cr2.c_seq, false) AS reuse_new
+      FROM r LEFT JOIN cr2 ON cr2.name = r.name),
+g AS (SELECT *, CASE WHEN NOT (reuse_ex OR creates OR reuse_new) THEN c_err END AS error FROM f)
+SELECT seq, name,
+       CASE WHEN reuse_ex THEN ex_id WHEN creates OR reuse_new THEN sha256('space|' || name) END AS space_id,
+       CASE WHEN reuse_ex THEN coalesce(ex_emb, embedder_id) WHEN reuse_new THEN c_emb
+            WHEN creates THEN embedder_id END AS embedder_id,
+       CASE WHEN creates THEN c_st END AS strategy,
+       CASE WHEN creates AND c_st <> 'none' THEN c_sz END AS chunk_size,
+       CASE WHEN creates AND c_st <> 'none' THEN c_ov END AS chunk_overlap,
+       CASE WHEN reuse_ex OR creates OR reuse_new THEN reuse_ex OR reuse_new END AS reused,
+       error IS NULL AS success, error,
+       CASE WHEN reuse_ex OR reuse_new THEN 'Space already exists, reusing existing space'
+            WHEN error IS NULL THEN 'Space created successfully' END AS message
+FROM g""")
+
+UPD = """src AS (SELECT source, min(doc_id) % 5 AS n FROM documents GROUP BY source),
+upd AS (
+  SELECT source AS space_id, n,
+         CASE WHEN n = 4 THEN 'replace_labels and merge_labels are mutually exclusive' END AS error,
+         CASE WHEN n = 0 THEN 'renamed-' || source ELSE source END AS name,
+         n = 1 AS public_read,
+         CASE n WHEN 0 THEN 'kind=docs' WHEN 1 THEN 'flag=true;kind=docs;level=3'
+                WHEN 2 THEN 'team=nlp' WHEN 3 THEN 'kind=merged;team=nlp' END AS labels
+  FROM src
+  UNION ALL
+  SELECT DISTINCT lang, -1, 'Space not found: ' || lang, NULL, NULL, NULL FROM documents)"""
+
+sql("update_spaces", f"""WITH {UPD}
+SELECT space_id, error IS NULL AS success, error,
+       CASE WHEN error IS NULL THEN name END AS name,
+       CASE WHEN error IS NULL THEN public_read END AS public_read,
+       CASE WHEN error IS NULL THEN labels END AS labels,
+       CASE WHEN error IS NULL THEN 'Space updated successfully' END AS message
+FROM upd""")
+
+sql("merge_labels", f"""WITH {UPD}
+SELECT space_id, CASE WHEN error IS NULL THEN name ELSE space_id END AS name,
+       CASE WHEN error IS NULL THEN public_read ELSE false END AS public_read,
+       CASE WHEN error IS NULL THEN labels ELSE 'kind=docs' END AS labels
+FROM upd WHERE n >= 0""")
+
+sql("parse_labels", """
+SELECT event_id, 'k=' || json_extract_string(props, '$.k') AS labels, true AS success,
+       NULL::VARCHAR AS error
+FROM events""")
+
+sql("delete_spaces", """WITH
+sp AS (SELECT DISTINCT d.source AS space_id FROM documents d JOIN events e ON e.event_id = d.doc_id),
+rq AS (SELECT DISTINCT d.source AS space_id FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+       WHERE l.toxic = 1
+       UNION SELECT DISTINCT 'gone-' || lang FROM documents),
+mc AS (SELECT d.source AS space_id, count(*) AS n FROM documents d JOIN events e ON e.event_id = d.doc_id
+       GROUP BY 1)
+SELECT rq.space_id, sp.space_id IS NOT NULL AS success,
+       CASE WHEN sp.space_id IS NULL THEN 'Space not found: ' || rq.space_id END AS error,
+       CASE WHEN sp.space_id IS NOT NULL THEN coalesce(mc.n, 0) ELSE 0 END AS deleted_memories,
+       CASE WHEN sp.space_id IS NOT NULL THEN 'Space deleted successfully' END AS message
+FROM rq LEFT JOIN sp ON sp.space_id = rq.space_id LEFT JOIN mc ON mc.space_id = sp.space_id""")
+
+sql("delete_memories", f"""{with_(MEM, CV)},
+rq AS (SELECT doc_id AS memory_id FROM labels WHERE toxic = 1
+       UNION SELECT -doc_id - 1 FROM labels WHERE toxic = 1),
+vc AS (SELECT memory_id, count(*) AS n FROM cv GROUP BY memory_id)
+SELECT rq.memory_id, m.memory_id IS NOT NULL AS success,
+       CASE WHEN m.memory_id IS NULL THEN 'Memory not found: ' || rq.memory_id END AS error,
+       CASE WHEN m.memory_id IS NOT NULL THEN coalesce(vc.n, 0) END AS deleted_vectors,
+       CASE WHEN m.memory_id IS NOT NULL THEN 'Memory deleted successfully' END AS message
+FROM rq LEFT JOIN mem m ON m.memory_id = rq.memory_id LEFT JOIN vc ON vc.memory_id = rq.memory_id""")
+
+# -- memories -------------------------------------------------------------------------
+
+TOKEN = "base64(encode(CAST(created_at AS VARCHAR) || '|' || memory_id))"
+
+sql("list_memories", f"""{with_(MEM)},
+f AS (SELECT *, json_extract(props, '$.k')::INTEGER AS k FROM mem
+      WHERE processing_status = 'COMPLETED' AND json_extract(props, '$.k')::INTEGER < 50),
+r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, memory_id) AS position,
+             count(*) OVER (PARTITION BY space_id) AS n_all FROM f),
+p AS (SELECT * FROM r WHERE position <= 10),
+l AS (SELECT space_id, arg_max({TOKEN}, position) AS tok, count(*) AS n_page FROM p GROUP BY space_id)
+SELECT p.space_id AS request_id, p.memory_id, p.processing_status, p.created_at, p.k,
+       p.position::INTEGER AS position, l.n_page AS total_memories,
+       CASE WHEN p.n_all > 10 THEN l.tok END AS next_token
+FROM p JOIN l USING (space_id)""")
+
+sql("project_content", f"""{with_(MEM)},
+r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, memory_id) AS position FROM mem)
+SELECT space_id AS request_id, memory_id, 'text/plain' AS content_type, original_content,
+       position::INTEGER AS position
+FROM r WHERE position <= 10""")
+
+sql("filter_by_status", f"""{with_(MEM)}
+SELECT memory_id, space_id, 'PENDING' AS processing_status FROM mem WHERE processing_status IS NULL""")
+
+sql("filter_by_metadata", f"""{with_(MEM)}
+SELECT memory_id, space_id, json_extract(props, '$.k')::INTEGER AS k FROM mem
+WHERE json_extract(props, '$.k')::INTEGER < 50""")
+
+sql("get_memory", f"""{with_(MEM)},
+rq AS (SELECT doc_id AS memory_id FROM labels UNION ALL SELECT -doc_id - 1 FROM labels WHERE toxic = 1)
+SELECT rq.memory_id, m.memory_id IS NOT NULL AS success,
+       CASE WHEN m.memory_id IS NULL THEN 'Memory not found: ' || rq.memory_id END AS error,
+       m.space_id, CASE WHEN m.memory_id IS NOT NULL THEN coalesce(m.processing_status, 'PENDING') END
+         AS processing_status,
+       CASE WHEN m.memory_id IS NOT NULL THEN 'string' END AS content_kind,
+       m.original_content AS content, NULL::VARCHAR AS content_error
+FROM rq LEFT JOIN mem m ON m.memory_id = rq.memory_id""")
+
+sql("negotiate_content", """WITH
+st AS (SELECT doc_id * 2 AS memory_id, 'text/plain' AS ct, text AS stored FROM documents
+       UNION ALL
+       SELECT event_id * 2 + 1, 'application/json; charset=utf-8',
+              CASE WHEN event_type = 'error' THEN substr(props, 2) ELSE props END FROM events)
+SELECT memory_id,
+       CASE WHEN contains(ct, 'application/json') THEN 'json' ELSE 'string' END AS content_kind,
+       CASE WHEN NOT contains(ct, 'application/json') THEN stored
+            WHEN json_valid(stored) THEN json(stored)::VARCHAR END AS content,
+       CASE WHEN contains(ct, 'application/json') AND stored IS NOT NULL AND NOT json_valid(stored)
+            THEN 'Failed to fetch content: invalid JSON content' END AS content_error
+FROM st""")
+
+sql("page_memories", f"""{with_(MEM)},
+r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, memory_id) AS position,
+             count(*) OVER (PARTITION BY space_id) AS total FROM mem)
+SELECT space_id, memory_id, (position - 1) // 100 AS page_no, position,
+       CASE WHEN position % 100 = 0 AND position < total THEN {TOKEN} END AS next_token
+FROM r""")
