@@ -197,3 +197,85 @@ r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, me
 SELECT space_id, memory_id, (position - 1) // 100 AS page_no, position,
        CASE WHEN position % 100 = 0 AND position < total THEN {TOKEN} END AS next_token
 FROM r""")
+
+# -- ingest ---------------------------------------------------------------------------
+
+
+def mem_id(space: str, req: str) -> str:
+    return f"('0x' || substr(sha256('memory|' || {space} || '|' || {req}), 1, 15))::BIGINT"
+
+
+FILES = """files AS (
+  SELECT page_id, html,
+         '/p/' || page_id || CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.DOCX'
+                                              WHEN 2 THEN '.txt' ELSE '' END AS path
+  FROM pages),
+ft AS (
+  SELECT *, CASE WHEN lower(path) LIKE '%.pdf' THEN 'application/pdf'
+                 WHEN lower(path) LIKE '%.docx'
+                   THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document'
+                 WHEN lower(path) LIKE '%.txt' THEN 'text/plain'
+                 ELSE 'application/octet-stream' END AS content_type
+  FROM files)"""
+
+sql("ingest_text", f"""
+SELECT doc_id AS request_id, source AS space_id, {mem_id('source', 'doc_id')} AS memory_id,
+       'text/plain' AS content_type, text AS original_content, true AS success, NULL::VARCHAR AS error
+FROM documents""")
+
+sql("ingest_files", f"""{with_(FILES)}
+SELECT path AS request_id, {mem_id("'pages'", 'path')} AS memory_id, content_type,
+       CASE WHEN content_type LIKE 'text/%' THEN html END AS original_content,
+       CASE WHEN content_type NOT LIKE 'text/%' THEN base64(encode(html)) END AS original_content_b64,
+       true AS success, NULL::VARCHAR AS error
+FROM ft""")
+
+sql("resolve_content", f"""{with_(FILES)}
+SELECT d.doc_id AS request_id, CASE WHEN ft.path IS NOT NULL THEN 'file' ELSE 'text' END AS source_kind,
+       coalesce(ft.content_type, 'text/plain') AS content_type, true AS success, NULL::VARCHAR AS error
+FROM documents d LEFT JOIN ft ON ft.page_id = d.doc_id""")
+
+sql("detect_content_type", f"""{with_(FILES)}
+SELECT path, content_type FROM ft""")
+
+sql("encode_payload", f"""{with_(FILES)}
+SELECT path, content_type,
+       CASE WHEN content_type LIKE 'text/%' THEN html END AS original_content,
+       CASE WHEN content_type NOT LIKE 'text/%' THEN base64(encode(html)) END AS original_content_b64
+FROM ft""")
+
+META = """mr AS (
+  SELECT event_id AS request_id, event_type, props,
+         CASE WHEN event_type = 'error' THEN 'Metadata must be a JSON object, got: ' || substr(props, 2) END
+           AS error
+  FROM events)"""
+
+sql("attach_metadata", f"""{with_(META)}
+SELECT request_id,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN json(props)::VARCHAR END AS metadata,
+       error IS NULL AS success, error
+FROM mr""")
+
+sql("ingest_ack", f"""
+SELECT doc_id AS request_id, {mem_id('source', 'doc_id')} AS memory_id, source AS space_id,
+       'PENDING' AS status, 'text/plain' AS content_type, 'Memory created successfully' AS message
+FROM documents""")
+
+sql("outcomes", f"""{with_(META)}
+SELECT request_id, error IS NULL AS success, error,
+       CASE WHEN error IS NULL
+            THEN '{{"success":true,"memory_id":' || {mem_id("'events'", 'request_id')}
+                 || ',"message":"Memory created successfully"}}'
+            ELSE '{{"success":false,"error":' || to_json(error) || '}}' END AS outcome
+FROM mr""")
+
+sql("write_memory_tables", f"""{with_(MEM)}
+SELECT memory_id, space_id, 'text/plain' AS content_type, processing_status, created_at,
+       json(props)::VARCHAR AS metadata
+FROM mem""")
+
+sql("ingest_conversation", f"""
+SELECT 'conv-' || conv_id AS space_id, turn, {mem_id("'conv-' || conv_id", 'turn')} AS memory_id,
+       'text/plain' AS content_type, text AS original_content,
+       json_object('role', role, 'turn', turn)::VARCHAR AS metadata, true AS success
+FROM conversations""")

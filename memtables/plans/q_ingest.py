@@ -1,3 +1,104 @@
-"""Registered queries."""
+"""Registered ingest queries (ops 1-7, 12, 45, 47)."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from memtables.operators.outcomes import outcome_json, split_outcomes
+from memtables.plans.registry import query
+from memtables.sources import files as FS
+from memtables.sources import ingest as I
+from memtables.sources import tables as T
+
+
+def _text_requests(spark: SparkSession, d: str) -> DataFrame:
+    return T.read(spark, d, "documents").select(
+        F.col("doc_id").alias("request_id"), F.col("source").alias("space_id"), "text")
+
+
+def _file_requests(spark: SparkSession, d: str) -> DataFrame:
+    return FS.file_requests(T.files(spark, d), "pages")
+
+
+@query("ingest_text")
+def ingest_text(spark: SparkSession, d: str) -> DataFrame:
+    return I.ingest(_text_requests(spark, d)).select(
+        "request_id", "space_id", "memory_id", "content_type", "original_content", "success", "error")
+
+
+@query("ingest_files")
+def ingest_files(spark: SparkSession, d: str) -> DataFrame:
+    return I.ingest(_file_requests(spark, d)).select(
+        "request_id", "memory_id", "content_type", "original_content", "original_content_b64",
+        "success", "error")
+
+
+@query("resolve_content")
+def resolve_content(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a page of the same id carry both a file and text: the file wins."""
+    f = T.files(spark, d).select(F.col("page_id").alias("request_id"), F.col("path").alias("file_path"),
+                                 F.col("content").alias("file_content"))
+    req = _text_requests(spark, d).join(f, "request_id", "left")
+    return I.ingest(req).select("request_id", "source_kind", "content_type", "success", "error")
+
+
+@query("detect_content_type")
+def detect_content_type(spark: SparkSession, d: str) -> DataFrame:
+    return T.files(spark, d).select("path", I.detect_content_type(F.col("path")).alias("content_type"))
+
+
+@query("encode_payload")
+def encode_payload(spark: SparkSession, d: str) -> DataFrame:
+    f = T.files(spark, d).withColumn("content_type", I.detect_content_type(F.col("path")))
+    p = I.encode_payload(F.col("content_type"), F.col("content"))
+    return f.select("path", "content_type", p["original_content"].alias("original_content"),
+                    p["original_content_b64"].alias("original_content_b64"))
+
+
+def _metadata_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Event rows as text memories with their props as metadata; 'error'
+    events carry a broken JSON text, 'signup' events an empty object."""
+    ev = T.read(spark, d, "events")
+    meta = (F.when(F.col("event_type") == "error", F.substring("props", 2, 1 << 20))
+            .when(F.col("event_type") == "signup", F.lit("{}")).otherwise(F.col("props")))
+    return ev.select(F.col("event_id").alias("request_id"), F.lit("events").alias("space_id"),
+                     F.col("event_type").alias("text"), meta.alias("metadata_json"))
+
+
+@query("attach_metadata")
+def attach_metadata(spark: SparkSession, d: str) -> DataFrame:
+    out = I.ingest(_metadata_requests(spark, d))
+    return out.select("request_id", F.to_json("metadata").alias("metadata"), "success", "error")
+
+
+@query("ingest_ack")
+def ingest_ack(spark: SparkSession, d: str) -> DataFrame:
+    return I.ingest_ack(I.ingest(_text_requests(spark, d)))
+
+
+@query("outcomes")
+def outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Outcome rows of a metadata ingest: good rows and the quarantine, each
+    with its JSON form (null members left out)."""
+    out = I.ingest(_metadata_requests(spark, d))
+    good, bad = split_outcomes(out)
+    cols = ["request_id", "success", "error"]
+    return (good.select(*cols, outcome_json(good, "memory_id", "message").alias("outcome"))
+            .unionByName(bad.select(*cols, outcome_json(bad, "memory_id", "message").alias("outcome"))))
+
+
+@query("write_memory_tables")
+def write_memory_tables(spark: SparkSession, d: str) -> DataFrame:
+    paths = FS.write_memory_tables({"memories": T.memories(spark, d)}, spark=spark)
+    back = spark.read.parquet(paths["memories"])
+    return back.select("memory_id", "space_id", "content_type", "processing_status", "created_at",
+                       F.to_json("metadata").alias("metadata"))
+
+
+@query("ingest_conversation")
+def ingest_conversation(spark: SparkSession, d: str) -> DataFrame:
+    req = I.conversation_requests(T.conversations(spark, d))
+    out = I.ingest(req)
+    return out.select("space_id", F.col("request_id").alias("turn"), "memory_id", "content_type",
+                      "original_content", F.to_json("metadata").alias("metadata"), "success")
