@@ -279,3 +279,117 @@ SELECT 'conv-' || conv_id AS space_id, turn, {mem_id("'conv-' || conv_id", 'turn
        'text/plain' AS content_type, text AS original_content,
        json_object('role', role, 'turn', turn)::VARCHAR AS metadata, true AS success
 FROM conversations""")
+
+# -- parsers ---------------------------------------------------------------------------
+
+
+def jtrim(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+BODIES = """e AS (
+  SELECT vec_id, vec_id::VARCHAR AS i, (label * 10 + vec_id % 7)::VARCHAR AS mem, label::VARCHAR AS lab,
+         '0.' || lpad((vec_id % 1000)::VARCHAR, 3, '0') AS score, vec_id % 8 AS v
+  FROM embeddings),
+pt AS (
+  SELECT vec_id AS body_id, v,
+    '{"resultSetBoundary":{"resultSetId":"rs-' || i || '"}}' AS B,
+    '{"memoryDefinition":{"memoryId":"' || mem || '","spaceId":"label-' || lab || '"}}' AS M,
+    '{"retrievedItem":{"chunk":{"chunk":{"chunkId":"' || i || '","chunkText":"text ' || i
+      || '","memoryId":"' || mem || '"},"relevanceScore":' || score || ',"memoryIndex":0}}}' AS I,
+    '{"abstractReply":{"text":"summary ' || i || '"}}' AS A,
+    '{"abstractReply":{"text":"final ' || i || '"}}' AS A2,
+    '{"resultSetBoundary":{"resultSetId":"rs2-' || i || '"}}' AS B2,
+    '{"retrievedItem":{"chunk":{"chunk":{"chunkId":"x' || i
+      || '"}}},"resultSetBoundary":{"resultSetId":"multi-' || i || '"}}' AS multi,
+    '{"retrievedItem":{"chunk":{"chunk":{"chunkId":"' || i || '","chunkText":"t","memoryId":"'
+      || mem || '"}}}}' AS bare
+  FROM e),
+bodies AS (
+  SELECT body_id, CASE v
+    WHEN 0 THEN concat_ws(chr(10), B, M, I)
+    WHEN 1 THEN concat_ws(chr(13) || chr(10), B, M, I)
+    WHEN 2 THEN concat_ws(chr(10), 'event: message', 'data: ' || B, '', 'data: ' || M, 'data:' || I,
+                          'data: event: x')
+    WHEN 3 THEN concat_ws(chr(10), B, '{"retrievedItem":', '[1,2]', '42', I, 'not json')
+    WHEN 4 THEN concat_ws(chr(10), B, multi, I)
+    WHEN 5 THEN concat_ws(chr(10), B, '{"resultSetBoundary":null}', '{"retrievedItem":{}}',
+                          '{"memoryDefinition":null}', I)
+    WHEN 6 THEN concat_ws(chr(10), B, '{"resultSetBoundary":{}}', A, I, A2)
+    ELSE B || chr(10) || bare || chr(10) || B2 || chr(10) END AS body
+  FROM pt)"""
+
+PARSED = f"""l0 AS (
+  SELECT body_id, unnest(string_split(body, chr(10))) AS raw,
+         generate_subscripts(string_split(body, chr(10)), 1) AS line_no
+  FROM bodies),
+l1 AS (SELECT body_id, line_no, {jtrim('raw')} AS t FROM l0),
+l2 AS (SELECT body_id, line_no,
+              CASE WHEN starts_with(t, 'data:') THEN {jtrim('substr(t, 6)')} ELSE t END AS j FROM l1),
+l3 AS (SELECT * FROM l2 WHERE j <> '' AND NOT starts_with(j, 'event:')
+                           AND json_valid(j) AND json_type(j) = 'OBJECT'),
+l4 AS (SELECT *, CASE WHEN json_exists(j, '$.resultSetBoundary') THEN 'boundary'
+                      WHEN json_exists(j, '$.memoryDefinition') THEN 'memory'
+                      WHEN json_exists(j, '$.abstractReply') THEN 'abstract'
+                      WHEN json_exists(j, '$.retrievedItem') THEN 'item' END AS kind FROM l3),
+l5 AS (SELECT *, CASE kind WHEN 'boundary' THEN json_extract(j, '$.resultSetBoundary')
+                           WHEN 'memory' THEN json_extract(j, '$.memoryDefinition')
+                           WHEN 'abstract' THEN json_extract(j, '$.abstractReply')
+                           WHEN 'item' THEN json_extract(j, '$.retrievedItem') END AS x
+       FROM l4 WHERE kind IS NOT NULL),
+l6 AS (SELECT *, json_extract(x, '$.chunk') AS ch, json_extract(x, '$.chunk.chunk') AS inner_
+       FROM l5 WHERE json_type(x) = 'OBJECT'),
+parsed AS (
+  SELECT body_id, line_no::INTEGER AS line_no, kind,
+         CASE WHEN kind = 'boundary' THEN json_extract_string(x, '$.resultSetId') END AS result_set_id,
+         CASE WHEN kind = 'item' THEN coalesce(json_extract_string(inner_, '$.chunkId'), '') END AS chunk_id,
+         CASE WHEN kind = 'item' THEN coalesce(json_extract_string(inner_, '$.chunkText'), '') END AS chunk_text,
+         CASE WHEN kind = 'item' THEN coalesce(json_extract_string(inner_, '$.memoryId'), '') END AS memory_id,
+         CASE WHEN kind = 'item' THEN json_extract(ch, '$.relevanceScore')::DOUBLE END AS relevance_score,
+         CASE WHEN kind = 'item' THEN json_extract(ch, '$.memoryIndex')::INTEGER END AS memory_index,
+         CASE WHEN kind = 'memory' THEN x::VARCHAR END AS memory_definition,
+         CASE WHEN kind = 'abstract' THEN x::VARCHAR END AS abstract_reply
+  FROM l6
+  WHERE kind <> 'item' OR ((ch IS NULL OR json_type(ch) = 'OBJECT')
+                           AND (inner_ IS NULL OR json_type(inner_) = 'OBJECT')))"""
+
+sql("parse_retrieval_stream", f"""WITH {BODIES},
+{PARSED}
+SELECT * FROM parsed""")
+
+sql("collect_result_set", f"""WITH {BODIES},
+{PARSED},
+g AS (
+  SELECT body_id,
+         arg_max(result_set_id, line_no) FILTER (WHERE result_set_id IS NOT NULL) AS rs,
+         count(*) FILTER (WHERE kind = 'item') AS total_results,
+         count(*) FILTER (WHERE kind = 'memory') AS total_memories,
+         string_agg(chunk_id, ',' ORDER BY line_no) FILTER (WHERE kind = 'item') AS chunk_ids,
+         string_agg(coalesce(relevance_score::VARCHAR, '-'), ',' ORDER BY line_no)
+           FILTER (WHERE kind = 'item') AS scores,
+         arg_max(abstract_reply, line_no) FILTER (WHERE abstract_reply IS NOT NULL) AS abstract_reply
+  FROM parsed GROUP BY body_id)
+SELECT b.body_id, coalesce(g.rs, '') AS result_set_id, coalesce(g.total_results, 0) AS total_results,
+       coalesce(g.total_memories, 0) AS total_memories, coalesce(g.chunk_ids, '') AS chunk_ids,
+       coalesce(g.scores, '') AS scores, g.abstract_reply
+FROM bodies b LEFT JOIN g ON g.body_id = b.body_id""")
+
+sql("normalize_list_response", f"""{with_(MEM)},
+lb AS (
+  SELECT memory_id AS body_id, CASE memory_id % 5
+    WHEN 0 THEN '[{{"memoryId":"' || memory_id || '"}},7,{{"memoryId":"' || memory_id || '-b"}}]'
+    WHEN 1 THEN '{{"memories":[{{"memoryId":"' || memory_id || '","status":"'
+                || coalesce(processing_status, 'PENDING') || '"}}],"nextToken":null}}'
+    WHEN 2 THEN '{{"items":[{{"memoryId":"' || memory_id || '"}}]}}'
+    WHEN 3 THEN '42'
+    ELSE '[1,"x",null,{{"memoryId":"' || memory_id || '"}}]' END AS body
+  FROM mem),
+arr AS (
+  SELECT body_id, CASE WHEN json_type(body) = 'ARRAY' THEN json_extract(body, '$[*]')
+                       WHEN json_type(body) = 'OBJECT' AND json_type(body, '$.memories') = 'ARRAY'
+                         THEN json_extract(body, '$.memories[*]') END AS a
+  FROM lb WHERE json_valid(body)),
+el AS (SELECT body_id, unnest(a) AS e, generate_subscripts(a, 1) AS position FROM arr WHERE a IS NOT NULL)
+SELECT body_id, position::INTEGER AS position, json_extract_string(e, '$.memoryId') AS memory_id,
+       e::VARCHAR AS element
+FROM el WHERE json_type(e) = 'OBJECT'""")
