@@ -393,3 +393,53 @@ el AS (SELECT body_id, unnest(a) AS e, generate_subscripts(a, 1) AS position FRO
 SELECT body_id, position::INTEGER AS position, json_extract_string(e, '$.memoryId') AS memory_id,
        e::VARCHAR AS element
 FROM el WHERE json_type(e) = 'OBJECT'""")
+
+# -- chunking ---------------------------------------------------------------------------
+
+sql("chunk_none", f"""{with_(MEM)}
+SELECT memory_id || '-0' AS chunk_id, memory_id, space_id, 0 AS chunk_index,
+       coalesce(original_content, '') AS chunk_text
+FROM mem""")
+
+sql("chunk_fixed", f"""{with_(MEM)},
+w AS (SELECT memory_id, space_id, coalesce(original_content, '') AS t,
+             unnest(range(0, greatest(length(coalesce(original_content, '')) - 50, 1), 462)) AS s
+      FROM mem)
+SELECT memory_id || '-' || (s // 462) AS chunk_id, memory_id, space_id, (s // 462)::INTEGER AS chunk_index,
+       substring(t, s + 1, 512) AS chunk_text
+FROM w""")
+
+_SENT = r"[.!?]*[^.!?]+[.!?]*[ \t\n\x0B\f\r]*|[.!?]+[ \t\n\x0B\f\r]*"
+
+
+def _windows(x: str, size: int, ov: int) -> str:
+    return (f"list_transform(range(0, greatest(length({x}) - {ov}, 1), {size - ov}), "
+            f"lambda i: substring({x}, i + 1, {size}))")
+
+
+def pack_sql(size: int, ov: int) -> str:
+    carry = (f"(list_reduce(list_reverse(acc.tail), lambda c, x: CASE "
+             f"WHEN c.open AND c.n + length(x) <= least({ov}, {size} - length(s)) "
+             f"THEN {{'arr': list_prepend(x, c.arr), 'n': c.n + length(x), 'open': true}} "
+             f"ELSE {{'arr': c.arr, 'n': c.n, 'open': false}} END, "
+             f"{{'arr': []::VARCHAR[], 'n': 0, 'open': true}})).arr")
+    step = (f"lambda acc, s: CASE "
+            f"WHEN length(s) > {size} THEN {{'done': list_concat(CASE WHEN acc.cur <> '' "
+            f"THEN list_append(acc.done, acc.cur) ELSE acc.done END, {_windows('s', size, ov)}), "
+            f"'cur': '', 'tail': []::VARCHAR[]}} "
+            f"WHEN acc.cur = '' THEN {{'done': acc.done, 'cur': s, 'tail': [s]}} "
+            f"WHEN length(acc.cur) + length(s) <= {size} THEN {{'done': acc.done, 'cur': acc.cur || s, "
+            f"'tail': list_append(acc.tail, s)}} "
+            f"ELSE {{'done': list_append(acc.done, acc.cur), 'cur': array_to_string({carry}, '') || s, "
+            f"'tail': list_append({carry}, s)}} END")
+    init = "{'done': []::VARCHAR[], 'cur': '', 'tail': []::VARCHAR[]}"
+    return (f"list_reduce(regexp_extract_all(coalesce(original_content, ''), '{_SENT}'), {step}, {init})")
+
+
+sql("chunk_sentence", f"""{with_(MEM)},
+r AS (SELECT memory_id, space_id, {pack_sql(512, 50)} AS acc FROM mem),
+o AS (SELECT memory_id, space_id,
+             CASE WHEN acc.cur <> '' THEN list_append(acc.done, acc.cur) ELSE acc.done END AS out FROM r),
+o2 AS (SELECT memory_id, space_id, CASE WHEN len(out) = 0 THEN [''] ELSE out END AS out FROM o),
+u AS (SELECT memory_id, space_id, unnest(out) AS chunk_text, generate_subscripts(out, 1) - 1 AS i FROM o2)
+SELECT memory_id || '-' || i AS chunk_id, memory_id, space_id, i::INTEGER AS chunk_index, chunk_text FROM u""")

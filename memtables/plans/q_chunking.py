@@ -1,3 +1,43 @@
-"""Registered queries."""
+"""Registered chunking and embedding queries (ops 39-43), over the whole
+memory table with the default size 512 and overlap 50."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from memtables.operators import chunking as CH
+from memtables.operators.embedding import embed_chunks
+from memtables.plans.registry import query
+from memtables.sources import tables as T
+
+_COLS = ["chunk_id", "memory_id", "space_id", "chunk_index", "chunk_text"]
+
+
+def _mem(spark: SparkSession, d: str) -> DataFrame:
+    return T.memories(spark, d).select("memory_id", "space_id", "original_content")
+
+
+@query("chunk_none")
+def chunk_none(spark: SparkSession, d: str) -> DataFrame:
+    return CH.chunk_none(_mem(spark, d)).select(*_COLS)
+
+
+@query("chunk_fixed")
+def chunk_fixed(spark: SparkSession, d: str) -> DataFrame:
+    return CH.chunk_fixed(_mem(spark, d), 512, 50).select(*_COLS)
+
+
+@query("chunk_sentence")
+def chunk_sentence(spark: SparkSession, d: str) -> DataFrame:
+    return CH.chunk_sentence(_mem(spark, d), 512, 50).select(*_COLS)
+
+
+@query("chunk_recursive")
+def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
+    return CH.chunk_recursive(_mem(spark, d), 512, 50).select(*_COLS)
+
+
+@query("embed_chunks")
+def embed_chunks_q(spark: SparkSession, d: str) -> DataFrame:
+    chunks = CH.chunk_fixed(_mem(spark, d), 512, 50)
+    return embed_chunks(chunks, "hash-256").select("chunk_id", "memory_id", "space_id", "embedding")
