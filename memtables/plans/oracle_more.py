@@ -443,3 +443,38 @@ o AS (SELECT memory_id, space_id,
 o2 AS (SELECT memory_id, space_id, CASE WHEN len(out) = 0 THEN [''] ELSE out END AS out FROM o),
 u AS (SELECT memory_id, space_id, unnest(out) AS chunk_text, generate_subscripts(out, 1) - 1 AS i FROM o2)
 SELECT memory_id || '-' || i AS chunk_id, memory_id, space_id, i::INTEGER AS chunk_index, chunk_text FROM u""")
+
+# -- streaming ------------------------------------------------------------------------
+
+sql("stream_index_memories", """
+SELECT d.doc_id AS memory_id,
+       CASE WHEN coalesce(d.text, '') <> '' THEN 'COMPLETED' ELSE 'FAILED' END AS processing_status,
+       CASE WHEN coalesce(d.text, '') <> '' THEN len(range(0, greatest(length(d.text) - 50, 1), 462))
+            ELSE 0 END AS n_chunks
+FROM documents d JOIN events e ON e.event_id = d.doc_id""")
+
+sql("indexing_freshness", f"""{with_(MEM)}
+SELECT space_id, coalesce(processing_status, 'PENDING') AS processing_status, count(*) AS n_memories,
+       coalesce(processing_status, 'PENDING') IN ('PENDING', 'PROCESSING') AS unfinished
+FROM mem GROUP BY 1, 2""")
+
+sql("wait_for_indexing", f"""{with_(MEM, CV)},
+e2 AS (SELECT e.vec_id AS query_id,
+              CASE WHEN e.vec_id % 2 = 0 THEN d.source
+                   ELSE 'label-' || e.label || ', label-' || ((e.label + 1) % 10) || ',,label-' || e.label
+              END AS space_ids
+       FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
+qs2 AS (SELECT DISTINCT query_id, trim(s) AS space_id
+        FROM e2, unnest(string_split(space_ids, ',')) AS t(s) WHERE trim(s) <> ''),
+cnt AS (SELECT space_id, count(*) AS n FROM cv GROUP BY 1),
+busy AS (SELECT DISTINCT space_id FROM mem
+         WHERE coalesce(processing_status, 'PENDING') IN ('PENDING', 'PROCESSING')),
+per AS (SELECT q.query_id, least(5, coalesce(sum(c.n), 0))::BIGINT AS total_results,
+               bool_or(b.space_id IS NOT NULL) AS busy
+        FROM qs2 q LEFT JOIN cnt c ON c.space_id = q.space_id LEFT JOIN busy b ON b.space_id = q.space_id
+        GROUP BY 1)
+SELECT e2.query_id, coalesce(per.total_results, 0) AS total_results,
+       CASE WHEN coalesce(per.total_results, 0) = 0 AND per.busy
+            THEN 'No results found after waiting 10 seconds for indexing. Memories may still be processing.'
+       END AS message
+FROM e2 LEFT JOIN per ON per.query_id = e2.query_id""")

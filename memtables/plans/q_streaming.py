@@ -1,3 +1,44 @@
-"""Registered queries."""
+"""Registered streaming queries (ops 44, 46)."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from memtables.plans.registry import query
+from memtables.sources import tables as T
+from memtables.streaming import indexing as IX
+
+
+@query("stream_index_memories")
+def stream_index_memories(spark: SparkSession, d: str) -> DataFrame:
+    """All documents indexed by the stream (fixed 512/50 chunks, hash-256
+    vectors); the status table read back after the stream has drained."""
+    out = IX.run_to_completion(spark, IX.documents_stream(spark, d))
+    return spark.read.parquet(f"{out}/status").select("memory_id", "processing_status", "n_chunks")
+
+
+@query("indexing_freshness")
+def indexing_freshness(spark: SparkSession, d: str) -> DataFrame:
+    return IX.indexing_freshness(T.memories(spark, d))
+
+
+@query("wait_for_indexing")
+def wait_for_indexing(spark: SparkSession, d: str) -> DataFrame:
+    """Retrieval over spaces that may still be indexing: each chat turn asks
+    its own conversation space (which holds no vectors yet) and a vector
+    space; queries with no results over unfinished spaces get the message."""
+    from memtables.operators import postprocess as P
+    from memtables.operators import retrieval as R
+    req = T.retrieval_requests(spark, d)
+    # search the label spaces and the source space of the query's document
+    src = T.read(spark, d, "documents").select(F.col("doc_id").alias("query_id"),
+                                               F.col("source").alias("_src"))
+    req = (req.join(src, "query_id", "left")
+           .withColumn("space_ids", F.when(F.pmod(F.col("query_id"), F.lit(2)) == 0, F.col("_src"))
+                       .otherwise(F.col("space_ids")))
+           .drop("_src"))
+    res = R.retrieve_topk(req, T.chunk_vectors(spark, d))
+    totals = P.result_totals(res, req)
+    return IX.wait_messages(totals, req, IX.indexing_freshness(T.memories(spark, d))).select(
+        "query_id", "total_results", "message")
