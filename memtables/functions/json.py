@@ -42,8 +42,11 @@ def labels_from_json(text: Column) -> Column:
     Null members are dropped; numbers and booleans keep their JSON text. A
     nested object or array as a value, or any non-object text, gives an error.
     """
-    raw = F.when(text.rlike(_WHOLE_VALUE), F.from_json(text, "map<string,string>"))
     typed = F.try_variant_get(strict_parse_json(text), "$", "map<string,variant>")
+    # scalar values as text; VARIANT keeps a number's decimal digits (1.50 stays 1.50)
+    as_text = F.transform_values(typed, lambda k, v: F.try_variant_get(v, "$", "string"))
+    # duplicate keys make the VARIANT parse fail; the JSON reader keeps the last one
+    raw = F.coalesce(as_text, F.when(text.rlike(_WHOLE_VALUE), F.from_json(text, "map<string,string>")))
     nested = F.exists(
         F.map_values(typed),
         lambda x: F.schema_of_variant(x).startswith("OBJECT")

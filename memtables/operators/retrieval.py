@@ -129,10 +129,18 @@ def _candidates_schema(chunk_id_type: T.DataType) -> T.StructType:
     ])
 
 
-def _frame(q_ids, q_k, c_rows, res, cols) -> pd.DataFrame:
+def _empty(chunk_ids: pd.Series) -> pd.DataFrame:
+    """A typed empty candidate frame (Arrow needs real dtypes)."""
+    return pd.DataFrame({
+        "query_id": pd.Series([], dtype="int64"), "chunk_id": chunk_ids.iloc[:0],
+        "memory_id": pd.Series([], dtype="int64"), "space_id": pd.Series([], dtype=object),
+        "score": pd.Series([], dtype="float64"), "k": pd.Series([], dtype="int32")})
+
+
+def _frame(q_ids, q_k, c_rows, res, cols) -> pd.DataFrame | None:
     out_q, out_c, out_s = res
     if not out_q:
-        return pd.DataFrame({c: pd.Series([], dtype=object) for c in cols})
+        return None
     qpos = np.concatenate(out_q)
     cpos = np.concatenate(out_c)
     return pd.DataFrame({
@@ -148,13 +156,14 @@ def _frame(q_ids, q_k, c_rows, res, cols) -> pd.DataFrame:
 def _tile_topk(chunks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     cols = ["query_id", "chunk_id", "memory_id", "space_id", "score", "k"]
     if chunks.empty or queries.empty:
-        return pd.DataFrame({c: [] for c in cols})
+        return _empty(chunks["chunk_id"])
     chunks = chunks.sort_values("chunk_id", kind="stable").reset_index(drop=True)
     c_mat, c_ok = _unit_rows(chunks["embedding"])
     q_mat, q_ok = _unit_rows(queries["query_vector"])
     res = _topk_block(queries["query_id"].to_numpy(), q_mat, q_ok, queries["k"].to_numpy(),
                       chunks["chunk_id"].to_numpy(), c_mat, c_ok)
-    return _frame(queries["query_id"].to_numpy(), queries["k"].to_numpy(), chunks, res, cols)
+    out = _frame(queries["query_id"].to_numpy(), queries["k"].to_numpy(), chunks, res, cols)
+    return _empty(chunks["chunk_id"]) if out is None else out
 
 
 def _query_rows(requests: DataFrame, default_k: int) -> DataFrame:
@@ -226,11 +235,15 @@ def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> Da
                 c_mat, c_ok = _unit_rows(grp["embedding"])
                 res = _topk_block(b["ids"][rows], b["mat"][rows], b["ok"][rows], b["k"][rows],
                                   grp["chunk_id"].to_numpy(), c_mat, c_ok)
-                parts.append(_frame(b["ids"][rows], b["k"][rows], grp, res, cols))
+                part = _frame(b["ids"][rows], b["k"][rows], grp, res, cols)
+                if part is not None:
+                    parts.append(part)
             if sum(len(p) for p in parts) > 200_000:
                 parts = [_prune(pd.concat(parts, ignore_index=True))]
         if parts:
-            yield _prune(pd.concat(parts, ignore_index=True))
+            out = _prune(pd.concat(parts, ignore_index=True))
+            if len(out):
+                yield out
 
     return chunks.select("chunk_id", "memory_id", "space_id", "embedding").mapInPandas(run, schema)
 
