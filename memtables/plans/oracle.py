@@ -78,7 +78,7 @@ def chain(rerank: bool = False, threshold: float | None = None, resort: bool = F
     final = "created_at, chunk_id" if resort else "o2"
     return f"""{with_(REQ, QS, CV, TOPK, MEM, CTEXT)},
 j AS (
-  SELECT t.*, r.query_text, c.chunk_text, m.created_at
+  SELECT t.*, r.query_text, coalesce(c.chunk_text, '') AS chunk_text, m.created_at
   FROM topk t JOIN req r USING (query_id)
   LEFT JOIN ctext c USING (chunk_id) LEFT JOIN mem m USING (memory_id)),
 j1 AS (SELECT *, {score} AS relevance_score FROM j),
