@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 from memtables.functions.json import strict_parse_json, val  # noqa: F401  (val re-exported)
 from memtables.operators.outcomes import first_error, with_outcome
+from memtables.operators.sizing import broadcast_if_small
 
 CONTENT_COLS = ("original_content", "original_content_b64")
 
@@ -77,13 +78,19 @@ def list_memories(memories: DataFrame, requests: DataFrame, where: Column | None
     """
     mem = filter_by_metadata(memories, where)
     mem = project_content(mem, include_content)
-    req = requests.select("request_id", "space_id", clamp_page_size(F.col("page_size")).alias("_n"),
-                          F.col("next_token").alias("_tok"), F.col("status").alias("_st"))
+    req = broadcast_if_small(requests.select(
+        "request_id", "space_id", clamp_page_size(F.col("page_size")).alias("_n"),
+        F.col("next_token").alias("_tok"), F.col("status").alias("_st")))
     j = mem.join(req, "space_id")
     j = j.where(_after_token(F.col("_tok")))
     j = j.where(F.col("_st").isNull() | (F.col("_st") == "") | (status_of() == F.col("_st")))
     w = Window.partitionBy("request_id").orderBy("created_at", "memory_id")
-    j = j.withColumn("position", F.row_number().over(w)).where(F.col("position") <= F.col("_n") + 1)
+    # the literal bound (largest page + 1) lets Spark plan a partial
+    # WindowGroupLimit before the shuffle: a hot space sends at most that
+    # many rows per task; the per-request size is applied after it
+    j = (j.withColumn("position", F.row_number().over(w))
+         .where(F.col("position") <= S.PAGE_SIZE_MAX + 1)
+         .where(F.col("position") <= F.col("_n") + 1))
     by_req = Window.partitionBy("request_id")
     j = j.withColumn("_more", F.max("position").over(by_req) > F.col("_n")).where(F.col("position") <= F.col("_n"))
     last = F.max_by(F.struct("created_at", "memory_id"), F.col("position")).over(by_req)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from memtables import schema as S
 from memtables.functions.text import java_trim
+from memtables.operators.sizing import broadcast_if_small
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
@@ -201,13 +202,6 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
             .applyInPandas(_tile_topk, schema))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` when a bounded count proves it has at most
-    ``max_rows`` rows; otherwise ``df`` unchanged (Spark shuffles it)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
     """Score chunk partitions in place against a broadcast query matrix
     (``qpd`` is the query table, already proven small by the caller)."""
@@ -259,12 +253,15 @@ def _prune(cands: pd.DataFrame) -> pd.DataFrame:
     return cands[keep].drop(columns="_r")
 
 
-def rank_candidates(cands: DataFrame) -> DataFrame:
+def rank_candidates(cands: DataFrame, k_max: int | None = None) -> DataFrame:
     """Global best k per query from local candidates (column ``k``): one
-    shuffle by query id; Spark plans a partial per-task group limit first."""
+    shuffle by query id. With ``k_max`` (the largest k asked) as a literal
+    bound, Spark plans a partial per-task group limit before the shuffle."""
     score = F.round("score", S.SCORE_DIGITS)
     w = Window.partitionBy("query_id").orderBy(score.desc(), F.col("chunk_id").asc())
     ranked = cands.withColumn("score", score).withColumn("rank", F.row_number().over(w))
+    if k_max is not None:
+        ranked = ranked.where(F.col("rank") <= int(k_max))
     return ranked.where(F.col("rank") <= F.col("k")).drop("k")
 
 
@@ -290,11 +287,13 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
         method = "broadcast" if qpd is not None else "tiled"
     if method == "broadcast":
         cands = _broadcast(qpd, chunks, schema)
+        k_max = int(qpd["k"].max()) if len(qpd) else 1
     elif method == "tiled":
         cands = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
+        k_max = queries.agg(F.max("k").alias("m")).first()["m"] or 1
     else:
         raise ValueError(f"unknown method {method!r}")
-    return rank_candidates(cands).select(
+    return rank_candidates(cands, k_max).select(
         "query_id", "rank", "chunk_id", "memory_id", "space_id", "score")
 
 

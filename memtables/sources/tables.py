@@ -14,8 +14,19 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The input table as a lazy DataFrame. The reader (file listing, footer
+    schema) is made once per session and path; DataFrames are immutable, so
+    every caller can share it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 # -- spaces / embedders ------------------------------------------------------
