@@ -10,6 +10,7 @@ creation times have the small result side and let AQE broadcast it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,36 +20,55 @@ from memtables.functions.text import first_sentence, tokens
 from memtables.operators import retrieval as R
 
 
-# -- 36 rerankers: name -> (query_text, chunk_text) -> score Column ----------
+# -- 36 rerankers ------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Reranker:
+    """``score(prepared_query, prepared_chunk) -> Column``. ``prepare`` (text ->
+    Column) runs once per query and once per distinct chunk, not per pair;
+    without it the raw texts are scored."""
+    score: Callable[[Column, Column], Column]
+    prepare: Callable[[Column], Column] | None = None
+
+
+def jaccard_sets(a: Column, b: Column) -> Column:
+    """|A and B| / |A or B| of two distinct-token arrays (0 when both empty).
+    The intersection size is computed once and carried by a lambda variable."""
+    inter = F.array(F.size(F.array_intersect(a, b)))
+    return F.transform(inter, lambda i: F.when(
+        F.size(a) + F.size(b) - i > 0, i / (F.size(a) + F.size(b) - i)).otherwise(F.lit(0.0)))[0]
+
 
 def jaccard(query_text: Column, chunk_text: Column) -> Column:
-    """Token-set overlap |A and B| / |A or B| of query and chunk text (our
-    built-in reranker). Each token set is built once: the lambda variables
-    carry them instead of repeating the split."""
-    pair = F.array(F.struct(tokens(query_text).alias("a"), tokens(chunk_text).alias("b")))
+    """Token-set overlap of query and chunk text (our built-in reranker)."""
+    return jaccard_sets(tokens(query_text), tokens(chunk_text))
 
-    def ratio(p: Column) -> Column:
-        inter = F.array(F.size(F.array_intersect(p["a"], p["b"])))
-        return F.transform(inter, lambda i: F.when(
-            F.size(p["a"]) + F.size(p["b"]) - i > 0,
-            i / (F.size(p["a"]) + F.size(p["b"]) - i)).otherwise(F.lit(0.0)))[0]
 
-    return F.transform(pair, ratio)[0]
+RERANKERS: dict[str, Reranker] = {"jaccard": Reranker(score=jaccard_sets, prepare=tokens)}
 
 
-RERANKERS: dict[str, Callable[[Column, Column], Column]] = {"jaccard": jaccard}
+def register_reranker(name: str, score: Callable[[Column, Column], Column],
+                      prepare: Callable[[Column], Column] | None = None) -> None:
+    """Plug in a reranker: Column functions or pandas UDFs."""
+    RERANKERS[name] = Reranker(score=score, prepare=prepare)
 
 
-def register_reranker(name: str, fn: Callable[[Column, Column], Column]) -> None:
-    """Plug in a reranker: any Column function, or a pandas UDF, of
-    (query_text, chunk_text) returning a score."""
-    RERANKERS[name] = fn
+def _prepared(df: DataFrame, text_col: str, prefix: str) -> list[Column]:
+    out = []
+    for i, (name, rr) in enumerate(RERANKERS.items()):
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        val = rr.prepare(text) if rr.prepare is not None else text
+        out.append(F.when(F.col("reranker_id") == name, val).alias(f"{prefix}{i}"))
+    return out
 
 
 def rerank_score(reranker_id: Column, query_text: Column, chunk_text: Column) -> Column:
+    """Score of the named reranker on raw texts (null for an unknown name)."""
     expr = F.lit(None).cast("double")
-    for name, fn in RERANKERS.items():
-        expr = F.when(reranker_id == name, fn(query_text, chunk_text).cast("double")).otherwise(expr)
+    for name, rr in RERANKERS.items():
+        q = rr.prepare(query_text) if rr.prepare is not None else query_text
+        c = rr.prepare(chunk_text) if rr.prepare is not None else chunk_text
+        expr = F.when(reranker_id == name, rr.score(q, c).cast("double")).otherwise(expr)
     return F.round(expr, S.SCORE_DIGITS)
 
 
@@ -78,8 +98,18 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
          .join(texts, "chunk_id", "left")
          .join(created, "memory_id", "left"))
 
-    j = j.withColumn("_rr", F.when(F.col("_post"), rerank_score(
-        F.col("reranker_id"), F.col("query_text"), F.col("chunk_text"))))
+    # reranker inputs prepared once per query and once per distinct chunk
+    asks = F.col("_post") & F.col("reranker_id").isNotNull()
+    q_prep = opts.where(asks).select("query_id", *_prepared(opts, "query_text", "_q"))
+    c_prep = (j.where(asks).select("chunk_id", "reranker_id").distinct()
+              .join(texts, "chunk_id", "left")
+              .select("chunk_id", "reranker_id", *_prepared(j, "chunk_text", "_c")))
+    j = j.join(q_prep, "query_id", "left").join(c_prep, ["chunk_id", "reranker_id"], "left")
+    rr = F.lit(None).cast("double")
+    for i, (name, r) in enumerate(RERANKERS.items()):
+        rr = F.when(F.col("reranker_id") == name,
+                    r.score(F.col(f"_q{i}"), F.col(f"_c{i}")).cast("double")).otherwise(rr)
+    j = j.withColumn("_rr", F.when(F.col("_post"), F.round(rr, S.SCORE_DIGITS)))
     reranked = F.col("_rr").isNotNull()
     j = j.withColumn("relevance_score", F.coalesce(F.col("_rr"), F.col("score")))
     by_q = Window.partitionBy("query_id")
