@@ -25,6 +25,8 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,17 +78,29 @@ def chunks_in_spaces(chunks: DataFrame, query_spaces: DataFrame) -> DataFrame:
 
 # -- 35 retrieve_topk --------------------------------------------------------
 
-def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    if len(vectors) == 0:
+def _unit_matrix(arr) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow list<float> column -> (n x d float64 matrix of unit rows, ok mask).
+    The values are taken from the flat Arrow buffer (no per-row Python
+    objects); null, empty, zero or wrongly sized vectors are marked not ok."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks() if arr.num_chunks else pa.array([], type=arr.type)
+    n = len(arr)
+    if n == 0:
         return np.zeros((0, 0)), np.zeros(0, dtype=bool)
-    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors.to_numpy()])
-    n = np.linalg.norm(m, axis=1)
-    ok = n > 0
-    m[ok] = m[ok] / n[ok, None]
+    lens = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
+    d = int(lens.max()) if n else 0
+    m = np.zeros((n, max(d, 1)), dtype=np.float64)
+    full = lens == d
+    if d and full.any():
+        flat = pc.list_flatten(arr.filter(pa.array(full))).to_numpy(zero_copy_only=False)
+        m[full] = np.nan_to_num(flat.astype(np.float64, copy=False).reshape(-1, d))
+    norms = np.linalg.norm(m, axis=1)
+    ok = full & (norms > 0)
+    m[ok] = m[ok] / norms[ok, None]
     return m, ok
 
 
-def _topk_block(q_ids, q_mat, q_ok, q_k, c_ids, c_mat, c_ok, rounding=S.SCORE_DIGITS):
+def _topk_block(q_mat, q_ok, q_k, c_mat, c_ok, rounding=S.SCORE_DIGITS):
     """Best k chunks per query of one block; chunks must be sorted by id.
     Returns (query positions, chunk positions, scores)."""
     out_q, out_c, out_s = [], [], []
@@ -130,41 +144,44 @@ def _candidates_schema(chunk_id_type: T.DataType) -> T.StructType:
     ])
 
 
-def _empty(chunk_ids: pd.Series) -> pd.DataFrame:
-    """A typed empty candidate frame (Arrow needs real dtypes)."""
-    return pd.DataFrame({
-        "query_id": pd.Series([], dtype="int64"), "chunk_id": chunk_ids.iloc[:0],
-        "memory_id": pd.Series([], dtype="int64"), "space_id": pd.Series([], dtype=object),
-        "score": pd.Series([], dtype="float64"), "k": pd.Series([], dtype="int32")})
+def _arrow_schema(chunk_id_type: T.DataType) -> pa.Schema:
+    cid = pa.string() if isinstance(chunk_id_type, T.StringType) else pa.int64()
+    return pa.schema([("query_id", pa.int64()), ("chunk_id", cid), ("memory_id", pa.int64()),
+                      ("space_id", pa.string()), ("score", pa.float64()), ("k", pa.int32())])
 
 
-def _frame(q_ids, q_k, c_rows, res, cols) -> pd.DataFrame | None:
+def _table(schema: pa.Schema, q_ids, q_k, chunks: pa.Table, res) -> pa.Table | None:
     out_q, out_c, out_s = res
     if not out_q:
         return None
     qpos = np.concatenate(out_q)
-    cpos = np.concatenate(out_c)
-    return pd.DataFrame({
-        "query_id": np.asarray(q_ids)[qpos],
-        "chunk_id": c_rows["chunk_id"].to_numpy()[cpos],
-        "memory_id": c_rows["memory_id"].to_numpy()[cpos],
-        "space_id": c_rows["space_id"].to_numpy()[cpos],
-        "score": np.concatenate(out_s),
-        "k": np.asarray(q_k)[qpos].astype(np.int32),
-    })
-
-
-def _tile_topk(chunks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    cols = ["query_id", "chunk_id", "memory_id", "space_id", "score", "k"]
-    if chunks.empty or queries.empty:
-        return _empty(chunks["chunk_id"])
-    chunks = chunks.sort_values("chunk_id", kind="stable").reset_index(drop=True)
-    c_mat, c_ok = _unit_rows(chunks["embedding"])
-    q_mat, q_ok = _unit_rows(queries["query_vector"])
-    res = _topk_block(queries["query_id"].to_numpy(), q_mat, q_ok, queries["k"].to_numpy(),
-                      chunks["chunk_id"].to_numpy(), c_mat, c_ok)
-    out = _frame(queries["query_id"].to_numpy(), queries["k"].to_numpy(), chunks, res, cols)
-    return _empty(chunks["chunk_id"]) if out is None else out
+    cpos = pa.array(np.concatenate(out_c))
+    return pa.Table.from_arrays([
+        pa.array(np.asarray(q_ids)[qpos], pa.int64()),
+        chunks.column("chunk_id").take(cpos).cast(schema.field("chunk_id").type),
+        chunks.column("memory_id").take(cpos).cast(pa.int64()),
+        chunks.column("space_id").take(cpos).cast(pa.string()),
+        pa.array(np.concatenate(out_s), pa.float64()),
+        pa.array(np.asarray(q_k)[qpos], pa.int32()),
+    ], schema=schema)
+
+
+def _sorted_by_id(chunks: pa.Table) -> pa.Table:
+    return chunks.take(pc.sort_indices(chunks, sort_keys=[("chunk_id", "ascending")]))
+
+
+def _tile_kernel(schema: pa.Schema):
+    def tile(chunks: pa.Table, queries: pa.Table) -> pa.Table:
+        if chunks.num_rows == 0 or queries.num_rows == 0:
+            return schema.empty_table()
+        chunks = _sorted_by_id(chunks)
+        c_mat, c_ok = _unit_matrix(chunks.column("embedding"))
+        q_mat, q_ok = _unit_matrix(queries.column("query_vector"))
+        q_ids = queries.column("query_id").to_numpy()
+        q_k = queries.column("k").to_numpy()
+        out = _table(schema, q_ids, q_k, chunks, _topk_block(q_mat, q_ok, q_k, c_mat, c_ok))
+        return schema.empty_table() if out is None else out
+    return tile
 
 
 def _query_rows(requests: DataFrame, default_k: int) -> DataFrame:
@@ -199,7 +216,7 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
               .select("space_id", "ct", "qt", "query_id", "query_vector", "k"))
     return (c_side.groupBy("space_id", "ct", "qt")
             .cogroup(q_side.groupBy("space_id", "ct", "qt"))
-            .applyInPandas(_tile_topk, schema))
+            .applyInArrow(_tile_kernel(_arrow_schema(schema["chunk_id"].dataType)), schema))
 
 
 def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
@@ -207,50 +224,54 @@ def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> Da
     (``qpd`` is the query table, already proven small by the caller)."""
     spark = chunks.sparkSession
     qpd = qpd.reset_index(drop=True)
-    q_mat, q_ok = _unit_rows(qpd["query_vector"])
+    q_mat, q_ok = _unit_matrix(pa.array(qpd["query_vector"].tolist(), pa.list_(pa.float64())))
     by_space = {s: g.index.to_numpy() for s, g in qpd.groupby("space_id")}
     payload = spark.sparkContext.broadcast({
         "ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(),
         "mat": q_mat, "ok": q_ok, "by_space": by_space})
-    cols = ["query_id", "chunk_id", "memory_id", "space_id", "score", "k"]
+    out_schema = _arrow_schema(schema["chunk_id"].dataType)
     if len(by_space) <= MAX_PUSHED_SPACES:
         # a pushed IN filter: partition pruning when the table is laid out by space
         chunks = chunks.where(F.col("space_id").isin(list(by_space)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = payload.value
-        parts = []
-        for pdf in batches:
-            for space, grp in pdf.groupby("space_id", sort=False):
+        parts: list[pa.Table] = []
+        held = 0
+        for batch in batches:
+            tbl = pa.Table.from_batches([batch])
+            spaces = tbl.column("space_id").to_numpy(zero_copy_only=False)
+            codes, uniques = pd.factorize(spaces)
+            for ci, space in enumerate(uniques):
                 rows = b["by_space"].get(space)
                 if rows is None:
                     continue
-                grp = grp.sort_values("chunk_id", kind="stable").reset_index(drop=True)
-                c_mat, c_ok = _unit_rows(grp["embedding"])
-                res = _topk_block(b["ids"][rows], b["mat"][rows], b["ok"][rows], b["k"][rows],
-                                  grp["chunk_id"].to_numpy(), c_mat, c_ok)
-                part = _frame(b["ids"][rows], b["k"][rows], grp, res, cols)
+                grp = _sorted_by_id(tbl.take(pa.array(np.flatnonzero(codes == ci))))
+                c_mat, c_ok = _unit_matrix(grp.column("embedding"))
+                res = _topk_block(b["mat"][rows], b["ok"][rows], b["k"][rows], c_mat, c_ok)
+                part = _table(out_schema, b["ids"][rows], b["k"][rows], grp, res)
                 if part is not None:
                     parts.append(part)
-            if sum(len(p) for p in parts) > 200_000:
-                parts = [_prune(pd.concat(parts, ignore_index=True))]
+                    held += part.num_rows
+            if held > 200_000:
+                parts = [_prune(pa.concat_tables(parts))]
+                held = parts[0].num_rows
         if parts:
-            out = _prune(pd.concat(parts, ignore_index=True))
-            if len(out):
-                yield out
+            out = _prune(pa.concat_tables(parts))
+            yield from out.to_batches()
 
-    return chunks.select("chunk_id", "memory_id", "space_id", "embedding").mapInPandas(run, schema)
+    return chunks.select("chunk_id", "memory_id", "space_id", "embedding").mapInArrow(run, schema)
 
 
-def _prune(cands: pd.DataFrame) -> pd.DataFrame:
+def _prune(cands: pa.Table) -> pa.Table:
     """Keep the best k per query within one task (k of the query)."""
-    if cands.empty:
+    if cands.num_rows == 0:
         return cands
-    cands = cands.assign(_r=cands["score"].round(S.SCORE_DIGITS))
-    cands = cands.sort_values(["query_id", "_r", "chunk_id"], ascending=[True, False, True])
-    pos = cands.groupby("query_id").cumcount()
-    keep = pos < cands["k"]
-    return cands[keep].drop(columns="_r")
+    pdf = cands.to_pandas()
+    pdf["_r"] = pdf["score"].round(S.SCORE_DIGITS)
+    pdf = pdf.sort_values(["query_id", "_r", "chunk_id"], ascending=[True, False, True])
+    keep = pdf.groupby("query_id").cumcount() < pdf["k"]
+    return pa.Table.from_pandas(pdf[keep].drop(columns="_r"), schema=cands.schema, preserve_index=False)
 
 
 def rank_candidates(cands: DataFrame, k_max: int | None = None) -> DataFrame:

@@ -102,3 +102,32 @@ def ingest_conversation(spark: SparkSession, d: str) -> DataFrame:
     out = I.ingest(req)
     return out.select("space_id", F.col("request_id").alias("turn"), "memory_id", "content_type",
                       "original_content", F.to_json("metadata").alias("metadata"), "success")
+
+
+@query("conversation_search")
+def conversation_search(spark: SparkSession, d: str) -> DataFrame:
+    """The chat scenario end to end: turns ingested as memories of one space
+    per conversation (1, 6), one chunk per turn embedded with the hashed
+    embedder (39, 43), every user turn searching its own conversation (35)
+    with results resorted by turn order (37)."""
+    from memtables.operators import chunking as CH
+    from memtables.operators import postprocess as P
+    from memtables.operators.embedding import embed_chunks
+
+    conv = T.conversations(spark, d)
+    ing = I.ingest(I.conversation_requests(conv)).where("success")
+    turn_time = F.timestamp_add("SECOND", F.col("request_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    memories = ing.select("memory_id", "space_id", "original_content", turn_time.alias("created_at"))
+    chunks = CH.chunk_none(memories)
+    vectors = embed_chunks(chunks, "hash-256")
+    users = (ing.where(F.try_variant_get("metadata", "$.role", "string") == "user")
+             .join(vectors.select("memory_id", "embedding"), "memory_id"))
+    requests = users.select(
+        F.col("memory_id").alias("query_id"), F.col("embedding").alias("query_vector"),
+        F.col("original_content").alias("query_text"), F.col("space_id").alias("space_ids"),
+        F.lit(5).alias("max_results"), F.lit(None).cast("double").alias("relevance_threshold"),
+        F.lit(None).cast("string").alias("reranker_id"), F.lit(None).cast("string").alias("llm_id"),
+        F.lit(None).cast("double").alias("llm_temperature"), F.lit(True).alias("chronological_resort"))
+    res = P.retrieve_postprocessed(requests, vectors, chunks, memories)
+    return res.select("query_id", "rank", "chunk_id", "memory_id", "relevance_score", "memory_index",
+                      "total_results", "created_at")

@@ -72,3 +72,21 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     q2 = IX.stream_index_memories(IX.documents_stream(spark, SF_SMALL), f"{root}/out", f"{root}/ck")
     q2.awaitTermination()
     assert spark.read.parquet(f"{root}/out/status").count() == mem.count()
+
+
+def test_conversation_search_resorts_by_turn(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["conversation_search"](spark, SF_SMALL).collect()
+    assert rows
+    by_q = {}
+    for r in rows:
+        by_q.setdefault(r.query_id, []).append(r)
+    conv_of = {}
+    for rs in by_q.values():
+        rs.sort(key=lambda r: r.rank)
+        times = [r.created_at for r in rs]
+        assert times == sorted(times)
+        assert len({r.memory_id for r in rs}) == len(rs)
+    # a user turn finds itself (same text, score 1.0) in its own conversation
+    assert all(any(r.memory_id == q for r in rs) for q, rs in by_q.items())
+    del conv_of
