@@ -46,10 +46,27 @@ def _explode(memories: DataFrame, pieces: Column, text_col: str) -> DataFrame:
 
 def fixed_windows(text: Column, size: int | Column, overlap: int | Column) -> Column:
     """array of windows: starts 0, step, 2*step, ... while start < len - overlap
-    (at least one window)."""
+    (at least one window), each ``size`` characters long.
+
+    With literal sizes the text is cut once into blocks of ``step`` characters
+    (one regex pass) and window i joins blocks i .. i+m-1: linear in the text,
+    where ``substring`` at growing offsets would rescan the text each time."""
+    t = F.coalesce(text, F.lit(""))
+    if isinstance(size, int) and isinstance(overlap, int):
+        step = size - overlap
+        m = -(-size // step)
+        blocks = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{step}}}"), 0)
+
+        def windows(b: Column) -> Column:
+            # b is bound once (a lambda variable), not re-evaluated per window
+            n = F.greatest(F.lit(1), F.ceil((F.aggregate(b, F.lit(0), lambda acc, x: acc + F.length(x))
+                                             - overlap) / F.lit(step))).cast("int")
+            return F.transform(F.sequence(F.lit(0), n - 1),
+                               lambda i: F.substring(F.array_join(F.slice(b, i + 1, m), ""), 1, size))
+
+        return F.transform(F.array(blocks), windows)[0]
     size = F.lit(size) if isinstance(size, int) else size
     overlap = F.lit(overlap) if isinstance(overlap, int) else overlap
-    t = F.coalesce(text, F.lit(""))
     starts = F.sequence(F.lit(0), F.greatest(F.length(t) - overlap - 1, F.lit(0)), size - overlap)
     return F.transform(starts, lambda i: F.substring(t, i + 1, size))
 
@@ -77,49 +94,55 @@ def sentences(text: Column) -> Column:
 
 
 def _carry(tail: Column, overlap: int, room: Column) -> Column:
-    """Longest run of trailing sentences of ``tail`` whose total length is at
-    most ``overlap`` and leaves ``room`` for the next sentence."""
+    """Longest run of trailing sentences of ``tail`` (structs ``s, n``) whose
+    total length is at most ``overlap`` and leaves ``room`` for the next one."""
     lim = F.least(F.lit(overlap), room)
-    init = F.struct(F.array().cast("array<string>").alias("arr"), F.lit(0).alias("n"),
+    init = F.struct(F.array().cast("array<struct<s:string,n:int>>").alias("arr"), F.lit(0).alias("n"),
                     F.lit(True).alias("open"))
 
     def step(acc, x):
-        fits = acc["open"] & (acc["n"] + F.length(x) <= lim)
+        fits = acc["open"] & (acc["n"] + x["n"] <= lim)
         return F.when(fits, F.struct(F.concat(F.array(x), acc["arr"]).alias("arr"),
-                                     (acc["n"] + F.length(x)).alias("n"), F.lit(True).alias("open"))) \
+                                     (acc["n"] + x["n"]).alias("n"), F.lit(True).alias("open"))) \
             .otherwise(F.struct(acc["arr"].alias("arr"), acc["n"].alias("n"), F.lit(False).alias("open")))
 
-    return F.aggregate(F.reverse(tail), init, step)["arr"]
+    return F.aggregate(F.reverse(tail), init, step)
 
 
 def pack_sentences(text: Column, size: int, overlap: int) -> Column:
-    """Greedy packing of sentences into chunks of at most ``size`` characters."""
-    strs = "array<string>"
-    init = F.struct(F.array().cast(strs).alias("done"), F.lit("").alias("cur"),
-                    F.array().cast(strs).alias("tail"))
-
-    def step(acc, s):
-        cur, tail, done = acc["cur"], acc["tail"], acc["done"]
-        flushed = F.when(cur != "", F.concat(done, F.array(cur))).otherwise(done)
-        long_ = F.struct(F.concat(flushed, fixed_windows(s, size, overlap)).alias("done"),
-                         F.lit("").alias("cur"), F.array().cast(strs).alias("tail"))
-        start = F.struct(done.alias("done"), s.alias("cur"), F.array(s).alias("tail"))
-        grow = F.struct(done.alias("done"), F.concat(cur, s).alias("cur"),
-                        F.concat(tail, F.array(s)).alias("tail"))
-        carry = _carry(tail, overlap, F.lit(size) - F.length(s))
-        roll = F.struct(F.concat(done, F.array(cur)).alias("done"),
-                        F.concat(F.array_join(carry, ""), s).alias("cur"),
-                        F.concat(carry, F.array(s)).alias("tail"))
-        return (F.when(F.length(s) > size, long_)
-                .when(cur == "", start)
-                .when(F.length(cur) + F.length(s) <= size, grow)
+    """Greedy packing of sentences into chunks of at most ``size`` characters.
+    Lengths are computed once per sentence and carried in the accumulator."""
+    item = "struct<s:string,n:int>"
+    items = F.transform(sentences(text), lambda x: F.struct(x.alias("s"), F.length(x).alias("n")))
+    init = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"),
+                    F.lit(0).alias("cur_n"), F.array().cast(f"array<{item}>").alias("tail"))
+
+    def state(done, cur, cur_n, tail):
+        return F.struct(done.alias("done"), cur.alias("cur"), cur_n.alias("cur_n"), tail.alias("tail"))
+
+    def step(acc, x):
+        done, cur, cur_n, tail = acc["done"], acc["cur"], acc["cur_n"], acc["tail"]
+        s, n = x["s"], x["n"]
+        flushed = F.when(cur_n > 0, F.concat(done, F.array(cur))).otherwise(done)
+        long_ = state(F.concat(flushed, fixed_windows(s, size, overlap)), F.lit(""), F.lit(0),
+                      F.array().cast(f"array<{item}>"))
+        start = state(done, s, n, F.array(x))
+        grow = state(done, F.concat(cur, s), cur_n + n, F.concat(tail, F.array(x)))
+        # the carried sentences are computed once and used through a lambda variable
+        roll = F.transform(F.array(_carry(tail, overlap, F.lit(size) - n)), lambda c: state(
+            F.concat(done, F.array(cur)),
+            F.concat(F.array_join(F.transform(c["arr"], lambda y: y["s"]), ""), s),
+            c["n"] + n, F.concat(c["arr"], F.array(x))))[0]
+        return (F.when(n > size, long_)
+                .when(cur_n == 0, start)
+                .when(cur_n + n <= size, grow)
                 .otherwise(roll))
 
     def finish(acc):
-        out = F.when(acc["cur"] != "", F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"])
+        out = F.when(acc["cur_n"] > 0, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"])
         return F.when(F.size(out) == 0, F.array(F.lit(""))).otherwise(out)
 
-    return F.aggregate(sentences(text), init, step, finish)
+    return F.aggregate(items, init, step, finish)
 
 
 def chunk_sentence(memories: DataFrame, size: int = S.DEFAULT_CHUNK_SIZE,

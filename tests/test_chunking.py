@@ -55,14 +55,20 @@ def ref_pack(text, size, ov):
     return done or [""]
 
 
+def ref_fixed(t, size, ov):
+    step = size - ov
+    return [t[i:i + size] for i in range(0, max(len(t) - ov - 1, 0) + 1, step)]
+
+
 def test_fixed_rejoin_gives_text_back(spark):
-    size, ov = 100, 20
-    got = _by_mem(CH.chunk_fixed(_mem(spark, TEXTS), size, ov))
-    for i, t in enumerate(TEXTS):
-        chunks = got[i]
-        assert all(len(c) <= size for c in chunks)
-        joined = chunks[0] + "".join(c[ov:] for c in chunks[1:])
-        assert joined == t
+    for size, ov in ((100, 20), (10, 8), (7, 0), (512, 50)):
+        got = _by_mem(CH.chunk_fixed(_mem(spark, TEXTS + ["é" * 33 + "😀" * 9]), size, ov))
+        for i, t in enumerate(TEXTS + ["é" * 33 + "😀" * 9]):
+            chunks = got[i]
+            assert chunks == ref_fixed(t, size, ov), (size, ov, i)
+            assert all(len(c) <= size for c in chunks)
+            joined = chunks[0] + "".join(c[ov:] for c in chunks[1:])
+            assert joined == t
 
 
 def test_sentence_matches_reference(spark):
