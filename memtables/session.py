@@ -49,3 +49,29 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     elif spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``memtables`` importable in the Python workers (pandas / Arrow
+    functions refer to it): zips the package once per application and adds
+    it with ``addPyFile``. The zip goes to the shared checkpoint folder when
+    the session names one, else next to the driver."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="memtables-py-")
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    if "://" in base:
+        # remote shared folder: build locally, Spark distributes the file itself
+        base = tempfile.mkdtemp(prefix="memtables-py-")
+    os.makedirs(base, exist_ok=True)
+    target = os.path.join(base, f"memtables-{uuid.uuid4().hex}")
+    archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="memtables")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

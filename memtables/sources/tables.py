@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema) is made once per session and path; DataFrames are immutable, so
     every caller can share it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _READS.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = _READS[key] = spark.read.parquet(path)
     return df
 

@@ -81,7 +81,6 @@ def test_conversation_search_resorts_by_turn(spark):
     by_q = {}
     for r in rows:
         by_q.setdefault(r.query_id, []).append(r)
-    conv_of = {}
     for rs in by_q.values():
         rs.sort(key=lambda r: r.rank)
         times = [r.created_at for r in rs]
@@ -89,4 +88,3 @@ def test_conversation_search_resorts_by_turn(spark):
         assert len({r.memory_id for r in rs}) == len(rs)
     # a user turn finds itself (same text, score 1.0) in its own conversation
     assert all(any(r.memory_id == q for r in rs) for q, rs in by_q.items())
-    del conv_of
