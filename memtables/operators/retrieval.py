@@ -33,7 +33,6 @@ from pyspark.sql import types as T
 
 from memtables import schema as S
 from memtables.functions.text import java_trim
-from memtables.operators.sizing import broadcast_if_small
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
@@ -194,18 +193,22 @@ def _query_rows(requests: DataFrame, default_k: int) -> DataFrame:
 
 
 def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
-           max_tile_chunks: int, max_tile_queries: int) -> DataFrame:
-    q_counts = queries.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_q"))
-    # the searched-space list is broadcast only behind a row-count check
-    q_counts = broadcast_if_small(q_counts, MAX_BROADCAST_SPACES)
-    searched = chunks.join(q_counts, "space_id")          # semi-join effect, no chunk shuffle
+           max_tile_chunks: int, max_tile_queries: int) -> tuple[DataFrame, int]:
+    """Candidates of the tiled form, and the largest k asked."""
+    q_counts = queries.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_q"), F.max("k").alias("k_max"))
+    # one small job: the number of searched spaces (the broadcast bound) and the largest k
+    st = q_counts.agg(F.count(F.lit(1)).alias("n"), F.max("k_max").alias("k")).first()
+    small = st["n"] <= MAX_BROADCAST_SPACES
+    q_side_counts = F.broadcast(q_counts) if small else q_counts
+    searched = chunks.join(q_side_counts.select("space_id"), "space_id")   # semi-join effect
     c_counts = searched.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_c"))
-    tiles = c_counts.join(q_counts, "space_id").select(
+    tiles = c_counts.join(q_side_counts, "space_id").select(
         "space_id",
         F.ceil(F.col("n_c") / F.lit(max_tile_chunks)).cast("int").alias("n_ct"),
         F.ceil(F.col("n_q") / F.lit(max_tile_queries)).cast("int").alias("n_qt"),
     )
-    tiles = broadcast_if_small(tiles, MAX_BROADCAST_SPACES)
+    # tiles has at most one row per searched space: the same proven bound
+    tiles = F.broadcast(tiles) if small else tiles
     c_side = (chunks.join(tiles, "space_id")
               .withColumn("ct", F.pmod(F.xxhash64("chunk_id"), F.col("n_ct")).cast("int"))
               .withColumn("qt", F.explode(F.sequence(F.lit(0), F.col("n_qt") - 1)))
@@ -214,9 +217,10 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
               .withColumn("qt", F.pmod(F.xxhash64("query_id"), F.col("n_qt")).cast("int"))
               .withColumn("ct", F.explode(F.sequence(F.lit(0), F.col("n_ct") - 1)))
               .select("space_id", "ct", "qt", "query_id", "query_vector", "k"))
-    return (c_side.groupBy("space_id", "ct", "qt")
-            .cogroup(q_side.groupBy("space_id", "ct", "qt"))
-            .applyInArrow(_tile_kernel(_arrow_schema(schema["chunk_id"].dataType)), schema))
+    cands = (c_side.groupBy("space_id", "ct", "qt")
+             .cogroup(q_side.groupBy("space_id", "ct", "qt"))
+             .applyInArrow(_tile_kernel(_arrow_schema(schema["chunk_id"].dataType)), schema))
+    return cands, int(st["k"] or 1)
 
 
 def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
@@ -310,8 +314,7 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
         cands = _broadcast(qpd, chunks, schema)
         k_max = int(qpd["k"].max()) if len(qpd) else 1
     elif method == "tiled":
-        cands = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
-        k_max = queries.agg(F.max("k").alias("m")).first()["m"] or 1
+        cands, k_max = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
     else:
         raise ValueError(f"unknown method {method!r}")
     return rank_candidates(cands, k_max).select(
