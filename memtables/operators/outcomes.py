@@ -39,8 +39,7 @@ def outcome_json(df: DataFrame, *cols: str) -> Column:
 
 
 def with_total(df: DataFrame, name: str) -> DataFrame:
-    """Adds the table's row count as column ``name``: a one-row aggregate
-    joined back on a constant key (a proven one-row broadcast), so no window
-    over the whole table gathers all rows in one task."""
-    total = df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").drop("_one")
+    """Adds the table's row count as column ``name``: an uncorrelated scalar
+    subquery (computed once, then a constant), so no window gathers all rows
+    in one task and no join is needed."""
+    return df.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
