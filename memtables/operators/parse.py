@@ -2,9 +2,9 @@
 and list responses. Space-key parsing (21) lives with retrieval, label parsing
 (27) with the catalogue.
 
-All parsing is built-in SQL: ``posexplode(split(...))`` for lines, VARIANT for
-JSON. A body is one row and its lines stay in that row's task; collecting a
-result set groups by body id over the lines of one body only.
+All parsing is built-in SQL: the lines of a body are parsed as an array inside
+the body's row (higher-order functions, VARIANT for JSON), so folding a body
+into its result set needs no explode, regroup or shuffle.
 """
 
 from __future__ import annotations
@@ -30,15 +30,78 @@ def _get(v: Column, path: str, type_: str = "variant") -> Column:
 
 # -- 8 parse_retrieval_stream -------------------------------------------------------
 
-def stream_lines(bodies: DataFrame, body_col: str = "body", id_col: str = "body_id") -> DataFrame:
-    """Body -> kept lines ``body_id, line_no (1-based), json``: Java-trimmed,
-    a leading ``data:`` cut once, ``event:`` and empty lines dropped."""
-    lines = bodies.select(F.col(id_col).alias("body_id"),
-                          F.posexplode(F.split(F.coalesce(F.col(body_col), F.lit("")), "\n")))
-    t = java_trim(F.col("col"))
-    t = F.when(t.startswith("data:"), java_trim(F.substring(t, 6, 1 << 30))).otherwise(t)
-    return (lines.select("body_id", (F.col("pos") + 1).alias("line_no"), t.alias("json"))
-            .where((F.col("json") != "") & ~F.col("json").startswith("event:")))
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable
+    (expressions referenced twice inside higher-order functions would
+    otherwise be evaluated twice)."""
+    return F.transform(F.array(value), fn)[0]
+
+
+_LINE_FIELDS = ("line_no", "kind", "result_set_id", "chunk_id", "chunk_text", "memory_id",
+                "relevance_score", "memory_index", "memory_definition", "abstract_reply")
+
+
+def _parse_line(line: Column, pos: Column) -> Column:
+    """One body line -> struct of the typed fields plus ``keep`` (false for
+    skipped lines). Rules as in the stream format: Java trim, one ``data:``
+    cut, ``event:`` / empty skipped, whole-object JSON only, first present key
+    wins, its value (and an item's chunks) must be objects."""
+    def on_text(t: Column) -> Column:
+        def on_json(j: Column) -> Column:
+            text_ok = (j != "") & ~j.startswith("event:")
+
+            def on_variant(v: Column) -> Column:
+                keys = F.struct(*[_get(v, f"$.{key}").alias(name) for name, key in STREAM_KEYS])
+
+                def on_keys(ks: Column) -> Column:
+                    kind = F.lit(None).cast("string")
+                    for name, _ in reversed(STREAM_KEYS):
+                        kind = F.when(ks[name].isNotNull(), F.lit(name)).otherwise(kind)
+                    x = F.coalesce(*[ks[name] for name, _ in STREAM_KEYS])
+                    parts = F.struct(kind.alias("kind"), x.alias("x"), _get(x, "$.chunk").alias("chunk"),
+                                     _get(x, "$.chunk.chunk").alias("inner"))
+
+                    def on_parts(p: Column) -> Column:
+                        k, xx, chunk, inner = p["kind"], p["x"], p["chunk"], p["inner"]
+                        is_item = k == "item"
+                        item_ok = (chunk.isNull() | _is_object(chunk)) & (inner.isNull() | _is_object(inner))
+                        keep = (text_ok & _is_object(v) & k.isNotNull() & _is_object(xx)
+                                & (~is_item | item_ok))
+
+                        def item_str(field: str) -> Column:
+                            return F.when(is_item, F.coalesce(_get(inner, f"$.{field}", "string"), F.lit("")))
+
+                        return F.struct(
+                            (pos + 1).alias("line_no"), k.alias("kind"),
+                            F.when(k == "boundary", _get(xx, "$.resultSetId", "string")).alias("result_set_id"),
+                            item_str("chunkId").alias("chunk_id"),
+                            item_str("chunkText").alias("chunk_text"),
+                            item_str("memoryId").alias("memory_id"),
+                            F.when(is_item, _get(chunk, "$.relevanceScore", "double")).alias("relevance_score"),
+                            F.when(is_item, _get(chunk, "$.memoryIndex", "int")).alias("memory_index"),
+                            F.when(k == "memory", F.to_json(xx)).alias("memory_definition"),
+                            F.when(k == "abstract", F.to_json(xx)).alias("abstract_reply"),
+                            F.coalesce(keep, F.lit(False)).alias("keep"))
+
+                    return _bind(parts, on_parts)
+
+                return _bind(keys, on_keys)
+
+            return _bind(F.when(text_ok, strict_parse_json(j)), on_variant)
+
+        return _bind(F.when(t.startswith("data:"), java_trim(F.substring(t, 6, 1 << 30))).otherwise(t),
+                     on_json)
+
+    return _bind(java_trim(line), on_text)
+
+
+def parsed_lines(body: Column) -> Column:
+    """Body -> array of the understood lines (structs, in line order). The
+    lines never leave their row: no explode and regroup is needed to fold a
+    body into its result set."""
+    lines = F.transform(F.split(F.coalesce(body, F.lit("")), "\n"), lambda l, i: _parse_line(l, i))
+    return F.transform(F.filter(lines, lambda x: x["keep"]),
+                       lambda x: F.struct(*[x[f].alias(f) for f in _LINE_FIELDS]))
 
 
 def parse_retrieval_stream(bodies: DataFrame, body_col: str = "body", id_col: str = "body_id") -> DataFrame:
@@ -50,77 +113,36 @@ def parse_retrieval_stream(bodies: DataFrame, body_col: str = "body", id_col: st
     and unknown keys are skipped. An item without its inner chunk is kept with
     empty strings; score and index stay null when absent.
     """
-    rows = stream_lines(bodies, body_col, id_col).select(
-        "body_id", "line_no", strict_parse_json(F.col("json")).alias("_v"))
-    rows = rows.where(_is_object(F.col("_v")))
-    # each key looked up once; the first present one wins (a JSON null member is
-    # a non-null VARIANT null, so "present but null" still wins and is then
-    # rejected as a non-object)
-    rows = rows.select("body_id", "line_no",
-                       *[_get(F.col("_v"), f"$.{key}").alias(f"_{name}") for name, key in STREAM_KEYS])
-    kind = F.lit(None).cast("string")
-    for name, _ in reversed(STREAM_KEYS):
-        kind = F.when(F.col(f"_{name}").isNotNull(), F.lit(name)).otherwise(kind)
-    rows = rows.select("body_id", "line_no", kind.alias("kind"),
-                       F.coalesce(*[F.col(f"_{name}") for name, _ in STREAM_KEYS]).alias("_x"))
-    rows = rows.where(F.col("kind").isNotNull() & _is_object(F.col("_x")))
-    rows = rows.select("body_id", "line_no", "kind", "_x",
-                       _get(F.col("_x"), "$.chunk").alias("_chunk"),
-                       _get(F.col("_x"), "$.chunk.chunk").alias("_inner"))
-    # an item's "chunk" and inner "chunk", when present, must be objects too
-    chunk, inner = F.col("_chunk"), F.col("_inner")
-    item_ok = (chunk.isNull() | _is_object(chunk)) & (inner.isNull() | _is_object(inner))
-    rows = rows.where((F.col("kind") != "item") | item_ok)
-    is_item = F.col("kind") == "item"
-
-    def item_str(field: str) -> Column:
-        return F.when(is_item, F.coalesce(_get(inner, f"$.{field}", "string"), F.lit("")))
-
-    return rows.select(
-        "body_id", "line_no", "kind",
-        F.when(F.col("kind") == "boundary", _get(F.col("_x"), "$.resultSetId", "string")).alias("result_set_id"),
-        item_str("chunkId").alias("chunk_id"),
-        item_str("chunkText").alias("chunk_text"),
-        item_str("memoryId").alias("memory_id"),
-        F.when(is_item, _get(chunk, "$.relevanceScore", "double")).alias("relevance_score"),
-        F.when(is_item, _get(chunk, "$.memoryIndex", "int")).alias("memory_index"),
-        F.when(F.col("kind") == "memory", F.to_json(F.col("_x"))).alias("memory_definition"),
-        F.when(F.col("kind") == "abstract", F.to_json(F.col("_x"))).alias("abstract_reply"),
-    )
+    return bodies.select(F.col(id_col).alias("body_id"),
+                         F.inline(parsed_lines(F.col(body_col))))
 
 
 # -- 9 collect_result_set -------------------------------------------------------------
 
-def collect_result_set(parsed: DataFrame, bodies: DataFrame | None = None,
-                       id_col: str = "body_id") -> DataFrame:
+def _last(arr: Column, field: str) -> Column:
+    vals = F.filter(F.transform(arr, lambda x: x[field]), lambda v: v.isNotNull())
+    return F.try_element_at(vals, F.lit(-1))
+
+
+def collect_result_set(bodies: DataFrame, body_col: str = "body", id_col: str = "body_id") -> DataFrame:
     """One row per body: ``result_set_id`` (last boundary with an id, default
     ''), ``results`` and ``memories`` in line order, last ``abstract_reply``,
-    ``total_results``. Bodies without any understood line still get a row
-    when ``bodies`` is given."""
-    item = F.struct("line_no", "chunk_id", "chunk_text", "memory_id", "relevance_score", "memory_index")
-    g = parsed.groupBy("body_id").agg(
-        F.max_by("result_set_id", F.when(F.col("result_set_id").isNotNull(), F.col("line_no")))
-        .alias("result_set_id"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "item", item))).alias("results"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "memory",
-                                           F.struct("line_no", "memory_definition"))))
-        .alias("_mem"),
-        F.max_by("abstract_reply", F.when(F.col("abstract_reply").isNotNull(), F.col("line_no")))
-        .alias("abstract_reply"),
-    )
-    if bodies is not None:
-        g = bodies.select(F.col(id_col).alias("body_id")).join(g, "body_id", "left")
-    empty_items = F.array().cast(g.schema["results"].dataType)
-    results = F.transform(F.coalesce("results", empty_items), lambda x: x.dropFields("line_no"))
-    return g.select(
-        "body_id",
-        F.coalesce("result_set_id", F.lit("")).alias("result_set_id"),
-        results.alias("results"),
-        F.transform(F.coalesce("_mem", F.array().cast(g.schema["_mem"].dataType)),
-                    lambda x: x["memory_definition"]).alias("memories"),
-        "abstract_reply",
-        F.size(results).cast("long").alias("total_results"),
-    )
+    ``total_results``. Folded inside the body's row: no shuffle."""
+    def fold(arr: Column) -> Column:
+        items = F.filter(arr, lambda x: x["kind"] == "item")
+        results = F.transform(items, lambda x: F.struct(
+            x["chunk_id"].alias("chunk_id"), x["chunk_text"].alias("chunk_text"),
+            x["memory_id"].alias("memory_id"), x["relevance_score"].alias("relevance_score"),
+            x["memory_index"].alias("memory_index")))
+        mems = F.transform(F.filter(arr, lambda x: x["kind"] == "memory"), lambda x: x["memory_definition"])
+        return F.struct(
+            F.coalesce(_last(arr, "result_set_id"), F.lit("")).alias("result_set_id"),
+            results.alias("results"), mems.alias("memories"),
+            _last(arr, "abstract_reply").alias("abstract_reply"),
+            F.size(items).cast("long").alias("total_results"))
+
+    folded = _bind(parsed_lines(F.col(body_col)), fold)
+    return bodies.select(F.col(id_col).alias("body_id"), folded.alias("_rs")).select("body_id", "_rs.*")
 
 
 # -- 10 normalize_list_response ---------------------------------------------------------

@@ -64,8 +64,7 @@ def parse_retrieval_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query("collect_result_set")
 def collect_result_set(spark: SparkSession, d: str) -> DataFrame:
-    bodies = result_stream_bodies(spark, d)
-    rs = PZ.collect_result_set(PZ.parse_retrieval_stream(bodies), bodies)
+    rs = PZ.collect_result_set(result_stream_bodies(spark, d))
     return rs.select(
         "body_id", "result_set_id", "total_results",
         F.size("memories").cast("long").alias("total_memories"),

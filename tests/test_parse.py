@@ -22,7 +22,7 @@ def _parse(spark, bodies):
 
 def _collect(spark, bodies):
     df = spark.createDataFrame(list(enumerate(bodies)), "body_id long, body string")
-    rs = PZ.collect_result_set(PZ.parse_retrieval_stream(df), df).orderBy("body_id").collect()
+    rs = PZ.collect_result_set(df).orderBy("body_id").collect()
     return [r.asDict(recursive=True) for r in rs]
 
 
