@@ -66,3 +66,10 @@ def embed_chunks(chunks: DataFrame, embedder_id: str = "hash-256", text_col: str
         fn, _ = _CUSTOM[embedder_id]
         return chunks.withColumn(out_col, fn(F.col(text_col)))
     raise ValueError(f"unknown embedder {embedder_id!r}")
+
+
+def embed_queries(requests: DataFrame, embedder_id: str = "hash-256") -> DataFrame:
+    """Text requests -> requests with ``query_vector``: the query text embedded
+    with the same embedder as the searched chunks (the reference's retrieve
+    takes text and leaves the embedding to the server)."""
+    return embed_chunks(requests, embedder_id, text_col="query_text", out_col="query_vector")

@@ -107,3 +107,21 @@ def result_totals(spark: SparkSession, d: str) -> DataFrame:
 def abstract_context(spark: SparkSession, d: str) -> DataFrame:
     res = _chain(spark, d, llm_id="extractive")
     return P.abstract_context(res, T.chunk_texts(spark, d))
+
+
+@query("retrieve_text")
+def retrieve_text(spark: SparkSession, d: str) -> DataFrame:
+    """Natural-language retrieval end to end: every document chunked (fixed
+    512/50) and embedded (hash-256); every benchmark item's text is a query,
+    embedded the same way, searching all spaces; top 5 per query."""
+    from memtables.operators import chunking as CH
+    from memtables.operators.embedding import embed_chunks, embed_queries
+
+    mem = T.memories(spark, d).select("memory_id", "space_id", "original_content")
+    vectors = embed_chunks(CH.chunk_fixed(mem, 512, 50), "hash-256")
+    all_spaces = T.spaces(spark, d).agg(
+        F.concat_ws(",", F.sort_array(F.collect_list("space_id")))).scalar()
+    req = T.read(spark, d, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text"),
+        all_spaces.alias("space_ids"), F.lit(5).alias("max_results"))
+    return R.retrieve_topk(embed_queries(req), vectors)

@@ -96,3 +96,29 @@ def test_keyset_pages_equal_one_listing(spark):
 def test_page_size_is_clamped(spark):
     df = spark.createDataFrame([(0,), (5000,), (None,)], "n int")
     assert [r.c for r in df.select(M.clamp_page_size(F.col("n")).alias("c")).collect()] == [1, 1000, 1000]
+
+
+def test_hot_space_paging_and_listing(spark):
+    """One space holds most rows: positions still run 1..n across range
+    partitions, and a listing page is the first n by key."""
+    mem = T.memories(spark, SF_SMALL).withColumn(
+        "space_id", F.when(F.col("memory_id") % 4 != 0, F.lit("hot")).otherwise(F.col("space_id"))).cache()
+    allp = M.page_all(mem, page_size=7, partitions=6).collect()
+    by_space = {}
+    for r in allp:
+        by_space.setdefault(r.space_id, []).append(r)
+    ref = {}
+    for r in mem.select("space_id", "memory_id", "created_at").collect():
+        ref.setdefault(r.space_id, []).append((r.created_at, r.memory_id))
+    for sp, rs in by_space.items():
+        order = [m for _, m in sorted(ref[sp])]
+        got = [r.memory_id for r in sorted(rs, key=lambda r: r.position)]
+        assert got == order
+        assert [r.position for r in sorted(rs, key=lambda r: r.position)] == list(range(1, len(rs) + 1))
+        assert sum(1 for r in rs if r.next_token) == (len(rs) - 1) // 7
+    req = spark.createDataFrame([("r1", "hot", 5, None, None)],
+                                "request_id string, space_id string, page_size int, next_token string, status string")
+    page = M.list_memories(mem, req).orderBy("position").collect()
+    assert [r.memory_id for r in page] == [m for _, m in sorted(ref["hot"])][:5]
+    assert page[0].next_token is not None and page[0].total_memories == 5
+    mem.unpersist()
