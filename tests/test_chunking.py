@@ -100,3 +100,22 @@ def test_whole_table_chunk_counts(spark):
     fixed = CH.chunk_fixed(mem, 512, 50)
     assert fixed.select("memory_id").distinct().count() == n_docs
     assert fixed.where(F.length("chunk_text") > 512).count() == 0
+
+
+def test_chunk_by_space_config(spark):
+    mem = _mem(spark, TEXTS).withColumn("space_id", F.concat(F.lit("s"), (F.col("memory_id") % 4).cast("string")))
+    spaces = spark.createDataFrame(
+        [("s0", ("none", None, None)), ("s1", ("fixed", 64, 8)), ("s2", ("sentence", 128, 16)),
+         ("s3", ("recursive", 100, 10))],
+        "space_id string, chunking struct<strategy:string,chunk_size:int,chunk_overlap:int>")
+    got = _by_mem(CH.chunk_by_config(mem, spaces))
+    for i, t in enumerate(TEXTS):
+        kind = i % 4
+        if kind == 0:
+            assert got[i] == [t]
+        elif kind == 1:
+            assert got[i] == ref_fixed(t, 64, 8)
+        elif kind == 2:
+            assert got[i] == ref_pack(t, 128, 16)
+        else:
+            assert got[i] == CH.split_recursive(t, 100, 10)

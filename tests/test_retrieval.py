@@ -84,3 +84,14 @@ def test_chain_options(spark):
             if r.memory_id not in seen:
                 seen.append(r.memory_id)
             assert r.memory_index == seen.index(r.memory_id)
+
+
+def test_cosine_column_matches_kernel(spark):
+    from memtables.functions.vectors import cosine
+    req = T.retrieval_requests(spark, SF_SMALL).where(F.col("query_id") < 30)
+    cv = T.chunk_vectors(spark, SF_SMALL)
+    top = R.retrieve_topk(req, cv, method="broadcast")
+    j = (top.join(req.select("query_id", "query_vector"), "query_id")
+         .join(cv.select("chunk_id", "embedding"), "chunk_id")
+         .select("score", F.round(cosine(F.col("query_vector"), F.col("embedding")), 6).alias("c")))
+    assert j.count() > 0 and j.where(F.abs(F.col("score") - F.col("c")) > 1e-6).count() == 0
