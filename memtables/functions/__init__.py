@@ -5,6 +5,6 @@ from memtables.functions.text import (  # noqa: F401
     java_trim, valid_utf8, base64_flat, tokens, first_sentence, sha_id,
 )
 from memtables.functions.json import (  # noqa: F401
-    val, parse_json_object, labels_from_json, labels_text, merge_labels,
+    val, strict_parse_json, labels_from_json, labels_text, merge_labels,
 )
 from memtables.functions.vectors import dot, norm, cosine  # noqa: F401

@@ -28,13 +28,6 @@ def strict_parse_json(text: Column) -> Column:
     return F.when(text.rlike(_WHOLE_VALUE), F.try_parse_json(text))
 
 
-def parse_json_object(text: Column) -> tuple[Column, Column]:
-    """(variant, is_object) for a JSON text column; the variant is null when the
-    text does not parse."""
-    v = strict_parse_json(text)
-    return v, F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-
-
 def labels_from_json(text: Column) -> Column:
     """JSON object text -> ``struct<labels map<string,string>, error string>``.
 

@@ -30,6 +30,12 @@ def default_chunker(memories: DataFrame) -> DataFrame:
     return CH.chunk_fixed(memories, S.DEFAULT_CHUNK_SIZE, S.DEFAULT_CHUNK_OVERLAP)
 
 
+def space_chunker(spaces: DataFrame) -> Chunker:
+    """Chunk every memory with its space's chunking config (as the server
+    would); spaces without a config fall back to the tool defaults."""
+    return lambda memories: CH.chunk_by_config(memories, spaces)
+
+
 def index_batch(memories: DataFrame, chunker: Chunker = default_chunker,
                 embedder_id: str = "hash-256") -> tuple[DataFrame, DataFrame]:
     """(vectors, status) of one batch of memories. A memory without text is

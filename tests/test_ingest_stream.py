@@ -88,3 +88,19 @@ def test_conversation_search_resorts_by_turn(spark):
         assert len({r.memory_id for r in rs}) == len(rs)
     # a user turn finds itself (same text, score 1.0) in its own conversation
     assert all(any(r.memory_id == q for r in rs) for q, rs in by_q.items())
+
+
+def test_stream_with_space_configs(spark):
+    spaces = T.spaces(spark, SF_SMALL).withColumn(
+        "chunking", F.when(F.col("space_id") == "src1", F.struct(F.lit("none").alias("strategy"),
+                                                                 F.lit(None).cast("int").alias("chunk_size"),
+                                                                 F.lit(None).cast("int").alias("chunk_overlap")))
+        .otherwise(F.col("chunking")))
+    root = tempfile.mkdtemp(prefix="memtables-stream-")
+    q = IX.stream_index_memories(IX.documents_stream(spark, SF_SMALL), f"{root}/out", f"{root}/ck",
+                                 chunker=IX.space_chunker(spaces))
+    q.awaitTermination()
+    st = spark.read.parquet(f"{root}/out/status")
+    one = st.where(F.col("space_id") == "src1")
+    assert one.count() > 0 and one.where(F.col("n_chunks") != 1).count() == 0
+    assert st.where(F.col("processing_status") != "COMPLETED").count() == 0
