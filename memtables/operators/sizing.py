@@ -14,3 +14,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     plans a shuffle join (with AQE's skew handling)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of the files ``df`` reads: the sum of Catalyst's size statistics
+    of its leaf relations (no job runs). Join estimates are not used: without
+    cost-based statistics they multiply the input sizes."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total

@@ -75,3 +75,14 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="memtables")
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
+
+
+def materialized(df):
+    """Writes ``df`` once as Parquet into a fresh folder of the session's shared
+    checkpoint folder and reads it back: computed once, lineage cut, and it
+    survives executor loss. (An eager ``checkpoint()`` of an uncached plan
+    would compute it twice.)"""
+    spark = df.sparkSession
+    path = shared_dir(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -95,3 +95,15 @@ def test_cosine_column_matches_kernel(spark):
          .join(cv.select("chunk_id", "embedding"), "chunk_id")
          .select("score", F.round(cosine(F.col("query_vector"), F.col("embedding")), 6).alias("c")))
     assert j.count() > 0 and j.where(F.abs(F.col("score") - F.col("c")) > 1e-6).count() == 0
+
+
+def test_semi_join_reduction_gives_same_chain(spark, monkeypatch):
+    cv, ct, mem = T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL)
+    req = T.retrieval_requests(spark, SF_SMALL, reranker_id="jaccard", chronological_resort=True)
+    cols = ["query_id", "rank", "chunk_id", "relevance_score", "memory_index", "total_results"]
+    plain = {tuple(r) for r in P.retrieve_postprocessed(req, cv, ct, mem).select(*cols).collect()}
+    monkeypatch.setattr(P, "SEMI_JOIN_REDUCTION_BYTES", -1)
+    reduced = P.retrieve_postprocessed(req, cv, ct, mem)
+    plan = reduced._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in reduced.select(*cols).collect()} == plain
+    assert "LeftSemi" in plan
