@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 from memtables.functions.json import strict_parse_json, val  # noqa: F401  (val re-exported)
 from memtables.operators.outcomes import first_error, with_outcome
-from memtables.operators.sizing import broadcast_if_small
+from memtables.operators.sizing import broadcast_if_small, reduce_to_keys
 
 CONTENT_COLS = ("original_content", "original_content_b64")
 
@@ -172,7 +172,7 @@ def get_memories(requests: DataFrame, memories: DataFrame,
                             F.make_valid_utf8(F.unbase64(F.col("original_content_b64")).cast("string")))
         mem = mem.withColumn("_neg", negotiate_content(F.col("content_type"), stored))
         mem = mem.select("*", "_neg.*").drop("_neg")
-    mem = mem.drop(*CONTENT_COLS)
+    mem = reduce_to_keys(mem.drop(*CONTENT_COLS), requests, "memory_id")
     j = requests.select("memory_id").join(mem, "memory_id", "left")
     err = first_error((F.col("_found").isNull(),
                        F.concat(F.lit(S.MSG_MEMORY_NOT_FOUND), F.col("memory_id").cast("string"))))

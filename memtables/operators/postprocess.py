@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 from memtables.functions.text import first_sentence, tokens
 from memtables.operators import retrieval as R
+from memtables.operators import sizing as SZ
 from memtables.operators.sizing import scan_bytes
 from memtables.session import materialized
 
@@ -86,7 +87,6 @@ def post_processor_on() -> Column:
 # -- 38 the chain ------------------------------------------------------------
 
 MAX_BROADCAST_RESULTS = 2_000_000   # result rows allowed in a broadcast id set
-SEMI_JOIN_REDUCTION_BYTES = 1 << 30  # text + memory tables above this are cut by id first
 
 def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_texts: DataFrame,
                            memories: DataFrame, *, method: str = "auto") -> DataFrame:
@@ -99,7 +99,7 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
         "chronological_resort", post_processor_on().alias("_post"))
     texts = chunk_texts.select("chunk_id", "chunk_text")
     created = memories.select("memory_id", "created_at")
-    if scan_bytes(texts) + scan_bytes(created) > SEMI_JOIN_REDUCTION_BYTES:
+    if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES:
         # big text / memory tables: the result rows are computed once and
         # written to the shared folder, counted, and when few, their ids cut
         # the big tables down with broadcast semi-joins, so those are scanned

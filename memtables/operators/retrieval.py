@@ -33,6 +33,9 @@ from pyspark.sql import types as T
 
 from memtables import schema as S
 from memtables.functions.text import java_trim
+from memtables.operators import sizing as SZ
+from memtables.operators.sizing import reduce_to_keys, scan_bytes
+from memtables.session import materialized
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
@@ -354,4 +357,7 @@ def fetch_memory_definitions(results: DataFrame, memories: DataFrame) -> DataFra
     per = idx.groupBy("query_id", "memory_id").agg(F.min("memory_index").alias("memory_index"))
     mem = memories.select("memory_id", F.col("space_id").alias("memory_space_id"),
                           "processing_status", "created_at")
+    if scan_bytes(mem) > SZ.SEMI_JOIN_REDUCTION_BYTES:
+        per = materialized(per)          # computed once, read by the key set and the join
+        mem = reduce_to_keys(mem, per, "memory_id")
     return per.join(mem, "memory_id", "left")

@@ -25,3 +25,21 @@ def scan_bytes(df: DataFrame) -> int:
     while leaves.hasNext():
         total += int(str(leaves.next().stats().sizeInBytes()))
     return total
+
+
+SEMI_JOIN_REDUCTION_BYTES = 1 << 30   # big tables above this are cut by key first
+
+
+def reduce_to_keys(big: DataFrame, small: DataFrame, key: str,
+                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``big`` restricted to the keys present in ``small`` by a broadcast
+    semi-join, when a bounded count proves the key set small and ``big``'s
+    files are large enough to be worth it; otherwise ``big`` unchanged. The
+    big table is then scanned but not shuffled to meet a small one.
+    ``small`` should be cheap to read twice (a scan or a written table)."""
+    if scan_bytes(big) <= SEMI_JOIN_REDUCTION_BYTES:
+        return big
+    keys = small.select(key).distinct()
+    if keys.limit(max_rows + 1).count() > max_rows:
+        return big
+    return big.join(F.broadcast(keys), key, "left_semi")

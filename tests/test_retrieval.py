@@ -4,8 +4,10 @@ sf0.001 vectors and on a skewed layout where one space holds most chunks."""
 import numpy as np
 from pyspark.sql import functions as F
 
+from memtables.operators import memories as M
 from memtables.operators import postprocess as P
 from memtables.operators import retrieval as R
+from memtables.operators import sizing as SZ
 from memtables.sources import tables as T
 
 from conftest import SF_SMALL
@@ -102,8 +104,14 @@ def test_semi_join_reduction_gives_same_chain(spark, monkeypatch):
     req = T.retrieval_requests(spark, SF_SMALL, reranker_id="jaccard", chronological_resort=True)
     cols = ["query_id", "rank", "chunk_id", "relevance_score", "memory_index", "total_results"]
     plain = {tuple(r) for r in P.retrieve_postprocessed(req, cv, ct, mem).select(*cols).collect()}
-    monkeypatch.setattr(P, "SEMI_JOIN_REDUCTION_BYTES", -1)
+    defs = {tuple(r) for r in R.fetch_memory_definitions(
+        P.retrieve_postprocessed(req, cv, ct, mem), mem).collect()}
+    ids = mem.select("memory_id").where(F.col("memory_id") % 7 == 0)   # deterministic request set
+    gets = {(r.memory_id, r.success, r.processing_status) for r in M.get_memories(ids, mem).collect()}
+    monkeypatch.setattr(SZ, "SEMI_JOIN_REDUCTION_BYTES", -1)
     reduced = P.retrieve_postprocessed(req, cv, ct, mem)
     plan = reduced._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in reduced.select(*cols).collect()} == plain
     assert "LeftSemi" in plan
+    assert {tuple(r) for r in R.fetch_memory_definitions(reduced, mem).collect()} == defs
+    assert {(r.memory_id, r.success, r.processing_status) for r in M.get_memories(ids, mem).collect()} == gets
