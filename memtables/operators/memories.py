@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 from memtables.functions.json import strict_parse_json, val  # noqa: F401  (val re-exported)
 from memtables.operators.outcomes import first_error, with_outcome
-from memtables.operators.sizing import broadcast_if_small, reduce_to_keys
+from memtables.operators.sizing import MAX_BROADCAST_ROWS, reduce_to_keys
 
 CONTENT_COLS = ("original_content", "original_content_b64")
 
@@ -31,8 +31,13 @@ def filter_by_status(memories: DataFrame, status: str | Column | None) -> DataFr
     """Equality on processing status (null means PENDING); null or empty = all."""
     if status is None or (isinstance(status, str) and status == ""):
         return memories
-    s = F.lit(status) if isinstance(status, str) else status
-    return memories.where((s == "") | s.isNull() | (status_of() == s))
+    if isinstance(status, str):
+        # plain comparisons on the column, so the Parquet scan can take them
+        col = F.col("processing_status")
+        if status == S.STATUS_PENDING:
+            return memories.where(col.isNull() | (col == status))
+        return memories.where(col == status)
+    return memories.where((status == "") | status.isNull() | (status_of() == status))
 
 
 def filter_by_metadata(memories: DataFrame, predicate: Column | None) -> DataFrame:
@@ -78,25 +83,30 @@ def list_memories(memories: DataFrame, requests: DataFrame, where: Column | None
     """
     mem = filter_by_metadata(memories, where)
     mem = project_content(mem, include_content)
-    req = broadcast_if_small(requests.select(
-        "request_id", "space_id", clamp_page_size(F.col("page_size")).alias("_n"),
-        F.col("next_token").alias("_tok"), F.col("status").alias("_st")))
-    j = mem.join(req, "space_id")
+    req = requests.select("request_id", "space_id", clamp_page_size(F.col("page_size")).alias("_n"),
+                          F.col("next_token").alias("_tok"), F.col("status").alias("_st"))
+    small = req.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    req_b = F.broadcast(req) if small else req
+    j = mem.join(req_b, "space_id")
     j = j.where(_after_token(F.col("_tok")))
     j = j.where(F.col("_st").isNull() | (F.col("_st") == "") | (status_of() == F.col("_st")))
+    # rows past the key, per request: a partial (map-side) count, so whether a
+    # next page exists needs no extra row through the window
+    avail = j.groupBy("request_id").agg(F.count(F.lit(1)).alias("_avail"))
     w = Window.partitionBy("request_id").orderBy("created_at", "memory_id")
-    # the literal bound (largest page + 1) lets Spark plan a partial
+    # the literal bound (the largest page) lets Spark plan a partial
     # WindowGroupLimit before the shuffle: a hot space sends at most that
     # many rows per task; the per-request size is applied after it
-    j = (j.withColumn("position", F.row_number().over(w))
-         .where(F.col("position") <= S.PAGE_SIZE_MAX + 1)
-         .where(F.col("position") <= F.col("_n") + 1))
+    page = (j.withColumn("position", F.row_number().over(w))
+            .where(F.col("position") <= S.PAGE_SIZE_MAX)
+            .where(F.col("position") <= F.col("_n")))
+    page = page.join(F.broadcast(avail) if small else avail, "request_id")
     by_req = Window.partitionBy("request_id")
-    j = j.withColumn("_more", F.max("position").over(by_req) > F.col("_n")).where(F.col("position") <= F.col("_n"))
     last = F.max_by(F.struct("created_at", "memory_id"), F.col("position")).over(by_req)
-    j = j.withColumn("next_token", F.when(F.col("_more"), page_token(last["created_at"], last["memory_id"])))
-    j = j.withColumn("total_memories", F.count(F.lit(1)).over(by_req))
-    return j.drop("_n", "_tok", "_st", "_more")
+    page = page.withColumn("next_token", F.when(F.col("_avail") > F.col("_n"),
+                                                page_token(last["created_at"], last["memory_id"])))
+    page = page.withColumn("total_memories", F.count(F.lit(1)).over(by_req))
+    return page.drop("_n", "_tok", "_st", "_avail")
 
 
 def page_memories(memories: DataFrame, space_id: str, page_size: int = 100,
