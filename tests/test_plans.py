@@ -59,3 +59,15 @@ def test_totals_without_whole_table_window(spark):
     plan = _plan(C.list_spaces(T.spaces(spark, SF_SMALL), ordered=False))
     assert "Subquery" in plan or "ScalarSubquery" in plan or "scalar-subquery" in plan
     assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_topk_prunes_space_partitions(spark):
+    paths = FS.write_memory_tables({"vectors": T.chunk_vectors(spark, SF_SMALL)}, spark=spark)
+    vec = spark.read.parquet(paths["vectors"])
+    req = T.retrieval_requests(spark, SF_SMALL).where(F.col("query_id") < 10).withColumn(
+        "space_ids", F.lit("label-2, label-3"))
+    top = R.retrieve_topk(req, vec, method="broadcast")
+    plan = _plan(top)
+    scan = [l for l in plan.split("\n") if "FileScan parquet" in l][0]
+    assert "PartitionFilters: [" in scan and "label-2" in scan and "label-3" in scan
+    assert {r.space_id for r in top.collect()} <= {"label-2", "label-3"}
