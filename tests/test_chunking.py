@@ -119,3 +119,25 @@ def test_chunk_by_space_config(spark):
             assert got[i] == ref_pack(t, 128, 16)
         else:
             assert got[i] == CH.split_recursive(t, 100, 10)
+
+
+def test_fixed_windows_property(spark):
+    """Random texts (letters, spaces, punctuation, newlines, non-BMP) in one
+    job per example: windows equal slicing by code points."""
+    from hypothesis import given, settings, strategies as st
+
+    alphabet = st.sampled_from(list("ab .!?\n\té") + ["😀"])
+    texts = st.lists(st.text(alphabet, max_size=400), min_size=1, max_size=12)
+
+    @settings(max_examples=6, deadline=None)
+    @given(texts, st.integers(2, 60), st.integers(0, 59))
+    def check(ts, size, ov):
+        ov = ov % size
+        got = _by_mem(CH.chunk_fixed(_mem(spark, ts), size, ov))
+        for i, t in enumerate(ts):
+            assert got[i] == ref_fixed(t, size, ov)
+        packed = _by_mem(CH.chunk_sentence(_mem(spark, ts), size, ov))
+        for i, t in enumerate(ts):
+            assert packed[i] == ref_pack(t, size, ov)
+
+    check()

@@ -68,6 +68,10 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     batch_chunks = CH.chunk_fixed(mem, 512, 50)
     assert status.count() == mem.count()
     assert vectors.count() == batch_chunks.count()
+    from memtables.operators.embedding import embed_chunks
+    batch_vec = {r.chunk_id: list(r.embedding) for r in embed_chunks(batch_chunks).collect()}
+    stream_vec = {r.chunk_id: list(r.embedding) for r in vectors.collect()}
+    assert stream_vec == batch_vec
     assert vectors.select(F.size("embedding").alias("d")).distinct().collect()[0].d == 256
     q2 = IX.stream_index_memories(IX.documents_stream(spark, SF_SMALL), f"{root}/out", f"{root}/ck")
     q2.awaitTermination()
