@@ -204,9 +204,15 @@ def delete_spaces(requests: DataFrame, spaces: DataFrame, memories: DataFrame,
     spaces2 = spaces.join(known, "space_id", "left_anti")
     memories2 = memories.join(known, "space_id", "left_anti")
     ids = gone_mem.select("memory_id")
-    chunks2 = chunks.join(ids, "memory_id", "left_anti") if chunks is not None else None
-    vectors2 = vectors.join(ids, "memory_id", "left_anti") if vectors is not None else None
-    return rec, spaces2, memories2, chunks2, vectors2
+
+    def cascade(df: DataFrame | None) -> DataFrame | None:
+        # rows of the deleted memories, and rows filed under a deleted space
+        if df is None:
+            return None
+        out = df.join(ids, "memory_id", "left_anti")
+        return out.join(known, "space_id", "left_anti") if "space_id" in df.columns else out
+
+    return rec, spaces2, memories2, cascade(chunks), cascade(vectors)
 
 
 def delete_memories(requests: DataFrame, memories: DataFrame, chunks: DataFrame | None = None,

@@ -66,6 +66,14 @@ def test_cascade_leaves_no_orphans(spark):
     assert mem2.where(F.col("space_id").isin("src1", "src2")).count() == 0
     gone = mem.where(F.col("space_id").isin("src1", "src2")).select("memory_id")
     assert vec2.join(gone, "memory_id", "left_semi").count() == 0
+    # vectors filed under a deleted space go too
+    _, _, _, _, vec_sp = C.delete_spaces(spark.createDataFrame([("label-3",)], "space_id string"),
+                                         T.spaces(spark, SF_SMALL).unionByName(
+                                             T.spaces(spark, SF_SMALL).limit(1).withColumn(
+                                                 "space_id", F.lit("label-3"))),
+                                         mem, vectors=vec)
+    assert vec_sp.where(F.col("space_id") == "label-3").count() == 0
+    assert vec_sp.count() == vec.where(F.col("space_id") != "label-3").count()
     mreq = mem2.select("memory_id").limit(5)
     rec2, mem3, _, vec3 = C.delete_memories(mreq, mem2, vectors=vec2)
     assert rec2.where("success").count() == 5
