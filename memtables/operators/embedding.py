@@ -2,8 +2,9 @@
 
 Embedders are pluggable by id. Built in:
 
-* ``hash-256`` (stand-in model): hashed bag of words, L2-normalised, computed
-  on the JVM by ``pyspark.ml.feature.HashingTF`` + ``Normalizer``;
+* ``hash-256`` (stand-in model): hashed bag of words, L2-normalised. Words
+  and their MD5 buckets are built-in SQL; counting and normalising run as
+  numpy over Arrow batches (a ``pandas_udf``);
 * ``emb-64``: the vectors that come with the data (no model runs).
 
 A real model plugs in with :func:`register_embedder` as a pandas UDF
@@ -14,8 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,15 +48,34 @@ def word_terms(text_col: str) -> F.Column:
     return F.filter(parts, lambda x: x != "")
 
 
+def term_buckets(text_col: str, dim: int = HASH_DIM) -> F.Column:
+    """Bucket of every word: the first 32 bits of its MD5, modulo ``dim``
+    (built-in SQL; the same rule is expressible in any SQL engine)."""
+    return F.transform(word_terms(text_col), lambda t: F.pmod(
+        F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int"))
+
+
+def _unit_counts_udf(dim: int):
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def unit_counts(buckets: pd.Series) -> pd.Series:
+        """Bucket ids -> L2-normalised counts, one Arrow batch at a time."""
+        lens = buckets.map(len).to_numpy()
+        rows = np.repeat(np.arange(len(buckets)), lens)
+        flat = np.concatenate(buckets.to_list()).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
+        counts = np.zeros((len(buckets), dim), dtype=np.float64)
+        np.add.at(counts, (rows, flat), 1.0)
+        norms = np.sqrt((counts * counts).sum(axis=1))
+        nz = norms > 0
+        counts[nz] = counts[nz] / norms[nz, None]
+        return pd.Series(list(counts.astype(np.float32)))
+    return unit_counts
+
+
 def hash_embed(df: DataFrame, text_col: str = "chunk_text", out_col: str = "embedding",
                dim: int = HASH_DIM) -> DataFrame:
-    """Hashed term counts, L2-normalised, as ``array<float>`` (all zeros for
-    text without words)."""
-    tmp = df.withColumn("_terms", word_terms(text_col))
-    tf = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=dim).transform(tmp)
-    nv = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0).transform(tf)
-    return (nv.withColumn(out_col, vector_to_array("_nv", "float32"))
-            .drop("_terms", "_tf", "_nv"))
+    """Hashed bag of words, L2-normalised, as ``array<float>`` (all zeros for
+    text without words): word buckets in SQL, counting in numpy."""
+    return df.withColumn(out_col, _unit_counts_udf(dim)(term_buckets(text_col, dim)))
 
 
 def embed_chunks(chunks: DataFrame, embedder_id: str = "hash-256", text_col: str = "chunk_text",

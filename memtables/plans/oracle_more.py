@@ -478,3 +478,71 @@ SELECT e2.query_id, coalesce(per.total_results, 0) AS total_results,
             THEN 'No results found after waiting 10 seconds for indexing. Memories may still be processing.'
        END AS message
 FROM e2 LEFT JOIN per ON per.query_id = e2.query_id""")
+
+# -- hashed embeddings (hash-256: MD5 word buckets, L2-normalised counts) ----------------
+
+
+def emb_ctes(src: str, text: str, keep: str, name: str) -> str:
+    """CTEs ``{name}_b`` .. ``{name}``: the hash-256 vector ``emb`` of column
+    ``text`` of ``src``, keeping columns ``keep``."""
+    toks = f"list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+    return f"""{name}_b AS (
+  SELECT {keep}, list_transform({toks}, lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % 256)::INTEGER) AS bk
+  FROM {src}),
+{name}_c AS (
+  SELECT {keep}, len(bk) AS n_terms,
+         list_transform(range(256), lambda b: len(list_filter(bk, lambda x: x = b))) AS cnt
+  FROM {name}_b),
+{name}_n AS (SELECT *, sqrt(list_sum(list_transform(cnt, lambda c: c * c))) AS nrm FROM {name}_c),
+{name} AS (
+  SELECT {keep}, n_terms,
+         list_transform(cnt, lambda c: CASE WHEN nrm > 0 THEN c / nrm ELSE 0.0 END)::FLOAT[] AS emb,
+         nrm > 0 AS has_words
+  FROM {name}_n)"""
+
+
+FIXED_CHUNKS = f"""{MEM},
+fw AS (SELECT memory_id, space_id, coalesce(original_content, '') AS t,
+              unnest(range(0, greatest(length(coalesce(original_content, '')) - 50, 1), 462)) AS s
+       FROM mem),
+fc AS (SELECT memory_id || '-' || (s // 462) AS chunk_id, memory_id, space_id,
+              substring(t, s + 1, 512) AS chunk_text FROM fw)"""
+
+sql("embed_chunks", f"""WITH {FIXED_CHUNKS},
+{emb_ctes('fc', 'chunk_text', 'chunk_id, memory_id, space_id', 'ce')}
+SELECT chunk_id, memory_id, space_id, len(emb)::INTEGER AS dim, n_terms::INTEGER AS n_terms,
+       len(list_filter(emb, lambda x: x > 0))::INTEGER AS nnz,
+       (list_position(emb, list_max(emb)) - 1)::INTEGER AS top_bucket,
+       round(list_max(emb)::DOUBLE, 6) AS top_value
+FROM ce""")
+
+sql("retrieve_text", f"""WITH {FIXED_CHUNKS},
+{emb_ctes('fc', 'chunk_text', 'chunk_id, memory_id, space_id', 'ce')},
+{emb_ctes('benchmark', 'text', 'item_id', 'qe')},
+scored AS (
+  SELECT qe.item_id AS query_id, ce.chunk_id, ce.memory_id, ce.space_id,
+         round(list_cosine_similarity(qe.emb::DOUBLE[], ce.emb::DOUBLE[]), 6) AS score
+  FROM qe, ce WHERE qe.has_words AND ce.has_words),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
+           FROM scored)
+SELECT query_id, rank::INTEGER AS rank, chunk_id, memory_id, space_id, score FROM ranked WHERE rank <= 5""")
+
+sql("conversation_search", f"""WITH
+cm AS (SELECT 'conv-' || conv_id AS space_id, turn, role, text,
+              {mem_id("'conv-' || conv_id", 'turn')} AS memory_id,
+              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn) AS created_at
+       FROM conversations WHERE text IS NOT NULL AND text <> ''),
+{emb_ctes('cm', 'text', 'memory_id, space_id, role, created_at', 'ce')},
+scored AS (
+  SELECT q.memory_id AS query_id, c.memory_id || '-0' AS chunk_id, c.memory_id, c.created_at,
+         round(list_cosine_similarity(q.emb::DOUBLE[], c.emb::DOUBLE[]), 6) AS score
+  FROM ce q JOIN ce c ON c.space_id = q.space_id
+  WHERE q.role = 'user' AND q.has_words AND c.has_words),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS r
+                       FROM scored) WHERE r <= 5),
+fin AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY created_at, chunk_id) AS rank FROM top),
+mi AS (SELECT *, min(rank) OVER (PARTITION BY query_id, memory_id) AS first_pos FROM fin)
+SELECT query_id, rank::INTEGER AS rank, chunk_id, memory_id, score AS relevance_score,
+       (dense_rank() OVER (PARTITION BY query_id ORDER BY first_pos) - 1)::INTEGER AS memory_index,
+       count(*) OVER (PARTITION BY query_id) AS total_results, created_at
+FROM mi""")

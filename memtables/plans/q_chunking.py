@@ -4,9 +4,10 @@ memory table with the default size 512 and overlap 50."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from memtables.operators import chunking as CH
-from memtables.operators.embedding import embed_chunks
+from memtables.operators.embedding import embed_chunks, word_terms
 from memtables.plans.registry import query
 from memtables.sources import tables as T
 
@@ -39,5 +40,16 @@ def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
 
 @query("embed_chunks")
 def embed_chunks_q(spark: SparkSession, d: str) -> DataFrame:
+    """Every fixed chunk embedded with hash-256; reported as exact summaries
+    of each vector (dimension, words, non-zero buckets, largest bucket and
+    its value)."""
     chunks = CH.chunk_fixed(_mem(spark, d), 512, 50)
-    return embed_chunks(chunks, "hash-256").select("chunk_id", "memory_id", "space_id", "embedding")
+    e = F.col("embedding")
+    top = F.array_max(e)
+    return embed_chunks(chunks, "hash-256").select(
+        "chunk_id", "memory_id", "space_id",
+        F.size(e).alias("dim"),
+        F.size(word_terms("chunk_text")).alias("n_terms"),
+        F.size(F.filter(e, lambda x: x > 0)).alias("nnz"),
+        (F.array_position(e, top) - 1).cast("int").alias("top_bucket"),
+        F.round(top.cast("double"), 6).alias("top_value"))
