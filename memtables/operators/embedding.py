@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from memtables.operators.sizing import spread
+
 HASH_DIM = 256
 
 # id, name, dimension of the built-in embedders
@@ -75,7 +77,7 @@ def hash_embed(df: DataFrame, text_col: str = "chunk_text", out_col: str = "embe
                dim: int = HASH_DIM) -> DataFrame:
     """Hashed bag of words, L2-normalised, as ``array<float>`` (all zeros for
     text without words): word buckets in SQL, counting in numpy."""
-    return df.withColumn(out_col, _unit_counts_udf(dim)(term_buckets(text_col, dim)))
+    return spread(df).withColumn(out_col, _unit_counts_udf(dim)(term_buckets(text_col, dim)))
 
 
 def embed_chunks(chunks: DataFrame, embedder_id: str = "hash-256", text_col: str = "chunk_text",

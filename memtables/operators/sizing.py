@@ -43,3 +43,14 @@ def reduce_to_keys(big: DataFrame, small: DataFrame, key: str,
     if keys.limit(max_rows + 1).count() > max_rows:
         return big
     return big.join(F.broadcast(keys), key, "left_semi")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Before CPU-heavy per-row work: when ``df`` has fewer partitions than
+    the cluster has cores (a small input, e.g. one Parquet row group), spread
+    its rows round-robin over the cores; otherwise leave it alone (a large
+    input is already split by the scan, and a shuffle would be waste)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

@@ -546,3 +546,44 @@ SELECT query_id, rank::INTEGER AS rank, chunk_id, memory_id, score AS relevance_
        (dense_rank() OVER (PARTITION BY query_id ORDER BY first_pos) - 1)::INTEGER AS memory_index,
        count(*) OVER (PARTITION BY query_id) AS total_results, created_at
 FROM mi""")
+
+# -- recursive chunking: paragraphs -> lines -> words -> character windows ---------------
+
+_LEVELS = (r"(?s).+?(?:\n\n+|\z)", r"(?s).+?(?:\n+|\z)", r"(?s).+?(?: +|\z)")
+
+
+def _pack_units_sql(units: str, size: int, ov: int, too_long, lvl: int) -> str:
+    """DuckDB list of chunks packed from ``units`` (lambda names per level)."""
+    acc, s, c, x, r = f"acc{lvl}", f"s{lvl}", f"c{lvl}", f"x{lvl}", f"r{lvl}"
+    carry = (f"(list_reduce(list_reverse({acc}.tail), lambda {c}, {x}: CASE "
+             f"WHEN {c}.open AND {c}.n + length({x}) <= least({ov}, {size} - length({s})) "
+             f"THEN {{'arr': list_prepend({x}, {c}.arr), 'n': {c}.n + length({x}), 'open': true}} "
+             f"ELSE {{'arr': {c}.arr, 'n': {c}.n, 'open': false}} END, "
+             f"{{'arr': []::VARCHAR[], 'n': 0, 'open': true}})).arr")
+    step = (f"lambda {acc}, {s}: CASE "
+            f"WHEN length({s}) > {size} THEN {{'done': list_concat(CASE WHEN {acc}.cur <> '' "
+            f"THEN list_append({acc}.done, {acc}.cur) ELSE {acc}.done END, {too_long(s)}), "
+            f"'cur': '', 'tail': []::VARCHAR[]}} "
+            f"WHEN {acc}.cur = '' THEN {{'done': {acc}.done, 'cur': {s}, 'tail': [{s}]}} "
+            f"WHEN length({acc}.cur) + length({s}) <= {size} THEN {{'done': {acc}.done, "
+            f"'cur': {acc}.cur || {s}, 'tail': list_append({acc}.tail, {s})}} "
+            f"ELSE {{'done': list_append({acc}.done, {acc}.cur), 'cur': array_to_string({carry}, '') || {s}, "
+            f"'tail': list_append({carry}, {s})}} END")
+    init = "{'done': []::VARCHAR[], 'cur': '', 'tail': []::VARCHAR[]}"
+    red = f"list_reduce({units}, {step}, {init})"
+    return (f"list_transform([{red}], lambda {r}: CASE WHEN {r}.cur <> '' "
+            f"THEN list_append({r}.done, {r}.cur) ELSE {r}.done END)[1]")
+
+
+def _recursive_sql(text: str, size: int, ov: int, lvl: int = 0) -> str:
+    if lvl == len(_LEVELS):
+        return _windows(text, size, ov)
+    units = f"regexp_extract_all({text}, '{_LEVELS[lvl]}')"
+    return _pack_units_sql(units, size, ov, lambda s: _recursive_sql(s, size, ov, lvl + 1), lvl)
+
+
+sql("chunk_recursive", f"""{with_(MEM)},
+o AS (SELECT memory_id, space_id, {_recursive_sql("coalesce(original_content, '')", 512, 50)} AS out FROM mem),
+o2 AS (SELECT memory_id, space_id, CASE WHEN len(out) = 0 THEN [''] ELSE out END AS out FROM o),
+u AS (SELECT memory_id, space_id, unnest(out) AS chunk_text, generate_subscripts(out, 1) - 1 AS i FROM o2)
+SELECT memory_id || '-' || i AS chunk_id, memory_id, space_id, i::INTEGER AS chunk_index, chunk_text FROM u""")

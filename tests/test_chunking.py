@@ -25,16 +25,13 @@ def _by_mem(df):
     return out
 
 
-def ref_pack(text, size, ov):
-    sents = re.findall(CH.SENTENCE_PATTERN, text) or []
+def ref_pack_units(units, size, ov, too_long):
     done, cur, tail = [], "", []
-    for s in sents:
+    for s in units:
         if len(s) > size:
             if cur:
                 done.append(cur)
-            step = size - ov
-            starts = range(0, max(len(s) - ov - 1, 0) + 1, step)
-            done.extend(s[i:i + size] for i in starts)
+            done.extend(too_long(s))
             cur, tail = "", []
         elif cur == "":
             cur, tail = s, [s]
@@ -52,7 +49,20 @@ def ref_pack(text, size, ov):
             cur, tail = "".join(carry) + s, carry + [s]
     if cur:
         done.append(cur)
-    return done or [""]
+    return done
+
+
+def ref_pack(text, size, ov):
+    sents = re.findall(CH.SENTENCE_PATTERN, text)
+    return ref_pack_units(sents, size, ov, lambda s: ref_fixed(s, size, ov)) or [""]
+
+
+def ref_recursive(text, size, ov, level=0):
+    if level == len(CH.RECURSIVE_LEVELS):
+        return ref_fixed(text, size, ov)
+    units = re.findall(CH.RECURSIVE_LEVELS[level].replace("\\z", "\\Z"), text)
+    out = ref_pack_units(units, size, ov, lambda s: ref_recursive(s, size, ov, level + 1))
+    return out if level else (out or [""])
 
 
 def ref_fixed(t, size, ov):
@@ -84,14 +94,19 @@ def test_sentence_pattern_loses_nothing():
         assert "".join(re.findall(CH.SENTENCE_PATTERN, t)) == t
 
 
-def test_recursive_bounds_and_coverage(spark):
-    size, ov = 120, 20
-    got = _by_mem(CH.chunk_recursive(_mem(spark, TEXTS), size, ov))
-    for i, t in enumerate(TEXTS):
-        assert all(len(c) <= size for c in got[i])
-        words = set(w for w in re.split(r"\s+", t) if w and len(w) <= size)
-        covered = " ".join(got[i])
-        assert all(w in covered for w in words)
+def test_recursive_matches_reference(spark):
+    texts = TEXTS + ["para one.\n\npara two is here\nwith a line\n\n\n" + "w" * 300 + " tail\n"]
+    for size, ov in ((120, 20), (512, 50), (16, 4)):
+        got = _by_mem(CH.chunk_recursive(_mem(spark, texts), size, ov))
+        for i, t in enumerate(texts):
+            assert got[i] == ref_recursive(t, size, ov), (size, ov, i)
+            assert all(len(c) <= size for c in got[i])
+
+
+def test_recursive_units_lose_nothing():
+    for t in TEXTS:
+        for lv in CH.RECURSIVE_LEVELS:
+            assert "".join(re.findall(lv.replace("\\z", "\\Z"), t)) == t
 
 
 def test_whole_table_chunk_counts(spark):
@@ -118,7 +133,7 @@ def test_chunk_by_space_config(spark):
         elif kind == 2:
             assert got[i] == ref_pack(t, 128, 16)
         else:
-            assert got[i] == CH.split_recursive(t, 100, 10)
+            assert got[i] == ref_recursive(t, 100, 10)
 
 
 def test_fixed_windows_property(spark):
@@ -141,3 +156,11 @@ def test_fixed_windows_property(spark):
             assert packed[i] == ref_pack(t, size, ov)
 
     check()
+
+
+def test_recursive_sql_engine_equals_python(spark):
+    texts = TEXTS + ["para one.\n\npara two is here\nwith a line\n\n\n" + "w" * 300 + " tail\n"]
+    for size, ov in ((120, 20), (40, 8)):
+        py = _by_mem(CH.chunk_recursive(_mem(spark, texts), size, ov))
+        jvm = _by_mem(CH.chunk_recursive(_mem(spark, texts), size, ov, engine="sql"))
+        assert py == jvm
