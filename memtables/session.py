@@ -44,7 +44,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="memtables-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001  (a core setting some sessions refuse at runtime)
+            pass
         spark.sparkContext.setCheckpointDir(base)
     elif spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)

@@ -90,15 +90,24 @@ def documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("original_content"), F.col("ts").alias("created_at"))
 
 
-def run_to_completion(spark: SparkSession, stream: DataFrame, **kw) -> str:
+def run_to_completion(spark: SparkSession, make_stream: Callable[[SparkSession], DataFrame],
+                      **kw) -> tuple[SparkSession, str]:
     """Runs the indexing stream until the available input is drained; returns
-    the output folder (in the session's shared checkpoint folder)."""
+    the session it ran in and the output folder (in the shared checkpoint
+    folder).
+
+    The stream runs in a child session (same SparkContext) whose shuffle
+    partitions equal the cluster's cores: streaming state keeps the partition
+    count it starts with and is not coalesced, and the caller's session
+    settings stay untouched."""
     root = shared_dir(spark, "indexing")
-    q = stream_index_memories(stream, f"{root}/out", f"{root}/checkpoint", **kw)
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    q = stream_index_memories(make_stream(child), f"{root}/out", f"{root}/checkpoint", **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return f"{root}/out"
+    return child, f"{root}/out"
 
 
 # -- 46 indexing_freshness --------------------------------------------------------------
