@@ -184,3 +184,31 @@ def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -
         F.array_join(F.filter(firsts, lambda s: s != ""), " ").alias("abstract_reply"),
         F.size("_items").cast("long").alias("n_chunks"),
     )
+
+
+# -- the result-set envelope (one row per request) ------------------------------------
+
+def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame) -> DataFrame:
+    """One row per request, like the reference's result envelope:
+    ``result_set_id``, ``results`` (chunk id, text, memory id, score, memory
+    index; in rank order), ``memories`` (memory id, space, status, created;
+    in memory-index order), ``total_results`` and the ``query`` text.
+    Requests without results get empty lists. Every group holds at most k
+    rows of one query."""
+    item = F.struct("rank", "chunk_id", "chunk_text", "memory_id", "relevance_score", "memory_index")
+    res = results.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("_r"))
+    defs = R.fetch_memory_definitions(results, memories)
+    mem = defs.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
+        "memory_index", "memory_id", F.col("memory_space_id").alias("space_id"),
+        "processing_status", "created_at"))).alias("_m"))
+    out = requests.select("query_id", F.col("query_text").alias("query")) \
+        .join(res, "query_id", "left").join(mem, "query_id", "left")
+    dropped = F.transform("_r", lambda x: x.dropFields("rank"))
+    results_col = F.coalesce(dropped, F.array().cast(out.select(dropped.alias("t")).schema["t"].dataType))
+    return out.select(
+        "query_id",
+        F.sha2(F.concat(F.lit("rs|"), F.col("query_id").cast("string")), 256).alias("result_set_id"),
+        results_col.alias("results"),
+        F.coalesce(F.col("_m"), F.array().cast(out.schema["_m"].dataType)).alias("memories"),
+        F.size(results_col).cast("long").alias("total_results"),
+        "query")

@@ -151,3 +151,16 @@ SELECT query_id,
          AS abstract_reply,
        count(*) AS n_chunks
 FROM res GROUP BY query_id""")
+
+sql("result_sets", chain(threshold=0.25) + """,
+agg_r AS (SELECT query_id, count(*) AS total_results,
+                 string_agg(chunk_id::VARCHAR, ',' ORDER BY rank) AS chunk_ids
+          FROM res GROUP BY query_id),
+mems AS (SELECT query_id, memory_id, min(memory_index) AS mi FROM res GROUP BY query_id, memory_id),
+agg_m AS (SELECT query_id, count(*) AS total_memories,
+                 string_agg(memory_id::VARCHAR, ',' ORDER BY mi) AS memory_ids
+          FROM mems GROUP BY query_id)
+SELECT r.query_id, sha256('rs|' || r.query_id) AS result_set_id,
+       coalesce(a.total_results, 0) AS total_results, coalesce(m.total_memories, 0) AS total_memories,
+       coalesce(a.chunk_ids, '') AS chunk_ids, coalesce(m.memory_ids, '') AS memory_ids
+FROM req r LEFT JOIN agg_r a ON a.query_id = r.query_id LEFT JOIN agg_m m ON m.query_id = r.query_id""")

@@ -125,3 +125,18 @@ def retrieve_text(spark: SparkSession, d: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"),
         all_spaces.alias("space_ids"), F.lit(5).alias("max_results"))
     return R.retrieve_topk(embed_queries(req), vectors)
+
+
+@query("result_sets")
+def result_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The result envelope per request (op 38 with memories and totals),
+    reported as exact scalars: ids in rank / memory-index order."""
+    req = T.retrieval_requests(spark, d, relevance_threshold=0.25)
+    res = P.retrieve_postprocessed(req, T.chunk_vectors(spark, d), T.chunk_texts(spark, d),
+                                   T.memories(spark, d))
+    rs = P.result_sets(res, req, T.memories(spark, d))
+    return rs.select(
+        "query_id", "result_set_id", "total_results",
+        F.size("memories").cast("long").alias("total_memories"),
+        F.array_join(F.transform("results", lambda x: x["chunk_id"].cast("string")), ",").alias("chunk_ids"),
+        F.array_join(F.transform("memories", lambda x: x["memory_id"].cast("string")), ",").alias("memory_ids"))

@@ -115,3 +115,19 @@ def test_semi_join_reduction_gives_same_chain(spark, monkeypatch):
     assert "LeftSemi" in plan
     assert {tuple(r) for r in R.fetch_memory_definitions(reduced, mem).collect()} == defs
     assert {(r.memory_id, r.success, r.processing_status) for r in M.get_memories(ids, mem).collect()} == gets
+
+
+def test_result_sets_envelope(spark):
+    cv, ct, mem = T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL)
+    for ids_as_text in (False, True):
+        cvx = cv.withColumn("chunk_id", F.col("chunk_id").cast("string")) if ids_as_text else cv
+        ctx = ct.withColumn("chunk_id", F.col("chunk_id").cast("string")) if ids_as_text else ct
+        req = T.retrieval_requests(spark, SF_SMALL, relevance_threshold=0.5).where(F.col("query_id") < 40)
+        res = P.retrieve_postprocessed(req, cvx, ctx, mem)
+        rs = {r.query_id: r for r in P.result_sets(res, req, mem).collect()}
+        assert len(rs) == 40
+        for q, r in rs.items():
+            assert r.total_results == len(r.results) <= 5
+            assert [x.memory_index for x in r.memories] == list(range(len(r.memories)))
+            assert {x.memory_id for x in r.results} == {m.memory_id for m in r.memories}
+            assert all(x.relevance_score >= 0.5 for x in r.results)
