@@ -325,17 +325,17 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
 
 
 def _small_queries(queries: DataFrame, strict: bool = False) -> pd.DataFrame | None:
-    """The query rows as pandas when they fit ``BROADCAST_QUERY_BYTES``
-    (rows x (8 x dimension + overhead)); None otherwise. The collect itself is
-    bounded by a LIMIT one row past the cap."""
-    probe = queries.select(F.size("query_vector").alias("d")).limit(1).collect()
-    dim = int(probe[0]["d"] or 1) if probe else 1
-    cap_rows = max(1, BROADCAST_QUERY_BYTES // (8 * dim + 96))
-    qpd = queries.limit(cap_rows + 1).toPandas()
-    if len(qpd) <= cap_rows:
-        return qpd
+    """The query rows as pandas when they provably fit ``BROADCAST_QUERY_BYTES``:
+    one aggregate gives the row count and the largest vector dimension, so
+    rows x (8 x largest dimension + overhead) is an upper bound; None
+    otherwise."""
+    st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d")).first()
+    n, dim = int(st["n"] or 0), max(int(st["d"] or 1), 1)
+    if n * (8 * dim + 96) <= BROADCAST_QUERY_BYTES:
+        return queries.toPandas()
     if strict:
-        raise ValueError(f"query table exceeds {cap_rows} rows; use method='tiled'")
+        raise ValueError(f"query table of {n} rows x {dim} dims exceeds the broadcast bound; "
+                         "use method='tiled'")
     return None
 
 
