@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when a bounded count (``LIMIT max_rows + 1``) proves
-    it has at most ``max_rows`` rows; otherwise ``df`` unchanged, and Spark
-    plans a shuffle join (with AQE's skew handling)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def scan_bytes(df: DataFrame) -> int:
     """Bytes of the files ``df`` reads: the sum of Catalyst's size statistics
     of its leaf relations (no job runs). Join estimates are not used: without
