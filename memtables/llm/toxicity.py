@@ -85,11 +85,12 @@ def _select(rows: list[np.ndarray], toxic: np.ndarray, most: int) -> np.ndarray:
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     seen = [np.bincount(np.concatenate([np.zeros(0, np.int32), *(r for r, t in zip(rows, toxic) if t == which)]),
                         minlength=size) for which in (True, False)]
-    p1, p0, p = seen[0] / n1, seen[1] / n0, (seen[0] + seen[1]) / (n1 + n0)
-    score = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    score[seen[0] + seen[1] < 3] = 0
+    often = np.flatnonzero(seen[0] + seen[1] >= 3)
+    with_1, with_0 = seen[0][often], seen[1][often]
+    p = (with_1 + with_0) / (n1 + n0)
+    score = np.abs(with_1 / n1 - with_0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     best = np.argsort(-score, kind="stable")[:most]
-    return np.sort(best[score[best] > 2.5])
+    return np.sort(often[best[score[best] > 2.5]])
 
 
 def grades_from_binary(rows: list[np.ndarray], toxic: np.ndarray, lengths: np.ndarray) -> np.ndarray:
