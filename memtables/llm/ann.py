@@ -114,7 +114,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     # pivots for each vector length: distinct vectors of a sample of 4 * n_pivots rows
     pivots = {}
     for d in sizes:
-        got = bounded_sample(rows.where(F.size("x") == d), 4 * n_pivots, "id").collect()
+        got = bounded_sample(rows.where(F.size("x") == d), 4 * n_pivots, "id", total=sizes[d]).collect()
         one = np.unique(np.array([r["x"] for r in got], np.float64), axis=0)
         pivots[d] = one[np.random.default_rng(1).permutation(len(one))[:n_pivots]]
     n = sum(sizes.values())

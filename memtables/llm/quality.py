@@ -161,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, *, may_train: Column, id_col: str
     counts = {r[0]: r[1] for r in lab.groupBy("_y").count().collect()}
     if len(counts) < 2:
         return _constant(0.5 if not counts else float(next(iter(counts))), n_dense)
-    picked = bounded_sample(lab.where("_y"), max_rows, "_id").unionByName(bounded_sample(lab.where("not _y"), max_rows, "_id"))
+    picked = bounded_sample(lab.where("_y"), max_rows, "_id", total=counts[True]).unionByName(
+        bounded_sample(lab.where("not _y"), max_rows, "_id", total=counts[False]))
     names = [f"_m{i}" for i in range(len(metadata))]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"),
                        *(e.cast("double").alias(n) for n, e in zip(names, metadata.values()))).join(F.broadcast(picked), "_id")

@@ -88,11 +88,12 @@ def standard_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def order_rules(df: DataFrame, rules: Sequence[Rule], *, id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by estimated rejection per cost; one job over the sample."""
+def order_rules(docs: DataFrame, rules: Sequence[Rule], *, id_col: str = "doc_id", text: str = "text",
+                sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """The rules by estimated rejection per cost; one job over the statistics of a sample of texts."""
     if not rules:
         return []
-    sample = bounded_sample(df, sample_rows, id_col)
+    sample = base_stats(bounded_sample(docs.select(id_col, text), sample_rows, id_col), text=text)
     got = sample.agg(*(F.avg(F.coalesce(r.rejects, F.lit(False)).cast("double")).alias(f"r{i}") for i, r in enumerate(rules)),
                      *(F.avg(F.coalesce(r.work, F.lit(0.0))).alias(f"w{i}") for i, r in enumerate(rules))).first()
     worth = lambda i: (got[f"r{i}"] or 0.0) / max(got[f"w{i}"] or 0.0, 1e-9)

@@ -47,12 +47,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = quality_rules.base_stats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    sample = quality_rules.base_stats(
-        quality_rules.bounded_sample(table(spark, sf_dir, "documents").select("doc_id", "text"), quality_rules.SAMPLE_ROWS, "doc_id"))
-    rules = quality_rules.order_rules(sample, quality_rules.standard_rules())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.order_rules(docs, quality_rules.standard_rules())
     failed = quality_rules.base_failed()
-    return quality_rules.cascade(docs, rules).select(
+    return quality_rules.cascade(quality_rules.base_stats(docs), rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & F.col("rejected_by").isNull()).alias("kept"))
 

@@ -218,7 +218,7 @@ def links(reps: DataFrame, *, distance: int = DISTANCE, sample_rows: int = SAMPL
     """``reps``: distinct ``fp`` with ``rep`` (a long). Returns links ``a``, ``b`` between reps
     that connect all fingerprints within ``distance`` bits."""
     n = reps.count()
-    sample = np.array([r["fp"] for r in bounded_sample(reps, sample_rows, "fp").select("fp").collect()], np.int64).view(np.uint64)
+    sample = np.array([r["fp"] for r in bounded_sample(reps, sample_rows, "fp", total=n).select("fp").collect()], np.int64).view(np.uint64)
     masks = probes(plan(sample, n, distance)) if n > 1 else []
     if not masks:
         return reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)

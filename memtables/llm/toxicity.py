@@ -159,8 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
     counts = {r[0]: r[1] for r in lab.groupBy("_toxic").count().collect()}
     if len(counts) < 2:
         return OrdinalModel()
-    picked = bounded_sample(lab.where("_toxic"), max_rows, "_id").unionByName(
-        bounded_sample(lab.where("not _toxic"), max_rows, "_id"))
+    picked = bounded_sample(lab.where("_toxic"), max_rows, "_id", total=counts[True]).unionByName(
+        bounded_sample(lab.where("not _toxic"), max_rows, "_id", total=counts[False]))
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
             .join(F.broadcast(picked), "_id"))
     found = {r["_id"]: (r["_toxic"], np.frombuffer(r["features"], np.int32))
