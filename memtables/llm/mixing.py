@@ -37,7 +37,7 @@ from memtables.session import materialized
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-CELL = 20_000
+CELL = 1000
 SEED = "mix-1"
 
 

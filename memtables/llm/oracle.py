@@ -75,7 +75,7 @@ FROM escaped GROUP BY conv_id
 
 OP8 = rf"""
 WITH rows AS (SELECT doc_id, source, len({_WORDS}) AS size FROM documents),
-cells AS (SELECT source, size, ceil(count(*) / 20000)::BIGINT AS parts FROM rows GROUP BY ALL),
+cells AS (SELECT source, size, ceil(count(*) / 1000)::BIGINT AS parts FROM rows GROUP BY ALL),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
