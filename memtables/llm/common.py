@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def bounded_sample(df: DataFrame, n: int, *keys: str, total: int | None = None) -> DataFrame:
     """At most ``n`` rows, the same ones in every run: those whose keys have the
     smallest hashes. Rows above a hash bound that leaves about 2 n rows are

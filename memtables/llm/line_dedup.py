@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memtables.llm.common import utf8
+from memtables.llm.common import fresh, utf8
 from memtables.session import materialized
 
 MIN_CHARS = 40
@@ -276,14 +276,15 @@ def drop_lines(docs: DataFrame, state: LineState, *, id_col: str = "doc_id", tex
     added = ["n_lines", "n_dropped"]
     keep = [c for c in docs.columns if c not in added]
     rows = docs.select(*keep)
-    joined = rows.join(drops.withColumnRenamed("doc", "_doc").hint("shuffle_hash"),
-                       F.col(id_col).cast("long") == F.col("_doc"), "left").select(*keep, "_drop")
+    doc, gone_by = fresh(rows, "_doc"), fresh(rows, "_drop")
+    joined = rows.join(drops.select(F.col("doc").alias(doc), F.col("_drop").alias(gone_by)).hint("shuffle_hash"),
+                       F.col(id_col).cast("long") == F.col(doc), "left").select(*keep, gone_by)
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     least = state.min_chars
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column, drop = b.column(text), b.column("_drop")
+            column, drop = b.column(text), b.column(gone_by)
             n_lines, n_dropped, changed = [], [], {}
             for i, data in enumerate(utf8(column)):
                 n, gone = data.count(b"\n") + 1, 0

@@ -21,9 +21,9 @@ or size; cells per source grow with the range of sizes.
 
 Defined results: a null text has size 0; documents of size 0 have copies like
 others but take no words; an empty source (all sizes 0) has target 0 and no
-copies; repeated rows stand next to each other and are drawn each on their own
-(ties by hash of the whole text, then arbitrary between equal rows); null ids are in part 0;
-an empty table gives no rows. Extra columns are kept by :func:`mix`.
+copies; rows of one size stand in order of id (null ids in part 0), then of the hash
+of the whole row; equal rows stand next to each other, and each has its own place
+and copies; an empty table gives no rows. Extra columns are kept by :func:`mix`.
 """
 
 from __future__ import annotations
@@ -67,46 +67,73 @@ def targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: floa
                     F.when(F.col("water").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("water") * F.col("weight"))).alias("target"))
 
 
-def copies(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED,
-           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """``id_col``, ``size``, ``source_size``, ``target`` and ``copies`` of every row, and ``tie``,
-    the hash of its text. Texts are read once, for sizes; ids and numbers are written once and shuffled."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-                       F.xxhash64(text).alias("tie"))
-    rows = materialized(rows)
+def _drawn(docs: DataFrame, id_col: str, text: str, source: str, seed: str, weights, share: float, most: float) -> DataFrame:
+    """One row per distinct row of ``docs``: ``id``, ``tie`` (the hash of the whole row), ``size``,
+    ``source_size``, ``target``, ``n`` (how many rows are equal to it), ``before`` (the length of the line
+    in front of them), ``r`` and ``u``. Texts are read once; ids and numbers are
+    written once and shuffled. Equal rows are counted by partial sums before any ranking."""
+    rows = materialized(docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
+                                    row_hash(docs).alias("tie")))
     by_size = rows.groupBy("source", "size").agg(F.count("*").alias("n"))
     parts = by_size.select(F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.ceil(F.col("n") / F.lit(CELL)).alias("parts"))
     same = F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))
-    rows = rows.join(parts, same).drop("c_source", "c_size").withColumn(
+    distinct = rows.groupBy("id", "source", "size", "tie").agg(F.count("*").alias("n"))
+    distinct = distinct.join(parts, same).drop("c_source", "c_size").withColumn(
         "part", F.coalesce(F.pmod(F.col("id").cast("long"), F.col("parts")), F.lit(0))).drop("parts")
-    line = Window.partitionBy("source").orderBy("size", "part")
-    cells = (rows.groupBy("source", "size", "part").agg(F.count("*").alias("n"))
-             .withColumn("before", F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    line = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (distinct.groupBy("source", "size", "part").agg(F.sum("n").alias("cell_n"))
+             .withColumn("cell_before", F.coalesce(F.sum("cell_n").over(line), F.lit(0))))
     per_source = by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     goal = targets(per_source, weights=weights, share=share, most=most).withColumn("u", offset(F.col("source"), seed))
     cells = cells.join(goal.withColumnRenamed("source", "g_source"), F.col("source").eqNullSafe(F.col("g_source"))).select(
-        F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.col("part").alias("c_part"), "before", "source_size", "target", "u")
-    inside = Window.partitionBy("source", "size", "part").orderBy("id", "tie")
-    ranked = rows.withColumn("rank", F.row_number().over(inside))
+        F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.col("part").alias("c_part"), "cell_before", "source_size", "target", "u")
+    inside = Window.partitionBy("source", "size", "part").orderBy("id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = distinct.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     ranked = ranked.join(cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")) & (F.col("part") == F.col("c_part")))
-    i = F.col("before") + F.col("rank")
-    r = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    n = F.floor(i * r + F.col("u")) - F.floor((i - 1) * r + F.col("u"))
-    return ranked.select(F.col("id").alias(id_col), "size", "source_size", "target",
-                         F.least(n, F.ceil(F.lit(float(most)))).cast("long").alias("copies"), "tie")
+    return ranked.select("id", "tie", "size", "source_size", "target", "n", (F.col("cell_before") + F.col("inside")).alias("before"), "u",
+                         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("r"))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """The hash of a whole row (columns that Spark can't hash are left out)."""
+    hard = ("map", "variant")
+    return F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not any(k in kind for k in hard)))
+
+
+def _crossed(first: Column, last: Column) -> Column:
+    """Integer boundaries crossed by places ``first`` + 1 to ``last`` of the line."""
+    return (F.floor(last * F.col("r") + F.col("u")) - F.floor(first * F.col("r") + F.col("u"))).cast("long")
+
+
+def _repeated(df: DataFrame, times: str, *keys: str) -> DataFrame:
+    """Each row ``times`` times, with ``turn`` from 0. Rows repeated over 1000 times are dealt out
+    in lots of 1000 before they are written out."""
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    few = df.where(F.col(times).between(1, 1000)).withColumn("turn", each(F.col(times)))
+    many = df.where(F.col(times) > 1000).withColumn("lot", each(F.ceil(F.col(times) / 1000)))
+    many = many.repartition(*keys, "lot").withColumn("turn", each(F.least(F.lit(1000).cast("long"), F.col(times) - 1000 * F.col("lot"))))
+    return few.unionByName(many.withColumn("turn", F.col("turn") + 1000 * F.col("lot")).drop("lot"))
+
+
+def copies(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED,
+           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """``id_col``, ``size``, ``source_size``, ``target`` and ``copies`` of every row."""
+    d = _repeated(_drawn(docs, id_col, text, source, seed, weights, share, most), "n", "id", "tie")
+    i = F.col("before") + F.col("turn")
+    return d.select(F.col("id").alias(id_col), "size", "source_size", "target",
+                    F.least(_crossed(i, i + 1), F.ceil(F.lit(float(most)))).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED,
         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The rows of ``docs``, each as often as it has copies. Repeated rows of one id and
-    text take their copies in turn."""
-    n = copies(docs, id_col=id_col, text=text, source=source, seed=seed, weights=weights, share=share, most=most)
-    keyed = docs.withColumn("_tie", F.xxhash64(text))
-    # one entry per (id, text): the copies of its equal rows, summed; each row emits its share
-    n = n.groupBy(F.col(id_col).alias("_id"), F.col("tie").alias("_t")).agg(F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
-    n = n.where("_sum > 0")
-    joined = keyed.join(n.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")))
-    once = joined.where("_rows = 1")
-    more = joined.where("_rows > 1").withColumn("_turn", F.row_number().over(Window.partitionBy("_id", "_t").orderBy(F.col(source))))
-    more = more.withColumn("_sum", F.floor(F.col("_turn") * F.col("_sum") / F.col("_rows")) - F.floor((F.col("_turn") - 1) * F.col("_sum") / F.col("_rows"))).drop("_turn")
-    return once.unionByName(more).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_sum").cast("int")))).select(*docs.columns)
+    """The rows of ``docs``, each as often as it has copies. Only distinct rows with a
+    copy are multiplied; the texts are shuffled once."""
+    drawn = _drawn(docs, id_col, text, source, seed, weights, share, most).select(
+        F.col("id").alias("k_id"), F.col("tie").alias("k_tie"), F.col("n").alias("k_n"),
+        _crossed(F.col("before"), F.col("before") + F.col("n")).alias("k_copies")).where("k_copies > 0")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(id_col).alias("id"), row_hash(docs).alias("tie"))
+    rows = rows.join(drawn.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("k_id")) & (F.col("tie") == F.col("k_tie")))
+    rows = rows.select("d", "id", "tie", F.col("k_n").alias("n"), F.col("k_copies").alias("copies"))
+    alone = rows.where("n = 1")
+    equal = rows.where("n > 1").groupBy("id", "tie").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("copies").alias("copies"))
+    return _repeated(alone.unionByName(equal, allowMissingColumns=False), "copies", "id", "tie").select("d.*")

@@ -220,9 +220,10 @@ def find(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None)
         return F.transform(spans, lambda s: F.struct(F.lit(KINDS.index(kind)).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
     base = F.concat(*(tagged(k, s) for k, s in base_spans(t).items()))
     proposed = candidates(t)
-    found = materialized(docs.select(*keep, base.alias("base"), *(c.alias(f"_{k}") for k, c in proposed.items())))
+    row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row")
+    found = materialized(docs.select(row, base.alias("base"), *(c.alias(f"_{k}") for k, c in proposed.items())))
     clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    found = found.select(*keep, "base", *(F.filter(f"_{k}", clear).alias(f"_{k}") for k in proposed))
+    found = found.select("_row", "base", *(F.filter(f"_{k}", clear).alias(f"_{k}") for k in proposed))
     counts: dict[str, dict[str, float]] = {k: {} for k in proposed}
     with_kind = lambda k: F.transform(f"_{k}", lambda s: F.struct(F.lit(k).alias("kind"), s["code"].alias("code")))
     each = F.explode(F.concat(*map(with_kind, proposed)))
@@ -234,7 +235,7 @@ def find(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None)
             model = train(dict(sorted(codes.items())))
             added.append(tagged(k, _accepted(F.col(f"_{k}"), model)))
     final = lambda spans: F.transform(F.sort_array(spans), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return found.select(*keep, final(F.col("base")).alias("base"), final(F.concat("base", *added)).alias("spans"))
+    return found.select("_row.*", final(F.col("base")).alias("base"), final(F.concat("base", *added)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

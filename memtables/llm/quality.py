@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memtables.llm.common import blocks, bounded_sample, utf8, word_hashes
+from memtables.llm.common import blocks, bounded_sample, fresh, utf8, word_hashes
 
 BITS = 16
 RANK = 8
@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: FactorisationMachine, *, text: str = "text",
     """Adds the score (0 to 1, higher: label 1 likelier) to every row."""
     metadata = metadata or {}
     keep = [c for c in docs.columns if c != out]
-    names = [f"_m{i}" for i in range(len(metadata))]
+    names = [fresh(docs, f"_m{i}") for i in range(len(metadata))]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

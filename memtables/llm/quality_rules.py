@@ -43,9 +43,12 @@ def base_stats(docs: DataFrame, *, text: str = "text", window: int = WINDOW) ->
     Repeated windows are found inside the row: the hashes of all windows (of whole texts)
     are compared by a hash set; only rows with a repeat sort (hash, place) pairs, so the work is at
     most n log n in a text's words."""
+    # the row travels as one struct, so its columns can't clash with those made here
     new = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
-    keep = [c for c in docs.columns if c not in new]
-    t = F.coalesce(F.col(text), F.lit(""))
+    kept = [c for c in docs.columns if c not in new]
+    keep = ["_row"]
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    t = F.col("_text")
     has_word = lambda x: F.btrim(x, F.lit(SPACES)) != ""
     d = docs.select(*keep, F.filter(F.split(t, GAP, -1), lambda w: w != "").alias("_words"),
                     F.filter(F.split(t, "\n", -1), has_word).alias("_lines"),
@@ -64,7 +67,7 @@ def base_stats(docs: DataFrame, *, text: str = "text", window: int = WINDOW) ->
     d = d.withColumn("_places", F.sort_array(F.transform(twice, lambda s: s["i"])))
     span = F.transform("_places", lambda p, j: F.least(F.coalesce(F.try_element_at("_places", j + 2) - p, F.lit(window)), F.lit(window)))
     covered = F.aggregate(span, F.lit(0).cast("long"), lambda a, s: a + s)
-    return d.select(*keep, F.col("_n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines",
+    return d.select("_row.*", F.col("_n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                     F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
