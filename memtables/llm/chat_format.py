@@ -55,6 +55,7 @@ TRANSITIONS: dict[str, dict[str, str]] = {
     "answered": {"user": "asked"},
 }
 ACCEPTING = ("answered",)
+ERROR = "error"
 
 ESCAPES = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
 
@@ -80,8 +81,8 @@ def _by_role(role: Column, known, other: Column) -> Column:
 
 
 def next_state(state: Column, role: Column) -> Column:
-    """The machine's step; null (an error) is kept for good."""
-    out = F.lit(None).cast("string")
+    """The machine's step; no way on leads to ``error``, which is kept for good."""
+    out = F.lit(ERROR)
     for at, ways in TRANSITIONS.items():
         for name, to in ways.items():
             out = F.when((state == at) & (role == name), F.lit(to)).otherwise(out)
@@ -106,13 +107,13 @@ def format_conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str =
         F.col("turns.role"), F.struct(F.lit("start").alias("state"), F.lit(0).alias("n"), F.lit(None).cast("int").alias("error")),
         lambda a, r: F.struct(
             next_state(a["state"], r).alias("state"), (a["n"] + 1).alias("n"),
-            F.when(a["error"].isNotNull(), a["error"]).when(next_state(a["state"], r).isNull(), a["n"]).alias("error")))
+            F.when(a["error"].isNotNull(), a["error"]).when(next_state(a["state"], r) == ERROR, a["n"]).alias("error")))
     out = talk.select(
         conv, walk.alias("walk"),
         F.flatten(F.transform("turns", lambda t: F.array(segment(t["before"], no), segment(t["text"], t["loss"]), segment(t["after"], no)))).alias("segments"))
     return out.select(
         conv, "segments", F.array_join("segments.text", "").alias("formatted"),
-        (F.col("walk.error").isNull() & F.coalesce(F.col("walk.state").isin(*ACCEPTING), no)).alias("valid"),
+        (F.col("walk.error").isNull() & F.col("walk.state").isin(*ACCEPTING)).alias("valid"),
         F.col("walk.error").alias("error_turn"))
 
 
