@@ -4,7 +4,7 @@ A template (:data:`TEMPLATE`) declares for each role the strings before and
 after a text, whether the text counts for the loss, and the role's transitions.
 Each control string has exactly one of the characters ``<`` or ``[``, at its
 start. Texts and the names of other roles are escaped: ``\\`` becomes ``\\0``,
-``<`` becomes ``\\1``, ``[`` becomes ``\\2``. So no text can hold a control
+``<`` becomes ``\\1``, ``[`` becomes ``\\2``, in names ``>`` becomes ``\\3``. So no text can hold a control
 string, the output splits into its parts at every ``<`` and ``[``, and
 unescaping gives back every text exactly.
 
@@ -60,14 +60,18 @@ ERROR = "error"
 ESCAPES = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
 
 
-def escape(text: Column) -> Column:
-    for plain, code in ESCAPES:
+#: In the name of another role also the end of its marker.
+NAME_ESCAPES = (*ESCAPES, (">", "\\3"))
+
+
+def escape(text: Column, escapes=ESCAPES) -> Column:
+    for plain, code in escapes:
         text = F.replace(text, F.lit(plain), F.lit(code))
     return text
 
 
-def unescape(text: Column) -> Column:
-    for plain, code in reversed(ESCAPES):
+def unescape(text: Column, escapes=ESCAPES) -> Column:
+    for plain, code in reversed(escapes):
         text = F.replace(text, F.lit(code), F.lit(plain))
     return text
 
@@ -97,7 +101,7 @@ def format_conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str =
         F.col(conv), F.struct(F.col(turn).alias("turn"), name.alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
     marks = row.select(conv, F.struct(
         "t.turn", "t.role", escape(F.col("t.text")).alias("text"),
-        _by_role(F.col("t.role"), lambda r: F.lit(r.before), F.concat(F.lit(start), escape(F.coalesce("t.role", F.lit(""))), F.lit(end))).alias("before"),
+        _by_role(F.col("t.role"), lambda r: F.lit(r.before), F.concat(F.lit(start), escape(F.coalesce("t.role", F.lit("")), NAME_ESCAPES), F.lit(end))).alias("before"),
         _by_role(F.col("t.role"), lambda r: F.lit(r.after), F.lit(other.after)).alias("after"),
         _by_role(F.col("t.role"), lambda r: F.lit(r.loss), F.lit(other.loss)).alias("loss")).alias("t"))
     talk = marks.groupBy(conv).agg(F.sort_array(F.collect_list("t")).alias("turns"))
@@ -139,7 +143,7 @@ def read_back(formatted: Column) -> Column:
         cut = F.instr(p, end)
         name = name.otherwise(F.substring(p, F.lit(len(start) + 1), cut - F.lit(len(start) + 1)))
         body = body.otherwise(F.substring(p, cut + F.lit(len(end)), F.length(p)))
-        return F.struct(unescape(name).alias("role"), unescape(body).alias("text"))
+        return F.struct(unescape(name, NAME_ESCAPES).alias("role"), unescape(body).alias("text"))
     return F.transform(opens, turn)
 
 
