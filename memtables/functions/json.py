@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from memtables.functions.text import java_trim
 from memtables.schema import MSG_LABELS_PREFIX
 
 
@@ -23,9 +24,19 @@ _WHOLE_VALUE = (r'(?s)^[\x00-\x20]*(\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|f
                 r'[\x00-\x20]*$')
 
 
+def _whole(text: Column) -> Column:
+    """True if the text is one JSON value and nothing more: followed by a mark of its
+    own in an array, exactly the value and the mark are read back. A second value, a
+    stray bracket or other trailing text ends the array early, breaks it or stands
+    where the mark should be."""
+    mark = F.md5(F.encode(text, "UTF-8"))
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>")
+    return text.rlike(_WHOLE_VALUE) & F.coalesce((F.size(both) == 2) & (F.try_element_at(both, F.lit(2)) == mark), F.lit(False))
+
+
 def strict_parse_json(text: Column) -> Column:
     """VARIANT of a JSON text, null unless the whole text is one JSON value."""
-    return F.when(text.rlike(_WHOLE_VALUE), F.try_parse_json(text))
+    return F.when(_whole(text), F.try_parse_json(text))
 
 
 def labels_from_json(text: Column) -> Column:
@@ -39,13 +50,13 @@ def labels_from_json(text: Column) -> Column:
     # scalar values as text; VARIANT keeps a number's decimal digits (1.50 stays 1.50)
     as_text = F.transform_values(typed, lambda k, v: F.try_variant_get(v, "$", "string"))
     # duplicate keys make the VARIANT parse fail; the JSON reader keeps the last one
-    raw = F.coalesce(as_text, F.when(text.rlike(_WHOLE_VALUE), F.from_json(text, "map<string,string>")))
+    raw = F.coalesce(as_text, F.when(_whole(text), F.from_json(text, "map<string,string>")))
     nested = F.exists(
         F.map_values(typed),
         lambda x: F.schema_of_variant(x).startswith("OBJECT")
         | F.schema_of_variant(x).startswith("ARRAY"),
     )
-    blank = text.isNull() | (F.trim(text) == "") | (F.trim(text) == "null")
+    blank = text.isNull() | java_trim(text).isin("", "null")
     error = F.concat(F.lit(MSG_LABELS_PREFIX), text)
     return (
         F.when(blank, F.struct(F.lit(None).cast("map<string,string>").alias("labels"),

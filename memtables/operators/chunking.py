@@ -262,12 +262,14 @@ def chunk_by_config(memories: DataFrame, spaces: DataFrame, text_col: str = "ori
     configs are few (read with a bounded collect); each config is one
     filtered branch, all unioned."""
     cfg = spaces.select("space_id", "chunking.strategy", "chunking.chunk_size", "chunking.chunk_overlap")
-    keyed = memories.join(cfg, "space_id", "left")
-    combos = (cfg.select("strategy", "chunk_size", "chunk_overlap").distinct().limit(101).collect())
-    if len(combos) > 100:
-        raise ValueError("more than 100 distinct chunking configs")
+    # a memory whose space isn't in ``spaces`` gets the default config
+    keyed = memories.join(cfg.withColumn("_known", F.lit(True)), "space_id", "left")
+    unknown = F.col("_known").isNull()
+    default = {"strategy": S.DEFAULT_CHUNKING_STRATEGY, "chunk_size": S.DEFAULT_CHUNK_SIZE, "chunk_overlap": S.DEFAULT_CHUNK_OVERLAP}
+    keyed = keyed.withColumns({c: F.when(unknown, F.lit(v)).otherwise(F.col(c)) for c, v in default.items()}).drop("_known")
+    combos = {tuple(r) for r in cfg.select("strategy", "chunk_size", "chunk_overlap").distinct().collect()} | {tuple(default.values())}
     parts = []
-    for st, size, ov in combos:
+    for st, size, ov in sorted(combos, key=repr):
         cond = (F.col("strategy") == st) if st is not None else F.col("strategy").isNull()
         sub = keyed.where(cond & F.col("chunk_size").eqNullSafe(size) & F.col("chunk_overlap").eqNullSafe(ov))
         if st == S.STRATEGY_NONE:

@@ -89,7 +89,7 @@ def _parse_line(line: Column, pos: Column) -> Column:
 
             return _bind(F.when(text_ok, strict_parse_json(j)), on_variant)
 
-        return _bind(F.when(t.startswith("data:"), java_trim(F.substring(t, 6, 1 << 30))).otherwise(t),
+        return _bind(F.when(t.startswith("data:"), java_trim(F.substring(t, F.lit(6), F.length(t)))).otherwise(t),
                      on_json)
 
     return _bind(java_trim(line), on_text)

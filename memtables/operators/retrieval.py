@@ -80,26 +80,37 @@ def chunks_in_spaces(chunks: DataFrame, query_spaces: DataFrame) -> DataFrame:
 
 # -- 35 retrieve_topk --------------------------------------------------------
 
-def _unit_matrix(arr) -> tuple[np.ndarray, np.ndarray]:
-    """Arrow list<float> column -> (n x d float64 matrix of unit rows, ok mask).
-    The values are taken from the flat Arrow buffer (no per-row Python
-    objects); null, empty, zero or wrongly sized vectors are marked not ok."""
+def _by_length(arr) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Arrow list<float> column -> {length: (positions, matrix of unit rows)}. The
+    values are taken from the flat Arrow buffer (no per-row Python objects);
+    null, empty and zero vectors are left out. Only vectors of equal length are
+    ever compared."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks() if arr.num_chunks else pa.array([], type=arr.type)
-    n = len(arr)
-    if n == 0:
-        return np.zeros((0, 0)), np.zeros(0, dtype=bool)
     lens = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
-    d = int(lens.max()) if n else 0
-    m = np.zeros((n, max(d, 1)), dtype=np.float64)
-    full = lens == d
-    if d and full.any():
-        flat = pc.list_flatten(arr.filter(pa.array(full))).to_numpy(zero_copy_only=False)
-        m[full] = np.nan_to_num(flat.astype(np.float64, copy=False).reshape(-1, d))
-    norms = np.linalg.norm(m, axis=1)
-    ok = full & (norms > 0)
-    m[ok] = m[ok] / norms[ok, None]
-    return m, ok
+    out = {}
+    for d in np.unique(lens[lens > 0]).tolist():
+        at = np.flatnonzero(lens == d)
+        flat = pc.list_flatten(arr.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        m = np.nan_to_num(flat.astype(np.float64, copy=False).reshape(-1, d))
+        norms = np.linalg.norm(m, axis=1)
+        ok = norms > 0
+        if ok.any():
+            out[d] = (at[ok], m[ok] / norms[ok, None])
+    return out
+
+
+def _topk_lengths(queries: dict, q_k: np.ndarray, chunks: dict):
+    """:func:`_topk_block` for each vector length that both sides have; positions are
+    those of the whole columns."""
+    out_q, out_c, out_s = [], [], []
+    for d in queries.keys() & chunks.keys():
+        (q_at, q_mat), (c_at, c_mat) = queries[d], chunks[d]
+        q, c, s = _topk_block(q_mat, np.ones(len(q_at), bool), q_k[q_at], c_mat, np.ones(len(c_at), bool))
+        out_q += [q_at[x] for x in q]
+        out_c += [c_at[x] for x in c]
+        out_s += s
+    return out_q, out_c, out_s
 
 
 def _topk_block(q_mat, q_ok, q_k, c_mat, c_ok, rounding=S.SCORE_DIGITS):
@@ -135,21 +146,23 @@ def _topk_block(q_mat, q_ok, q_k, c_mat, c_ok, rounding=S.SCORE_DIGITS):
     return out_q, out_c, out_s
 
 
-def _candidates_schema(chunk_id_type: T.DataType) -> T.StructType:
+def _candidates_schema(queries: DataFrame, chunks: DataFrame) -> T.StructType:
+    """Ids keep their type: strings stay strings, whole numbers become longs."""
+    def kind(df: DataFrame, c: str) -> T.DataType:
+        return T.StringType() if isinstance(df.schema[c].dataType, T.StringType) else T.LongType()
     return T.StructType([
-        T.StructField("query_id", T.LongType()),
-        T.StructField("chunk_id", chunk_id_type),
-        T.StructField("memory_id", T.LongType()),
+        T.StructField("query_id", kind(queries, "query_id")),
+        T.StructField("chunk_id", kind(chunks, "chunk_id")),
+        T.StructField("memory_id", kind(chunks, "memory_id")),
         T.StructField("space_id", T.StringType()),
         T.StructField("score", T.DoubleType()),
         T.StructField("k", T.IntegerType()),
     ])
 
 
-def _arrow_schema(chunk_id_type: T.DataType) -> pa.Schema:
-    cid = pa.string() if isinstance(chunk_id_type, T.StringType) else pa.int64()
-    return pa.schema([("query_id", pa.int64()), ("chunk_id", cid), ("memory_id", pa.int64()),
-                      ("space_id", pa.string()), ("score", pa.float64()), ("k", pa.int32())])
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    kinds = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.DoubleType(): pa.float64(), T.IntegerType(): pa.int32()}
+    return pa.schema([(f.name, kinds[f.dataType]) for f in schema])
 
 
 def _table(schema: pa.Schema, q_ids, q_k, chunks: pa.Table, res) -> pa.Table | None:
@@ -159,9 +172,9 @@ def _table(schema: pa.Schema, q_ids, q_k, chunks: pa.Table, res) -> pa.Table | N
     qpos = np.concatenate(out_q)
     cpos = pa.array(np.concatenate(out_c))
     return pa.Table.from_arrays([
-        pa.array(np.asarray(q_ids)[qpos], pa.int64()),
+        pa.array(np.asarray(q_ids)[qpos], schema.field("query_id").type),
         chunks.column("chunk_id").take(cpos).cast(schema.field("chunk_id").type),
-        chunks.column("memory_id").take(cpos).cast(pa.int64()),
+        chunks.column("memory_id").take(cpos).cast(schema.field("memory_id").type),
         chunks.column("space_id").take(cpos).cast(pa.string()),
         pa.array(np.concatenate(out_s), pa.float64()),
         pa.array(np.asarray(q_k)[qpos], pa.int32()),
@@ -177,11 +190,11 @@ def _tile_kernel(schema: pa.Schema):
         if chunks.num_rows == 0 or queries.num_rows == 0:
             return schema.empty_table()
         chunks = _sorted_by_id(chunks)
-        c_mat, c_ok = _unit_matrix(chunks.column("embedding"))
-        q_mat, q_ok = _unit_matrix(queries.column("query_vector"))
-        q_ids = queries.column("query_id").to_numpy()
+        q_ids = queries.column("query_id").to_numpy(zero_copy_only=False) if isinstance(queries.column("query_id"), pa.Array) \
+            else queries.column("query_id").to_numpy()
         q_k = queries.column("k").to_numpy()
-        out = _table(schema, q_ids, q_k, chunks, _topk_block(q_mat, q_ok, q_k, c_mat, c_ok))
+        found = _topk_lengths(_by_length(queries.column("query_vector")), q_k, _by_length(chunks.column("embedding")))
+        out = _table(schema, q_ids, q_k, chunks, found)
         return schema.empty_table() if out is None else out
     return tile
 
@@ -222,7 +235,7 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
               .select("space_id", "ct", "qt", "query_id", "query_vector", "k"))
     cands = (c_side.groupBy("space_id", "ct", "qt")
              .cogroup(q_side.groupBy("space_id", "ct", "qt"))
-             .applyInArrow(_tile_kernel(_arrow_schema(schema["chunk_id"].dataType)), schema))
+             .applyInArrow(_tile_kernel(_arrow_schema(schema)), schema))
     return cands, int(st["k"] or 1)
 
 
@@ -231,12 +244,12 @@ def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> Da
     (``qpd`` is the query table, already proven small by the caller)."""
     spark = chunks.sparkSession
     qpd = qpd.reset_index(drop=True)
-    q_mat, q_ok = _unit_matrix(pa.array(qpd["query_vector"].tolist(), pa.list_(pa.float64())))
     by_space = {s: g.index.to_numpy() for s, g in qpd.groupby("space_id")}
+    lists = [None if v is None else list(v) for v in qpd["query_vector"]]
     payload = spark.sparkContext.broadcast({
-        "ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(),
-        "mat": q_mat, "ok": q_ok, "by_space": by_space})
-    out_schema = _arrow_schema(schema["chunk_id"].dataType)
+        "ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(), "by_space": {
+            s: (rows, _by_length(pa.array([lists[i] for i in rows], pa.list_(pa.float64())))) for s, rows in by_space.items()}})
+    out_schema = _arrow_schema(schema)
     if len(by_space) <= MAX_PUSHED_SPACES:
         # a pushed IN filter: partition pruning when the table is laid out by space
         chunks = chunks.where(F.col("space_id").isin(list(by_space)))
@@ -250,12 +263,11 @@ def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> Da
             spaces = tbl.column("space_id").to_numpy(zero_copy_only=False)
             codes, uniques = pd.factorize(spaces)
             for ci, space in enumerate(uniques):
-                rows = b["by_space"].get(space)
+                rows, q_groups = b["by_space"].get(space, (None, None))
                 if rows is None:
                     continue
                 grp = _sorted_by_id(tbl.take(pa.array(np.flatnonzero(codes == ci))))
-                c_mat, c_ok = _unit_matrix(grp.column("embedding"))
-                res = _topk_block(b["mat"][rows], b["ok"][rows], b["k"][rows], c_mat, c_ok)
+                res = _topk_lengths(q_groups, b["k"][rows], _by_length(grp.column("embedding")))
                 part = _table(out_schema, b["ids"][rows], b["k"][rows], grp, res)
                 if part is not None:
                     parts.append(part)
@@ -303,15 +315,17 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
     Returns query_id, rank (1..k), chunk_id, memory_id, space_id, score
     (rounded to 6 digits; ties by chunk id).
 
-    ``method``: ``tiled``, ``broadcast`` or ``auto`` (broadcast only when the
-    query rows are proven small).
+    ``method``: ``tiled``, ``broadcast`` or ``auto``. The broadcast form is used only
+    when the query rows are proven small; beyond that every method is tiled. All forms give
+    the same rows: vectors are compared with vectors of their own length; null, empty and
+    zero vectors match nothing; ids may be strings or whole numbers.
     """
     queries = _query_rows(requests, default_k)
     chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding")
-    schema = _candidates_schema(chunks.schema["chunk_id"].dataType)
+    schema = _candidates_schema(queries, chunks)
     qpd = None
     if method in ("auto", "broadcast"):
-        qpd = _small_queries(queries, strict=(method == "broadcast"))
+        qpd = _small_queries(queries)
         method = "broadcast" if qpd is not None else "tiled"
     if method == "broadcast":
         cands = _broadcast(qpd, chunks, schema)
@@ -324,7 +338,7 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
         "query_id", "rank", "chunk_id", "memory_id", "space_id", "score")
 
 
-def _small_queries(queries: DataFrame, strict: bool = False) -> pd.DataFrame | None:
+def _small_queries(queries: DataFrame) -> pd.DataFrame | None:
     """The query rows as pandas when they provably fit ``BROADCAST_QUERY_BYTES``:
     one aggregate gives the row count and the largest vector dimension, so
     rows x (8 x largest dimension + overhead) is an upper bound; None
@@ -333,9 +347,6 @@ def _small_queries(queries: DataFrame, strict: bool = False) -> pd.DataFrame | N
     n, dim = int(st["n"] or 0), max(int(st["d"] or 1), 1)
     if n * (8 * dim + 96) <= BROADCAST_QUERY_BYTES:
         return queries.toPandas()
-    if strict:
-        raise ValueError(f"query table of {n} rows x {dim} dims exceeds the broadcast bound; "
-                         "use method='tiled'")
     return None
 
 

@@ -41,8 +41,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Before CPU-heavy per-row work: when ``df`` has fewer partitions than
     the cluster has cores (a small input, e.g. one Parquet row group), spread
     its rows round-robin over the cores; otherwise leave it alone (a large
-    input is already split by the scan, and a shuffle would be waste)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    input is already split by the scan, and a shuffle would be waste). The size comes
+    from the scanned files' statistics: no job runs. Spark splits a scan into at least
+    one part per core once there are ``openCostInBytes`` for each."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if scan_bytes(df) >= cores * (4 << 20):
         return df
     return df.repartition(cores)

@@ -216,7 +216,7 @@ def negotiate_content(spark: SparkSession, d: str) -> DataFrame:
     ev = T.read(spark, d, "events").select(
         (F.col("event_id") * 2 + 1).alias("memory_id"),
         F.lit("application/json; charset=utf-8").alias("content_type"),
-        F.when(F.col("event_type") == "error", F.substring("props", 2, 1 << 20))
+        F.when(F.col("event_type") == "error", F.substring("props", F.lit(2), F.length("props")))
         .otherwise(F.col("props")).alias("stored"))
     both = docs.unionByName(ev)
     neg = M.negotiate_content(F.col("content_type"), F.col("stored"))

@@ -60,7 +60,7 @@ def _metadata_requests(spark: SparkSession, d: str) -> DataFrame:
     """Event rows as text memories with their props as metadata; 'error'
     events carry a broken JSON text, 'signup' events an empty object."""
     ev = T.read(spark, d, "events")
-    meta = (F.when(F.col("event_type") == "error", F.substring("props", 2, 1 << 20))
+    meta = (F.when(F.col("event_type") == "error", F.substring("props", F.lit(2), F.length("props")))
             .when(F.col("event_type") == "signup", F.lit("{}")).otherwise(F.col("props")))
     return ev.select(F.col("event_id").alias("request_id"), F.lit("events").alias("space_id"),
                      F.col("event_type").alias("text"), meta.alias("metadata_json"))

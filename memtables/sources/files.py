@@ -7,20 +7,17 @@ from pyspark.sql import functions as F
 
 from memtables.session import shared_dir
 
-# one row is one whole file: keep a size bound (bytes) on what is read
-MAX_FILE_BYTES = 256 * 1024 * 1024
-
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None,
-               recursive: bool = True, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+               recursive: bool = True, max_bytes: int | None = None) -> DataFrame:
     """Files under ``path`` as rows ``path, modificationTime, length, content``
-    (Spark's ``binaryFile`` source). Files over ``max_bytes`` keep their row with
-    null content (an ingest error row), so one huge file cannot sink a task."""
+    (Spark's ``binaryFile`` source). Every file is read whole; only if the caller
+    sets ``max_bytes``, files over it keep their row with null content (an ingest error row)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(path)
-    return df.withColumn("content", F.when(F.col("length") <= max_bytes, F.col("content")))
+    return df if max_bytes is None else df.withColumn("content", F.when(F.col("length") <= max_bytes, F.col("content")))
 
 
 def file_requests(files: DataFrame, space_id: str | F.Column) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from memtables import schema as S
 from memtables.functions.json import strict_parse_json
-from memtables.functions.text import base64_flat, valid_utf8
+from memtables.functions.text import base64_flat, java_trim, valid_utf8
 from memtables.operators.outcomes import first_error, with_outcome
 
 
@@ -68,7 +68,7 @@ def metadata_of(metadata_json: Column) -> Column:
     """``struct<metadata variant, error string>``."""
     v = strict_parse_json(metadata_json)
     kind = F.schema_of_variant(v)
-    given = _non_empty(metadata_json) & (F.trim(metadata_json) != "null")
+    given = _non_empty(metadata_json) & ~java_trim(metadata_json).isin("", "null")
     bad = given & (v.isNull() | ~kind.startswith("OBJECT"))
     empty = kind == "OBJECT<>"
     return F.struct(F.when(given & ~bad & ~empty, v).alias("metadata"),

@@ -14,19 +14,9 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input table as a lazy DataFrame. The reader (file listing, footer
-    schema) is made once per session and path; DataFrames are immutable, so
-    every caller can share it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """The input table as a lazy DataFrame, with its files as they are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # -- spaces / embedders ------------------------------------------------------

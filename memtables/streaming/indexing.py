@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from memtables import schema as S
 from memtables.operators import chunking as CH
 from memtables.operators.embedding import embed_chunks
-from memtables.session import shared_dir
+from memtables.session import materialized, shared_dir
 
 Chunker = Callable[[DataFrame], DataFrame]
 
@@ -56,34 +56,44 @@ def index_batch(memories: DataFrame, chunker: Chunker = default_chunker,
 
 
 def stream_index_memories(stream: DataFrame, out_dir: str, checkpoint: str,
-                          chunker: Chunker = default_chunker, embedder_id: str = "hash-256",
-                          watermark: str = "1 hour"):
+                          chunker: Chunker = default_chunker, embedder_id: str = "hash-256"):
     """Starts the indexing stream over a streaming DataFrame of memories
     (``memory_id, space_id, original_content, created_at``); returns the
     StreamingQuery. Vectors go to ``out_dir/vectors``, status rows to
     ``out_dir/status``, each under ``batch_id=<n>``."""
-    deduped = (stream.withColumn("_event_time", F.col("created_at").cast("timestamp"))
-               .withWatermark("_event_time", watermark)
-               .dropDuplicatesWithinWatermark(["memory_id"])
-               .drop("_event_time"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        vectors, status = index_batch(batch, chunker, embedder_id)
+        spark = batch.sparkSession
+        # each memory once: the first of its rows in the batch, if no earlier batch wrote it. No
+        # watermark: memories may arrive however late. A batch that runs again overwrites its own folder.
+        rest = [c for c in batch.columns if c not in ("memory_id", "created_at")]
+        new = (batch.groupBy("memory_id").agg(F.min(F.struct("created_at", *rest)).alias("m"))
+               .select("memory_id", *(F.col("m")[c].alias(c) for c in ("created_at", *rest))))
+        if _exists(spark, f"{out_dir}/status"):
+            done = spark.read.parquet(f"{out_dir}/status").where(F.col("batch_id") < batch_id).select("memory_id")
+            new = new.join(done, "memory_id", "left_anti")
+        new = materialized(new)
+        vectors, status = index_batch(new, chunker, embedder_id)
         vectors.write.mode("overwrite").parquet(f"{out_dir}/vectors/batch_id={batch_id}")
         status.write.mode("overwrite").parquet(f"{out_dir}/status/batch_id={batch_id}")
 
-    return (deduped.writeStream.foreachBatch(write_batch)
+    return (stream.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New documents arriving as files in ``sf_dir`` (file source), joined with
     their creation events (stream-static join) into memory rows."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    docs = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    # the table's own path, a single file or a folder of part files: a stream takes a file only by a pattern
+    docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{sf_dir.rstrip('/')}/documents.parque[t]")
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts")
     return docs.join(ev, docs.doc_id == ev.event_id).select(
         F.col("doc_id").alias("memory_id"), F.col("source").alias("space_id"),
