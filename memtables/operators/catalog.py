@@ -10,11 +10,14 @@ requests in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memtables import schema as S
-from memtables.functions.json import labels_from_json, merge_labels
+from memtables.functions.json import labels_from_json
 from memtables.functions.text import sha_id
 from memtables.operators.outcomes import first_error, with_outcome, with_total
 
@@ -94,8 +97,11 @@ def create_or_reuse_spaces(spaces: DataFrame, requests: DataFrame) -> tuple[Data
     * else the first request of that name with a valid config creates it, and
       later requests of that name reuse it; invalid configs before it are errors.
 
-    Returns (receipts, new spaces snapshot).
+    New spaces take their creation time from the request's ``created_at`` if there
+    is such a column, else from the clock. Returns (receipts, new spaces snapshot).
     """
+    if "created_at" not in requests.columns:
+        requests = requests.withColumn("created_at", F.localtimestamp())
     existing = (spaces.groupBy("name").agg(F.min(F.struct(
         "created_at", "space_id", first_embedder(F.col("space_embedders")).alias("emb"))).alias("_e"))
         .select("name", F.col("_e.space_id").alias("_ex_id"), F.col("_e.emb").alias("_ex_emb")))
@@ -122,7 +128,7 @@ def create_or_reuse_spaces(spaces: DataFrame, requests: DataFrame) -> tuple[Data
         F.when(creates, F.col("_cfg.chunk_overlap")).alias("chunk_overlap"),
         F.when(reuse_ex | creates | reuse_new, reuse_ex | reuse_new).alias("reused"),
         F.when(~(reuse_ex | creates | reuse_new), F.col("_cfg.error")).alias("error"),
-        F.col("_c_cfg"),
+        F.col("_c_cfg"), F.col("created_at").cast("timestamp_ntz").alias("_at"),
     )
     out = out.withColumn("success", F.col("error").isNull()).withColumn(
         "message", F.when(F.col("reused"), F.lit(S.MSG_SPACE_REUSED))
@@ -134,21 +140,45 @@ def create_or_reuse_spaces(spaces: DataFrame, requests: DataFrame) -> tuple[Data
                  F.col("_c_cfg.chunk_overlap").alias("chunk_overlap")).alias("chunking"),
         F.lit(False).alias("public_read"),
         F.create_map().cast("map<string,string>").alias("labels"),
-        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.col("_at").alias("created_at"),
     )
-    return out.drop("_c_cfg"), spaces.unionByName(created)
+    return out.drop("_c_cfg", "_at"), spaces.unionByName(created)
 
 
 # -- 25-27 update_spaces ------------------------------------------------------------
 
+def _apply_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Patches sorted by space and ``seq`` -> the space's state after each of them. Holds
+    one space's state, however many patches it has."""
+    space, name, public, labels = None, None, None, None
+    for rows in batches:
+        out = []
+        for r in rows.itertuples(index=False):
+            if r.space_id != space:
+                space, name, public, labels = r.space_id, r.old_name, r.old_public, r.old_labels
+            name = name if r.name is None else r.name
+            public = public if r.public_read is None else r.public_read
+            if r.replace is not None:
+                labels = r.replace
+            elif r.merge is not None:
+                labels = {**(labels or {}), **r.merge}
+            out.append((space, r.seq, name, public, labels))
+        yield pd.DataFrame(out, columns=["space_id", "seq", "name", "public_read", "labels"]).astype(object)
+
+
 def update_spaces(spaces: DataFrame, patches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Patches ``space_id, name, public_read, replace_labels_json,
-    merge_labels_json`` (null = leave alone), at most one per space.
-    Embedders and chunking never change. Returns (receipts, new snapshot)."""
-    p = (patches.withColumn("_rep", labels_from_json(F.col("replace_labels_json")))
+    merge_labels_json`` (null = leave alone), answered as if sent one by one in
+    order of the column ``seq`` (distinct numbers; without it, at most one per
+    space). A patch in error changes nothing. Embedders and chunking never change.
+    Returns (receipts with the state after each patch, new snapshot)."""
+    numbered = "seq" in patches.columns
+    p = patches if numbered else patches.withColumn("seq", F.lit(0))
+    p = (p.withColumn("seq", F.col("seq").cast("long"))
+         .withColumn("_rep", labels_from_json(F.col("replace_labels_json")))
          .withColumn("_mrg", labels_from_json(F.col("merge_labels_json"))))
-    old = spaces.select("space_id", F.col("name").alias("_old_name"),
-                        F.col("public_read").alias("_old_pr"), F.col("labels").alias("_old_labels"),
+    old = spaces.select("space_id", F.col("name").alias("old_name"),
+                        F.col("public_read").alias("old_public"), F.col("labels").alias("old_labels"),
                         F.lit(True).alias("_found"))
     j = p.join(old, "space_id", "left")
     err = first_error(
@@ -157,25 +187,19 @@ def update_spaces(spaces: DataFrame, patches: DataFrame) -> tuple[DataFrame, Dat
         (F.col("_mrg.error").isNotNull(), F.col("_mrg.error")),
         (F.col("_rep.labels").isNotNull() & F.col("_mrg.labels").isNotNull(), S.MSG_LABELS_EXCLUSIVE),
     )
-    new_labels = F.coalesce(F.col("_rep.labels"),
-                            merge_labels(F.col("_old_labels"), F.col("_mrg.labels")))
-    ok = err.isNull()
-    receipts = with_outcome(j.select(
-        "space_id",
-        F.when(ok, F.coalesce("name", "_old_name")).alias("name"),
-        F.when(ok, F.coalesce("public_read", "_old_pr")).alias("public_read"),
-        F.when(ok, new_labels).alias("labels"),
-        err.alias("_err")), F.col("_err"), S.MSG_SPACE_UPDATED).drop("_err")
-    good = receipts.where("success").select(
-        "space_id", F.col("name").alias("_n"), F.col("public_read").alias("_p"), F.col("labels").alias("_l"),
-        F.lit(True).alias("_m"))
-    patched = F.coalesce(F.col("_m"), F.lit(False))
-    snap = (spaces.join(good, "space_id", "left")
-            .withColumn("name", F.when(patched, F.col("_n")).otherwise(F.col("name")))
-            .withColumn("public_read", F.when(patched, F.col("_p")).otherwise(F.col("public_read")))
-            .withColumn("labels", F.when(patched, F.col("_l")).otherwise(F.col("labels")))
-            .drop("_n", "_p", "_l", "_m"))
-    return receipts, snap
+    j = j.select("space_id", "seq", "name", "public_read", F.col("_rep.labels").alias("replace"),
+                 F.col("_mrg.labels").alias("merge"), "old_name", "old_public", "old_labels", err.alias("_err"))
+    schema = "space_id string, seq long, name string, public_read boolean, labels map<string,string>"
+    done = (j.where("_err is null").drop("_err").repartition("space_id").sortWithinPartitions("space_id", "seq")
+            .mapInPandas(_apply_in_order, schema))
+    bad = j.where("_err is not null").select("space_id", "seq", "_err")
+    receipts = done.withColumn("_err", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+    receipts = with_outcome(receipts, F.col("_err"), S.MSG_SPACE_UPDATED).drop("_err")
+    last = done.groupBy("space_id").agg(F.max_by(F.struct("name", "public_read", "labels"), "seq").alias("_new"))
+    kept = [c for c in spaces.columns if c not in ("name", "public_read", "labels")]
+    state = lambda c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+    snap = spaces.join(last, "space_id", "left").select(*kept, state("name"), state("public_read"), state("labels"))
+    return (receipts if numbered else receipts.drop("seq")), snap.select(*spaces.columns)
 
 
 def parse_labels(df: DataFrame, col: str) -> DataFrame:

@@ -19,6 +19,7 @@ from memtables import schema as S
 from memtables.functions.text import first_sentence, tokens
 from memtables.operators import retrieval as R
 from memtables.operators import sizing as SZ
+from memtables.operators.outcomes import first_error, with_outcome
 from memtables.operators.sizing import scan_bytes
 from memtables.session import materialized
 
@@ -56,15 +57,21 @@ def register_reranker(name: str, score: Callable[[Column, Column], Column],
     RERANKERS[name] = Reranker(score=score, prepare=prepare)
 
 
-def _prepared(df: DataFrame, text_col: str, prefix: str) -> list[Column]:
+def _prepared(text_col: str, prefix: str, asked: Callable[[int, str], Column]) -> list[Column]:
+    """The rerankers' inputs from a text, each only where ``asked`` (number, name) holds."""
     out = []
     for i, (name, rr) in enumerate(RERANKERS.items()):
         text = F.coalesce(F.col(text_col), F.lit(""))
         val = rr.prepare(text) if rr.prepare is not None else text
-        out.append(F.when(F.col("reranker_id") == name, val).alias(f"{prefix}{i}"))
+        out.append(F.when(asked(i, name), val).alias(f"{prefix}{i}"))
     return out
 
 
+def _unknown_reranker() -> Column:
+    given = F.coalesce(F.col("reranker_id"), F.lit(""))
+    return (given != "") & ~given.isin(*RERANKERS)
+
+
 def rerank_score(reranker_id: Column, query_text: Column, chunk_text: Column) -> Column:
     """Score of the named reranker on raw texts (null for an unknown name)."""
     expr = F.lit(None).cast("double")
@@ -92,33 +99,31 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
                            memories: DataFrame, *, method: str = "auto") -> DataFrame:
     """top-k -> rerank -> threshold -> cut to k -> resort, with memory index and
     totals. One row per result: query_id, rank, chunk_id, memory_id, space_id,
-    relevance_score, memory_index, total_results, created_at, chunk_text."""
-    top = R.retrieve_topk(requests, chunk_vectors, method=method)
+    relevance_score, memory_index, total_results, created_at, chunk_text.
+    Requests in error (:func:`retrieval_outcomes`) have no results.
+
+    The search runs once: its few rows are written, and everything after reads
+    them. Texts are attached and tokenised once per found chunk."""
+    requests = requests.where(~_unknown_reranker())
+    top = materialized(R.retrieve_topk(requests, chunk_vectors, method=method))
     opts = requests.select(
-        "query_id", "query_text", "max_results", "relevance_threshold", "reranker_id",
-        "chronological_resort", post_processor_on().alias("_post"))
+        "query_id", "max_results", "relevance_threshold", "reranker_id", "chronological_resort",
+        post_processor_on().alias("_post"),
+        *_prepared("query_text", "_q", lambda i, name: F.col("reranker_id") == name))
     texts = chunk_texts.select("chunk_id", "chunk_text")
     created = memories.select("memory_id", "created_at")
-    if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES:
-        # big text / memory tables: the result rows are computed once and
-        # written to the shared folder, counted, and when few, their ids cut
-        # the big tables down with broadcast semi-joins, so those are scanned
-        # but never shuffled to meet a small result set
-        top = materialized(top)
-        if top.count() <= MAX_BROADCAST_RESULTS:
-            texts = texts.join(F.broadcast(top.select("chunk_id").distinct()), "chunk_id", "left_semi")
-            created = created.join(F.broadcast(top.select("memory_id").distinct()), "memory_id", "left_semi")
-    j = (top.join(opts, "query_id")
-         .join(texts, "chunk_id", "left")
-         .join(created, "memory_id", "left"))
-
-    # reranker inputs prepared once per query and once per distinct chunk
-    asks = F.col("_post") & F.col("reranker_id").isNotNull()
-    q_prep = opts.where(asks).select("query_id", *_prepared(opts, "query_text", "_q"))
-    c_prep = (j.where(asks).select("chunk_id", "reranker_id").distinct()
-              .join(texts, "chunk_id", "left")
-              .select("chunk_id", "reranker_id", *_prepared(j, "chunk_text", "_c")))
-    j = j.join(q_prep, "query_id", "left").join(c_prep, ["chunk_id", "reranker_id"], "left")
+    if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES and top.count() <= MAX_BROADCAST_RESULTS:
+        # big text / memory tables and few results: their ids cut the big tables down with
+        # broadcast semi-joins, so those are scanned but never shuffled to meet a small result set
+        texts = texts.join(F.broadcast(top.select("chunk_id").distinct()), "chunk_id", "left_semi")
+        created = created.join(F.broadcast(top.select("memory_id").distinct()), "memory_id", "left_semi")
+    asked = (top.join(requests.select("query_id", "reranker_id"), "query_id").groupBy("chunk_id")
+             .agg(*(F.coalesce(F.bool_or(F.col("reranker_id") == name), F.lit(False)).alias(f"_a{i}") for i, name in enumerate(RERANKERS))))
+    found = (asked.join(texts, "chunk_id", "left")
+             .select("chunk_id", "chunk_text", *_prepared("chunk_text", "_c", lambda i, name: F.col(f"_a{i}"))))
+    j = (top.join(found, "chunk_id", "left")
+         .join(created, "memory_id", "left")
+         .join(opts, "query_id"))
     rr = F.lit(None).cast("double")
     for i, (name, r) in enumerate(RERANKERS.items()):
         rr = F.when(F.col("reranker_id") == name,
@@ -163,13 +168,12 @@ def result_totals(results: DataFrame, requests: DataFrame) -> DataFrame:
 
 # -- 33 abstract_context ------------------------------------------------------
 
-REPLY_TOP_CHUNKS = 3     # our choice: the extractive reply reads the best 3 chunks
 CONTEXT_SEPARATOR = "\n\n"
 
 
 def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -> DataFrame:
     """Per query: the found chunk texts in rank order, joined (the summary's
-    input), and an extractive reply from the first sentences of the top chunks.
+    input), and an extractive reply from the first sentences of all of them.
     Bounded: a query holds at most k results."""
     res = results
     if "chunk_text" not in res.columns:
@@ -177,7 +181,7 @@ def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -
     items = F.array_sort(F.collect_list(F.struct("rank", F.coalesce("chunk_text", F.lit("")).alias("t"))))
     g = res.groupBy("query_id").agg(items.alias("_items"))
     texts = F.transform("_items", lambda x: x["t"])
-    firsts = F.transform(F.slice("_items", 1, REPLY_TOP_CHUNKS), lambda x: first_sentence(x["t"]))
+    firsts = F.transform("_items", lambda x: first_sentence(x["t"]))
     return g.select(
         "query_id",
         F.array_join(texts, CONTEXT_SEPARATOR).alias("context"),
@@ -188,27 +192,57 @@ def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -
 
 # -- the result-set envelope (one row per request) ------------------------------------
 
-def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame) -> DataFrame:
-    """One row per request, like the reference's result envelope:
+def retrieval_outcomes(requests: DataFrame) -> DataFrame:
+    """``query_id`` and outcome per request: an error for a request without a valid space id,
+    without a usable query vector (null, empty or zero), or with an unknown reranker."""
+    usable = F.coalesce(F.exists("query_vector", lambda x: F.coalesce(x != 0, F.lit(False))), F.lit(False))
+    err = first_error(
+        (F.size(R.space_keys(F.col("space_ids"))) == 0, S.MSG_NO_SPACE_ID),
+        (~usable, S.MSG_NO_QUERY_VECTOR),
+        (_unknown_reranker(), F.concat(F.lit(S.MSG_UNKNOWN_RERANKER), F.col("reranker_id"))))
+    return with_outcome(requests.select("query_id", err.alias("_err")), F.col("_err")).drop("_err")
+
+
+def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame,
+                freshness: DataFrame | None = None) -> DataFrame:
+    """One row per request, like the reference's result envelope: the outcome,
     ``result_set_id``, ``results`` (chunk id, text, memory id, score, memory
     index; in rank order), ``memories`` (memory id, space, status, created;
-    in memory-index order), ``total_results`` and the ``query`` text.
-    Requests without results get empty lists. Every group holds at most k
-    rows of one query."""
+    in memory-index order; none where ``include_memory_definition`` is false),
+    ``total_results``, the ``query`` text, ``abstract_reply`` (where ``llm_id`` is
+    given and something was found) and ``message``: with ``freshness``, nothing found in spaces still
+    indexing, unless ``wait_for_indexing`` is false. Both switches are optional
+    columns of ``requests``. Every group holds at most k rows of one query."""
+    def switch(name: str, default: bool) -> Column:
+        return F.coalesce(F.col(name), F.lit(default)) if name in requests.columns else F.lit(default)
     item = F.struct("rank", "chunk_id", "chunk_text", "memory_id", "relevance_score", "memory_index")
     res = results.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("_r"))
-    defs = R.fetch_memory_definitions(results, memories)
+    shown = results
+    if "include_memory_definition" in requests.columns:
+        wanted = requests.where(switch("include_memory_definition", S.DEFAULT_INCLUDE_MEMORY_DEFINITION)).select("query_id")
+        shown = results.join(wanted, "query_id", "left_semi")
+    defs = R.fetch_memory_definitions(shown, memories)
     mem = defs.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
         "memory_index", "memory_id", F.col("memory_space_id").alias("space_id"),
         "processing_status", "created_at"))).alias("_m"))
-    out = requests.select("query_id", F.col("query_text").alias("query")) \
+    out = requests.select("query_id", F.col("query_text").alias("query"), (F.coalesce("llm_id", F.lit("")) != "").alias("_llm"),
+                          switch("wait_for_indexing", S.DEFAULT_WAIT_FOR_INDEXING).alias("_wait")) \
+        .join(retrieval_outcomes(requests), "query_id") \
         .join(res, "query_id", "left").join(mem, "query_id", "left")
+    out = out.withColumn("total_results", F.when(F.col("_r").isNull(), F.lit(0)).otherwise(F.size("_r")).cast("long"))
+    # the reply reads the texts that the results carry, in rank order
+    firsts = F.filter(F.transform("_r", lambda x: first_sentence(F.coalesce(x["chunk_text"], F.lit("")))), lambda t: t != "")
+    out = out.withColumn("abstract_reply", F.when(F.col("_llm") & (F.col("total_results") > 0), F.array_join(firsts, " ")))
+    if freshness is not None:
+        from memtables.streaming.indexing import wait_messages
+        out = wait_messages(out, requests, freshness).withColumn("message", F.when(F.col("_wait"), F.col("message")))
+    else:
+        out = out.withColumn("message", F.lit(None).cast("string"))
     dropped = F.transform("_r", lambda x: x.dropFields("rank"))
     results_col = F.coalesce(dropped, F.array().cast(out.select(dropped.alias("t")).schema["t"].dataType))
     return out.select(
-        "query_id",
+        "query_id", "success", "error",
         F.sha2(F.concat(F.lit("rs|"), F.col("query_id").cast("string")), 256).alias("result_set_id"),
         results_col.alias("results"),
         F.coalesce(F.col("_m"), F.array().cast(out.schema["_m"].dataType)).alias("memories"),
-        F.size(results_col).cast("long").alias("total_results"),
-        "query")
+        "total_results", "query", "abstract_reply", "message")

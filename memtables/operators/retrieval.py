@@ -11,9 +11,10 @@ rows. Two physical forms, same answer:
   a numpy matrix product scores it and only the local top k per query leaves
   the task. A hot space that holds a third of all chunks is simply cut into
   more tiles, so no task grows with the data.
-* **broadcast** (few queries): when the query rows are below a checked byte
-  bound the query matrix is broadcast and each chunk partition is scored in
-  place: no shuffle of the chunk table at all.
+* **broadcast**: while the query rows are below a checked byte bound, the query
+  matrix is broadcast in blocks of at most 32 MiB, and each chunk partition is
+  scored in place against one block after another: no shuffle of the chunk
+  table at all, and one scan of it.
 
 Both end with one small shuffle by query id that keeps the best k of the local
 candidates (score desc, chunk id asc).
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,8 +40,10 @@ from memtables.session import materialized
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
-# query matrix bytes allowed on the broadcast path (checked before use)
+# query matrix bytes in one broadcast block, and blocks allowed (both checked before use)
 BROADCAST_QUERY_BYTES = 32 * 1024 * 1024
+MAX_QUERY_BLOCKS = 32
+_HELD_BYTES = 64 * 1024 * 1024    # chunk rows that a task holds while it goes through the blocks
 _SCORE_BLOCK = 4_000_000          # scores held at once inside one task
 MAX_BROADCAST_SPACES = 1_000_000  # searched-space table rows allowed in a broadcast
 MAX_PUSHED_SPACES = 1_000         # space list pushed to the scan as an IN filter
@@ -106,44 +109,32 @@ def _topk_lengths(queries: dict, q_k: np.ndarray, chunks: dict):
     out_q, out_c, out_s = [], [], []
     for d in queries.keys() & chunks.keys():
         (q_at, q_mat), (c_at, c_mat) = queries[d], chunks[d]
-        q, c, s = _topk_block(q_mat, np.ones(len(q_at), bool), q_k[q_at], c_mat, np.ones(len(c_at), bool))
-        out_q += [q_at[x] for x in q]
-        out_c += [c_at[x] for x in c]
-        out_s += s
+        for q, c, s in _topk_block(q_mat, q_k[q_at], c_mat):
+            out_q.append(q_at[q])
+            out_c.append(c_at[c])
+            out_s.append(s)
     return out_q, out_c, out_s
 
 
-def _topk_block(q_mat, q_ok, q_k, c_mat, c_ok, rounding=S.SCORE_DIGITS):
-    """Best k chunks per query of one block; chunks must be sorted by id.
-    Returns (query positions, chunk positions, scores)."""
-    out_q, out_c, out_s = [], [], []
-    n_c = c_mat.shape[0]
-    if n_c == 0 or q_mat.shape[0] == 0:
-        return out_q, out_c, out_s
+def _topk_block(q_mat: np.ndarray, q_k: np.ndarray, c_mat: np.ndarray, rounding: int = S.SCORE_DIGITS):
+    """Best k chunks per query of one block, as (query positions, chunk positions,
+    scores) of whole arrays. Chunks must be sorted by id: ties go to the first."""
+    n_c = len(c_mat)
+    most = int(min(q_k.max(initial=0), n_c))
+    if most <= 0:
+        return
     step = max(1, _SCORE_BLOCK // n_c)
-    for start in range(0, q_mat.shape[0], step):
+    for start in range(0, len(q_mat), step):
         sims = q_mat[start:start + step] @ c_mat.T
         ranked = np.round(sims, rounding)
-        ranked[:, ~c_ok] = -np.inf
-        for i in range(sims.shape[0]):
-            qi = start + i
-            if not q_ok[qi]:
-                continue
-            row = ranked[i]
-            k = int(min(q_k[qi], n_c))
-            if k <= 0:
-                continue
-            if k < n_c:
-                idx = np.argpartition(-row, k - 1)[:k]
-                cand = np.flatnonzero(row >= row[idx].min())
-            else:
-                cand = np.arange(n_c)
-            cand = cand[np.isfinite(row[cand])]
-            best = cand[np.lexsort((cand, -row[cand]))][:k]
-            out_q.append(np.full(len(best), qi))
-            out_c.append(best)
-            out_s.append(sims[i, best])
-    return out_q, out_c, out_s
+        least = np.partition(ranked, n_c - most, axis=1)[:, n_c - most]
+        row, col = np.nonzero(ranked >= least[:, None])
+        order = np.lexsort((col, -ranked[row, col], row))
+        row, col = row[order], col[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < q_k[start + row]
+        row, col = row[keep], col[keep]
+        yield start + row, col, sims[row, col]
 
 
 def _candidates_schema(queries: DataFrame, chunks: DataFrame) -> T.StructType:
@@ -199,87 +190,105 @@ def _tile_kernel(schema: pa.Schema):
     return tile
 
 
-def _query_rows(requests: DataFrame, default_k: int) -> DataFrame:
+ALL_SPACES = "*"                  # the search key of requests that search everything
+
+
+def _query_rows(requests: DataFrame, default_k: int, all_spaces: bool) -> DataFrame:
+    """One row per (request, searched space): query_id, query_vector, k, search_key."""
+    if all_spaces:
+        requests = requests.withColumn("space_keys", F.array(F.lit(ALL_SPACES)))
     parsed = requests if "space_keys" in requests.columns else parse_space_keys(requests)
     k = F.coalesce(F.col("max_results"), F.lit(default_k)) if "max_results" in parsed.columns \
         else F.lit(default_k)
     return (parsed.where(F.size("space_keys") > 0)
             .select("query_id", "query_vector", k.cast("int").alias("k"),
-                    F.explode(F.array_distinct("space_keys")).alias("space_id")))
+                    F.explode(F.array_distinct("space_keys")).alias("search_key")))
 
 
 def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
            max_tile_chunks: int, max_tile_queries: int) -> tuple[DataFrame, int]:
     """Candidates of the tiled form, and the largest k asked."""
-    q_counts = queries.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_q"), F.max("k").alias("k_max"))
+    q_counts = queries.groupBy("search_key").agg(F.count(F.lit(1)).alias("n_q"), F.max("k").alias("k_max"))
     # one small job: the number of searched spaces (the broadcast bound) and the largest k
     st = q_counts.agg(F.count(F.lit(1)).alias("n"), F.max("k_max").alias("k")).first()
     small = st["n"] <= MAX_BROADCAST_SPACES
     q_side_counts = F.broadcast(q_counts) if small else q_counts
-    searched = chunks.join(q_side_counts.select("space_id"), "space_id")   # semi-join effect
-    c_counts = searched.groupBy("space_id").agg(F.count(F.lit(1)).alias("n_c"))
-    tiles = c_counts.join(q_side_counts, "space_id").select(
-        "space_id",
+    searched = chunks.join(q_side_counts.select("search_key"), "search_key")   # semi-join effect
+    c_counts = searched.groupBy("search_key").agg(F.count(F.lit(1)).alias("n_c"))
+    tiles = c_counts.join(q_side_counts, "search_key").select(
+        "search_key",
         F.ceil(F.col("n_c") / F.lit(max_tile_chunks)).cast("int").alias("n_ct"),
         F.ceil(F.col("n_q") / F.lit(max_tile_queries)).cast("int").alias("n_qt"),
     )
     # tiles has at most one row per searched space: the same proven bound
     tiles = F.broadcast(tiles) if small else tiles
-    c_side = (chunks.join(tiles, "space_id")
+    c_side = (chunks.join(tiles, "search_key")
               .withColumn("ct", F.pmod(F.xxhash64("chunk_id"), F.col("n_ct")).cast("int"))
               .withColumn("qt", F.explode(F.sequence(F.lit(0), F.col("n_qt") - 1)))
-              .select("space_id", "ct", "qt", "chunk_id", "memory_id", "embedding"))
-    q_side = (queries.join(tiles, "space_id")
+              .select("search_key", "ct", "qt", "chunk_id", "memory_id", "space_id", "embedding"))
+    q_side = (queries.join(tiles, "search_key")
               .withColumn("qt", F.pmod(F.xxhash64("query_id"), F.col("n_qt")).cast("int"))
               .withColumn("ct", F.explode(F.sequence(F.lit(0), F.col("n_ct") - 1)))
-              .select("space_id", "ct", "qt", "query_id", "query_vector", "k"))
-    cands = (c_side.groupBy("space_id", "ct", "qt")
-             .cogroup(q_side.groupBy("space_id", "ct", "qt"))
+              .select("search_key", "ct", "qt", "query_id", "query_vector", "k"))
+    cands = (c_side.groupBy("search_key", "ct", "qt")
+             .cogroup(q_side.groupBy("search_key", "ct", "qt"))
              .applyInArrow(_tile_kernel(_arrow_schema(schema)), schema))
     return cands, int(st["k"] or 1)
 
 
-def _broadcast(qpd: pd.DataFrame, chunks: DataFrame, schema: T.StructType) -> DataFrame:
-    """Score chunk partitions in place against a broadcast query matrix
-    (``qpd`` is the query table, already proven small by the caller)."""
-    spark = chunks.sparkSession
+def _query_block(spark: SparkSession, qpd: pd.DataFrame):
+    """A broadcast block of query rows: ids, k, and by space the rows and their vectors by length."""
     qpd = qpd.reset_index(drop=True)
-    by_space = {s: g.index.to_numpy() for s, g in qpd.groupby("space_id")}
     lists = [None if v is None else list(v) for v in qpd["query_vector"]]
-    payload = spark.sparkContext.broadcast({
-        "ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(), "by_space": {
-            s: (rows, _by_length(pa.array([lists[i] for i in rows], pa.list_(pa.float64())))) for s, rows in by_space.items()}})
+    by_space = {s: (rows, _by_length(pa.array([lists[i] for i in rows], pa.list_(pa.float64()))))
+                for s, rows in qpd.groupby("search_key").indices.items()}
+    return spark.sparkContext.broadcast({"ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(), "by_space": by_space})
+
+
+def _broadcast(blocks: list[pd.DataFrame] | Iterator[pd.DataFrame], chunks: DataFrame, schema: T.StructType) -> DataFrame:
+    """Scores chunk partitions in place against broadcast blocks of the query matrix
+    (already proven small by the caller)."""
+    payloads, spaces = [], set()
+    for qpd in blocks:
+        payloads.append(_query_block(chunks.sparkSession, qpd))
+        spaces.update(qpd["search_key"])
     out_schema = _arrow_schema(schema)
-    if len(by_space) <= MAX_PUSHED_SPACES:
-        # a pushed IN filter: partition pruning when the table is laid out by space
-        chunks = chunks.where(F.col("space_id").isin(list(by_space)))
+    if spaces != {ALL_SPACES} and len(spaces) <= MAX_PUSHED_SPACES:
+        # a pushed IN filter: prunes row groups and folders of a table laid out by space
+        chunks = chunks.where(F.col("search_key").isin(sorted(spaces)))
+
+    def score(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tbl = pa.Table.from_batches(held)
+        codes, uniques = pd.factorize(tbl.column("search_key").to_numpy(zero_copy_only=False))
+        groups = []
+        for ci, space in enumerate(uniques):
+            grp = _sorted_by_id(tbl.take(pa.array(np.flatnonzero(codes == ci))))
+            groups.append((space, grp, _by_length(grp.column("embedding"))))
+        for payload in payloads:
+            b, parts = payload.value, []
+            for space, grp, vectors in groups:
+                if space in b["by_space"]:
+                    rows, queries = b["by_space"][space]
+                    part = _table(out_schema, b["ids"][rows], b["k"][rows], grp, _topk_lengths(queries, b["k"][rows], vectors))
+                    if part is not None:
+                        parts.append(part)
+            if parts:
+                yield from _prune(pa.concat_tables(parts)).to_batches()
+            if len(payloads) > 1:
+                vars(payload).pop("_value", None)      # one block in memory at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = payload.value
-        parts: list[pa.Table] = []
-        held = 0
+        held, size = [], 0
         for batch in batches:
-            tbl = pa.Table.from_batches([batch])
-            spaces = tbl.column("space_id").to_numpy(zero_copy_only=False)
-            codes, uniques = pd.factorize(spaces)
-            for ci, space in enumerate(uniques):
-                rows, q_groups = b["by_space"].get(space, (None, None))
-                if rows is None:
-                    continue
-                grp = _sorted_by_id(tbl.take(pa.array(np.flatnonzero(codes == ci))))
-                res = _topk_lengths(q_groups, b["k"][rows], _by_length(grp.column("embedding")))
-                part = _table(out_schema, b["ids"][rows], b["k"][rows], grp, res)
-                if part is not None:
-                    parts.append(part)
-                    held += part.num_rows
-            if held > 200_000:
-                parts = [_prune(pa.concat_tables(parts))]
-                held = parts[0].num_rows
-        if parts:
-            out = _prune(pa.concat_tables(parts))
-            yield from out.to_batches()
-
-    return chunks.select("chunk_id", "memory_id", "space_id", "embedding").mapInArrow(run, schema)
+            held.append(batch)
+            size += batch.nbytes
+            if size >= _HELD_BYTES:
+                yield from score(held)
+                held, size = [], 0
+        if held:
+            yield from score(held)
+
+    return chunks.mapInArrow(run, schema)
 
 
 def _prune(cands: pa.Table) -> pa.Table:
@@ -307,8 +316,9 @@ def rank_candidates(cands: DataFrame, k_max: int | None = None) -> DataFrame:
 
 def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.DEFAULT_MAX_RESULTS,
                   method: str = "auto", max_tile_chunks: int = MAX_TILE_CHUNKS,
-                  max_tile_queries: int = MAX_TILE_QUERIES) -> DataFrame:
-    """For each request, the k most similar chunks (cosine) of its spaces.
+                  max_tile_queries: int = MAX_TILE_QUERIES, all_spaces: bool = False) -> DataFrame:
+    """For each request, the k most similar chunks (cosine) of its spaces
+    (``all_spaces``: of the whole table, without a space list).
 
     ``requests``: query_id, query_vector, space_ids (or space_keys), max_results.
     ``chunks``: chunk_id, memory_id, space_id, embedding.
@@ -320,34 +330,40 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
     the same rows: vectors are compared with vectors of their own length; null, empty and
     zero vectors match nothing; ids may be strings or whole numbers.
     """
-    queries = _query_rows(requests, default_k)
-    chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding")
+    queries = _query_rows(requests, default_k, all_spaces)
+    key = F.lit(ALL_SPACES) if all_spaces else F.col("space_id")
+    chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding", key.alias("search_key"))
     schema = _candidates_schema(queries, chunks)
-    qpd = None
-    if method in ("auto", "broadcast"):
-        qpd = _small_queries(queries)
-        method = "broadcast" if qpd is not None else "tiled"
-    if method == "broadcast":
-        cands = _broadcast(qpd, chunks, schema)
-        k_max = int(qpd["k"].max()) if len(qpd) else 1
-    elif method == "tiled":
-        cands, k_max = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
-    else:
+    if method not in ("auto", "broadcast", "tiled"):
         raise ValueError(f"unknown method {method!r}")
+    small = None if method == "tiled" else _small_queries(queries)
+    if small is not None:
+        blocks, k_max = small
+        cands = _broadcast(blocks, chunks, schema)
+    else:
+        cands, k_max = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
     return rank_candidates(cands, k_max).select(
         "query_id", "rank", "chunk_id", "memory_id", "space_id", "score")
 
 
-def _small_queries(queries: DataFrame) -> pd.DataFrame | None:
-    """The query rows as pandas when they provably fit ``BROADCAST_QUERY_BYTES``:
-    one aggregate gives the row count and the largest vector dimension, so
-    rows x (8 x largest dimension + overhead) is an upper bound; None
-    otherwise."""
-    st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d")).first()
-    n, dim = int(st["n"] or 0), max(int(st["d"] or 1), 1)
-    if n * (8 * dim + 96) <= BROADCAST_QUERY_BYTES:
-        return queries.toPandas()
-    return None
+def _small_queries(queries: DataFrame) -> tuple[Iterator[pd.DataFrame], int] | None:
+    """The query rows as pandas blocks of at most about ``BROADCAST_QUERY_BYTES``, and the
+    largest k, when they provably fit ``MAX_QUERY_BLOCKS`` blocks; else None. One aggregate
+    gives the row count and the largest vector dimension, so rows x (8 x largest dimension +
+    overhead) is an upper bound. Several blocks are cut from rows that are written once
+    and counted by block; the driver holds one block at a time."""
+    st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d"), F.max("k").alias("k")).first()
+    per_row = 8 * max(int(st["d"] or 1), 1) + 96
+    k_max = max(int(st["k"] or 1), 1)
+    n_blocks = -(-(st["n"] * per_row) // BROADCAST_QUERY_BYTES)
+    if n_blocks <= 1:
+        return iter([queries.toPandas()]), k_max
+    if n_blocks > MAX_QUERY_BLOCKS:
+        return None
+    cut = materialized(queries.withColumn("_block", F.pmod(F.xxhash64("query_id", "search_key"), F.lit(n_blocks))))
+    if cut.groupBy("_block").count().agg(F.max("count")).first()[0] * per_row > 2 * BROADCAST_QUERY_BYTES:
+        return None                                      # many rows of one query and space
+    return (cut.where(F.col("_block") == b).drop("_block").toPandas() for b in range(n_blocks)), k_max
 
 
 # -- 31 fetch_memory_definitions --------------------------------------------

@@ -101,6 +101,29 @@ SELECT query_id, rank::INTEGER AS rank, chunk_id, memory_id, space_id, score FRO
 for _n in ("retrieve_topk", "retrieve_topk_tiled", "retrieve_topk_broadcast"):
     sql(_n, _TOPK_SQL)
 
+RAGGED = """rc AS (
+  SELECT 'c' || vec_id AS chunk_id, 'm' || (label * 10 + vec_id % 7) AS memory_id, 'label-' || label AS space_id,
+         CASE WHEN vec_id % 11 <> 0 THEN CASE WHEN vec_id % 3 = 0 THEN embedding[1:32] ELSE embedding END END::DOUBLE[] AS v
+  FROM embeddings),
+rq AS (
+  SELECT vec_id AS i, 'q' || vec_id AS query_id, label,
+         CASE WHEN vec_id % 13 <> 0 THEN CASE WHEN vec_id % 4 = 0 THEN embedding[1:32] ELSE embedding END END::DOUBLE[] AS qv
+  FROM embeddings)"""
+
+sql("retrieve_mixed", f"""{with_(RAGGED)},
+s AS (
+  SELECT query_id, chunk_id, memory_id, space_id, round(list_cosine_similarity(qv, v), 6) AS score
+  FROM rq JOIN rc ON space_id IN ('label-' || label, 'label-' || ((label + 1) % 10)) AND len(qv) = len(v)
+  WHERE i % 17 <> 0)
+SELECT query_id, rank::INTEGER AS rank, chunk_id, memory_id, space_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM s) WHERE rank <= 5""")
+
+sql("retrieval_outcomes", f"""{with_(RAGGED)},
+o AS (SELECT query_id, CASE WHEN i % 17 = 0 THEN 'At least one valid Space ID is required.'
+                            WHEN i % 13 = 0 THEN 'The request has no usable query vector'
+                            WHEN i % 19 = 0 THEN 'Unknown reranker: nope' END AS error FROM rq)
+SELECT query_id, error, error IS NULL AS success FROM o""")
+
 MIXED_REQ = """mreq AS (
   SELECT vec_id AS query_id,
          'label-' || label || ', label-' || ((label + 1) % 10) || ',,label-' || label AS space_ids
@@ -147,20 +170,22 @@ _FIRST = "trim(regexp_extract(chunk_text, '^[^.!?]*[.!?]*', 0))"
 sql("abstract_context", chain() + f"""
 SELECT query_id,
        string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context,
-       coalesce(string_agg(CASE WHEN rank <= 3 AND {_FIRST} <> '' THEN {_FIRST} END, ' ' ORDER BY rank), '')
+       coalesce(string_agg(CASE WHEN {_FIRST} <> '' THEN {_FIRST} END, ' ' ORDER BY rank), '')
          AS abstract_reply,
        count(*) AS n_chunks
 FROM res GROUP BY query_id""")
 
-sql("result_sets", chain(threshold=0.25) + """,
+sql("result_sets", chain(threshold=0.25) + f""",
 agg_r AS (SELECT query_id, count(*) AS total_results,
+                 coalesce(string_agg(CASE WHEN {_FIRST} <> '' THEN {_FIRST} END, ' ' ORDER BY rank), '') AS reply,
                  string_agg(chunk_id::VARCHAR, ',' ORDER BY rank) AS chunk_ids
           FROM res GROUP BY query_id),
-mems AS (SELECT query_id, memory_id, min(memory_index) AS mi FROM res GROUP BY query_id, memory_id),
+mems AS (SELECT query_id, memory_id, min(memory_index) AS mi FROM res WHERE query_id % 3 <> 0 GROUP BY query_id, memory_id),
 agg_m AS (SELECT query_id, count(*) AS total_memories,
                  string_agg(memory_id::VARCHAR, ',' ORDER BY mi) AS memory_ids
           FROM mems GROUP BY query_id)
-SELECT r.query_id, sha256('rs|' || r.query_id) AS result_set_id,
+SELECT r.query_id, true AS success, NULL::VARCHAR AS error, sha256('rs|' || r.query_id) AS result_set_id,
+       CASE WHEN r.query_id % 2 = 0 THEN a.reply END AS abstract_reply,
        coalesce(a.total_results, 0) AS total_results, coalesce(m.total_memories, 0) AS total_memories,
        coalesce(a.chunk_ids, '') AS chunk_ids, coalesce(m.memory_ids, '') AS memory_ids
 FROM req r LEFT JOIN agg_r a ON a.query_id = r.query_id LEFT JOIN agg_m m ON m.query_id = r.query_id""")

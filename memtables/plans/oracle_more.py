@@ -85,6 +85,16 @@ SELECT seq, name,
             WHEN error IS NULL THEN 'Space created successfully' END AS message
 FROM g""")
 
+sql("create_or_reuse_catalog", f"""{with_(SP, CREATE_REQ)},
+fresh AS (SELECT name, arg_min(struct_pack(e := embedder_id, st := c_st, sz := c_sz, ov := c_ov, seq := seq), seq) AS c
+          FROM cfg2 WHERE c_err IS NULL AND name NOT IN (SELECT name FROM sp) GROUP BY name)
+SELECT s.space_id, s.name, s.emb AS embedder_id, 'recursive' AS strategy, 512::INTEGER AS chunk_size, 50::INTEGER AS chunk_overlap,
+       false AS public_read, 'kind=docs' AS labels, s.created_at
+FROM sp s
+UNION ALL
+SELECT sha256('space|' || name), name, c.e, c.st, CASE WHEN c.st <> 'none' THEN c.sz END, CASE WHEN c.st <> 'none' THEN c.ov END,
+       false, '', TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c.seq) FROM fresh""")
+
 UPD = """src AS (SELECT source, min(doc_id) % 5 AS n FROM documents GROUP BY source),
 upd AS (
   SELECT source AS space_id, n,
@@ -105,6 +115,17 @@ SELECT space_id, error IS NULL AS success, error,
        CASE WHEN error IS NULL THEN 'Space updated successfully' END AS message
 FROM upd""")
 
+sql("update_spaces_sequence", """WITH
+src AS (SELECT d.source AS s, (SELECT min(doc_id) FROM documents x WHERE x.source = d.source) % 2 AS odd
+        FROM documents d JOIN events e ON e.event_id = d.doc_id GROUP BY d.source),
+final AS (SELECT s, CASE WHEN odd = 1 THEN 'c=3' ELSE 'a=4;kind=x' END AS labels FROM src)
+SELECT s AS space_id, 1::BIGINT AS seq, true AS success, NULL::VARCHAR AS error, s AS name, false AS public_read,
+       'a=1;kind=x' AS labels FROM src
+UNION ALL SELECT s, 2, true, NULL, 'new-' || s, true, 'a=1;kind=x' FROM src
+UNION ALL SELECT s, 3, false, 'Labels must be a JSON object of string-to-string pairs, got: {"b":[1]}', NULL, NULL, NULL FROM src
+UNION ALL SELECT s, 4, true, NULL, 'new-' || s, true, labels FROM final
+UNION ALL SELECT s, NULL, NULL, NULL, 'new-' || s, true, labels FROM final""")
+
 sql("merge_labels", f"""WITH {UPD}
 SELECT space_id, CASE WHEN error IS NULL THEN name ELSE space_id END AS name,
        CASE WHEN error IS NULL THEN public_read ELSE false END AS public_read,
@@ -129,6 +150,25 @@ SELECT rq.space_id, sp.space_id IS NOT NULL AS success,
        CASE WHEN sp.space_id IS NOT NULL THEN 'Space deleted successfully' END AS message
 FROM rq LEFT JOIN sp ON sp.space_id = rq.space_id LEFT JOIN mc ON mc.space_id = sp.space_id""")
 
+_LEFT = """
+cvn AS (SELECT vec_id AS chunk_id, label * 10 + vec_id % 7 AS memory_id, 'label-' || label AS space_id FROM embeddings)"""
+
+sql("delete_spaces_tables", f"""{with_(MEM)},{_LEFT},
+gone AS (SELECT source AS space_id FROM documents GROUP BY source HAVING min(doc_id) % 2 = 0),
+m AS (SELECT memory_id, space_id FROM mem WHERE space_id NOT IN (SELECT space_id FROM gone)),
+gm AS (SELECT memory_id FROM mem WHERE space_id IN (SELECT space_id FROM gone))
+SELECT 'spaces' AS tbl, space_id AS id, space_id FROM (SELECT DISTINCT space_id FROM m)
+UNION ALL SELECT 'memories', memory_id::VARCHAR, space_id FROM m
+UNION ALL SELECT 'chunks', memory_id || '-0', space_id FROM m
+UNION ALL SELECT 'vectors', chunk_id::VARCHAR, space_id FROM cvn WHERE memory_id NOT IN (SELECT memory_id FROM gm)""")
+
+sql("delete_memories_tables", f"""{with_(MEM)},{_LEFT},
+gm AS (SELECT memory_id FROM mem WHERE memory_id IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+m AS (SELECT memory_id, space_id FROM mem WHERE memory_id NOT IN (SELECT memory_id FROM gm))
+SELECT 'memories' AS tbl, memory_id::VARCHAR AS id, space_id FROM m
+UNION ALL SELECT 'chunks', memory_id || '-0', space_id FROM m
+UNION ALL SELECT 'vectors', chunk_id::VARCHAR, space_id FROM cvn WHERE memory_id NOT IN (SELECT memory_id FROM gm)""")
+
 sql("delete_memories", f"""{with_(MEM, CV)},
 rq AS (SELECT doc_id AS memory_id FROM labels WHERE toxic = 1
        UNION SELECT -doc_id - 1 FROM labels WHERE toxic = 1),
@@ -155,6 +195,17 @@ SELECT p.space_id AS request_id, p.memory_id, p.processing_status, p.created_at,
        CASE WHEN p.n_all > 10 THEN l.tok END AS next_token
 FROM p JOIN l USING (space_id)""")
 
+sql("list_memories_by_token", f"""{with_(MEM)},
+r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, memory_id) AS p,
+             count(*) OVER (PARTITION BY space_id) AS n_all FROM mem),
+q AS (SELECT * FROM r WHERE p BETWEEN 11 AND 20),
+l AS (SELECT space_id, arg_max({TOKEN}, p) AS tok, count(*) AS n_page FROM q GROUP BY space_id)
+SELECT space_id AS request_id, space_id, memory_id, (p - 10)::INTEGER AS position, n_page AS total_memories,
+       CASE WHEN n_all > 20 THEN tok END AS next_token, true AS success, NULL::VARCHAR AS error
+FROM q JOIN l USING (space_id)
+UNION ALL
+SELECT DISTINCT 'bad-' || source, source, NULL, NULL, NULL, NULL, false, 'Page token cannot be read' FROM documents""")
+
 sql("project_content", f"""{with_(MEM)},
 r AS (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY created_at, memory_id) AS position FROM mem)
 SELECT space_id AS request_id, memory_id, 'text/plain' AS content_type, original_content,
@@ -202,7 +253,7 @@ FROM r""")
 
 
 def mem_id(space: str, req: str) -> str:
-    return f"('0x' || substr(sha256('memory|' || {space} || '|' || {req}), 1, 15))::BIGINT"
+    return f"sha256('memory|' || {space} || '|' || {req})"
 
 
 FILES = """files AS (
@@ -264,8 +315,8 @@ FROM documents""")
 sql("outcomes", f"""{with_(META)}
 SELECT request_id, error IS NULL AS success, error,
        CASE WHEN error IS NULL
-            THEN '{{"success":true,"memory_id":' || {mem_id("'events'", 'request_id')}
-                 || ',"message":"Memory created successfully"}}'
+            THEN '{{"success":true,"memory_id":"' || {mem_id("'events'", 'request_id')}
+                 || '","message":"Memory created successfully"}}'
             ELSE '{{"success":false,"error":' || to_json(error) || '}}' END AS outcome
 FROM mr""")
 
@@ -274,6 +325,12 @@ SELECT memory_id, space_id, 'text/plain' AS content_type, processing_status, cre
        json(props)::VARCHAR AS metadata
 FROM mem""")
 
+sql("write_tables_of_number_ids", f"""{with_(MEM)},
+ids AS (SELECT 'spaces' AS tbl, space_id FROM (SELECT DISTINCT space_id FROM mem)
+        UNION ALL SELECT 'memories', space_id FROM mem
+        UNION ALL SELECT 'vectors', 'label-' || label FROM embeddings)
+SELECT tbl, '00' || regexp_extract(space_id, '[0-9]+$', 0) AS space_id, count(*) AS n FROM ids GROUP BY 1, 2""")
+
 sql("ingest_conversation", f"""
 SELECT 'conv-' || conv_id AS space_id, turn, {mem_id("'conv-' || conv_id", 'turn')} AS memory_id,
        'text/plain' AS content_type, text AS original_content,
@@ -482,16 +539,16 @@ FROM e2 LEFT JOIN per ON per.query_id = e2.query_id""")
 # -- hashed embeddings (hash-256: MD5 word buckets, L2-normalised counts) ----------------
 
 
-def emb_ctes(src: str, text: str, keep: str, name: str) -> str:
+def emb_ctes(src: str, text: str, keep: str, name: str, dim: str = "256") -> str:
     """CTEs ``{name}_b`` .. ``{name}``: the hash-256 vector ``emb`` of column
     ``text`` of ``src``, keeping columns ``keep``."""
     toks = f"list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
     return f"""{name}_b AS (
-  SELECT {keep}, list_transform({toks}, lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % 256)::INTEGER) AS bk
+  SELECT {keep}, list_transform({toks}, lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % {dim})::INTEGER) AS bk
   FROM {src}),
 {name}_c AS (
   SELECT {keep}, len(bk) AS n_terms,
-         list_transform(range(256), lambda b: len(list_filter(bk, lambda x: x = b))) AS cnt
+         list_transform(range({dim}), lambda b: len(list_filter(bk, lambda x: x = b))) AS cnt
   FROM {name}_b),
 {name}_n AS (SELECT *, sqrt(list_sum(list_transform(cnt, lambda c: c * c))) AS nrm FROM {name}_c),
 {name} AS (
@@ -516,6 +573,19 @@ SELECT chunk_id, memory_id, space_id, len(emb)::INTEGER AS dim, n_terms::INTEGER
        round(list_max(emb)::DOUBLE, 6) AS top_value
 FROM ce""")
 
+sql("embed_by_space", f"""WITH {MEM},
+ms AS (SELECT memory_id || '-0' AS chunk_id, coalesce(original_content, '') AS t,
+              CASE right(space_id, 1) WHEN '9' THEN 'nope' WHEN '0' THEN 'hash-256' WHEN '2' THEN 'hash-256'
+                WHEN '4' THEN 'hash-256' WHEN '6' THEN 'hash-256' WHEN '8' THEN 'hash-256' ELSE 'emb-64' END AS embedder_id
+       FROM mem),
+md AS (SELECT *, CASE embedder_id WHEN 'hash-256' THEN 256 ELSE 64 END AS dim FROM ms),
+{emb_ctes('md', 't', 'chunk_id, embedder_id, dim', 'ce', 'dim')}
+SELECT chunk_id, embedder_id, embedder_id <> 'nope' AS success,
+       CASE WHEN embedder_id = 'nope' THEN 'Unknown embedder: nope' END AS error,
+       CASE WHEN embedder_id <> 'nope' THEN array_to_string(
+         list_transform(emb, lambda x: round(x::DOUBLE * 1000000)::BIGINT::VARCHAR), ',') END AS vector
+FROM ce""")
+
 sql("retrieve_text", f"""WITH {FIXED_CHUNKS},
 {emb_ctes('fc', 'chunk_text', 'chunk_id, memory_id, space_id', 'ce')},
 {emb_ctes('benchmark', 'text', 'item_id', 'qe')},

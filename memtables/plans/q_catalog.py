@@ -68,14 +68,13 @@ def create_requests(spark: SparkSession, d: str) -> DataFrame:
         (4, "tight-", "emb-64", "fixed", 64, 16),
         (5, "tight-", "hash-256", "fixed", 64, 80),
     ]
-    out = src
-    for off, prefix, emb, st, size, ov in rows:
-        out = out.unionByName(lg.select(
-            (F.lit(1_000_000) + F.col("m") * 10 + off).alias("seq"),
-            F.concat(F.lit(prefix), F.col("lang")).alias("name"),
-            F.lit(emb).alias("embedder_id"), F.lit(st).cast("string").alias("strategy"),
-            F.lit(size).cast("int").alias("chunk_size"), F.lit(ov).cast("int").alias("chunk_overlap")))
-    return out
+    each = F.array(*(F.struct(
+        (F.lit(1_000_000) + F.col("m") * 10 + off).alias("seq"),
+        F.concat(F.lit(prefix), F.col("lang")).alias("name"),
+        F.lit(emb).alias("embedder_id"), F.lit(st).cast("string").alias("strategy"),
+        F.lit(size).cast("int").alias("chunk_size"), F.lit(ov).cast("int").alias("chunk_overlap"))
+        for off, prefix, emb, st, size, ov in rows))
+    return src.unionByName(lg.select(F.explode(each).alias("r")).select("r.*"))
 
 
 @query("create_or_reuse_spaces")
@@ -85,6 +84,16 @@ def create_or_reuse_spaces(spark: SparkSession, d: str) -> DataFrame:
                       "chunk_overlap", "reused", "success", "error", "message")
 
 
+@query("create_or_reuse_catalog")
+def create_or_reuse_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue after the requests, each sent ``seq`` seconds into 2024."""
+    at = F.timestamp_add("SECOND", F.col("seq"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    _, snap = C.create_or_reuse_spaces(T.spaces(spark, d), create_requests(spark, d).withColumn("created_at", at))
+    return snap.select("space_id", "name", C.first_embedder(F.col("space_embedders")).alias("embedder_id"),
+                       "chunking.strategy", "chunking.chunk_size", "chunking.chunk_overlap", "public_read",
+                       labels_text(F.col("labels")).alias("labels"), "created_at")
+
+
 @query("chunking_config")
 def chunking_config(spark: SparkSession, d: str) -> DataFrame:
     r = create_requests(spark, d)
@@ -127,6 +136,30 @@ def merge_labels(spark: SparkSession, d: str) -> DataFrame:
     return snap.select("space_id", "name", "public_read", labels_text(F.col("labels")).alias("labels"))
 
 
+def patch_sequence(spark: SparkSession, d: str) -> DataFrame:
+    """Four patches per source: merge, rename and publish, a patch in error, replace or merge."""
+    src = _docs(spark, d).groupBy("source").agg(F.min("doc_id").alias("m"))
+    text = lambda c: F.lit(c).cast("string") if c is None or isinstance(c, str) else c
+    row = lambda n, name, public, replace, merge: F.struct(
+        F.lit(n).alias("seq"), text(name).alias("name"), F.lit(public).cast("boolean").alias("public_read"),
+        text(replace).alias("replace_labels_json"), text(merge).alias("merge_labels_json"))
+    odd = F.pmod(F.col("m"), F.lit(2)) == 1
+    rows = F.array(row(1, None, None, None, '{"a":"1","kind":"x"}'), row(2, F.concat(F.lit("new-"), F.col("source")), True, None, None),
+                   row(3, "lost", None, '{"b":[1]}', None),
+                   row(4, None, None, F.when(odd, F.lit('{"c":"3"}')), F.when(~odd, F.lit('{"a":"4"}'))))
+    return src.select(F.col("source").alias("space_id"), F.explode(rows).alias("r")).select("space_id", "r.*")
+
+
+@query("update_spaces_sequence")
+def update_spaces_sequence(spark: SparkSession, d: str) -> DataFrame:
+    """Receipts of several patches per space, and (``seq`` null) the catalogue after them."""
+    rec, snap = C.update_spaces(T.spaces(spark, d), patch_sequence(spark, d))
+    snap = snap.withColumn("seq", F.lit(None).cast("long")).withColumn("success", F.lit(None).cast("boolean")) \
+        .withColumn("error", F.lit(None).cast("string"))
+    cols = ["space_id", "seq", "success", "error", "name", "public_read", labels_text(F.col("labels")).alias("labels")]
+    return rec.select(*cols).unionByName(snap.select(*cols))
+
+
 @query("parse_labels")
 def parse_labels(spark: SparkSession, d: str) -> DataFrame:
     ev = T.read(spark, d, "events").select("event_id", "props")
@@ -148,6 +181,36 @@ def delete_spaces(spark: SparkSession, d: str) -> DataFrame:
     return rec.select("space_id", "success", "error", "deleted_memories", "message")
 
 
+def _tables(**tables: tuple[DataFrame, str]) -> DataFrame:
+    """All rows of some tables (with their id columns) by name, id and space."""
+    parts = [df.select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("id"), "space_id") for name, (df, key) in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("delete_spaces_tables")
+def delete_spaces_tables(spark: SparkSession, d: str) -> DataFrame:
+    """What is left in every table after every other source's space is deleted."""
+    req = (_docs(spark, d).groupBy(F.col("source").alias("space_id")).agg(F.min("doc_id").alias("m"))
+           .where(F.pmod(F.col("m"), F.lit(2)) == 0).select("space_id"))
+    mem = T.memories(spark, d).select("memory_id", "space_id")
+    chunks = mem.select(F.concat(F.col("memory_id").cast("string"), F.lit("-0")).alias("chunk_id"), "memory_id", "space_id")
+    _, sp, m, c, v = C.delete_spaces(req, T.spaces(spark, d), mem, chunks, T.chunk_vectors(spark, d).drop("embedding"))
+    return _tables(spaces=(sp, "space_id"), memories=(m, "memory_id"), chunks=(c, "chunk_id"), vectors=(v, "chunk_id"))
+
+
+@query("delete_memories_tables")
+def delete_memories_tables(spark: SparkSession, d: str) -> DataFrame:
+    """What is left in every table after the toxic documents' memories are deleted."""
+    mem = T.memories(spark, d).select("memory_id", "space_id")
+    chunks = mem.select(F.concat(F.col("memory_id").cast("string"), F.lit("-0")).alias("chunk_id"), "memory_id", "space_id")
+    _, m, c, v = C.delete_memories(_toxic(spark, d).select(F.col("doc_id").alias("memory_id")), mem, chunks,
+                                   T.chunk_vectors(spark, d).drop("embedding"))
+    return _tables(memories=(m, "memory_id"), chunks=(c, "chunk_id"), vectors=(v, "chunk_id"))
+
+
 @query("delete_memories")
 def delete_memories(spark: SparkSession, d: str) -> DataFrame:
     tox = _toxic(spark, d)
@@ -174,6 +237,18 @@ def list_memories(spark: SparkSession, d: str) -> DataFrame:
                        val("$.k", "int").alias("k"), "position", "total_memories", "next_token")
 
 
+@query("list_memories_by_token")
+def list_memories_by_token(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's second page, asked by the first one's token, and a request with a
+    malformed token for each source."""
+    mem = T.memories(spark, d)
+    first = M.list_memories(mem, _list_requests(spark, d, None)).where("next_token is not null and position = 1")
+    after = first.select("request_id", "space_id", F.lit(10).alias("page_size"), "next_token", F.lit(None).cast("string").alias("status"))
+    bad = _list_requests(spark, d, None).withColumn("request_id", F.concat(F.lit("bad-"), F.col("request_id"))).withColumn("next_token", F.lit("a"))
+    return M.list_memories(mem, after.unionByName(bad)).select(
+        "request_id", "space_id", "memory_id", "position", "total_memories", "next_token", "success", "error")
+
+
 @query("project_content")
 def project_content(spark: SparkSession, d: str) -> DataFrame:
     page = M.list_memories(T.memories(spark, d), _list_requests(spark, d, None), include_content=True)

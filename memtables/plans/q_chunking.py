@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memtables.operators import chunking as CH
-from memtables.operators.embedding import embed_chunks, word_terms
+from memtables.operators.embedding import embed_by_space, embed_chunks, word_terms
 from memtables.plans.registry import query
 from memtables.sources import tables as T
 
@@ -38,6 +38,19 @@ def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
     return CH.chunk_recursive(_mem(spark, d), 512, 50).select(*_COLS)
 
 
+@query("embed_by_space")
+def embed_by_space_q(spark: SparkSession, d: str) -> DataFrame:
+    """Every memory as one chunk, embedded by its space's embedder: hash-256 for sources with
+    an even last digit, emb-64 for odd ones, an unknown one where it is 9. Whole
+    vectors, in millionths."""
+    digit = F.substring("space_id", -1, 1)
+    name = F.when(digit == "9", "nope").when(digit.isin("0", "2", "4", "6", "8"), "hash-256").otherwise("emb-64")
+    spaces = T.spaces(spark, d).withColumn("space_embedders", F.array(F.struct(name.alias("embedder_id"))))
+    out = embed_by_space(CH.chunk_none(_mem(spark, d)), spaces)
+    return out.select("chunk_id", "embedder_id", "success", "error", F.array_join(F.transform(
+        "embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string")), ",").alias("vector"))
+
+
 @query("embed_chunks")
 def embed_chunks_q(spark: SparkSession, d: str) -> DataFrame:
     """Every fixed chunk embedded with hash-256; reported as exact summaries

@@ -91,11 +91,25 @@ def outcomes(spark: SparkSession, d: str) -> DataFrame:
 @query("write_memory_tables")
 def write_memory_tables(spark: SparkSession, d: str) -> DataFrame:
     paths = FS.write_memory_tables({"memories": T.memories(spark, d)}, spark=spark)
-    back = spark.read.parquet(paths["memories"])
+    back = FS.read_memory_table(spark, paths["memories"])
     return back.select("memory_id", "space_id", "content_type", "processing_status", "created_at",
                        F.to_json("metadata").alias("metadata"))
 
 
+@query("write_tables_of_number_ids")
+def write_tables_of_number_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Spaces, memories and vectors written and read back with space ids that look like
+    numbers (``007``); the rows of every table by space."""
+    ids = lambda df: df.withColumn("space_id", F.concat(F.lit("00"), F.regexp_extract("space_id", "[0-9]+$", 0)))
+    paths = FS.write_memory_tables({"spaces": ids(T.spaces(spark, d)), "memories": ids(T.memories(spark, d)),
+                                    "vectors": ids(T.chunk_vectors(spark, d))}, spark=spark)
+    out = None
+    for name, path in paths.items():
+        part = FS.read_memory_table(spark, path).groupBy("space_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "space_id", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("ingest_conversation")
 def ingest_conversation(spark: SparkSession, d: str) -> DataFrame:
     req = I.conversation_requests(T.conversations(spark, d))

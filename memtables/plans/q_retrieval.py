@@ -30,6 +30,32 @@ def retrieve_topk_broadcast(spark: SparkSession, d: str) -> DataFrame:
     return _topk(spark, d, "broadcast")
 
 
+def _ragged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(requests, chunks) with string ids and vectors of two lengths, some null."""
+    half = lambda v, n: F.when(F.col("i") % n == 0, F.slice(v, 1, 32)).otherwise(F.col(v))
+    cv = T.chunk_vectors(spark, d).withColumn("i", F.col("chunk_id"))
+    chunks = cv.select(F.concat(F.lit("c"), F.col("i").cast("string")).alias("chunk_id"),
+                       F.concat(F.lit("m"), F.col("memory_id").cast("string")).alias("memory_id"), "space_id",
+                       F.when(F.col("i") % 11 != 0, half("embedding", 3)).alias("embedding"))
+    req = T.retrieval_requests(spark, d).withColumn("i", F.col("query_id"))
+    req = req.select(F.concat(F.lit("q"), F.col("i").cast("string")).alias("query_id"),
+                     F.when(F.col("i") % 13 != 0, half("query_vector", 4)).alias("query_vector"),
+                     F.when(F.col("i") % 17 == 0, F.lit(" , ")).otherwise(F.col("space_ids")).alias("space_ids"),
+                     F.when(F.col("i") % 19 == 0, F.lit("nope")).alias("reranker_id"), "max_results")
+    return req, chunks
+
+
+@query("retrieve_mixed")
+def retrieve_mixed(spark: SparkSession, d: str) -> DataFrame:
+    req, chunks = _ragged(spark, d)
+    return R.retrieve_topk(req, chunks)
+
+
+@query("retrieval_outcomes")
+def retrieval_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return P.retrieval_outcomes(_ragged(spark, d)[0])
+
+
 def _mixed_requests(spark: SparkSession, d: str) -> DataFrame:
     """Retrieval requests plus chat-turn requests whose space lists are blank
     for system turns (error rows)."""
@@ -119,24 +145,24 @@ def retrieve_text(spark: SparkSession, d: str) -> DataFrame:
 
     mem = T.memories(spark, d).select("memory_id", "space_id", "original_content")
     vectors = embed_chunks(CH.chunk_fixed(mem, 512, 50), "hash-256")
-    all_spaces = T.spaces(spark, d).agg(
-        F.concat_ws(",", F.sort_array(F.collect_list("space_id")))).scalar()
     req = T.read(spark, d, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"),
-        all_spaces.alias("space_ids"), F.lit(5).alias("max_results"))
-    return R.retrieve_topk(embed_queries(req), vectors)
+        F.lit(5).alias("max_results"))
+    return R.retrieve_topk(embed_queries(req), vectors, all_spaces=True)
 
 
 @query("result_sets")
 def result_sets(spark: SparkSession, d: str) -> DataFrame:
     """The result envelope per request (op 38 with memories and totals),
     reported as exact scalars: ids in rank / memory-index order."""
-    req = T.retrieval_requests(spark, d, relevance_threshold=0.25)
+    req = (T.retrieval_requests(spark, d, relevance_threshold=0.25)
+           .withColumn("llm_id", F.when(F.col("query_id") % 2 == 0, F.lit("extractive")))
+           .withColumn("include_memory_definition", F.col("query_id") % 3 != 0))
     res = P.retrieve_postprocessed(req, T.chunk_vectors(spark, d), T.chunk_texts(spark, d),
                                    T.memories(spark, d))
     rs = P.result_sets(res, req, T.memories(spark, d))
     return rs.select(
-        "query_id", "result_set_id", "total_results",
+        "query_id", "success", "error", "result_set_id", "total_results", "abstract_reply",
         F.size("memories").cast("long").alias("total_memories"),
         F.array_join(F.transform("results", lambda x: x["chunk_id"].cast("string")), ",").alias("chunk_ids"),
         F.array_join(F.transform("memories", lambda x: x["memory_id"].cast("string")), ",").alias("memory_ids"))

@@ -14,7 +14,7 @@ from memtables.streaming import indexing as IX
 def stream_index_memories(spark: SparkSession, d: str) -> DataFrame:
     """All documents indexed by the stream (fixed 512/50 chunks, hash-256
     vectors); the status table read back after the stream has drained."""
-    child, out = IX.run_to_completion(spark, lambda s: IX.documents_stream(s, d))
+    child, out = IX.run_to_completion(spark, lambda s: IX.documents_stream(s, d), chunker=IX.fixed_chunker)
     return child.read.parquet(f"{out}/status").select("memory_id", "processing_status", "n_chunks")
 
 

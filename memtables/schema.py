@@ -56,6 +56,7 @@ MSG_MEMORY_CREATED = "Memory created successfully"
 MSG_MEMORY_DELETED = "Memory deleted successfully"
 MSG_LABELS_PREFIX = "Labels must be a JSON object of string-to-string pairs, got: "
 MSG_CONTENT_PREFIX = "Failed to fetch content: "
+MSG_FILE_PREFIX = "Failed to read file: "
 
 # --------------------------------------------------------------------------
 # Our choices (the reference leaves these to its server)
@@ -77,6 +78,9 @@ EXTRA_CONTENT_TYPES = (
 PAGE_SIZE_MIN = 1
 PAGE_SIZE_MAX = 1000
 SCORE_DIGITS = 6                 # scores are rounded to this many digits
+MSG_BAD_TOKEN = "Page token cannot be read"
+MSG_NO_QUERY_VECTOR = "The request has no usable query vector"
+MSG_UNKNOWN_RERANKER = "Unknown reranker: "
 MSG_SPACE_NOT_FOUND = "Space not found: "
 MSG_MEMORY_NOT_FOUND = "Memory not found: "
 MSG_UNKNOWN_STRATEGY = "Unknown chunking strategy: "
@@ -88,55 +92,6 @@ MSG_BAD_METADATA = "Metadata must be a JSON object, got: "
 # Entity schemas
 # --------------------------------------------------------------------------
 
-CHUNKING = T.StructType([
-    T.StructField("strategy", T.StringType()),
-    T.StructField("chunk_size", T.IntegerType()),
-    T.StructField("chunk_overlap", T.IntegerType()),
-])
-
-SPACES = T.StructType([
-    T.StructField("space_id", T.StringType(), False),
-    T.StructField("name", T.StringType()),
-    T.StructField("space_embedders", T.ArrayType(
-        T.StructType([T.StructField("embedder_id", T.StringType())]))),
-    T.StructField("chunking", CHUNKING),
-    T.StructField("public_read", T.BooleanType()),
-    T.StructField("labels", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-EMBEDDERS = T.StructType([
-    T.StructField("embedder_id", T.StringType(), False),
-    T.StructField("name", T.StringType()),
-    T.StructField("dim", T.IntegerType()),
-])
-
-MEMORIES = T.StructType([
-    T.StructField("memory_id", T.LongType(), False),
-    T.StructField("space_id", T.StringType()),
-    T.StructField("content_type", T.StringType()),
-    T.StructField("original_content", T.StringType()),
-    T.StructField("original_content_b64", T.StringType()),
-    T.StructField("metadata", T.VariantType()),
-    T.StructField("processing_status", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-CHUNKS = T.StructType([
-    T.StructField("chunk_id", T.StringType(), False),
-    T.StructField("memory_id", T.LongType()),
-    T.StructField("space_id", T.StringType()),
-    T.StructField("chunk_index", T.IntegerType()),
-    T.StructField("chunk_text", T.StringType()),
-])
-
-CHUNK_VECTORS = T.StructType([
-    T.StructField("chunk_id", T.LongType(), False),
-    T.StructField("memory_id", T.LongType()),
-    T.StructField("space_id", T.StringType()),
-    T.StructField("embedding", T.ArrayType(T.FloatType())),
-])
-
 RETRIEVAL_REQUESTS = T.StructType([
     T.StructField("query_id", T.LongType(), False),
     T.StructField("query_vector", T.ArrayType(T.FloatType())),

@@ -27,21 +27,46 @@ def file_requests(files: DataFrame, space_id: str | F.Column) -> DataFrame:
                         F.col("path").alias("file_path"), F.col("content").alias("file_content"))
 
 
+BUCKETS = 64
+
+
+def _bucket(space_id: F.Column, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(space_id), F.lit(buckets)).cast("int")
+
+
 def write_memory_tables(tables: dict[str, DataFrame], root: str | None = None,
-                        spark: SparkSession | None = None, mode: str = "overwrite") -> dict[str, str]:
+                        spark: SparkSession | None = None, mode: str = "overwrite",
+                        buckets: int = BUCKETS) -> dict[str, str]:
     """Writes entity tables as Parquet under ``root`` (default: a fresh folder in
-    the session's shared checkpoint folder), partitioned by ``space_id`` where
-    the table has it, so listings and retrieval prune partitions. Returns the
-    paths."""
+    the session's shared checkpoint folder). Returns the paths.
+
+    Tables with rows of many memories to a space (``space_id`` and ``memory_id``) are laid out
+    in a fixed number of folders by the hash of ``space_id``, whose rows are sorted by
+    it: reading some spaces prunes folders and row groups, and the number of files
+    doesn't grow with the spaces. Rows are rebalanced by size, so a hot space fills
+    several files. ``space_id`` stays a data column of its own type."""
     if root is None:
         spark = spark or next(iter(tables.values())).sparkSession
         root = shared_dir(spark, "tables")
     out = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
-        w = df.write.mode(mode)
-        if "space_id" in df.columns:
-            w = w.partitionBy("space_id")
-        w.parquet(path)
+        if {"space_id", "memory_id"} <= set(df.columns):
+            df = (df.withColumn("space_bucket", _bucket(F.col("space_id"), buckets)).hint("rebalance", "space_bucket")
+                  .sortWithinPartitions("space_bucket", "space_id"))
+            df.write.mode(mode).partitionBy("space_bucket").parquet(path)
+        else:
+            df.write.mode(mode).parquet(path)
         out[name] = path
     return out
+
+
+def read_memory_table(spark: SparkSession, path: str, space_ids: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """A table of :func:`write_memory_tables` (with its ``buckets``); with ``space_ids`` only
+    those spaces, by folder and by row-group statistics."""
+    df = spark.read.parquet(path)
+    if space_ids is not None:
+        df = df.where(F.col("space_id").isin(space_ids))
+        if "space_bucket" in df.columns:
+            df = df.where(F.col("space_bucket").isin([_bucket(F.lit(s), buckets) for s in space_ids]))
+    return df.drop("space_bucket")

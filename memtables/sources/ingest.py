@@ -28,9 +28,8 @@ from memtables.operators.outcomes import first_error, with_outcome
 
 
 def memory_id_of(space_id: Column, request_id: Column) -> Column:
-    """Repeatable 60-bit id from the natural key (space, request)."""
-    h = F.sha2(F.concat_ws("|", F.lit("memory"), space_id.cast("string"), request_id.cast("string")), 256)
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+    """Repeatable id: the SHA-256 of the natural key (space, request)."""
+    return F.sha2(F.concat_ws("|", F.lit("memory"), space_id.cast("string"), request_id.cast("string")), 256)
 
 
 def _non_empty(c: Column) -> Column:
@@ -95,7 +94,7 @@ def ingest(requests: DataFrame) -> DataFrame:
     err = first_error(
         (meta["error"].isNotNull(), meta["error"]),
         (~use_file & ~use_text, S.MSG_NO_CONTENT),
-        (use_file & content.isNull(), F.concat(F.lit("Failed to read file: "), path)),
+        (use_file & content.isNull(), F.concat(F.lit(S.MSG_FILE_PREFIX), path)),
     )
     out = requests.select(
         "request_id", "space_id",

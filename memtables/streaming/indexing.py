@@ -3,8 +3,9 @@
 New memories are chunked and embedded as they arrive (Structured Streaming).
 Each micro-batch writes its chunks, vectors and status rows into folders keyed
 by batch id, overwriting that batch's folder, so a replayed batch after a
-failure writes the same files again instead of adding duplicates. Replayed
-input rows are dropped by ``dropDuplicatesWithinWatermark`` on ``memory_id``.
+failure writes the same files again instead of adding duplicates. Memories that
+an earlier batch has indexed are dropped against its status rows; there is no
+watermark, so memories may arrive however late.
 
 The client's "wait for indexing" loop (retry every 2 s for up to 10 s) becomes
 ``trigger(availableNow=True)`` + ``awaitTermination()``: a batch query runs
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memtables import schema as S
@@ -26,33 +27,41 @@ from memtables.session import materialized, shared_dir
 Chunker = Callable[[DataFrame], DataFrame]
 
 
-def default_chunker(memories: DataFrame) -> DataFrame:
+def fixed_chunker(memories: DataFrame) -> DataFrame:
     return CH.chunk_fixed(memories, S.DEFAULT_CHUNK_SIZE, S.DEFAULT_CHUNK_OVERLAP)
 
 
+def default_chunker(memories: DataFrame) -> DataFrame:
+    """The tool's default strategy and sizes."""
+    return CH.chunk_recursive(memories, S.DEFAULT_CHUNK_SIZE, S.DEFAULT_CHUNK_OVERLAP)
+
+
 def space_chunker(spaces: DataFrame) -> Chunker:
     """Chunk every memory with its space's chunking config (as the server
     would); spaces without a config fall back to the tool defaults."""
     return lambda memories: CH.chunk_by_config(memories, spaces)
 
 
-def index_batch(memories: DataFrame, chunker: Chunker = default_chunker,
-                embedder_id: str = "hash-256") -> tuple[DataFrame, DataFrame]:
-    """(vectors, status) of one batch of memories. A memory without text is
+def _has_text() -> Column:
+    return F.col("original_content").isNotNull() & (F.col("original_content") != "")
+
+
+def batch_vectors(memories: DataFrame, chunker: Chunker = default_chunker, embedder_id: str = "hash-256") -> DataFrame:
+    """The chunks, with vectors, of one batch's memories with text."""
+    return embed_chunks(chunker(memories.where(_has_text())), embedder_id)
+
+
+def batch_status(memories: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Status rows of one batch, from the vectors written for it. A memory without text is
     FAILED with an error; the others are COMPLETED with their chunk count."""
-    ok = F.col("original_content").isNotNull() & (F.col("original_content") != "")
-    good = memories.where(ok)
-    chunks = chunker(good)
-    vectors = embed_chunks(chunks, embedder_id)
-    counts = chunks.groupBy("memory_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    status = (memories.select("memory_id", "space_id", ok.alias("_ok"))
-              .join(counts, "memory_id", "left")
-              .select("memory_id", "space_id",
-                      F.when(F.col("_ok"), F.lit(S.STATUS_COMPLETED)).otherwise(F.lit(S.STATUS_FAILED))
-                      .alias("processing_status"),
-                      F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
-                      F.when(~F.col("_ok"), F.lit("memory has no text")).alias("error")))
-    return vectors, status
+    counts = vectors.groupBy("memory_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+    return (memories.select("memory_id", "space_id", _has_text().alias("_ok"))
+            .join(counts, "memory_id", "left")
+            .select("memory_id", "space_id",
+                    F.when(F.col("_ok"), F.lit(S.STATUS_COMPLETED)).otherwise(F.lit(S.STATUS_FAILED))
+                    .alias("processing_status"),
+                    F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
+                    F.when(~F.col("_ok"), F.lit("memory has no text")).alias("error")))
 
 
 def stream_index_memories(stream: DataFrame, out_dir: str, checkpoint: str,
@@ -73,9 +82,9 @@ def stream_index_memories(stream: DataFrame, out_dir: str, checkpoint: str,
             done = spark.read.parquet(f"{out_dir}/status").where(F.col("batch_id") < batch_id).select("memory_id")
             new = new.join(done, "memory_id", "left_anti")
         new = materialized(new)
-        vectors, status = index_batch(new, chunker, embedder_id)
-        vectors.write.mode("overwrite").parquet(f"{out_dir}/vectors/batch_id={batch_id}")
-        status.write.mode("overwrite").parquet(f"{out_dir}/status/batch_id={batch_id}")
+        path = f"{out_dir}/vectors/batch_id={batch_id}"
+        batch_vectors(new, chunker, embedder_id).write.mode("overwrite").parquet(path)
+        batch_status(new, spark.read.parquet(path)).write.mode("overwrite").parquet(f"{out_dir}/status/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)

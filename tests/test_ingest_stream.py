@@ -65,7 +65,7 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     status = spark.read.parquet(f"{root}/out/status")
     vectors = spark.read.parquet(f"{root}/out/vectors")
     mem = T.memories(spark, SF_SMALL).select("memory_id", "space_id", "original_content")
-    batch_chunks = CH.chunk_fixed(mem, 512, 50)
+    batch_chunks = CH.chunk_recursive(mem, 512, 50)
     assert status.count() == mem.count()
     assert vectors.count() == batch_chunks.count()
     from memtables.operators.embedding import embed_chunks

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from memtables.functions.json import val
 from memtables.operators import catalog as C
 from memtables.operators import memories as M
+from memtables.operators import postprocess as P
 from memtables.operators import retrieval as R
 from memtables.sources import files as FS
 from memtables.sources import tables as T
@@ -34,11 +35,12 @@ def test_listing_prunes_content_and_limits_before_shuffle(spark):
 
 def test_written_tables_push_filters_and_prune_partitions(spark):
     paths = FS.write_memory_tables({"memories": T.memories(spark, SF_SMALL)}, spark=spark)
-    mem = spark.read.parquet(paths["memories"])
-    q = M.filter_by_status(mem.where(F.col("space_id") == "src3"), "COMPLETED")
+    mem = FS.read_memory_table(spark, paths["memories"])
+    q = M.filter_by_status(FS.read_memory_table(spark, paths["memories"], ["src3"]), "COMPLETED")
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(space_id" in plan and "src3" in plan
-    assert "PushedFilters: [" in plan and "processing_status" in plan.split("PushedFilters: [")[1]
+    assert "PartitionFilters: [isnotnull(space_bucket" in plan
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "processing_status" in pushed and "space_id" in pushed
     assert q.count() == T.memories(spark, SF_SMALL).where(
         (F.col("space_id") == "src3") & (F.col("processing_status") == "COMPLETED")).count()
     # metadata paths still work after the round trip
@@ -61,9 +63,38 @@ def test_totals_without_whole_table_window(spark):
     assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_files_do_not_grow_with_the_spaces(spark):
+    many = spark.range(5000).select((F.col("id") + 1).alias("memory_id"), F.format_string("%04d", "id").alias("space_id"))
+    paths = FS.write_memory_tables({"memories": many, "spaces": many.select("space_id")}, spark=spark, buckets=16)
+    files = spark.read.parquet(paths["memories"]).select(F.input_file_name().alias("f")).distinct().count()
+    assert files <= 16
+    back = FS.read_memory_table(spark, paths["memories"], ["0007", "0012"], buckets=16)
+    assert sorted(r.space_id for r in back.collect()) == ["0007", "0012"]
+    assert FS.read_memory_table(spark, paths["spaces"], ["0007"]).collect()[0].space_id == "0007"
+
+
+def test_one_retrieval_per_chain(spark):
+    """The search runs once, before; the chain's own plan holds no search."""
+    req = T.retrieval_requests(spark, SF_SMALL, reranker_id="jaccard", relevance_threshold=0.05)
+    plan = _plan(P.retrieve_postprocessed(req, T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL)))
+    assert "MapInArrow" not in plan and "FlatMapCoGroupsInArrow" not in plan
+
+
+def test_topk_of_many_queries_does_not_move_the_chunks(spark):
+    """100,000 queries: several broadcast blocks, and no exchange between the vector scan and the kernel."""
+    vec = T.chunk_vectors(spark, SF_SMALL)
+    req = (T.retrieval_requests(spark, SF_SMALL).select("query_id", "query_vector", "space_ids").limit(500)
+           .crossJoin(spark.range(200)).select((F.col("query_id") * 200 + F.col("id")).alias("query_id"), "query_vector", "space_ids"))
+    assert req.count() == 100_000
+    top = R.retrieve_topk(req, vec, default_k=1)
+    plan = _plan(top)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "MapInArrow" in final and "Exchange" not in final.split("MapInArrow")[1]
+
+
 def test_topk_prunes_space_partitions(spark):
     paths = FS.write_memory_tables({"vectors": T.chunk_vectors(spark, SF_SMALL)}, spark=spark)
-    vec = spark.read.parquet(paths["vectors"])
+    vec = FS.read_memory_table(spark, paths["vectors"], ["label-2", "label-3"])
     req = T.retrieval_requests(spark, SF_SMALL).where(F.col("query_id") < 10).withColumn(
         "space_ids", F.lit("label-2, label-3"))
     top = R.retrieve_topk(req, vec, method="broadcast")
