@@ -25,7 +25,7 @@ from memtables.operators.outcomes import first_error, with_outcome, with_total
 # -- 13 list_spaces / 15 list_embedders -----------------------------------------
 
 def first_embedder(space_embedders: Column) -> Column:
-    return F.try_element_at(space_embedders, F.lit(1))["embedder_id"]
+    return F.get(space_embedders["embedder_id"], F.lit(0))
 
 
 def list_spaces(spaces: DataFrame, ordered: bool = True) -> DataFrame:

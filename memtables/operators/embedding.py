@@ -101,12 +101,10 @@ def embed_by_space(chunks: DataFrame, spaces: DataFrame, default: str = "hash-25
     """Every chunk embedded by the first embedder of its space (no space, or a space
     without embedders: ``default``). Adds ``embedder_id``, the vector and the outcome; an unknown
     embedder gives a null vector and an error."""
-    per = spaces.select("space_id", F.try_element_at("space_embedders", F.lit(1))["embedder_id"].alias("embedder_id"))
+    per = spaces.select("space_id", F.get(F.col("space_embedders")["embedder_id"], F.lit(0)).alias("embedder_id"))
     j = chunks.join(per, "space_id", "left").withColumn("embedder_id", F.coalesce("embedder_id", F.lit(default)))
     which = F.col("embedder_id")
-    dim = F.lit(None).cast("int")
-    for name, _, d in BUILTIN:
-        dim = F.when(which == name, F.lit(d)).otherwise(dim)
+    dim = F.try_element_at(F.create_map(*(F.lit(x) for name, _, d in BUILTIN for x in (name, d))), which)
     j = spread(j).withColumn(out_col, _unit_counts_udf()(term_buckets(text_col, dim), dim))
     for name, (fn, _) in _CUSTOM.items():
         # rows of other embedders pass null, so the model has nothing to do for them

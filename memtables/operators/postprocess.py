@@ -103,13 +103,15 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
     Requests in error (:func:`retrieval_outcomes`) have no results.
 
     The search runs once: its few rows are written, and everything after reads
-    them. Texts are attached and tokenised once per found chunk."""
+    them. Texts are attached and tokenised once per found chunk, and where the tables
+    are small, on all cores."""
     requests = requests.where(~_unknown_reranker())
     top = materialized(R.retrieve_topk(requests, chunk_vectors, method=method))
-    opts = requests.select(
-        "query_id", "max_results", "relevance_threshold", "reranker_id", "chronological_resort",
-        post_processor_on().alias("_post"),
-        *_prepared("query_text", "_q", lambda i, name: F.col("reranker_id") == name))
+    opts = SZ.spread(requests.select(
+        "query_id", "query_text", "max_results", "relevance_threshold", "reranker_id", "chronological_resort",
+        post_processor_on().alias("_post")))
+    opts = opts.select(*(c for c in opts.columns if c != "query_text"),
+                       *_prepared("query_text", "_q", lambda i, name: F.col("reranker_id") == name))
     texts = chunk_texts.select("chunk_id", "chunk_text")
     created = memories.select("memory_id", "created_at")
     if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES and top.count() <= MAX_BROADCAST_RESULTS:
@@ -118,12 +120,13 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
         texts = texts.join(F.broadcast(top.select("chunk_id").distinct()), "chunk_id", "left_semi")
         created = created.join(F.broadcast(top.select("memory_id").distinct()), "memory_id", "left_semi")
     asked = (top.join(requests.select("query_id", "reranker_id"), "query_id").groupBy("chunk_id")
-             .agg(*(F.coalesce(F.bool_or(F.col("reranker_id") == name), F.lit(False)).alias(f"_a{i}") for i, name in enumerate(RERANKERS))))
-    found = (asked.join(texts, "chunk_id", "left")
-             .select("chunk_id", "chunk_text", *_prepared("chunk_text", "_c", lambda i, name: F.col(f"_a{i}"))))
-    j = (top.join(found, "chunk_id", "left")
-         .join(created, "memory_id", "left")
-         .join(opts, "query_id"))
+             .agg(*(F.coalesce(F.bool_or(F.col("reranker_id") == name), F.lit(False)).alias(f"_a{i}")
+                    for i, name in enumerate(RERANKERS))))
+    found = SZ.spread(asked.join(texts, "chunk_id", "left"))
+    found = found.select("chunk_id", "chunk_text", *_prepared("chunk_text", "_c", lambda i, name: F.col(f"_a{i}")))
+    j = (top.join(opts, "query_id")
+         .join(found, "chunk_id", "left")
+         .join(created, "memory_id", "left"))
     rr = F.lit(None).cast("double")
     for i, (name, r) in enumerate(RERANKERS.items()):
         rr = F.when(F.col("reranker_id") == name,

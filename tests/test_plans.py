@@ -73,11 +73,17 @@ def test_files_do_not_grow_with_the_spaces(spark):
     assert FS.read_memory_table(spark, paths["spaces"], ["0007"]).collect()[0].space_id == "0007"
 
 
-def test_one_retrieval_per_chain(spark):
-    """The search runs once, before; the chain's own plan holds no search."""
+def test_one_retrieval_per_chain(spark, monkeypatch):
+    """The search runs once, before: the chain's own plan holds none, with small and big tables."""
     req = T.retrieval_requests(spark, SF_SMALL, reranker_id="jaccard", relevance_threshold=0.05)
-    plan = _plan(P.retrieve_postprocessed(req, T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL)))
-    assert "MapInArrow" not in plan and "FlatMapCoGroupsInArrow" not in plan
+    chain = lambda: P.retrieve_postprocessed(
+        req, T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL))
+    small = chain()
+    assert "MapInArrow" not in _plan(small)
+    monkeypatch.setattr(P.SZ, "SEMI_JOIN_REDUCTION_BYTES", 0)
+    big = chain()
+    assert "MapInArrow" not in _plan(big)
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, big.collect()), key=str)
 
 
 def test_topk_of_many_queries_does_not_move_the_chunks(spark):
