@@ -274,6 +274,14 @@ def links(reps: DataFrame, *, distance: int = DISTANCE, sample_rows: int = SAMPL
     return keyed.mapInArrow(run, "a long, b long")
 
 
+def groups(fps: DataFrame, *, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
+    """Every distinct ``fp`` and its ``group``, the smallest fingerprint reachable over links
+    of at most ``distance`` bits, whatever the ids are."""
+    reps = materialized(fps.select("fp", F.col("fp").alias("rep")).distinct())
+    found = components(links(reps, distance=distance, bucket=bucket))
+    return reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """``id_col``, ``fp`` and ``component_id`` (the smallest id reachable over links of at

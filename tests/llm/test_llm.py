@@ -477,3 +477,28 @@ def test_pipeline_edges(spark, odd):
             out.count()
     kept = corpus_pipeline.one_of_each_group(spark, odd, SF)
     assert kept.where("doc_id = 30").count() == 1 and kept.where("doc_id is null").count() == 2
+
+
+def brute_groups(rows):
+    """One of each group of near duplicates: the smallest id (null last), then the first by text."""
+    fps = {r: brute_fingerprint(r[1]) for r in rows}
+    low = brute_components({f: f for f in fps.values()})
+    best = {}
+    for r in rows:
+        at = low[fps[r]]
+        order = (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")
+        if at not in best or order < best[at][0]:
+            best[at] = order, r
+    return sorted((r for _, r in best.values()), key=repr)
+
+
+def test_one_row_of_each_group_with_null_and_repeated_ids(spark):
+    text = lambda i: f"words{i} that{i * 7} nobody{i * 13} else{i} has{i * 3} written{i}"
+    rows = [(None, text(0))] * 40 + [(None, text(0).upper()), (None, text(1)), (None, text(2)), (5, text(2)), (3, text(2) + " ")]
+    rows += [(7, text(3)), (7, text(4)), (8, text(3)), (8, text(5)), (9, text(6)), (9, text(6)), (9, text(6).upper()), (None, text(5))]
+    rows += [(20, text(7)), (20, text(8)), (21, text(8)), (None, None), (None, ""), (30, text(9)), (31, None), (31, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(plain(corpus_pipeline.one_of_each_group(spark, docs, SF)), key=repr)
+    assert got == brute_groups(rows)
+    unnamed = docs.where("doc_id is null")
+    assert sorted(plain(corpus_pipeline.one_of_each_group(spark, unnamed, SF)), key=repr) == brute_groups([r for r in rows if r[0] is None])
