@@ -226,6 +226,24 @@ def test_quick_tokens_equal_the_tokenizers_library(spark):
     assert all(quick(t or "") == full(t or "") for t in texts)
 
 
+def test_tokens_equal_the_untouched_tokenizer(spark):
+    from tokenizers import Tokenizer
+    path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    untouched = Tokenizer.from_file(path)
+    plain_call = lambda t: untouched.encode(t, add_special_tokens=False).ids
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext", "é  <|endoftext|> ñ", "a < |endoftext|> b", "x" * 5000]
+    assert plain_call(texts[0]) == [64, 220, 50256, 275]
+    for encode in (packing.encoder(path, ranks), packing.encoder(path)):
+        assert [encode(t) for t in texts] == [plain_call(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = queries.packed(docs).collect()
+    ids = [np.array([*plain_call(t), 0], "<u4") for t in texts]
+    assert {r.doc_id for r in pieces} == set(range(len(texts)))
+    for r in pieces:
+        own = ids[r.doc_id]
+        assert (r.doc_tokens, r.ids_crc32) == (len(own), zlib.crc32(own[r.start:r.start + r.length].tobytes()))
+
+
 def test_packing_edges(odd):
     got = queries.packed(odd).collect()
     by_doc = collections.defaultdict(int)
