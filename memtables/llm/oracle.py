@@ -103,5 +103,34 @@ FROM drawn
 """
 
 
+def _op12(rounds: int = 5, k: int = 40) -> str:
+    nearest = """
+  SELECT vec_id, v, arg_min(c, [d, c]) AS c, min(d) AS d FROM (
+    SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, u), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM numbers CROSS JOIN {at}) GROUP BY vec_id, v"""
+    parts = [f"""
+WITH numbers AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+at0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h))::INTEGER - 1 AS c, v AS u
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM numbers ORDER BY h LIMIT {k}))"""]
+    for r in range(1, rounds + 1):
+        parts.append(f"""
+near{r} AS MATERIALIZED ({nearest.format(at=f'at{r - 1}')}),
+mean{r} AS (
+  SELECT c, list(m ORDER BY i) AS u FROM (
+    SELECT c, i, floor(sum(x) / count(*))::BIGINT AS m
+    FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{r}) GROUP BY c, i) GROUP BY c),
+at{r} AS MATERIALIZED (SELECT a.c, coalesce(m.u, a.u) AS u FROM at{r - 1} a LEFT JOIN mean{r} m USING (c))""")
+    parts.append(f"""
+last AS MATERIALIZED ({nearest.format(at=f'at{rounds}')})""")
+    return ",".join(parts) + f"""
+SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(u, ',')) AS centroid_sha256
+FROM last JOIN at{rounds} USING (c)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3, "op4_quality_rules": OP4, "op6_chat_format": OP6, "op8_mixing": OP8}
+    return {"op3_line_dedup": OP3, "op4_quality_rules": OP4, "op6_chat_format": OP6, "op8_mixing": OP8, "op12_centroids": _op12()}

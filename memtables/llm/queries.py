@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memtables.llm import ann, chat_format, line_dedup, mixing, packing, pii, quality, quality_rules, simhash, toxicity
-from memtables.llm.common import table
+from memtables.llm import (ann, bitplanes, chat_format, line_dedup, mixing, packing, pii, quality, quality_rules, runs, sentence_pieces,
+                           simhash, toxicity)
+from memtables.llm.common import WORD, table
 from memtables.session import ship_package
 
 #: A document is toxic if P(grade > 0) reaches this.
@@ -103,8 +104,54 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where one document in ten (crc32 of the id divisible by 10) goes on from word
+    a with its words a .. a + p - 1 again and again."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    docs = docs.select("doc_id", "text", g.alias("g"),
+                       F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
+    docs = docs.select("doc_id", "text", "g", "w", F.size("w").alias("n"))
+    a = F.col("g") % F.col("n")
+    docs = docs.select("doc_id", "text", "w", "n", F.when(F.col("n") > 0, a).cast("int").alias("a"), "g")
+    p = (F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1).cast("int")
+    docs = docs.select("doc_id", "text", "w", "n", "a", p.alias("p"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents"))
+    found = docs.select("doc_id", runs.periodic_runs(F.col("text")).alias("r")).select("doc_id", "r.runs", "r.collapsed")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    out = found.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), longest.alias("m"),
+                       F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").alias("lines"))
+    sha = lambda c: F.sha2(F.encode(F.col(c), "UTF-8"), 256)
+    length, period = F.col("m.length"), -F.col("m.p")
+    return out.select("doc_id", "n_runs", (-F.col("m.s")).alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(1000 * length / period).alias("exponent_milli"), sha("lines").alias("runs_sha256"), sha("collapsed").alias("collapsed_sha256"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bitplanes.cluster(table(spark, sf_dir, "embeddings"), bitplanes.seed_key(F.col("vec_id")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", bitplanes.digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    model = sentence_pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", sentence_pieces.encode(F.col("text"), model, spark).alias("ids"))
+    docs = docs.select("doc_id", "ids", sentence_pieces.decode(F.col("ids"), model, spark).alias("decoded"))
+    sha = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), sha(F.col("decoded")).alias("decoded_sha256"))
+
+
 OPERATORS = (op1_toxicity, op2_quality, op3_line_dedup, op4_quality_rules, op5_packing, op6_chat_format, op7_simhash,
-             op8_mixing, op9_pii, op10_neighbours)
+             op8_mixing, op9_pii, op10_neighbours, op11_runs, op12_centroids, op13_sentencepiece)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
