@@ -143,8 +143,8 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     model = sentence_pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", sentence_pieces.encode(F.col("text"), model, spark).alias("ids"))
-    docs = docs.select("doc_id", "ids", sentence_pieces.decode(F.col("ids"), model, spark).alias("decoded"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", sentence_pieces.encode_and_decode(F.col("text"), model, spark).alias("s"))
+    docs = docs.select("doc_id", "s.ids", "s.decoded")
     sha = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
     return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), sha(F.col("decoded")).alias("decoded_sha256"))

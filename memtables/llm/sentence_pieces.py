@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, groupby
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: A word; longer texts are cut between words into blocks of about this many characters.
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Words of at most this many characters, and so many of them, are remembered by a task.
 CACHE, CACHED_CHARS = 200_000, 64
 
@@ -276,6 +276,11 @@ def merge_words(m: Model, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray
     return np.concatenate(out_sym)[at], n
 
 
+def _words(text: str) -> list[str]:
+    """The words without their first ``▁``."""
+    return [w[1:] for w in WORD.findall(text)]
+
+
 class Encoder:
     """Texts to ids, remembering words."""
 
@@ -284,8 +289,9 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> Iterator[bytes]:
-        """The ids (int32) of each word."""
+        """The ids (int32) of each word, given without its first ``▁``."""
         m = self.model
+        words = [SPACE + w for w in words]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         # long words in parts: fewer rounds, the same pieces
@@ -311,7 +317,7 @@ class Encoder:
 
     def _known(self, words: set[str]) -> dict[str, bytes]:
         """Ids of at least these words."""
-        fresh = sorted(words.difference(self.known))
+        fresh = list(words.difference(self.known))
         if not fresh:
             return self.known
         learned = dict(zip(fresh, self._learn(fresh)))
@@ -326,7 +332,7 @@ class Encoder:
         learned.update((w, self.known[w]) for w in words.difference(learned))
         return learned
 
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text. Short texts are read together, long ones in blocks."""
         group: list[list[str]] = []
         held = 0
@@ -334,11 +340,16 @@ class Encoder:
             if held and held + len(text) > BLOCK:
                 yield from self._together(group)
                 group, held = [], 0
-            text = SPACE + text.replace(" ", SPACE) if text else ""
             if len(text) > BLOCK:
-                yield np.concatenate([ids for block in self._blocks(text) for ids in self._together([WORD.findall(block)])])
+                text = SPACE + text.replace(" ", SPACE)
+                yield np.concatenate([ids for block in self._blocks(text) for ids in self._together([_words(block)])])
                 continue
-            group.append(WORD.findall(text))
+            if not text:
+                group.append([])
+            elif text[0] == " " or "  " in text or SPACE in text:
+                group.append(_words(SPACE + text.replace(" ", SPACE)))
+            else:
+                group.append(text.split(" "))
             held += len(text)
         yield from self._together(group)
 
@@ -392,6 +403,25 @@ def _lenient(data: bytes) -> str:
 
 # -- columns -----------------------------------------------------------------------
 
+def _texts(batch: pa.Array) -> Iterator[str]:
+    return (v.as_py() or "" for v in batch)
+
+
+def _id_lists(parts: Iterator[np.ndarray]) -> pa.ListArray:
+    flat, ends = bytearray(), [0]
+    for ids in parts:
+        flat += ids.tobytes()
+        ends.append(len(flat) // 4)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+
+
+def _decoded(m: Model, ids: pa.ListArray) -> pa.Array:
+    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), [0]
+    for n in ids.value_lengths().fill_null(0).to_pylist():
+        ends.append(ends[-1] + n)
+    return pa.array([decoded(m, flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+
+
 def encode(text: Column, model: Model, spark: SparkSession) -> Column:
     """The ids (array of int) of a text column."""
     shared = spark.sparkContext.broadcast(model)
@@ -399,10 +429,7 @@ def encode(text: Column, model: Model, spark: SparkSession) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            ids = list(encoder.ids([t or "" for t in batch.to_pylist()]))
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield _id_lists(encoder.ids(_texts(batch)))
     return F.arrow_udf(run, "array<int>")(text)
 
 
@@ -411,7 +438,18 @@ def decode(ids: Column, model: Model, spark: SparkSession) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = shared.value
         for batch in batches:
-            yield pa.array([decoded(m, one.as_py() or []) for one in batch], pa.string())
+            yield _decoded(shared.value, batch)
     return F.arrow_udf(run, "string")(ids)
+
+
+def encode_and_decode(text: Column, model: Model, spark: SparkSession) -> Column:
+    """A struct of the ``ids`` of a text and of the text ``decoded`` from them, in one pass."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(shared.value)
+        for batch in batches:
+            ids = _id_lists(encoder.ids(_texts(batch)))
+            yield pa.StructArray.from_arrays([ids, _decoded(shared.value, ids)], names=["ids", "decoded"])
+    return F.arrow_udf(run, "struct<ids: array<int>, decoded: string>")(text)

@@ -227,6 +227,8 @@ def test_sentencepiece_edges(spark, odd, model, library):
     assert out.columns == [*odd.columns, "new_ids", "back"] and out.limit(0).count() == 0 and odd.limit(0).select(ids).count() == 0
     for r in out.collect():
         assert r.new_ids == library.encode(r.text or "") and r.back == library.decode(r.new_ids)
+    both = odd.select("text", sentence_pieces.encode_and_decode(F.col("text"), model, spark).alias("s")).collect()
+    assert all(r.s.ids == library.encode(r.text or "") and r.s.decoded == library.decode(r.s.ids) for r in both)
     nulls = spark.createDataFrame([(None,), ([],), ([1, 2],)], "i array<int>").select(sentence_pieces.decode(F.col("i"), model, spark).alias("t"))
     assert [r.t for r in nulls.collect()] == ["", "", ""]
 
