@@ -95,17 +95,19 @@ def next_state(state: Column, role: Column) -> Column:
 
 def format_conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``conv``, ``segments``, ``formatted``, ``valid``, ``error_turn`` of each conversation."""
-    name, other = F.col(role), TEMPLATE["other"]
+    other = TEMPLATE["other"]
     start, end = other.before.split("{role}")
     row = turns.select(
-        F.col(conv), F.struct(F.col(turn).alias("turn"), name.alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-    marks = row.select(conv, F.struct(
-        "t.turn", "t.role", escape(F.col("t.text")).alias("text"),
-        _by_role(F.col("t.role"), lambda r: F.lit(r.before), F.concat(F.lit(start), escape(F.coalesce("t.role", F.lit("")), NAME_ESCAPES), F.lit(end))).alias("before"),
-        _by_role(F.col("t.role"), lambda r: F.lit(r.after), F.lit(other.after)).alias("after"),
-        _by_role(F.col("t.role"), lambda r: F.lit(r.loss), F.lit(other.loss)).alias("loss")).alias("t"))
-    talk = marks.groupBy(conv).agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    segment = lambda t, loss: F.struct(t.alias("text"), loss.alias("loss"))
+        F.col(conv), F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
+    talk = row.groupBy(conv).agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
+
+    def segments(t: Column) -> Column:
+        before = _by_role(t["role"], lambda r: F.lit(r.before),
+                          F.concat(F.lit(start), escape(F.coalesce(t["role"], F.lit("")), NAME_ESCAPES), F.lit(end)))
+        after = _by_role(t["role"], lambda r: F.lit(r.after), F.lit(other.after))
+        loss = _by_role(t["role"], lambda r: F.lit(r.loss), F.lit(other.loss))
+        return F.array(segment(before, no), segment(escape(t["text"]), loss), segment(after, no))
     no = F.lit(False)
     walk = F.aggregate(
         F.col("turns.role"), F.struct(F.lit("start").alias("state"), F.lit(0).alias("n"), F.lit(None).cast("int").alias("error")),
@@ -114,7 +116,7 @@ def format_conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str =
             F.when(a["error"].isNotNull(), a["error"]).when(next_state(a["state"], r) == ERROR, a["n"]).alias("error")))
     out = talk.select(
         conv, walk.alias("walk"),
-        F.flatten(F.transform("turns", lambda t: F.array(segment(t["before"], no), segment(t["text"], t["loss"]), segment(t["after"], no)))).alias("segments"))
+        F.flatten(F.transform("turns", segments)).alias("segments"))
     return out.select(
         conv, "segments", F.array_join("segments.text", "").alias("formatted"),
         (F.col("walk.error").isNull() & F.col("walk.state").isin(*ACCEPTING)).alias("valid"),

@@ -64,13 +64,20 @@ escaped AS (
               WHEN 'user' THEN length('[INST] ') + length(' [/INST]')
               WHEN 'assistant' THEN length('<s>') + length('</s>') + 1
               ELSE length('<turn:>') + length('</turn>') + 1 + length(coalesce(role, '')) END AS marks
-  FROM all_turns)
-SELECT conv_id, count(*) AS n_turns,
+  FROM all_turns),
+walked AS (
+  SELECT *, row_number() OVER talk - 1 AS i, count(*) OVER (PARTITION BY conv_id) - 1 AS last_i,
+    coalesce(role, '') NOT IN ('system', 'user') AND row_number() OVER talk = 1
+    OR row_number() OVER talk > 1 AND coalesce(lag(role) OVER talk, '') || '>' || coalesce(role, '')
+       NOT IN ('system>user', 'user>assistant', 'assistant>user') AS wrong
+  FROM escaped WINDOW talk AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text))
+SELECT conv_id, count(*) AS n_turns, NOT bool_or(wrong) AND bool_or(i = last_i AND role = 'assistant') AS valid,
+       min(i) FILTER (WHERE wrong) AS error_turn,
        sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(n + marks)::BIGINT AS formatted_chars
-FROM escaped GROUP BY conv_id
+FROM walked GROUP BY conv_id
 """
 
 OP8 = rf"""

@@ -73,13 +73,13 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast(c.schema["conv_id"].dataType).alias("conv_id"), F.col("id").cast(c.schema["turn"].dataType).alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     out = chat_format.format_conversations(c.select("conv_id", "turn", "role", "text").unionByName(hard))
-    out = out.select("conv_id", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"),
+    out = out.select("conv_id", "valid", "error_turn", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"),
                      chat_format.loss_text(F.col("segments")).alias("loss"))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     sha = lambda x: F.sha2(F.encode(x, "UTF-8"), 256)
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), sha(spoken).alias("turns_sha256"),
                       F.length("loss").cast("long").alias("loss_chars"), sha(F.col("loss")).alias("loss_sha256"),
-                      F.length("formatted").cast("long").alias("formatted_chars"))
+                      F.length("formatted").cast("long").alias("formatted_chars"), "valid", F.col("error_turn").cast("long").alias("error_turn"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

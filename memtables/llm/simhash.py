@@ -26,8 +26,8 @@ returns a spanning forest of its links, not all pairs. Components come from
 
 Defined results: null and empty texts are linked like any other; repeated rows
 share a fingerprint and a component; documents with a null id belong to their fingerprint's
-component and never name it (null if there is no other document); an empty table gives no rows; extra
-columns are not read.
+component, link others through it and never name it (null if no document there has an id); an empty
+table gives no rows; extra columns are not read by :func:`near_duplicates` and kept by :func:`one_of_each`.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from memtables.llm.common import bounded_sample, utf8
 from memtables.llm.graph import components
+from memtables.llm.mixing import row_hash
 from memtables.session import materialized
 
 BITS = 64
@@ -285,10 +286,39 @@ def groups(fps: DataFrame, *, distance: int = DISTANCE, bucket: int = BUCKET) ->
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """``id_col``, ``fp`` and ``component_id`` (the smallest id reachable over links of at
-    most ``distance`` bits) of every row."""
+    most ``distance`` bits, links through rows without an id included) of every row. Ids may be of any
+    type that has an order."""
     fps = materialized(fingerprints(docs, id_col=id_col, text=text, shingle=shingle))
-    reps = materialized(fps.where(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).cast("long").alias("rep")))
-    found = components(links(reps, distance=distance, bucket=bucket))
-    named = reps.join(found, reps["rep"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(named, "fp", "left").select(id_col, "fp", "component_id")
+    found = materialized(groups(fps.select("fp"), distance=distance, bucket=bucket))
+    lowest = fps.groupBy("fp").agg(F.min(id_col).alias("low")).join(found, "fp")
+    names = lowest.groupBy(F.col("group").alias("named")).agg(F.min("low").alias("component_id"))
+    by_fp = found.join(names, F.col("group") == F.col("named")).select(F.col("fp").alias("found_fp"), "component_id")
+    return fps.join(by_fp, F.col("fp") == F.col("found_fp")).select(id_col, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the row with the smallest id (null ids
+    last), of several rows with that id the first by text (null first). Groups are of fingerprints, not of ids:
+    rows that share an id but not a group each stand for themselves. Rows are carried as one struct, so
+    columns of any name and type are kept; of rows that agree in id, text and hash any one stays."""
+    tie = F.coalesce(F.md5(text), F.lit(""))
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), tie.alias("tie")).alias("key"), F.col(text).alias("text"))
+    keys = materialized(fingerprints(keyed, id_col="key", text="text", shingle=shingle).select("key.id", "key.tie", "fp"))
+    found = materialized(groups(keys.select("fp"), distance=distance, bucket=bucket))
+    # the best row of each fingerprint, then of each group; n: rows with its id, of which one stays
+    best = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "n", "tie")).alias("b")
+    by_fp = keys.groupBy("fp", "id").agg(F.count("*").alias("n"), F.min("tie").alias("tie")).groupBy("fp").agg(best)
+    by_group = by_fp.join(found, "fp").groupBy("group", F.col("b.id").alias("id")).agg(F.sum("b.n").alias("n"), F.min("b.tie").alias("tie"))
+    least = materialized(by_group.groupBy("group").agg(best).select("group", "b.id", "b.n", "b.tie"))
+    several = found.join(least.where("n > 1").select(F.col("group").alias("of"), F.col("id").alias("best_id")), F.col("group") == F.col("of"))
+    several = several.select(F.col("fp").alias("best_fp"), "of", "best_id")
+    several = keys.join(several, (F.col("fp") == F.col("best_fp")) & F.col("id").eqNullSafe(F.col("best_id"))).select("id", "tie", "of").distinct()
+    stay = least.where("n = 1").select("id", "tie", F.col("group").alias("of"), F.lit(True).alias("one")).unionByName(
+        several.withColumn("one", F.lit(False)))
+    stay = materialized(stay.select(F.col("id").alias("stay_id"), F.col("tie").alias("stay_tie"), "of", "one"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(id_col).alias("id"), tie.alias("tie"),
+                       F.struct(F.col(text).alias("text"), row_hash(docs).alias("hash")).alias("place"))
+    rows = rows.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("tie") == F.col("stay_tie")))
+    again = rows.where("not one").groupBy("of").agg(F.min_by("d", "place").alias("d"))
+    return rows.where("one").select("d").unionByName(again.select("d")).select("d.*")

@@ -278,6 +278,17 @@ def test_chat_round_trip(spark):
     assert chat_format.format_conversations(turns.limit(0)).count() == 0
 
 
+def test_chat_ties_stand_in_order_of_the_text(spark):
+    turns = spark.createDataFrame([(1, 0, "user", t) for t in ("Za", "\\b", "<a")], "conv_id long, turn long, role string, text string")
+    out = chat_format.format_conversations(turns).select(chat_format.read_back(F.col("formatted")).alias("back")).first()
+    assert [t.text for t in out.back] == ["<a", "Za", "\\b"]
+
+
+def test_chat_query_walks_the_machine(spark):
+    plan = queries.op6_chat_format(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "answered" in plan and "told" in plan
+
+
 # -- SimHash -------------------------------------------------------------------
 
 def brute_fingerprint(text):
@@ -303,15 +314,32 @@ def brute_components(fps):
     return low
 
 
+def brute_near_duplicates(rows):
+    """(id, fp, smallest id of the fingerprint's group) of each row; rows without an id link too."""
+    fps = [brute_fingerprint(t) for _, t in rows]
+    low = brute_components({f: f for f in fps})
+    names = {}
+    for (i, _), f in zip(rows, fps):
+        if i is not None:
+            names[low[f]] = min(names.get(low[f], i), i)
+    return sorted(((i, simhash._signed(f), names.get(low[f])) for (i, _), f in zip(rows, fps)), key=repr)
+
+
+def test_simhash_links_through_rows_without_id(spark, monkeypatch):
+    # fingerprints two bits apart one after another; the one in the middle has no id
+    fps = {"a": 0b1111, "b": 0b0011, "c": 0b0000, "d": 1 << 40 | 0xFFFF00}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, id_col, **kw: docs.select(
+        id_col, F.element_at(F.create_map(*(F.lit(x) for kv in fps.items() for x in kv)), F.col("text")).cast("long").alias("fp")))
+    docs = spark.createDataFrame([("x9", "a"), (None, "b"), ("x5", "c"), (None, "d"), (None, "b")], "doc_id string, text string")
+    got = simhash.near_duplicates(docs).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted(
+        [("x9", "x5"), (None, "x5"), ("x5", "x5"), (None, None), (None, "x5")], key=repr)
+
+
 def test_simhash_edges(spark, odd):
-    rows = {r.doc_id: r.text for r in odd.collect() if r.doc_id is not None}
     got = simhash.near_duplicates(odd).collect()
-    assert len(got) == odd.count()
-    fps = {i: brute_fingerprint(t) for i, t in rows.items()}
-    low = brute_components(fps)
-    for r in got:
-        if r.doc_id is not None:
-            assert (r.fp & (2 ** 64 - 1), r.component_id) == (fps[r.doc_id], low[r.doc_id])
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    assert sorted(((r.doc_id, r.fp, r.component_id) for r in got), key=repr) == brute_near_duplicates(rows)
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
@@ -493,8 +521,19 @@ def test_pipeline_edges(spark, odd):
             out = stage(spark, df, SF)
             assert out.columns == odd.columns or name == "packing"
             out.count()
-    kept = corpus_pipeline.one_of_each_group(spark, odd, SF)
-    assert kept.where("doc_id = 30").count() == 1 and kept.where("doc_id is null").count() == 2
+    kept = corpus_pipeline.one_of_each_group(spark, odd, SF).collect()
+    best = brute_groups([(r.doc_id, r.text) for r in odd.collect()])
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == best
+    assert sum(i == 30 for i, _ in best) == 1 and sum(i is None for i, _ in best) == 1
+
+
+def test_one_of_each_group_keeps_any_column(spark):
+    text = lambda i: f"words{i} that{i * 7} nobody{i * 13} else{i} has{i * 3} written{i}"
+    rows = [(i % 4, text(i % 3), {"k": str(i)}, "a", 1, "b", "c") for i in range(12)] + [(None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id map<string,string>, _group string, _tie long, _one string, d string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert got.dtypes == docs.dtypes
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == brute_groups([r[:2] for r in rows])
 
 
 def brute_groups(rows):
