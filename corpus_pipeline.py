@@ -38,21 +38,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     come last); of several rows with that id, the first by text. Groups are of fingerprints, not of
     ids: rows that share an id but not a group each stand for themselves."""
     ship_package(spark)
-    key = F.struct(F.col("doc_id").alias("_id"), F.coalesce(F.md5("text"), F.lit("")).alias("_tie"))
-    keys = materialized(simhash.fingerprints(docs.select(key.alias("_key"), "text"), id_col="_key").select("_key.*", "fp"))
-    groups = materialized(simhash.groups(keys))
-    # the best row of each fingerprint, then of each group; n: rows with its id, of which one stays
-    best = F.min(F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id"), F.col("_n"), F.col("_tie"))).alias("b")
-    by_fp = keys.groupBy("fp", "_id").agg(F.count("*").alias("_n"), F.min("_tie").alias("_tie")).groupBy("fp").agg(best)
-    by_group = by_fp.join(groups, "fp").groupBy("group", F.col("b._id").alias("_id")).agg(F.sum("b._n").alias("_n"), F.min("b._tie").alias("_tie"))
-    least = materialized(by_group.groupBy(F.col("group").alias("_group")).agg(best).select("_group", "b._id", "b._n", "b._tie"))
-    several = groups.join(least.where("_n > 1"), F.col("group") == F.col("_group")).select(F.col("fp").alias("g_fp"), "_group", F.col("_id").alias("g_id"))
-    several = keys.join(several, (F.col("fp") == F.col("g_fp")) & F.col("_id").eqNullSafe(F.col("g_id"))).select("_id", "_tie", "_group").distinct()
-    stay = materialized(least.where("_n = 1").select("_id", "_tie", "_group", F.lit(True).alias("_one")).unionByName(several.withColumn("_one", F.lit(False))))
-    kept = docs.join(stay.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.coalesce(F.md5("text"), F.lit("")) == F.col("_tie")))
-    once = kept.where("_one").select(*docs.columns)
-    again = kept.where("not _one").groupBy("_group").agg(F.min(F.struct("text", *(c for c in docs.columns if c != "text"))).alias("d"))
-    return once.unionByName(again.select(*(F.col("d")[c].alias(c) for c in docs.columns)))
+    return simhash.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
