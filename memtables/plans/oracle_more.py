@@ -573,6 +573,23 @@ SELECT chunk_id, memory_id, space_id, len(emb)::INTEGER AS dim, n_terms::INTEGER
        round(list_max(emb)::DOUBLE, 6) AS top_value
 FROM ce""")
 
+sql("stream_index_resumed", f"""WITH sends AS (
+  SELECT doc_id, n, CASE WHEN n = 3 OR doc_id % 3 <> 0 THEN coalesce(text, '') <> '' ELSE false END AS ok
+  FROM documents JOIN events ON event_id = doc_id, range(1, 4) r(n)
+  WHERE CASE n WHEN 1 THEN doc_id % 7 <> 0 WHEN 2 THEN doc_id % 7 <> 0 AND doc_id % 2 = 0
+             ELSE doc_id % 3 = 0 OR doc_id % 7 = 0 END),
+ended AS (SELECT doc_id, min(n) FILTER (WHERE ok) AS done FROM sends GROUP BY doc_id),
+tries AS (SELECT doc_id, done, count(*)::INTEGER AS attempt FROM sends JOIN ended USING (doc_id) WHERE n <= coalesce(done, 3) GROUP BY ALL),
+{FIXED_CHUNKS},
+{emb_ctes('fc', 'chunk_text', 'chunk_id, memory_id, space_id', 'ce')},
+per AS (SELECT memory_id, count(*) AS n_vectors, sum(len(list_filter(emb, lambda x: x > 0)))::BIGINT AS nnz,
+               sum(round(list_max(emb)::DOUBLE * 1000000)::BIGINT)::BIGINT AS top_millionths FROM ce GROUP BY memory_id)
+SELECT doc_id AS memory_id, CASE WHEN done IS NULL THEN 'FAILED' ELSE 'COMPLETED' END AS processing_status,
+       CASE WHEN done IS NULL THEN 0 ELSE n_vectors END AS n_chunks, CASE WHEN done IS NULL THEN 'memory has no text' END AS error, attempt,
+       CASE WHEN done IS NOT NULL THEN n_vectors END AS n_vectors, CASE WHEN done IS NOT NULL THEN nnz END AS nnz,
+       CASE WHEN done IS NOT NULL THEN top_millionths END AS top_millionths
+FROM tries LEFT JOIN per ON memory_id = doc_id""")
+
 sql("embed_by_space", f"""WITH {MEM},
 ms AS (SELECT memory_id || '-0' AS chunk_id, coalesce(original_content, '') AS t,
               CASE right(space_id, 1) WHEN '9' THEN 'nope' WHEN '0' THEN 'hash-256' WHEN '2' THEN 'hash-256'

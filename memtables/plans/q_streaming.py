@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memtables.plans.registry import query
+from memtables.session import shared_dir
 from memtables.sources import tables as T
 from memtables.streaming import indexing as IX
 
@@ -15,7 +16,32 @@ def stream_index_memories(spark: SparkSession, d: str) -> DataFrame:
     """All documents indexed by the stream (fixed 512/50 chunks, hash-256
     vectors); the status table read back after the stream has drained."""
     child, out = IX.run_to_completion(spark, lambda s: IX.documents_stream(s, d), chunker=IX.fixed_chunker)
-    return child.read.parquet(f"{out}/status").select("memory_id", "processing_status", "n_chunks")
+    return IX.latest_status(child, out).select("memory_id", "processing_status", "n_chunks")
+
+
+@query("stream_index_resumed")
+def stream_index_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Three arrivals, each indexed by a run that resumes from the same checkpoint and state store: all
+    memories but every seventh, every third without its text; every second of them again, as
+    they were; the late sevenths, and the thirds with their text. Status, attempts and vectors of each."""
+    memories = T.memories(spark, d).select("memory_id", "space_id", "original_content", "created_at")
+    i, text = F.col("memory_id"), F.col("original_content")
+    first = memories.where(i % 7 != 0).withColumn("original_content", F.when(i % 3 != 0, text))
+    arrivals = [first, first.where(i % 2 == 0), memories.where((i % 3 == 0) | (i % 7 == 0))]
+    root = shared_dir(spark, "indexing")
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    for n, rows in enumerate(arrivals):
+        rows.write.parquet(f"{root}/in/arrival={n}")
+        arriving = child.readStream.schema(memories.schema).parquet(f"{root}/in/arrival=*")
+        IX.drain(IX.stream_index_memories(arriving, f"{root}/out", f"{root}/checkpoint", chunker=IX.fixed_chunker))
+    vectors = IX.indexed_vectors(child, f"{root}/out")
+    e = F.col("embedding")
+    per = vectors.groupBy("memory_id").agg(
+        F.count(F.lit(1)).alias("n_vectors"), F.sum(F.size(F.filter(e, lambda x: x > 0))).cast("long").alias("nnz"),
+        F.sum(F.round(F.array_max(e).cast("double") * 1_000_000).cast("long")).alias("top_millionths"))
+    status = IX.latest_status(child, f"{root}/out").select("memory_id", "processing_status", "n_chunks", "error", "attempt")
+    return status.join(per, "memory_id", "left")
 
 
 @query("indexing_freshness")

@@ -79,6 +79,9 @@ PAGE_SIZE_MIN = 1
 PAGE_SIZE_MAX = 1000
 SCORE_DIGITS = 6                 # scores are rounded to this many digits
 MSG_BAD_TOKEN = "Page token cannot be read"
+MSG_NO_TEXT = "memory has no text"
+MSG_NO_MEMORY_ID = "memory has no id"
+MSG_NOT_EMBEDDED = "the embedder gave no vector"
 MSG_NO_QUERY_VECTOR = "The request has no usable query vector"
 MSG_UNKNOWN_RERANKER = "Unknown reranker: "
 MSG_SPACE_NOT_FOUND = "Space not found: "
@@ -104,11 +107,3 @@ RETRIEVAL_REQUESTS = T.StructType([
     T.StructField("llm_temperature", T.DoubleType()),
     T.StructField("chronological_resort", T.BooleanType()),
 ])
-
-RETRIEVED_ITEM = T.StructType([
-    T.StructField("chunk_id", T.StringType()),
-    T.StructField("chunk_text", T.StringType()),
-    T.StructField("memory_id", T.StringType()),
-    T.StructField("relevance_score", T.DoubleType()),
-    T.StructField("memory_index", T.IntegerType()),
-])

@@ -62,8 +62,8 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     root = tempfile.mkdtemp(prefix="memtables-stream-")
     q = IX.stream_index_memories(stream, f"{root}/out", f"{root}/ck")
     q.awaitTermination()
-    status = spark.read.parquet(f"{root}/out/status")
-    vectors = spark.read.parquet(f"{root}/out/vectors")
+    status = IX.latest_status(spark, f"{root}/out")
+    vectors = IX.indexed_vectors(spark, f"{root}/out")
     mem = T.memories(spark, SF_SMALL).select("memory_id", "space_id", "original_content")
     batch_chunks = CH.chunk_recursive(mem, 512, 50)
     assert status.count() == mem.count()
@@ -75,7 +75,9 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     assert vectors.select(F.size("embedding").alias("d")).distinct().collect()[0].d == 256
     q2 = IX.stream_index_memories(IX.documents_stream(spark, SF_SMALL), f"{root}/out", f"{root}/ck")
     q2.awaitTermination()
-    assert spark.read.parquet(f"{root}/out/status").count() == mem.count()
+    again = IX.latest_status(spark, f"{root}/out")
+    assert again.count() == mem.count() and again.where("attempt <> 1").count() == 0
+    assert IX.indexed_vectors(spark, f"{root}/out").count() == vectors.count()
 
 
 def test_conversation_search_resorts_by_turn(spark):
@@ -104,7 +106,7 @@ def test_stream_with_space_configs(spark):
     q = IX.stream_index_memories(IX.documents_stream(spark, SF_SMALL), f"{root}/out", f"{root}/ck",
                                  chunker=IX.space_chunker(spaces))
     q.awaitTermination()
-    st = spark.read.parquet(f"{root}/out/status")
+    st = IX.latest_status(spark, f"{root}/out")
     one = st.where(F.col("space_id") == "src1")
     assert one.count() > 0 and one.where(F.col("n_chunks") != 1).count() == 0
     assert st.where(F.col("processing_status") != "COMPLETED").count() == 0
