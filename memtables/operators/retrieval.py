@@ -4,17 +4,18 @@ memory definitions (31).
 Exact top-k per query is computed without materialising query x chunk pairs as
 rows. Two physical forms, same answer:
 
-* **tiled** (any size): the chunks of every searched space are cut into tiles
+* **blocks** (the default, any number of queries): the query rows are written once to the shared folder, in
+  blocks of about 32 MiB sorted by space. A task holds 64 MiB of its chunks at a time, sorted once by space and
+  id, and reads block after block from there, only those whose range of spaces meets its own. The chunk
+  table is scanned once and never shuffled, and no query row passes through the driver. Where
+  the table is laid out by ``space_bucket``, the folders to read come from the request table at run time
+  (dynamic partition pruning).
+* **tiled**: the chunks of every searched space are cut into tiles
   of at most ``max_tile_chunks`` rows (salt = hash(chunk_id) mod n, n from the
   space's size), the queries of the space into blocks of at most
   ``max_tile_queries``. Each (space, chunk tile, query block) is one cogroup;
   a numpy matrix product scores it and only the local top k per query leaves
-  the task. A hot space that holds a third of all chunks is simply cut into
-  more tiles, so no task grows with the data.
-* **broadcast**: while the query rows are below a checked byte bound, the query
-  matrix is broadcast in blocks of at most 32 MiB, and each chunk partition is
-  scored in place against one block after another: no shuffle of the chunk
-  table at all, and one scan of it.
+  the task. It moves the chunks once for each block of queries; kept as a second form to hold the first against.
 
 Both end with one small shuffle by query id that keeps the best k of the local
 candidates (score desc, chunk id asc).
@@ -22,13 +23,15 @@ candidates (score desc, chunk id asc).
 
 from __future__ import annotations
 
+import urllib.parse
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,16 +40,18 @@ from memtables.functions.text import java_trim
 from memtables.operators import sizing as SZ
 from memtables.operators.sizing import reduce_to_keys, scan_bytes
 from memtables.session import materialized
+from memtables.sources.files import BUCKETS, space_bucket
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
-# query matrix bytes in one broadcast block, and blocks allowed (both checked before use)
-BROADCAST_QUERY_BYTES = 32 * 1024 * 1024
-MAX_QUERY_BLOCKS = 32
+QUERY_BLOCK_BYTES = 32 * 1024 * 1024   # query rows that a task holds at a time
 _HELD_BYTES = 64 * 1024 * 1024    # chunk rows that a task holds while it goes through the blocks
 _SCORE_BLOCK = 4_000_000          # scores held at once inside one task
 MAX_BROADCAST_SPACES = 1_000_000  # searched-space table rows allowed in a broadcast
 MAX_PUSHED_SPACES = 1_000         # space list pushed to the scan as an IN filter
+PUSH_FROM_BYTES = 64 * 1024 * 1024     # files below this are scanned whole
+_SMALL_SPACE = 4_096              # scores up to which spaces are scored together
+_PAIR_BYTES = 32 * 1024 * 1024    # of each side of the pairs scored together
 
 
 # -- 21 parse_space_keys -----------------------------------------------------
@@ -160,15 +165,15 @@ def _table(schema: pa.Schema, q_ids, q_k, chunks: pa.Table, res) -> pa.Table | N
     out_q, out_c, out_s = res
     if not out_q:
         return None
-    qpos = np.concatenate(out_q)
+    qpos = pa.array(np.concatenate(out_q))
     cpos = pa.array(np.concatenate(out_c))
     return pa.Table.from_arrays([
-        pa.array(np.asarray(q_ids)[qpos], schema.field("query_id").type),
+        q_ids.take(qpos).cast(schema.field("query_id").type),
         chunks.column("chunk_id").take(cpos).cast(schema.field("chunk_id").type),
         chunks.column("memory_id").take(cpos).cast(schema.field("memory_id").type),
         chunks.column("space_id").take(cpos).cast(pa.string()),
         pa.array(np.concatenate(out_s), pa.float64()),
-        pa.array(np.asarray(q_k)[qpos], pa.int32()),
+        q_k.take(qpos).cast(pa.int32()),
     ], schema=schema)
 
 
@@ -181,11 +186,8 @@ def _tile_kernel(schema: pa.Schema):
         if chunks.num_rows == 0 or queries.num_rows == 0:
             return schema.empty_table()
         chunks = _sorted_by_id(chunks)
-        q_ids = queries.column("query_id").to_numpy(zero_copy_only=False) if isinstance(queries.column("query_id"), pa.Array) \
-            else queries.column("query_id").to_numpy()
-        q_k = queries.column("k").to_numpy()
-        found = _topk_lengths(_by_length(queries.column("query_vector")), q_k, _by_length(chunks.column("embedding")))
-        out = _table(schema, q_ids, q_k, chunks, found)
+        found = _topk_lengths(_by_length(queries.column("query_vector")), queries.column("k").to_numpy(), _by_length(chunks.column("embedding")))
+        out = _table(schema, queries.column("query_id"), queries.column("k"), chunks, found)
         return schema.empty_table() if out is None else out
     return tile
 
@@ -236,46 +238,121 @@ def _tiled(queries: DataFrame, chunks: DataFrame, schema: T.StructType,
     return cands, int(st["k"] or 1)
 
 
-def _query_block(spark: SparkSession, qpd: pd.DataFrame):
-    """A broadcast block of query rows: ids, k, and by space the rows and their vectors by length."""
-    qpd = qpd.reset_index(drop=True)
-    lists = [None if v is None else list(v) for v in qpd["query_vector"]]
-    by_space = {s: (rows, _by_length(pa.array([lists[i] for i in rows], pa.list_(pa.float64()))))
-                for s, rows in qpd.groupby("search_key").indices.items()}
-    return spark.sparkContext.broadcast({"ids": qpd["query_id"].to_numpy(), "k": qpd["k"].to_numpy(), "by_space": by_space})
+class _Side:
+    """Chunks or queries of one step, sorted by space and id; vectors by length."""
+
+    def __init__(self, rows: pa.Table, id_name: str, vector: str):
+        rows = rows.filter(pc.is_valid(rows.column("search_key")))
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("search_key", "ascending"), (id_name, "ascending")]))
+        self.by_length = _by_length(rows.column(vector))
+        self.rows = rows.drop_columns([vector])
+        key = rows.column("search_key").combine_chunks() if rows.num_rows else pa.array([], pa.string())
+        first = np.flatnonzero(np.concatenate([[True], pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy(zero_copy_only=False)])) \
+            if len(key) else np.zeros(0, np.int64)
+        self.spaces = key.take(pa.array(first, pa.int64())).to_numpy(zero_copy_only=False)
+        self.first = np.append(first, len(key))
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (count numbers) for each start, one after another."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+
+
+def _topk_pairs(q_mat: np.ndarray, q_k: np.ndarray, q_first, q_n, c_mat: np.ndarray, c_first, c_n):
+    """Best k chunks per query of many small spaces at once: rows ``q_first`` .. of the queries with
+    rows ``c_first`` .. of the chunks, space by space."""
+    width = 8 * max(q_mat.shape[1], 1)
+    step = np.cumsum(q_n * c_n * width) // _PAIR_BYTES
+    for part in np.split(np.arange(len(q_n)), np.flatnonzero(np.diff(step)) + 1):
+        rows = _ranges(q_first[part], q_n[part])
+        each = np.repeat(c_n[part], q_n[part])
+        q, c = np.repeat(rows, each), _ranges(np.repeat(c_first[part], q_n[part]), each)
+        sims = np.einsum("ij,ij->i", q_mat[q], c_mat[c])
+        order = np.lexsort((c, -np.round(sims, S.SCORE_DIGITS), q))
+        q, c, sims = q[order], c[order], sims[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < q_k[q]
+        yield q[keep], c[keep], sims[keep]
+
+
+def _topk_spaces(queries: _Side, chunks: _Side):
+    """Best k chunks per query row, of its own space; (query rows, chunk rows, scores)."""
+    k = queries.rows.column("k").to_numpy()
+    out_q, out_c, out_s = [], [], []
+    _, qi, ci = np.intersect1d(queries.spaces, chunks.spaces, assume_unique=True, return_indices=True)
+    for d in queries.by_length.keys() & chunks.by_length.keys() if len(qi) else ():
+        (q_at, q_mat), (c_at, c_mat) = queries.by_length[d], chunks.by_length[d]
+        q_first, c_first = np.searchsorted(q_at, queries.first[qi]), np.searchsorted(c_at, chunks.first[ci])
+        q_n, c_n = np.searchsorted(q_at, queries.first[qi + 1]) - q_first, np.searchsorted(c_at, chunks.first[ci + 1]) - c_first
+        small = q_n * c_n <= _SMALL_SPACE
+
+        def add(found, q0: int, c0: int) -> None:
+            for q, c, s in found:
+                out_q.append(q_at[q0 + q])
+                out_c.append(c_at[c0 + c])
+                out_s.append(s)
+        for i in np.flatnonzero(~small).tolist():
+            q0, c0 = q_first[i], c_first[i]
+            add(_topk_block(q_mat[q0:q0 + q_n[i]], k[q_at[q0:q0 + q_n[i]]], c_mat[c0:c0 + c_n[i]]), q0, c0)
+        some = np.flatnonzero(small & (q_n > 0) & (c_n > 0))
+        if len(some):
+            add(_topk_pairs(q_mat, k[q_at], q_first[some], q_n[some], c_mat, c_first[some], c_n[some]), 0, 0)
+    return out_q, out_c, out_s
 
 
-def _broadcast(blocks: list[pd.DataFrame] | Iterator[pd.DataFrame], chunks: DataFrame, schema: T.StructType) -> DataFrame:
-    """Scores chunk partitions in place against broadcast blocks of the query matrix
-    (already proven small by the caller)."""
-    payloads, spaces = [], set()
-    for qpd in blocks:
-        payloads.append(_query_block(chunks.sparkSession, qpd))
-        spaces.update(qpd["search_key"])
+_LAST_BLOCK: dict[tuple[str, ...], _Side] = {}
+
+
+def _open(uri: str) -> pq.ParquetFile:
+    """A file of the shared folder, inside a task."""
+    if uri.startswith("file:"):
+        return pq.ParquetFile(urllib.parse.unquote("/" + uri[len("file:"):].lstrip("/")))
+    if "://" not in uri:
+        return pq.ParquetFile(uri)
+    fs, path = pa.fs.FileSystem.from_uri(uri)
+    return pq.ParquetFile(fs.open_input_file(path))
+
+
+def _block(files: tuple[str, ...], spaces: np.ndarray) -> _Side | None:
+    """A block of queries, or None if none of them searches ``spaces`` (sorted). A task remembers the last one."""
+    if files not in _LAST_BLOCK:
+        opened = [_open(f) for f in files]
+        meets = False
+        for f in opened:
+            at = f.schema_arrow.get_field_index("search_key")
+            for g in range(f.metadata.num_row_groups):
+                range_of = f.metadata.row_group(g).column(at).statistics
+                if range_of is None or not range_of.has_min_max:
+                    meets = True
+                else:
+                    meets |= np.searchsorted(spaces, range_of.max, "right") > np.searchsorted(spaces, range_of.min)
+        if not meets:
+            return None
+        _LAST_BLOCK.clear()
+        _LAST_BLOCK[files] = _Side(pa.concat_tables([f.read() for f in opened]), "query_id", "query_vector")
+    return _LAST_BLOCK[files]
+
+
+def _blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> tuple[DataFrame, int]:
+    """Candidates of the form with stored query blocks, and the largest k asked."""
+    stored = materialized(queries)
+    st = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d"), F.max("k").alias("k")).first()
+    n_blocks = -(-st["n"] * (8 * max(st["d"] or 1, 1) + 96) // QUERY_BLOCK_BYTES)
+    if n_blocks > 1:
+        by_space = stored.repartitionByRange(n_blocks, "search_key", "query_id", F.xxhash64("query_vector"))
+        stored = materialized(by_space.sortWithinPartitions("search_key", "query_id"))
+    files = sorted(stored.inputFiles()) if st["n"] else []
+    blocks = [(f,) for f in files] if n_blocks > 1 else [tuple(files)] if files else []
+    chunks = _searched_only(chunks, stored)
     out_schema = _arrow_schema(schema)
-    if spaces != {ALL_SPACES} and len(spaces) <= MAX_PUSHED_SPACES:
-        # a pushed IN filter: prunes row groups and folders of a table laid out by space
-        chunks = chunks.where(F.col("search_key").isin(sorted(spaces)))
 
     def score(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tbl = pa.Table.from_batches(held)
-        codes, uniques = pd.factorize(tbl.column("search_key").to_numpy(zero_copy_only=False))
-        groups = []
-        for ci, space in enumerate(uniques):
-            grp = _sorted_by_id(tbl.take(pa.array(np.flatnonzero(codes == ci))))
-            groups.append((space, grp, _by_length(grp.column("embedding"))))
-        for payload in payloads:
-            b, parts = payload.value, []
-            for space, grp, vectors in groups:
-                if space in b["by_space"]:
-                    rows, queries = b["by_space"][space]
-                    part = _table(out_schema, b["ids"][rows], b["k"][rows], grp, _topk_lengths(queries, b["k"][rows], vectors))
-                    if part is not None:
-                        parts.append(part)
-            if parts:
-                yield from _prune(pa.concat_tables(parts)).to_batches()
-            if len(payloads) > 1:
-                vars(payload).pop("_value", None)      # one block in memory at a time
+        side = _Side(pa.Table.from_batches(held), "chunk_id", "embedding")
+        for files in blocks:
+            queries = _block(files, side.spaces)
+            if queries is not None:
+                found = _table(out_schema, queries.rows.column("query_id"), queries.rows.column("k"), side.rows, _topk_spaces(queries, side))
+                if found is not None:
+                    yield from _prune(found).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -287,8 +364,20 @@ def _broadcast(blocks: list[pd.DataFrame] | Iterator[pd.DataFrame], chunks: Data
                 held, size = [], 0
         if held:
             yield from score(held)
+    return chunks.mapInArrow(run, schema), max(st["k"] or 1, 1)
+
 
-    return chunks.mapInArrow(run, schema)
+def _searched_only(chunks: DataFrame, stored: DataFrame) -> DataFrame:
+    """``chunks`` without folders and row groups that no request searches, where that is known before the scan."""
+    if "space_bucket" in chunks.columns:
+        # as many rows as the table has folders; the filter that is always true lets Spark prune by them
+        asked = stored.select(F.col("search_bucket").alias("asked")).distinct().where("asked >= 0")
+        return chunks.join(F.broadcast(asked), chunks["space_bucket"] == asked["asked"], "left_semi").drop("space_bucket")
+    if scan_bytes(chunks) > PUSH_FROM_BYTES:
+        spaces = [r[0] for r in stored.select("search_key").distinct().limit(MAX_PUSHED_SPACES + 1).collect()]
+        if len(spaces) <= MAX_PUSHED_SPACES and ALL_SPACES not in spaces:
+            return chunks.where(F.col("search_key").isin(sorted(spaces)))
+    return chunks
 
 
 def _prune(cands: pa.Table) -> pa.Table:
@@ -315,7 +404,7 @@ def rank_candidates(cands: DataFrame, k_max: int | None = None) -> DataFrame:
 
 
 def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.DEFAULT_MAX_RESULTS,
-                  method: str = "auto", max_tile_chunks: int = MAX_TILE_CHUNKS,
+                  method: str = "auto", space_buckets: int = BUCKETS, max_tile_chunks: int = MAX_TILE_CHUNKS,
                   max_tile_queries: int = MAX_TILE_QUERIES, all_spaces: bool = False) -> DataFrame:
     """For each request, the k most similar chunks (cosine) of its spaces
     (``all_spaces``: of the whole table, without a space list).
@@ -325,47 +414,29 @@ def retrieve_topk(requests: DataFrame, chunks: DataFrame, *, default_k: int = S.
     Returns query_id, rank (1..k), chunk_id, memory_id, space_id, score
     (rounded to 6 digits; ties by chunk id).
 
-    ``method``: ``tiled``, ``broadcast`` or ``auto``. The broadcast form is used only
-    when the query rows are proven small; beyond that every method is tiled. All forms give
-    the same rows: vectors are compared with vectors of their own length; null, empty and
+    ``chunks`` may keep the folder column of a written table (``read_memory_table(..., layout=True)``, written
+    with ``space_buckets``); only the folders of searched spaces are read then.
+
+    ``method``: ``blocks`` (also ``auto``) or ``tiled``. Both give the same rows: vectors are compared with vectors of their own length; null, empty and
     zero vectors match nothing; ids may be strings or whole numbers.
     """
+    if method not in ("auto", "blocks", "tiled"):
+        raise ValueError(f"unknown method {method!r}")
     queries = _query_rows(requests, default_k, all_spaces)
     key = F.lit(ALL_SPACES) if all_spaces else F.col("space_id")
-    chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding", key.alias("search_key"))
+    laid_out = "space_bucket" in chunks.columns and not all_spaces and method != "tiled"
+    if laid_out:
+        queries = queries.withColumn("search_bucket", space_bucket(F.col("search_key"), space_buckets))
+    chunks = chunks.select("chunk_id", "memory_id", "space_id", "embedding", key.alias("search_key"), *(["space_bucket"] if laid_out else []))
     schema = _candidates_schema(queries, chunks)
-    if method not in ("auto", "broadcast", "tiled"):
-        raise ValueError(f"unknown method {method!r}")
-    small = None if method == "tiled" else _small_queries(queries)
-    if small is not None:
-        blocks, k_max = small
-        cands = _broadcast(blocks, chunks, schema)
-    else:
+    if method == "tiled":
         cands, k_max = _tiled(queries, chunks, schema, max_tile_chunks, max_tile_queries)
+    else:
+        cands, k_max = _blocks(queries, chunks, schema)
     return rank_candidates(cands, k_max).select(
         "query_id", "rank", "chunk_id", "memory_id", "space_id", "score")
 
 
-def _small_queries(queries: DataFrame) -> tuple[Iterator[pd.DataFrame], int] | None:
-    """The query rows as pandas blocks of at most about ``BROADCAST_QUERY_BYTES``, and the
-    largest k, when they provably fit ``MAX_QUERY_BLOCKS`` blocks; else None. One aggregate
-    gives the row count and the largest vector dimension, so rows x (8 x largest dimension +
-    overhead) is an upper bound. Several blocks are cut from rows that are written once
-    and counted by block; the driver holds one block at a time."""
-    st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d"), F.max("k").alias("k")).first()
-    per_row = 8 * max(int(st["d"] or 1), 1) + 96
-    k_max = max(int(st["k"] or 1), 1)
-    n_blocks = -(-(st["n"] * per_row) // BROADCAST_QUERY_BYTES)
-    if n_blocks <= 1:
-        return iter([queries.toPandas()]), k_max
-    if n_blocks > MAX_QUERY_BLOCKS:
-        return None
-    cut = materialized(queries.withColumn("_block", F.pmod(F.xxhash64("query_id", "search_key"), F.lit(n_blocks))))
-    if cut.groupBy("_block").count().agg(F.max("count")).first()[0] * per_row > 2 * BROADCAST_QUERY_BYTES:
-        return None                                      # many rows of one query and space
-    return (cut.where(F.col("_block") == b).drop("_block").toPandas() for b in range(n_blocks)), k_max
-
-
 # -- 31 fetch_memory_definitions --------------------------------------------
 
 def memory_index(results: DataFrame, order_col: str = "rank") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from memtables.operators.outcomes import outcome_json, split_outcomes
 from memtables.plans.registry import query
+from memtables.session import materialized
 from memtables.sources import files as FS
 from memtables.sources import ingest as I
 from memtables.sources import tables as T
@@ -133,7 +134,7 @@ def conversation_search(spark: SparkSession, d: str) -> DataFrame:
     turn_time = F.timestamp_add("SECOND", F.col("request_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     memories = ing.select("memory_id", "space_id", "original_content", turn_time.alias("created_at"))
     chunks = CH.chunk_none(memories)
-    vectors = embed_chunks(chunks, "hash-256")
+    vectors = materialized(embed_chunks(chunks, "hash-256"))      # read as requests and as the searched table
     users = (ing.where(F.try_variant_get("metadata", "$.role", "string") == "user")
              .join(vectors.select("memory_id", "embedding"), "memory_id"))
     requests = users.select(

@@ -27,7 +27,7 @@ def retrieve_topk_tiled(spark: SparkSession, d: str) -> DataFrame:
 
 @query("retrieve_topk_broadcast")
 def retrieve_topk_broadcast(spark: SparkSession, d: str) -> DataFrame:
-    return _topk(spark, d, "broadcast")
+    return _topk(spark, d, "blocks")
 
 
 def _ragged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -30,7 +30,8 @@ def file_requests(files: DataFrame, space_id: str | F.Column) -> DataFrame:
 BUCKETS = 64
 
 
-def _bucket(space_id: F.Column, buckets: int) -> F.Column:
+def space_bucket(space_id: F.Column, buckets: int = BUCKETS) -> F.Column:
+    """The folder of a space in a written table."""
     return F.pmod(F.xxhash64(space_id), F.lit(buckets)).cast("int")
 
 
@@ -52,7 +53,7 @@ def write_memory_tables(tables: dict[str, DataFrame], root: str | None = None,
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
         if {"space_id", "memory_id"} <= set(df.columns):
-            df = (df.withColumn("space_bucket", _bucket(F.col("space_id"), buckets)).hint("rebalance", "space_bucket")
+            df = (df.withColumn("space_bucket", space_bucket(F.col("space_id"), buckets)).hint("rebalance", "space_bucket")
                   .sortWithinPartitions("space_bucket", "space_id"))
             df.write.mode(mode).partitionBy("space_bucket").parquet(path)
         else:
@@ -61,12 +62,14 @@ def write_memory_tables(tables: dict[str, DataFrame], root: str | None = None,
     return out
 
 
-def read_memory_table(spark: SparkSession, path: str, space_ids: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+def read_memory_table(spark: SparkSession, path: str, space_ids: list[str] | None = None, buckets: int = BUCKETS,
+                      layout: bool = False) -> DataFrame:
     """A table of :func:`write_memory_tables` (with its ``buckets``); with ``space_ids`` only
-    those spaces, by folder and by row-group statistics."""
+    those spaces, by folder and by row-group statistics. ``layout`` keeps the folder column ``space_bucket``, by
+    which a search prunes folders at run time."""
     df = spark.read.parquet(path)
     if space_ids is not None:
         df = df.where(F.col("space_id").isin(space_ids))
         if "space_bucket" in df.columns:
-            df = df.where(F.col("space_bucket").isin([_bucket(F.lit(s), buckets) for s in space_ids]))
-    return df.drop("space_bucket")
+            df = df.where(F.col("space_bucket").isin([space_bucket(F.lit(s), buckets) for s in space_ids]))
+    return df if layout else df.drop("space_bucket")

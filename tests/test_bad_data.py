@@ -16,7 +16,7 @@ from memtables.operators.retrieval import retrieve_topk
 from memtables.sources import tables as T
 from memtables.sources.ingest import metadata_of
 from memtables.schema import MSG_STILL_PROCESSING
-from memtables.streaming.indexing import indexing_freshness, run_to_completion
+from memtables.streaming.indexing import indexing_freshness, latest_status, run_to_completion
 
 
 def test_retrieval_mixed_vectors_and_string_ids(spark):
@@ -28,7 +28,7 @@ def test_retrieval_mixed_vectors_and_string_ids(spark):
         [("q1", [1.0, 0.5], "a,b"), ("q2", [1.0, 0.2, 0.0], "a,c"), ("q3", None, "a"), ("q4", [0.0, 0.0], "a"), ("q5", [1.0], "a,b,c")],
         "query_id string, query_vector array<double>, space_ids string")
     want = [("q1", 1, "c1", "m-1"), ("q1", 2, "c2", "m-2"), ("q2", 1, "c3", "m-3"), ("q2", 2, "d2", "m-8")]
-    for method in ("auto", "broadcast", "tiled"):
+    for method in ("auto", "blocks", "tiled"):
         got = retrieve_topk(requests, chunks, method=method).select("query_id", "rank", "chunk_id", "memory_id")
         assert sorted(map(tuple, got.collect())) == want, method
 
@@ -61,7 +61,7 @@ def test_late_and_replayed_memories_are_indexed_once(spark, tmp_path):
                               [(1, "s", "june one", day(6)), (4, "s", "may", day(5))]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
     child, out = run_to_completion(spark, lambda s: s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source)))
-    status = child.read.parquet(f"{out}/status")
+    status = latest_status(child, out)
     assert sorted(r.memory_id for r in status.collect()) == [1, 2, 3, 4]
     vectors = child.read.parquet(f"{out}/vectors")
     assert {r.memory_id for r in vectors.collect()} == {1, 2, 3, 4} and vectors.count() == 4
@@ -152,12 +152,12 @@ def test_unusable_requests_are_error_rows(spark):
 
 @pytest.mark.parametrize("blocks", [4, 40])
 def test_query_blocks_give_the_same_rows(spark, monkeypatch, blocks):
-    """In several broadcast blocks, and past their number tiled."""
+    """In few and in many stored blocks."""
     req, vec = T.retrieval_requests(spark, SF_SMALL), T.chunk_vectors(spark, SF_SMALL)
     rows = lambda **kw: sorted(map(tuple, retrieve_topk(req, vec, **kw).collect()))
     want = rows()
     n = retrieval._query_rows(req, 5, False).count() * (8 * 64 + 96)
-    monkeypatch.setattr(retrieval, "BROADCAST_QUERY_BYTES", n // blocks)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK_BYTES", n // blocks)
     assert rows() == want
     everywhere = [sorted(map(tuple, retrieve_topk(req, vec, method=m, all_spaces=True).collect())) for m in ("auto", "tiled")]
     assert everywhere[0] == everywhere[1] and {r[4] for r in everywhere[0]} != {"*"}

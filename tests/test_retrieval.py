@@ -37,7 +37,7 @@ def test_forms_equal_brute_force(spark):
     req = T.retrieval_requests(spark, SF_SMALL).where(F.col("query_id") < 60)
     cv = T.chunk_vectors(spark, SF_SMALL)
     expect = brute_force(req.toPandas(), cv.toPandas())
-    assert _got(R.retrieve_topk(req, cv, method="broadcast")) == expect
+    assert _got(R.retrieve_topk(req, cv, method="blocks")) == expect
     assert _got(R.retrieve_topk(req, cv, method="tiled")) == expect
     # tiny tiles: every space is cut into many chunk tiles and query blocks
     assert _got(R.retrieve_topk(req, cv, method="tiled", max_tile_chunks=7, max_tile_queries=3)) == expect
@@ -92,7 +92,7 @@ def test_cosine_column_matches_kernel(spark):
     from memtables.functions.vectors import cosine
     req = T.retrieval_requests(spark, SF_SMALL).where(F.col("query_id") < 30)
     cv = T.chunk_vectors(spark, SF_SMALL)
-    top = R.retrieve_topk(req, cv, method="broadcast")
+    top = R.retrieve_topk(req, cv, method="blocks")
     j = (top.join(req.select("query_id", "query_vector"), "query_id")
          .join(cv.select("chunk_id", "embedding"), "chunk_id")
          .select("score", F.round(cosine(F.col("query_vector"), F.col("embedding")), 6).alias("c")))
