@@ -132,17 +132,18 @@ def conversation_search(spark: SparkSession, d: str) -> DataFrame:
     conv = T.conversations(spark, d)
     ing = I.ingest(I.conversation_requests(conv)).where("success")
     turn_time = F.timestamp_add("SECOND", F.col("request_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    memories = ing.select("memory_id", "space_id", "original_content", turn_time.alias("created_at"))
+    # both are read several times: as requests, as the searched table and as memories
+    memories = materialized(ing.select("memory_id", "space_id", "original_content", turn_time.alias("created_at"),
+                                       F.try_variant_get("metadata", "$.role", "string").alias("role")))
     chunks = CH.chunk_none(memories)
-    vectors = materialized(embed_chunks(chunks, "hash-256"))      # read as requests and as the searched table
-    users = (ing.where(F.try_variant_get("metadata", "$.role", "string") == "user")
-             .join(vectors.select("memory_id", "embedding"), "memory_id"))
+    vectors = materialized(embed_chunks(chunks, "hash-256"))
+    users = memories.where("role = 'user'").join(vectors.select("memory_id", "embedding"), "memory_id")
     requests = users.select(
         F.col("memory_id").alias("query_id"), F.col("embedding").alias("query_vector"),
         F.col("original_content").alias("query_text"), F.col("space_id").alias("space_ids"),
         F.lit(5).alias("max_results"), F.lit(None).cast("double").alias("relevance_threshold"),
         F.lit(None).cast("string").alias("reranker_id"), F.lit(None).cast("string").alias("llm_id"),
         F.lit(None).cast("double").alias("llm_temperature"), F.lit(True).alias("chronological_resort"))
-    res = P.retrieve_postprocessed(requests, vectors, chunks, memories)
+    res = P.retrieve_postprocessed(requests, vectors, vectors, memories)
     return res.select("query_id", "rank", "chunk_id", "memory_id", "relevance_score", "memory_index",
                       "total_results", "created_at")
