@@ -37,6 +37,8 @@ def first_sentence(text: Column) -> Column:
     return F.trim(F.regexp_extract(F.coalesce(text, F.lit("")), r"^[^.!?]*[.!?]*", 0))
 
 
-def sha_id(*cols: Column) -> Column:
-    """Repeatable id from a natural key: hex SHA-256 of the parts joined by '|'."""
-    return F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256)
+def sha_id(kind: str, *cols: Column) -> Column:
+    """Repeatable id from a natural key: hex SHA-256 of the kind and the parts. Each part stands with its
+    length in front and null as ``-``, so different keys never give one text."""
+    parts = [F.lit(kind), *(c.cast("string") for c in cols)]
+    return F.sha2(F.concat_ws("|", *(F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts)), 256)

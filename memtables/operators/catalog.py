@@ -84,7 +84,7 @@ def chunking_config(strategy: Column, chunk_size: Column, chunk_overlap: Column)
 # -- 23 create_or_reuse_spaces -----------------------------------------------------
 
 def new_space_id(name: Column) -> Column:
-    return sha_id(F.lit("space"), name)
+    return sha_id("space", name)
 
 
 def create_or_reuse_spaces(spaces: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:

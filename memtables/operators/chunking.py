@@ -100,10 +100,14 @@ def sentences(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE_PATTERN), 0)
 
 
-def _carry(tail: Column, overlap: int, room: Column) -> Column:
+def _column(n: int | Column) -> Column:
+    return F.lit(n) if isinstance(n, int) else n
+
+
+def _carry(tail: Column, overlap: int | Column, room: Column) -> Column:
     """Longest run of trailing sentences of ``tail`` (structs ``s, n``) whose
     total length is at most ``overlap`` and leaves ``room`` for the next one."""
-    lim = F.least(F.lit(overlap), room)
+    lim = F.least(_column(overlap), room)
     init = F.struct(F.array().cast("array<struct<s:string,n:int>>").alias("arr"), F.lit(0).alias("n"),
                     F.lit(True).alias("open"))
 
@@ -116,7 +120,7 @@ def _carry(tail: Column, overlap: int, room: Column) -> Column:
     return F.aggregate(F.reverse(tail), init, step)
 
 
-def pack_units(units: Column, size: int, overlap: int, too_long) -> Column:
+def pack_units(units: Column, size: int | Column, overlap: int | Column, too_long) -> Column:
     """Greedy packing of text units (whose concatenation is the text) into
     chunks of at most ``size`` characters. A unit longer than ``size`` is
     handed to ``too_long`` (unit -> array of chunks) after the current chunk
@@ -139,7 +143,7 @@ def pack_units(units: Column, size: int, overlap: int, too_long) -> Column:
         start = state(done, s, n, F.array(x))
         grow = state(done, F.concat(cur, s), cur_n + n, F.concat(tail, F.array(x)))
         # the carried units are computed once and used through a lambda variable
-        roll = F.transform(F.array(_carry(tail, overlap, F.lit(size) - n)), lambda c: state(
+        roll = F.transform(F.array(_carry(tail, overlap, _column(size) - n)), lambda c: state(
             F.concat(done, F.array(cur)),
             F.concat(F.array_join(F.transform(c["arr"], lambda y: y["s"]), ""), s),
             c["n"] + n, F.concat(c["arr"], F.array(x))))[0]
@@ -161,7 +165,7 @@ def _non_empty(chunks: Column) -> Column:
                        .otherwise(c))[0]
 
 
-def pack_sentences(text: Column, size: int, overlap: int) -> Column:
+def pack_sentences(text: Column, size: int | Column, overlap: int | Column) -> Column:
     """Sentences packed greedily; a sentence longer than ``size`` is cut into
     fixed windows."""
     return _non_empty(pack_units(sentences(text), size, overlap,
@@ -235,10 +239,11 @@ def py_split_recursive(text: str, size: int, overlap: int, level: int = 0) -> li
                     lambda u: py_split_recursive(u, size, overlap, level + 1))
 
 
-def _recursive_udf(size: int, overlap: int):
+def _recursive_udf():
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: py_split_recursive(t or "", size, overlap) or [""])
+    def split(texts: pd.Series, sizes: pd.Series, overlaps: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else py_split_recursive(t, int(n), int(o)) or [""]
+                          for t, n, o in zip(texts, sizes, overlaps)], index=texts.index, dtype=object)
     return split
 
 
@@ -251,39 +256,30 @@ def chunk_recursive(memories: DataFrame, size: int = S.DEFAULT_CHUNK_SIZE,
     if engine == "sql":
         pieces = _non_empty(split_recursive(F.col(text_col), size, overlap))
     else:
-        pieces = _recursive_udf(size, overlap)(F.col(text_col))
+        pieces = _recursive_udf()(F.coalesce(F.col(text_col), F.lit("")), F.lit(size), F.lit(overlap))
     return _explode(memories, pieces, text_col, heavy=True)
 
 
 # -- by configuration ----------------------------------------------------------------
 
 def chunk_by_config(memories: DataFrame, spaces: DataFrame, text_col: str = "original_content") -> DataFrame:
-    """Each memory chunked with its space's chunking config. The distinct
-    configs are few (read with a bounded collect); each config is one
-    filtered branch, all unioned."""
-    cfg = spaces.select("space_id", "chunking.strategy", "chunking.chunk_size", "chunking.chunk_overlap")
-    # a memory whose space isn't in ``spaces`` gets the default config
-    keyed = memories.join(cfg.withColumn("_known", F.lit(True)), "space_id", "left")
-    unknown = F.col("_known").isNull()
-    default = {"strategy": S.DEFAULT_CHUNKING_STRATEGY, "chunk_size": S.DEFAULT_CHUNK_SIZE, "chunk_overlap": S.DEFAULT_CHUNK_OVERLAP}
-    keyed = keyed.withColumns({c: F.when(unknown, F.lit(v)).otherwise(F.col(c)) for c, v in default.items()}).drop("_known")
-    combos = {tuple(r) for r in cfg.select("strategy", "chunk_size", "chunk_overlap").distinct().collect()} | {tuple(default.values())}
-    parts = []
-    for st, size, ov in sorted(combos, key=repr):
-        cond = (F.col("strategy") == st) if st is not None else F.col("strategy").isNull()
-        sub = keyed.where(cond & F.col("chunk_size").eqNullSafe(size) & F.col("chunk_overlap").eqNullSafe(ov))
-        if st == S.STRATEGY_NONE:
-            parts.append(chunk_none(sub, text_col))
-        elif st == S.STRATEGY_FIXED:
-            parts.append(chunk_fixed(sub, size, ov, text_col))
-        elif st == S.STRATEGY_SENTENCE:
-            parts.append(chunk_sentence(sub, size, ov, text_col))
-        else:
-            parts.append(chunk_recursive(sub, size or S.DEFAULT_CHUNK_SIZE,
-                                         S.DEFAULT_CHUNK_OVERLAP if ov is None else ov, text_col))
-    if not parts:
-        return chunk_none(memories.limit(0), text_col)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Each memory chunked with its space's chunking config, in one pass over the memories whatever the
+    number of configs: strategy and sizes are columns. Memories of unknown spaces, unknown strategies and
+    sizes that no space can have (overlap >= size) take the tool's default. ``spaces`` has one row per space."""
+    cfg = spaces.select("space_id", F.struct("chunking.strategy", F.col("chunking.chunk_size").alias("size"),
+                                             F.col("chunking.chunk_overlap").alias("overlap")).alias("config"))
+    default = F.struct(F.lit(S.DEFAULT_CHUNKING_STRATEGY).alias("strategy"), F.lit(S.DEFAULT_CHUNK_SIZE).alias("size"), F.lit(S.DEFAULT_CHUNK_OVERLAP).alias("overlap"))
+    c = F.col("config")
+    sized = (c["size"] > 0) & (c["overlap"] >= 0) & (c["overlap"] < c["size"])
+    good = c["strategy"].isin(*S.STRATEGIES) & ((c["strategy"] == S.STRATEGY_NONE) | sized)
+    keyed = memories.select("memory_id", "space_id", F.col(text_col).alias("text")).join(cfg, "space_id", "left")
+    keyed = spread(keyed).select("memory_id", "space_id", F.coalesce("text", F.lit("")).alias("text"),
+                                 F.when(F.coalesce(good, F.lit(False)), c).otherwise(default).alias("config"))
+    size, overlap, strategy = c["size"], c["overlap"], c["strategy"]
+    # not deterministic for the optimizer, so that it isn't evaluated again in a filter on its result
+    recursive = _recursive_udf().asNondeterministic()(F.when(strategy == S.STRATEGY_RECURSIVE, F.col("text")), size, overlap)
+    pieces = (F.when(strategy == S.STRATEGY_NONE, F.array("text"))
+              .when(strategy == S.STRATEGY_FIXED, fixed_windows(F.col("text"), size, overlap))
+              .when(strategy == S.STRATEGY_SENTENCE, pack_sentences(F.col("text"), size, overlap))
+              .otherwise(F.col("recursive")))
+    return _explode(keyed.withColumn("recursive", recursive), pieces, "text")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memtables import schema as S
-from memtables.functions.text import first_sentence, tokens
+from memtables.functions.text import first_sentence, sha_id, tokens
 from memtables.operators import retrieval as R
 from memtables.operators import sizing as SZ
 from memtables.operators.outcomes import first_error, with_outcome
@@ -245,7 +245,7 @@ def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame,
     results_col = F.coalesce(dropped, F.array().cast(out.select(dropped.alias("t")).schema["t"].dataType))
     return out.select(
         "query_id", "success", "error",
-        F.sha2(F.concat(F.lit("rs|"), F.col("query_id").cast("string")), 256).alias("result_set_id"),
+        sha_id("rs", F.col("query_id")).alias("result_set_id"),
         results_col.alias("results"),
         F.coalesce(F.col("_m"), F.array().cast(out.schema["_m"].dataType)).alias("memories"),
         "total_results", "query", "abstract_reply", "message")

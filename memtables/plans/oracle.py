@@ -184,7 +184,7 @@ mems AS (SELECT query_id, memory_id, min(memory_index) AS mi FROM res WHERE quer
 agg_m AS (SELECT query_id, count(*) AS total_memories,
                  string_agg(memory_id::VARCHAR, ',' ORDER BY mi) AS memory_ids
           FROM mems GROUP BY query_id)
-SELECT r.query_id, true AS success, NULL::VARCHAR AS error, sha256('rs|' || r.query_id) AS result_set_id,
+SELECT r.query_id, true AS success, NULL::VARCHAR AS error, sha256('2:rs|' || length(r.query_id::VARCHAR) || ':' || r.query_id) AS result_set_id,
        CASE WHEN r.query_id % 2 = 0 THEN a.reply END AS abstract_reply,
        coalesce(a.total_results, 0) AS total_results, coalesce(m.total_memories, 0) AS total_memories,
        coalesce(a.chunk_ids, '') AS chunk_ids, coalesce(m.memory_ids, '') AS memory_ids

@@ -73,7 +73,7 @@ f AS (SELECT r.*, cr2.c_seq, cr2.c_emb, r.ex_id IS NOT NULL AS reuse_ex,
       FROM r LEFT JOIN cr2 ON cr2.name = r.name),
 g AS (SELECT *, CASE WHEN NOT (reuse_ex OR creates OR reuse_new) THEN c_err END AS error FROM f)
 SELECT seq, name,
-       CASE WHEN reuse_ex THEN ex_id WHEN creates OR reuse_new THEN sha256('space|' || name) END AS space_id,
+       CASE WHEN reuse_ex THEN ex_id WHEN creates OR reuse_new THEN sha256('5:space|' || length(name) || ':' || name) END AS space_id,
        CASE WHEN reuse_ex THEN coalesce(ex_emb, embedder_id) WHEN reuse_new THEN c_emb
             WHEN creates THEN embedder_id END AS embedder_id,
        CASE WHEN creates THEN c_st END AS strategy,
@@ -92,7 +92,7 @@ SELECT s.space_id, s.name, s.emb AS embedder_id, 'recursive' AS strategy, 512::I
        false AS public_read, 'kind=docs' AS labels, s.created_at
 FROM sp s
 UNION ALL
-SELECT sha256('space|' || name), name, c.e, c.st, CASE WHEN c.st <> 'none' THEN c.sz END, CASE WHEN c.st <> 'none' THEN c.ov END,
+SELECT sha256('5:space|' || length(name) || ':' || name), name, c.e, c.st, CASE WHEN c.st <> 'none' THEN c.sz END, CASE WHEN c.st <> 'none' THEN c.ov END,
        false, '', TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c.seq) FROM fresh""")
 
 UPD = """src AS (SELECT source, min(doc_id) % 5 AS n FROM documents GROUP BY source),
@@ -132,10 +132,20 @@ SELECT space_id, CASE WHEN error IS NULL THEN name ELSE space_id END AS name,
        CASE WHEN error IS NULL THEN labels ELSE 'kind=docs' END AS labels
 FROM upd WHERE n >= 0""")
 
-sql("parse_labels", """
-SELECT event_id, 'k=' || json_extract_string(props, '$.k') AS labels, true AS success,
-       NULL::VARCHAR AS error
-FROM events""")
+# every sixth row: the props as they are, a null and typed values, a nested value, trailing text, an array, blank
+LABEL_ROWS = """lr AS (SELECT event_id, CASE event_id % 6
+    WHEN 0 THEN props WHEN 1 THEN '{"n":null,"i":' || event_id || ',"b":true,"s":"x' || event_id || '"}'
+    WHEN 2 THEN '{"a":{"n":' || event_id || '}}' WHEN 3 THEN '{"a":"b"} ' || event_id WHEN 4 THEN '[' || event_id || ']' ELSE ' ' END AS raw
+  FROM events)"""
+
+sql("parse_labels", f"""WITH {LABEL_ROWS},
+judged AS (SELECT *, trim(raw) = '' AS blank, json_valid(raw) AS whole FROM lr),
+kinds AS (SELECT *, CASE WHEN blank THEN true WHEN NOT whole THEN false WHEN json_type(raw) <> 'OBJECT' THEN false
+    ELSE len(list_filter(json_keys(raw), lambda k: json_type(raw, '$."' || k || '"') IN ('OBJECT', 'ARRAY'))) = 0 END AS ok FROM judged)
+SELECT event_id, CASE WHEN ok AND NOT blank THEN array_to_string(list_transform(list_sort(list_filter(json_keys(raw),
+         lambda k: json_type(raw, '$."' || k || '"') <> 'NULL')), lambda k: k || '=' || json_extract_string(raw, '$."' || k || '"')), ';') END AS labels,
+       ok AS success, CASE WHEN NOT ok THEN 'Labels must be a JSON object of string-to-string pairs, got: ' || raw END AS error
+FROM kinds""")
 
 sql("delete_spaces", """WITH
 sp AS (SELECT DISTINCT d.source AS space_id FROM documents d JOIN events e ON e.event_id = d.doc_id),
@@ -253,7 +263,7 @@ FROM r""")
 
 
 def mem_id(space: str, req: str) -> str:
-    return f"sha256('memory|' || {space} || '|' || {req})"
+    return f"sha256('6:memory|' || length({space}::VARCHAR) || ':' || {space} || '|' || length({req}::VARCHAR) || ':' || {req})"
 
 
 FILES = """files AS (
@@ -469,8 +479,8 @@ FROM w""")
 _SENT = r"[.!?]*[^.!?]+[.!?]*[ \t\n\x0B\f\r]*|[.!?]+[ \t\n\x0B\f\r]*"
 
 
-def _windows(x: str, size: int, ov: int) -> str:
-    return (f"list_transform(range(0, greatest(length({x}) - {ov}, 1), {size - ov}), "
+def _windows(x: str, size: int | str, ov: int | str) -> str:
+    return (f"list_transform(range(0, greatest(length({x}) - {ov}, 1), ({size} - {ov})), "
             f"lambda i: substring({x}, i + 1, {size}))")
 
 
@@ -674,3 +684,27 @@ o AS (SELECT memory_id, space_id, {_recursive_sql("coalesce(original_content, ''
 o2 AS (SELECT memory_id, space_id, CASE WHEN len(out) = 0 THEN [''] ELSE out END AS out FROM o),
 u AS (SELECT memory_id, space_id, unnest(out) AS chunk_text, generate_subscripts(out, 1) - 1 AS i FROM o2)
 SELECT memory_id || '-' || i AS chunk_id, memory_id, space_id, i::INTEGER AS chunk_index, chunk_text FROM u""")
+
+# sizes and strategies as columns: space n of 60 has its own, the last one is missing
+_T = "coalesce(original_content, '')"
+sql("chunk_by_config", f"""WITH cm AS (
+  SELECT memory_id, original_content, CASE WHEN n < 59 THEN n ELSE -1 END AS n, space_id || '-' || memory_id % 3 AS space_id
+  FROM (SELECT doc_id AS memory_id, text AS original_content, source AS space_id,
+               (regexp_extract(source, '[0-9]+$')::INTEGER * 3 + doc_id % 3)::INTEGER AS n
+        FROM documents JOIN events ON event_id = doc_id)),
+cc AS (SELECT *, CASE WHEN n < 0 THEN 512 ELSE 300 + 8 * n END AS sz, CASE WHEN n < 0 THEN 50 ELSE n % 16 END AS ov FROM cm),
+o AS (SELECT memory_id, space_id, CASE WHEN n % 4 = 0 THEN [{_T}]
+        WHEN n % 4 = 1 THEN {_windows(_T, 'sz', 'ov')}
+        WHEN n % 4 = 2 THEN {_pack_units_sql(f"regexp_extract_all({_T}, '{_SENT}')", 'sz', 'ov', lambda x: _windows(x, 'sz', 'ov'), 0)}
+        ELSE {_recursive_sql(_T, 'sz', 'ov')} END AS out FROM cc),
+o2 AS (SELECT memory_id, space_id, CASE WHEN len(out) = 0 THEN [''] ELSE out END AS out FROM o),
+u AS (SELECT memory_id, space_id, unnest(out) AS chunk_text, generate_subscripts(out, 1) - 1 AS i FROM o2)
+SELECT memory_id || '-' || i AS chunk_id, memory_id, space_id, i::INTEGER AS chunk_index, chunk_text FROM u""")
+
+PAGE_FILES = """pf AS (SELECT page_id // 20 AS f, string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id) AS content FROM pages GROUP BY 1)"""
+
+sql("ingest_files_from_disk", f"""WITH {PAGE_FILES}
+SELECT f AS file, 'text/plain' AS content_type, content AS original_content, strlen(content)::BIGINT AS length, true AS success FROM pf""")
+
+sql("stream_ingest_files", f"""WITH {PAGE_FILES}
+SELECT 'file-' || f AS memory_id, 'COMPLETED' AS processing_status, len(range(0, greatest(length(content) - 50, 1), 462)) AS n_chunks, 1 AS attempt FROM pf""")

@@ -162,8 +162,15 @@ def update_spaces_sequence(spark: SparkSession, d: str) -> DataFrame:
 
 @query("parse_labels")
 def parse_labels(spark: SparkSession, d: str) -> DataFrame:
-    ev = T.read(spark, d, "events").select("event_id", "props")
-    p = C.parse_labels(ev, "props")
+    """Labels as they are, with null, typed, nested and blank values, with text behind and not an object."""
+    i = F.col("event_id")
+    text = i.cast("string")
+    cases = [F.col("props"), F.concat(F.lit('{"n":null,"i":'), text, F.lit(',"b":true,"s":"x'), text, F.lit('"}')),
+             F.concat(F.lit('{"a":{"n":'), text, F.lit("}}")), F.concat(F.lit('{"a":"b"} '), text), F.concat(F.lit("["), text, F.lit("]"))]
+    raw = F.lit(" ")
+    for n, case in enumerate(cases):
+        raw = F.when(i % 6 == n, case).otherwise(raw)
+    p = C.parse_labels(T.read(spark, d, "events").select("event_id", raw.alias("raw")), "raw")
     return p.select("event_id", labels_text(F.col("labels")).alias("labels"), "success", "error")
 
 

@@ -38,6 +38,19 @@ def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
     return CH.chunk_recursive(_mem(spark, d), 512, 50).select(*_COLS)
 
 
+@query("chunk_by_config")
+def chunk_by_config(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in 60 spaces with 59 configs of all strategies; the last space is missing, so it takes the default."""
+    mem = _mem(spark, d)
+    n = F.regexp_extract("space_id", "[0-9]+$", 0).cast("int") * 3 + F.pmod("memory_id", F.lit(3)).cast("int")
+    mem = mem.withColumn("n", n).withColumn("space_id", F.concat("space_id", F.lit("-"), F.pmod("memory_id", F.lit(3)).cast("string")))
+    names = F.element_at(F.array(*map(F.lit, ("none", "fixed", "sentence", "recursive"))), F.col("n") % 4 + 1)
+    sized = F.col("n") % 4 != 0
+    spaces = mem.where("n < 59").select("space_id", "n").distinct().select("space_id", F.struct(
+        names.alias("strategy"), F.when(sized, 300 + 8 * F.col("n")).alias("chunk_size"), F.when(sized, F.col("n") % 16).alias("chunk_overlap")).alias("chunking"))
+    return CH.chunk_by_config(mem, spaces).select(*_COLS)
+
+
 @query("embed_by_space")
 def embed_by_space_q(spark: SparkSession, d: str) -> DataFrame:
     """Every memory as one chunk, embedded by its space's embedder: hash-256 for sources with

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from memtables.operators.outcomes import outcome_json, split_outcomes
 from memtables.plans.registry import query
-from memtables.session import materialized
+from memtables.session import materialized, shared_dir
 from memtables.sources import files as FS
 from memtables.sources import ingest as I
 from memtables.sources import tables as T
@@ -35,6 +35,17 @@ def ingest_files(spark: SparkSession, d: str) -> DataFrame:
         "success", "error")
 
 
+@query("ingest_files_from_disk")
+def ingest_files_from_disk(spark: SparkSession, d: str) -> DataFrame:
+    """Twenty pages to a text file, written to disk and read back as files."""
+    path = shared_dir(spark, "files")
+    FS.write_page_files(T.read(spark, d, "pages"), path, F.floor(F.col("page_id") / 20))
+    files = FS.read_files(spark, path)
+    number = F.regexp_extract("request_id", "file=([0-9]+)/", 1).cast("long")
+    out = I.ingest(FS.file_requests(files, "pages")).join(files.select(F.col("path").alias("request_id"), "length"), "request_id")
+    return out.select(number.alias("file"), "content_type", "original_content", "length", "success")
+
+
 @query("resolve_content")
 def resolve_content(spark: SparkSession, d: str) -> DataFrame:
     """Documents with a page of the same id carry both a file and text: the file wins."""

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from memtables.plans.registry import query
 from memtables.session import shared_dir
+from memtables.sources import files as FS
+from memtables.sources import ingest as I
 from memtables.sources import tables as T
 from memtables.streaming import indexing as IX
 
@@ -44,6 +46,25 @@ def stream_index_resumed(spark: SparkSession, d: str) -> DataFrame:
     return status.join(per, "memory_id", "left")
 
 
+@query("stream_ingest_files")
+def stream_ingest_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files indexed as they arrive: half of the page files, then the others and some of the first again,
+    each time by a run that resumes from the checkpoint."""
+    pages, n = T.read(spark, d, "pages"), F.floor(F.col("page_id") / 20)
+    root = shared_dir(spark, "arriving")
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    for arrival, some in enumerate((n % 2 == 0, (n % 2 == 1) | (n % 4 == 0))):
+        FS.write_page_files(pages.where(some), f"{root}/in/arrival={arrival}", n)
+        files = FS.stream_files(child, f"{root}/in")
+        name = F.concat(F.lit("file-"), F.regexp_extract("path", "file=([0-9]+)/", 1))
+        requests = FS.file_requests(files, "pages").withColumn("request_id", F.col("file_path"))
+        memories = I.ingest(requests).where("success").select(
+            F.col("request_id").alias("path"), "space_id", "original_content", F.current_timestamp().alias("created_at")).withColumn("memory_id", name)
+        IX.drain(IX.stream_index_memories(memories, f"{root}/out", f"{root}/checkpoint", chunker=IX.fixed_chunker))
+    return IX.latest_status(child, f"{root}/out").select("memory_id", "processing_status", "n_chunks", "attempt")
+
+
 @query("indexing_freshness")
 def indexing_freshness(spark: SparkSession, d: str) -> DataFrame:
     return IX.indexing_freshness(T.memories(spark, d))

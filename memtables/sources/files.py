@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from memtables.session import shared_dir
 
 
+FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
+
+
 def read_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = True, max_bytes: int | None = None) -> DataFrame:
     """Files under ``path`` as rows ``path, modificationTime, length, content``
@@ -20,6 +23,22 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None,
     return df if max_bytes is None else df.withColumn("content", F.when(F.col("length") <= max_bytes, F.col("content")))
 
 
+def stream_files(spark: SparkSession, path: str, max_bytes: int | None = None, max_files: int = 1000) -> DataFrame:
+    """Files as they arrive under ``path``, like :func:`read_files`; a batch takes at most ``max_files`` of
+    them. Files over ``max_bytes`` keep their row with null content (an ingest error row)."""
+    r = spark.readStream.format("binaryFile").schema(FILE_ROW).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+    df = r.load(path)
+    return df if max_bytes is None else df.withColumn("content", F.when(F.col("length") <= max_bytes, F.col("content")))
+
+
+def write_page_files(pages: DataFrame, path: str, file: F.Column) -> None:
+    """Pages as text files ``path/file=<n>/part-*.txt``, one per value of ``file``, a page after another by
+    id, each ended by a newline."""
+    rows = pages.select(file.alias("file"), "page_id", F.coalesce("html", F.lit("")).alias("html"))
+    rows = rows.repartition("file").sortWithinPartitions("file", "page_id")
+    rows.select("file", "html").write.partitionBy("file").text(path)
+
+
 def file_requests(files: DataFrame, space_id: str | F.Column) -> DataFrame:
     """Files as create-memory requests (file wins over text)."""
     sp = F.lit(space_id) if isinstance(space_id, str) else space_id

@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from memtables import schema as S
 from memtables.functions.json import strict_parse_json
-from memtables.functions.text import base64_flat, java_trim, valid_utf8
+from memtables.functions.text import base64_flat, java_trim, sha_id, valid_utf8
 from memtables.operators.outcomes import first_error, with_outcome
 
 
 def memory_id_of(space_id: Column, request_id: Column) -> Column:
     """Repeatable id: the SHA-256 of the natural key (space, request)."""
-    return F.sha2(F.concat_ws("|", F.lit("memory"), space_id.cast("string"), request_id.cast("string")), 256)
+    return sha_id("memory", space_id, request_id)
 
 
 def _non_empty(c: Column) -> Column:

@@ -176,3 +176,10 @@ def test_patches_of_one_space_apply_in_order(spark):
     one = snap.where("space_id = 'src1'").collect()
     assert len(one) == 1 and one[0].name == "n297" and one[0].public_read and one[0].labels == {"only": "one", "two": "2"}
     assert snap.count() == spaces.count() and snap.columns == spaces.columns
+
+
+def test_ids_of_different_keys_differ(spark):
+    from memtables.sources.ingest import memory_id_of
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("-", "x"), ("x", "-"), ("", "x"), ("x", ""), (None, None), ("1:a", "b"), ("1", "a:b"), ("", "")]
+    rows = spark.createDataFrame(keys, "s string, r string").select(memory_id_of(F.col("s"), F.col("r")).alias("id")).collect()
+    assert len({r.id for r in rows}) == len(keys) and all(len(r.id) == 64 for r in rows)

@@ -164,3 +164,22 @@ def test_recursive_sql_engine_equals_python(spark):
         py = _by_mem(CH.chunk_recursive(_mem(spark, texts), size, ov))
         jvm = _by_mem(CH.chunk_recursive(_mem(spark, texts), size, ov, engine="sql"))
         assert py == jvm
+
+
+def test_any_number_of_configs_in_one_pass(spark):
+    """One scan of the memories, no job while the plan is built; odd configs take the default."""
+    import __spark_entry__ as E
+    plan = E.queries()["chunk_by_config"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 0 and plan.count("ArrowEvalPython") == 1
+    text = "One two three. Four five six seven. " * 40
+    memories = spark.createDataFrame([(i, s, text) for i, s in enumerate(["a", "b", "c", "d", "e", "gone", None])], "memory_id long, space_id string, original_content string")
+    configs = [("a", ("none", None, None)), ("b", ("fixed", 100, 10)), ("c", ("sentence", 90, 20)), ("d", ("recursive", 80, 5)), ("e", ("recursive", 10, 10))]
+    spaces = spark.createDataFrame(configs, "space_id string, chunking struct<strategy:string,chunk_size:int,chunk_overlap:int>")
+    got = {}
+    for r in CH.chunk_by_config(memories, spaces).orderBy("memory_id", "chunk_index").collect():
+        got.setdefault(r.memory_id, []).append(r.chunk_text)
+    one = memories.where("memory_id = 0")
+    texts = lambda df: [r.chunk_text for r in df.orderBy("chunk_index").collect()]
+    default = texts(CH.chunk_recursive(one, 512, 50))
+    assert got == {0: [text], 1: texts(CH.chunk_fixed(one, 100, 10)), 2: texts(CH.chunk_sentence(one, 90, 20)),
+                   3: texts(CH.chunk_recursive(one, 80, 5)), 4: default, 5: default, 6: default}
