@@ -49,17 +49,59 @@ SECRET_CUES = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?k
 BEFORE = 32
 
 
+#: Items that one step of a running sum appends to one array.
+LOT = 256
+
+
+def _let(x: Column, f) -> Column:
+    """f(x) with x computed once."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def running(items: Column, measure, combine, zero: int) -> Column:
+    """For each item what ``combine`` (``zero`` is neutral for it) makes of the measures (int) of all items before it.
+    An array that grows by one item is copied each time, so the items are taken in lots: first the lots' totals, then
+    the items of each lot from its total on."""
+    def before(x: Column, start: Column) -> Column:
+        return F.aggregate(x, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")), lambda a, n: F.struct(
+            combine(a["at"], n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+    first = F.lit(zero)
+
+    def lots(m: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / LOT).cast("int")), lambda i: F.slice(m, i * LOT + 1, LOT))
+
+    def total(cut: Column) -> Column:
+        return before(F.transform(cut, lambda x: F.aggregate(x, first, combine)), first)
+    by_lot = lambda cut: _let(total(cut), lambda starts: F.flatten(F.transform(
+        cut, lambda x, i: before(x, F.element_at(starts, i + 1)))))
+    return _let(F.transform(items, measure), lambda m: F.when(F.size(m) > 0, _let(lots(m), by_lot)).otherwise(F.array().cast("array<int>")))
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """Array of (start, end, hit, before) of all matches; the matches and what stands
-    between them alternate, so offsets are sums of lengths."""
+    between them alternate, so offsets are running sums of lengths."""
     hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,hit:string,before:string>>")
-    both = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    walk = F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda a, x: F.struct(
-        (a["at"] + F.length(x["g"]) + F.length(x["h"])).alias("at"),
-        F.concat(a["out"], F.array(F.struct((a["at"] + F.length(x["g"])).alias("start"), (a["at"] + F.length(x["g"]) + F.length(x["h"])).alias("end"),
-                                            x["h"].alias("hit"), F.right(x["g"], F.lit(BEFORE)).alias("before")))).alias("out")))
-    return walk["out"]
+    both = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(
+        h.alias("h"), F.right(g, F.lit(BEFORE)).alias("before"), F.length(g).alias("g_n"), F.length(h).alias("h_n")))
+    at = lambda p: running(p, lambda x: x["g_n"] + x["h_n"], lambda a, n: a + n, 0)
+    return _let(both, lambda p: F.zip_with(p, at(p), lambda x, n: F.struct(
+        (n + x["g_n"]).alias("start"), (n + x["g_n"] + x["h_n"]).alias("end"), x["h"].alias("hit"), x["before"].alias("before"))))
+
+
+def outside(found: Column, base: Column) -> Column:
+    """The spans (start, end, code) that overlap no ``base`` span: both in one order by start, with the largest end
+    of a base span before and the smallest start of one behind."""
+    far = 2 ** 31 - 1
+    own = F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("own"), s["end"].alias("end"), s["code"].alias("code")))
+    other = F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("own"), s["end"].alias("end"), F.lit("").alias("code")))
+    ends = lambda x: running(x, lambda s: F.when(s["own"] == 0, s["end"]).otherwise(0), lambda a, n: F.greatest(a, n), 0)
+    starts = lambda x: F.reverse(running(F.reverse(x), lambda s: F.when(s["own"] == 0, s["start"]).otherwise(far), lambda a, n: F.least(a, n), far))
+    marked = lambda x: F.zip_with(F.zip_with(x, ends(x), lambda s, e: F.struct(s.alias("s"), e.alias("e"))), starts(x),
+                                  lambda p, n: F.struct(p["s"].alias("s"), p["e"].alias("e"), n.alias("n")))
+    clear = lambda x: F.filter(marked(x), lambda p: (p["s"]["own"] == 1) & (p["e"] <= p["s"]["start"]) & (p["n"] >= p["s"]["end"]))
+    kept = F.transform(_let(F.sort_array(F.concat(other, own)), clear), lambda p: F.struct(
+        p["s"]["start"].alias("start"), p["s"]["end"].alias("end"), p["s"]["code"].alias("code")))
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(kept)
 
 
 def _digits(hit: Column) -> Column:
@@ -222,8 +264,7 @@ def find(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None)
     proposed = candidates(t)
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row")
     found = materialized(docs.select(row, base.alias("base"), *(c.alias(f"_{k}") for k, c in proposed.items())))
-    clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    found = found.select("_row", "base", *(F.filter(f"_{k}", clear).alias(f"_{k}") for k in proposed))
+    found = found.select("_row", "base", *(outside(F.col(f"_{k}"), F.col("base")).alias(f"_{k}") for k in proposed))
     counts: dict[str, dict[str, float]] = {k: {} for k in proposed}
     with_kind = lambda k: F.transform(f"_{k}", lambda s: F.struct(F.lit(k).alias("kind"), s["code"].alias("code")))
     each = F.explode(F.concat(*map(with_kind, proposed)))

@@ -460,6 +460,36 @@ def test_added_spans(spark):
             assert [texts[r.doc_id][s.start:s.end] for s in r.spans] == re.findall(r"[0-9a-f]{18}|AKIA\w+", texts[r.doc_id])
 
 
+def test_spans_of_a_long_text_in_linear_time(spark):
+    import time
+    took = {}
+    for n in (1000, 20_000, 40_000):
+        text = " ".join(f"u{i}@ex{i % 7}.com tel 555-123-{i % 10000:04d}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.monotonic()
+        r = pii.find(docs).first()
+        took[n] = time.monotonic() - start
+        assert len(r.base) == n and len(r.spans) == 2 * n
+        assert all(text[s.start:s.end] == (f"u{i}@ex{i % 7}.com") for i, s in enumerate(r.base))
+    assert took[40_000] < 2.5 * took[20_000] + 1
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.integers(0, 60), st.integers(1, 9)), max_size=40))
+def test_spans_outside_base_spans(spark, spans):
+    kind = "array<struct<start:int,end:int,code:string>>"
+    base = [(s, s + n, "") for own, s, n in spans if not own]
+    found = [(s, s + n, f"{s}-{n}") for own, s, n in spans if own]
+    row = spark.createDataFrame([(found, base)], f"f {kind}, b {kind}").select(pii.outside(F.col("f"), F.col("b")).alias("o")).first()
+    assert sorted(map(tuple, row.o)) == sorted(f for f in found if not any(b[0] < f[1] and f[0] < b[1] for b in base))
+
+
+def test_running_sums_over_several_lots(spark):
+    for n in (0, 1, 255, 256, 257, 70_000):
+        row = spark.range(1).select(pii.running(F.sequence(F.lit(1), F.lit(n)) if n else F.array().cast("array<int>"), lambda x: x % 7, lambda a, m: a + m, 0).alias("r")).first()
+        assert row.r == np.concatenate([[0], np.cumsum(np.arange(1, n) % 7)]).astype(int).tolist()[:n]
+
+
 # -- neighbours ----------------------------------------------------------------
 
 def brute_neighbours(rows, k=10):
