@@ -302,7 +302,7 @@ def _topk_spaces(queries: _Side, chunks: _Side):
 _LAST_BLOCK: dict[tuple[str, ...], _Side] = {}
 
 
-def _open(uri: str) -> pq.ParquetFile:
+def open_parquet(uri: str) -> pq.ParquetFile:
     """A file of the shared folder, inside a task."""
     if uri.startswith("file:"):
         return pq.ParquetFile(urllib.parse.unquote("/" + uri[len("file:"):].lstrip("/")))
@@ -315,7 +315,7 @@ def _open(uri: str) -> pq.ParquetFile:
 def _block(files: tuple[str, ...], spaces: np.ndarray) -> _Side | None:
     """A block of queries, or None if none of them searches ``spaces`` (sorted). A task remembers the last one."""
     if files not in _LAST_BLOCK:
-        opened = [_open(f) for f in files]
+        opened = [open_parquet(f) for f in files]
         meets = False
         for f in opened:
             at = f.schema_arrow.get_field_index("search_key")
