@@ -6,16 +6,17 @@ are ``n_pivots`` vectors of a bounded deterministic sample. Each block of rows
 inverted files: for each pivot, the rows that hold it and its place in them. A
 query reads the lists of its own pivots and adds up, for each row met, the
 footrule distance between the two prefixes (a pivot that one of them lacks
-stands at place ``prefix``). The ``candidates`` vectors of least footrule distance
-in each block are reranked by exact Euclidean distance in double precision. Equal
+stands at place ``prefix``). The share ``candidates`` of the block's vectors (at least ``4 k``) that has the
+least footrule distance is reranked by exact Euclidean distance in double precision, in blocks of any size. Equal
 vectors of a block count as one, which answers with its smallest ids, so a group of
 copies doesn't crowd out other candidates. The block's best k go on, and one
 window per query keeps the k nearest of all blocks.
 
 Every row is indexed and every block answers every query, so the candidates of a
 query grow with the data and the recall stays (measured against brute force
-in the tests and README). Queries go to the tasks by broadcast, in rounds of at most
-``QUERY_BYTES``; the vectors are never shuffled against the queries.
+in the tests and README). The queries and their permutations are computed once and written to the shared folder in
+files of about ``QUERY_BYTES``; a task reads one file after another against its block. No query passes
+through the driver, and the vectors are never shuffled against the queries.
 
 Defined results: null or zero vectors and those with null or non-finite
 components take no part, nor do rows with a null id; vectors of unequal lengths
@@ -26,6 +27,7 @@ of them; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +36,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memtables.llm.common import bounded_sample
+from memtables.operators.retrieval import open_parquet
 from memtables.session import materialized
 
 K = 10
 N_PIVOTS = 256
 PREFIX = 128
-CANDIDATES = 2048
+CANDIDATES = 0.25
 BLOCK_ROWS = 8192
 QUERY_BYTES = 32 << 20
 
@@ -63,14 +66,14 @@ class Block:
         self.row, self.place = by_pivot // self.prefix, by_pivot % self.prefix
         self.at = np.searchsorted(flat[by_pivot], np.arange(len(pivots) + 1))
 
-    def nearest(self, query_id: int, q: np.ndarray, perm: np.ndarray, k: int, candidates: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, query_id: int, q: np.ndarray, perm: np.ndarray, k: int, candidates: float) -> tuple[np.ndarray, np.ndarray]:
         far = np.full(len(self.x), self.prefix * (self.prefix + 1), np.int64)
         for j, p in enumerate(perm.tolist()):
             rows, place = self.row[self.at[p]:self.at[p + 1]], self.place[self.at[p]:self.at[p + 1]]
             far[rows] += np.abs(place - j) - (self.prefix - place) - (self.prefix - j)
-        keep = np.arange(len(far))
-        if len(far) > candidates:
-            keep = np.argpartition(far * len(far) + keep, candidates)[:candidates]
+        keep, n = np.arange(len(far)), max(4 * k, math.ceil(candidates * len(far)))
+        if len(far) > n:
+            keep = np.argpartition(far * len(far) + keep, n)[:n]
         gap = np.sqrt(((self.x[keep] - q) ** 2).sum(axis=1))
         # the k + 1 nearest vectors hold the k nearest rows besides the query's own
         near = np.argsort(gap, kind="stable")
@@ -100,16 +103,14 @@ def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector: str = "embedding", k: int = K,
-           n_pivots: int = N_PIVOTS, prefix: int = PREFIX, candidates: int = CANDIDATES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+           n_pivots: int = N_PIVOTS, prefix: int = PREFIX, candidates: float = CANDIDATES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` of the k nearest rows found for
     each row of ``queries`` (columns like ``vectors``)."""
-    spark = vectors.sparkSession
-
     def clean(df: DataFrame) -> DataFrame:
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x")).where(
             F.col("id").isNotNull() & usable(F.col("x")))
     rows = clean(vectors)
-    asked = materialized(clean(queries).groupBy("id").agg(F.min("x").alias("x")))
+    asked = clean(queries).groupBy("id").agg(F.min("x").alias("x"))
     sizes = {r["d"]: r["n"] for r in rows.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n")).collect()}
     # pivots for each vector length: distinct vectors of a sample of 4 * n_pivots rows
     pivots = {}
@@ -119,45 +120,66 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
         pivots[d] = one[np.random.default_rng(1).permutation(len(one))[:n_pivots]]
     n = sum(sizes.values())
     blocks = max(1, -(-n // block_rows))
-    rounds = max(1, -(-(asked.agg(F.sum(F.size("x"))).first()[0] or 0) * 8 // QUERY_BYTES))
-    even = rows.repartition(blocks, "id")
-    found = [_round(even, asked.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r), pivots, spark, k, prefix, candidates)
-             for r in range(rounds)]
-    best = found[0]
-    for f in found[1:]:
-        best = best.unionByName(f)
+    asked = materialized(_with_permutations(asked, pivots, prefix))
+    size = asked.agg(F.sum(8 * F.size("x") + 4 * F.size("perm"))).first()[0] or 0
+    asked = materialized(asked.repartition(max(1, -(-size // QUERY_BYTES)), "id"))
+    best = _candidates(rows.repartition(blocks, "id"), asked.inputFiles() if size else [], pivots, k, prefix, candidates)
     nearest = best.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     line = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (nearest.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
-def _round(rows: DataFrame, asked: DataFrame, pivots: dict[int, np.ndarray], spark, k: int, prefix: int, candidates: int) -> DataFrame:
-    by_size: dict[int, list] = {}
-    for r in asked.collect():
-        by_size.setdefault(len(r["x"]), []).append((r["id"], r["x"]))
-    sent = spark.sparkContext.broadcast({d: (np.array([i for i, _ in q], np.int64), np.array([x for _, x in q], np.float64))
-                                         for d, q in by_size.items()})
+def _rows(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, all components one after another, and the vectors' lengths."""
+    x = batch.column("x")
+    x = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+    return batch.column("id").to_numpy(), x.flatten().to_numpy(), x.value_lengths().to_numpy(zero_copy_only=False)
+
+
+def _of_length(flat: np.ndarray, size: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and matrix of the vectors of length ``d``."""
+    mine = np.flatnonzero(size == d)
+    return mine, flat[(np.cumsum(size)[mine] - d)[:, None] + np.arange(d)]
 
+
+def _with_permutations(asked: DataFrame, pivots: dict[int, np.ndarray], prefix: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, flat, size = _rows(batch)
+            perm = np.empty(len(size), object)
+            for d in np.unique(size).tolist():
+                mine, x = _of_length(flat, size, d)
+                if d in pivots:
+                    for i, p in zip(mine.tolist(), permutations(x, pivots[d], min(prefix, len(pivots[d])))):
+                        perm[i] = p.astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), pa.array(perm.tolist(), pa.list_(pa.int32()))], names=["id", "x", "perm"])
+    return asked.mapInArrow(run, "id long, x array<double>, perm array<int>").where("perm is not null")
+
+
+def _candidates(rows: DataFrame, files: list[str], pivots: dict[int, np.ndarray], k: int, prefix: int, candidates: float) -> DataFrame:
+    """The k nearest candidates of each query in each block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, flat, size = [], [], []
-        for b in batches:
-            ids.append(b.column("id").to_numpy())
-            flat.append(b.column("x").flatten().to_numpy())
-            size.append(np.diff(b.column("x").offsets.to_numpy()))
-        if not ids:
+        parts = [_rows(b) for b in batches]
+        if not parts:
             return
-        ids, flat, size = np.concatenate(ids), np.concatenate(flat), np.concatenate(size)
-        ends = np.cumsum(size)
-        for d, (query_ids, queries) in sent.value.items():
-            mine = np.flatnonzero(size == d)
-            if not len(mine):
-                continue
-            x = flat[(ends[mine] - d)[:, None] + np.arange(d)]
-            block = Block(ids[mine], x, pivots[d], prefix)
-            perms = permutations(queries, pivots[d], block.prefix)
-            out = [block.nearest(i, q, p, k, candidates) for i, q, p in zip(query_ids.tolist(), queries, perms)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(query_ids, [len(o[0]) for o in out])), pa.array(np.concatenate([o[0] for o in out])),
-                 pa.array(np.concatenate([o[1] for o in out]))], names=["query_id", "vec_id", "score"])
+        ids, flat, size = (np.concatenate(c) for c in zip(*parts))
+        blocks = {}
+        for d in np.unique(size).tolist():
+            mine, x = _of_length(flat, size, d)
+            blocks[d] = Block(ids[mine], x, pivots[d], prefix)
+        for f in files:
+            table = open_parquet(f).read()
+            query_ids, q_flat, q_size = _rows(table)
+            perms = table.column("perm").combine_chunks()
+            for d, block in blocks.items():
+                mine, x = _of_length(q_flat, q_size, d)
+                if not len(mine):
+                    continue
+                perm = perms.take(pa.array(mine)).flatten().to_numpy().reshape(len(mine), -1)
+                asked = query_ids[mine]
+                out = [block.nearest(i, q, p, k, candidates) for i, q, p in zip(asked.tolist(), x, perm)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(asked, [len(o[0]) for o in out])), pa.array(np.concatenate([o[0] for o in out])),
+                     pa.array(np.concatenate([o[1] for o in out]))], names=["query_id", "vec_id", "score"])
     return rows.mapInArrow(run, "query_id long, vec_id long, score double")
