@@ -318,7 +318,7 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
         several.withColumn("one", F.lit(False)))
     stay = materialized(stay.select(F.col("id").alias("stay_id"), F.col("tie").alias("stay_tie"), "of", "one"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(id_col).alias("id"), tie.alias("tie"),
-                       F.struct(F.col(text).alias("text"), row_hash(docs).alias("hash")).alias("place"))
+                       row_hash(docs).alias("hash"))
     rows = rows.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("tie") == F.col("stay_tie")))
-    again = rows.where("not one").groupBy("of").agg(F.min_by("d", "place").alias("d"))
+    again = rows.where("not one").groupBy("of").agg(F.min_by("d", F.struct(F.col("d")[text], "hash")).alias("d"))
     return rows.where("one").select("d").unionByName(again.select("d")).select("d.*")
