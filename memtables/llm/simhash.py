@@ -43,7 +43,6 @@ from pyspark.sql import types as T
 
 from memtables.llm.common import bounded_sample, utf8
 from memtables.llm.graph import components
-from memtables.llm.mixing import row_hash
 from memtables.session import materialized
 
 BITS = 64
@@ -317,8 +316,9 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     stay = least.where("n = 1").select("id", "tie", F.col("group").alias("of"), F.lit(True).alias("one")).unionByName(
         several.withColumn("one", F.lit(False)))
     stay = materialized(stay.select(F.col("id").alias("stay_id"), F.col("tie").alias("stay_tie"), "of", "one"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(id_col).alias("id"), tie.alias("tie"),
-                       row_hash(docs).alias("hash"))
+    # both branches below read the same columns, so that the rows are shuffled once
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(id_col).alias("id"), tie.alias("tie"))
+    whole = F.xxhash64(*(F.col("d")[c] for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind))
     rows = rows.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("tie") == F.col("stay_tie")))
-    again = rows.where("not one").groupBy("of").agg(F.min_by("d", F.struct(F.col("d")[text], "hash")).alias("d"))
+    again = rows.where("not one").groupBy("of").agg(F.min_by("d", F.struct(F.col("d")[text], whole)).alias("d"))
     return rows.where("one").select("d").unionByName(again.select("d")).select("d.*")
