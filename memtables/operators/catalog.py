@@ -10,16 +10,14 @@ requests in one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memtables import schema as S
-from memtables.functions.json import labels_from_json
+from memtables.functions.json import labels_from_json, merge_labels
 from memtables.functions.text import sha_id
 from memtables.operators.outcomes import first_error, with_outcome, with_total
+from memtables.session import materialized
 
 
 # -- 13 list_spaces / 15 list_embedders -----------------------------------------
@@ -147,23 +145,50 @@ def create_or_reuse_spaces(spaces: DataFrame, requests: DataFrame) -> tuple[Data
 
 # -- 25-27 update_spaces ------------------------------------------------------------
 
-def _apply_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Patches sorted by space and ``seq`` -> the space's state after each of them. Holds
-    one space's state, however many patches it has."""
-    space, name, public, labels = None, None, None, None
-    for rows in batches:
-        out = []
-        for r in rows.itertuples(index=False):
-            if r.space_id != space:
-                space, name, public, labels = r.space_id, r.old_name, r.old_public, r.old_labels
-            name = name if r.name is None else r.name
-            public = public if r.public_read is None else r.public_read
-            if r.replace is not None:
-                labels = r.replace
-            elif r.merge is not None:
-                labels = {**(labels or {}), **r.merge}
-            out.append((space, r.seq, name, public, labels))
-        yield pd.DataFrame(out, columns=["space_id", "seq", "name", "public_read", "labels"]).astype(object)
+#: patches composed at a time in one row
+PATCH_BLOCK = 32
+
+
+def _then(a: Column, b: Column) -> Column:
+    """Change ``a``, then ``b``, as one change ``struct<name, public_read, replaced, labels>``: the last name and
+    flag that are not null; labels from the last replacement on, later ones laid over earlier ones by key."""
+    return F.struct(F.coalesce(b["name"], a["name"]).alias("name"), F.coalesce(b["public_read"], a["public_read"]).alias("public_read"),
+                    (a["replaced"] | b["replaced"]).alias("replaced"),
+                    F.when(b["replaced"], b["labels"]).otherwise(merge_labels(a["labels"], b["labels"])).alias("labels"))
+
+
+def _running(changes: DataFrame, most: int) -> DataFrame:
+    """``space_id, no, change`` (``no`` from 0 without gaps, below ``most``) -> each change after all before it.
+
+    Composing is associative, so blocks of ``PATCH_BLOCK`` changes are composed each for itself, their totals
+    likewise one level up, and what stands before a block is laid under it: log(most) levels, no row above a block."""
+    by_no = lambda x, y: F.when(x["no"] < y["no"], -1).when(x["no"] > y["no"], 1).otherwise(0)
+    first = lambda c: F.transform(F.slice(c, 1, 1), lambda x: F.struct(x["no"].alias("no"), x["change"].alias("change")))
+    add = lambda acc, x: F.concat(acc, F.array(F.struct(
+        x["no"].alias("no"), _then(F.element_at(acc, -1)["change"], x["change"]).alias("change"))))
+    blocks = (changes.groupBy("space_id", F.floor(F.col("no") / PATCH_BLOCK).alias("block"))
+              .agg(F.array_sort(F.collect_list(F.struct("no", "change")), by_no).alias("c"))
+              .select("space_id", "block", F.aggregate(F.slice("c", 2, PATCH_BLOCK), first(F.col("c")), add).alias("c")))
+    if most <= PATCH_BLOCK:
+        return blocks.select("space_id", F.explode("c").alias("x")).select("space_id", "x.*")
+    blocks = materialized(blocks)
+    totals = blocks.select("space_id", F.col("block").alias("no"), F.element_at("c", -1)["change"].alias("change"))
+    under = _running(totals, -(-most // PATCH_BLOCK)).select("space_id", (F.col("no") + 1).alias("block"), F.col("change").alias("under"))
+    rows = blocks.join(under, ["space_id", "block"], "left").select("space_id", "under", F.explode("c").alias("x"))
+    return rows.select("space_id", "x.no", F.when(F.col("under").isNull(), F.col("x.change"))
+                       .otherwise(_then(F.col("under"), F.col("x.change"))).alias("change"))
+
+
+def _numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """Adds ``no``, each row's number in its space (from 0), without a window over a whole space: numbered in
+    range partitions, shifted by the counts of the earlier ones."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(parts, "space_id", *order).withColumn("_part", F.spark_partition_id())
+    rows = materialized(rows.withColumn("_no", F.row_number().over(Window.partitionBy("_part", "space_id").orderBy(*order)) - 1))
+    w = Window.partitionBy("space_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (rows.groupBy("space_id", "_part").agg(F.count(F.lit(1)).alias("n"))
+              .select("space_id", "_part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_before")))
+    return rows.join(before, ["space_id", "_part"]).withColumn("no", (F.col("_no") + F.col("_before")).cast("long")).drop("_part", "_no", "_before")
 
 
 def update_spaces(spaces: DataFrame, patches: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -171,31 +196,38 @@ def update_spaces(spaces: DataFrame, patches: DataFrame) -> tuple[DataFrame, Dat
     merge_labels_json`` (null = leave alone), answered as if sent one by one in
     order of the column ``seq`` (distinct numbers; without it, at most one per
     space). A patch in error changes nothing. Embedders and chunking never change.
+    Patches are composed in blocks (:func:`_running`), so one space's patches spread over tasks.
     Returns (receipts with the state after each patch, new snapshot)."""
     numbered = "seq" in patches.columns
     p = patches if numbered else patches.withColumn("seq", F.lit(0))
     p = (p.withColumn("seq", F.col("seq").cast("long"))
          .withColumn("_rep", labels_from_json(F.col("replace_labels_json")))
          .withColumn("_mrg", labels_from_json(F.col("merge_labels_json"))))
-    old = spaces.select("space_id", F.col("name").alias("old_name"),
-                        F.col("public_read").alias("old_public"), F.col("labels").alias("old_labels"),
-                        F.lit(True).alias("_found"))
-    j = p.join(old, "space_id", "left")
+    j = p.join(spaces.select("space_id", F.lit(True).alias("_found")), "space_id", "left")
     err = first_error(
-        (F.col("_found").isNull(), F.concat(F.lit(S.MSG_SPACE_NOT_FOUND), F.col("space_id"))),
+        (F.col("_found").isNull(), F.concat(F.lit(S.MSG_SPACE_NOT_FOUND), F.coalesce("space_id", F.lit("null")))),
         (F.col("_rep.error").isNotNull(), F.col("_rep.error")),
         (F.col("_mrg.error").isNotNull(), F.col("_mrg.error")),
         (F.col("_rep.labels").isNotNull() & F.col("_mrg.labels").isNotNull(), S.MSG_LABELS_EXCLUSIVE),
     )
-    j = j.select("space_id", "seq", "name", "public_read", F.col("_rep.labels").alias("replace"),
-                 F.col("_mrg.labels").alias("merge"), "old_name", "old_public", "old_labels", err.alias("_err"))
-    schema = "space_id string, seq long, name string, public_read boolean, labels map<string,string>"
-    done = (j.where("_err is null").drop("_err").repartition("space_id").sortWithinPartitions("space_id", "seq")
-            .mapInPandas(_apply_in_order, schema))
+    j = materialized(j.select("space_id", "seq", "name", "public_read", F.col("_rep.labels").alias("replace"),
+                              F.col("_mrg.labels").alias("merge"), err.alias("_err")))
+    good = j.where("_err is null")
+    change = lambda replaced, labels: F.struct(F.col("name"), F.col("public_read"), replaced.alias("replaced"), labels.alias("labels"))
+    # the space as it is comes first, as a change of everything
+    start = spaces.join(good.select("space_id").distinct(), "space_id", "left_semi").select(
+        "space_id", F.lit(0).alias("_step"), F.lit(None).cast("long").alias("seq"), change(F.lit(True), F.col("labels")).alias("change"))
+    steps = _numbered(start.unionByName(good.select(
+        "space_id", F.lit(1).alias("_step"), "seq",
+        change(F.col("replace").isNotNull(), F.coalesce("replace", "merge")).alias("change"))), "_step", "seq")
+    most = steps.agg(F.max("no")).first()[0]
+    done = materialized(_running(steps.select("space_id", "no", "change"), (most or 0) + 1)
+                        .join(steps.select("space_id", "no", "_step", "seq"), ["space_id", "no"])
+                        .select("space_id", "no", "_step", "seq", "change.*"))
     bad = j.where("_err is not null").select("space_id", "seq", "_err")
-    receipts = done.withColumn("_err", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
-    receipts = with_outcome(receipts, F.col("_err"), S.MSG_SPACE_UPDATED).drop("_err")
-    last = done.groupBy("space_id").agg(F.max_by(F.struct("name", "public_read", "labels"), "seq").alias("_new"))
+    receipts = done.where("_step = 1").select("space_id", "seq", "name", "public_read", "labels", F.lit(None).cast("string").alias("_err"))
+    receipts = with_outcome(receipts.unionByName(bad, allowMissingColumns=True), F.col("_err"), S.MSG_SPACE_UPDATED).drop("_err")
+    last = done.groupBy("space_id").agg(F.max_by(F.struct("name", "public_read", "labels"), "no").alias("_new"))
     kept = [c for c in spaces.columns if c not in ("name", "public_read", "labels")]
     state = lambda c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
     snap = spaces.join(last, "space_id", "left").select(*kept, state("name"), state("public_read"), state("labels"))

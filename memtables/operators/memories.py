@@ -19,6 +19,9 @@ from memtables.operators.outcomes import first_error, with_outcome
 from memtables.operators.sizing import MAX_BROADCAST_ROWS, reduce_to_keys
 from memtables.session import materialized
 
+#: group limits below this are planned before the shuffle; a whole page and one row more must fit
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 CONTENT_COLS = ("original_content", "original_content_b64")
 
 
@@ -114,17 +117,13 @@ def list_memories(memories: DataFrame, requests: DataFrame, where: Column | None
         j = j.select("request_id", "space_id", "memory_id", "created_at", "_n")
     w = Window.partitionBy("request_id").orderBy("created_at", "memory_id")
     by_req = Window.partitionBy("request_id")
-    # the literal bound lets Spark plan a partial WindowGroupLimit before the
-    # shuffle: a hot space sends at most that many rows per task
-    ranked = (j.withColumn("position", F.row_number().over(w))
-              .where(F.col("position") <= min(largest + 1, S.PAGE_SIZE_MAX)))
-    if largest < S.PAGE_SIZE_MAX:
-        # the row after the page tells whether there is a next one
-        page = ranked.withColumn("_avail", F.count(F.lit(1)).over(by_req)).where(F.col("position") <= F.col("_n"))
-    else:
-        # group limits end at 1,000 rows: a partial (map-side) count tells it
-        avail = j.groupBy("request_id").agg(F.count(F.lit(1)).alias("_avail"))
-        page = ranked.where(F.col("position") <= F.col("_n")).join(F.broadcast(avail) if small else avail, "request_id")
+    # the literal bound lets Spark plan a partial WindowGroupLimit before the shuffle: a hot space
+    # sends at most that many rows per task. The row after the page tells whether there is a next one
+    spark = memories.sparkSession
+    if int(spark.conf.get(GROUP_LIMIT)) <= S.PAGE_SIZE_MAX:
+        spark.conf.set(GROUP_LIMIT, str(S.PAGE_SIZE_MAX + 1))
+    ranked = j.withColumn("position", F.row_number().over(w)).where(F.col("position") <= largest + 1)
+    page = ranked.withColumn("_avail", F.count(F.lit(1)).over(by_req)).where(F.col("position") <= F.col("_n"))
     last = F.max_by(F.struct("created_at", "memory_id"), F.col("position")).over(by_req)
     page = page.withColumn("next_token", F.when(F.col("_avail") > F.col("_n"),
                                                 page_token(last["created_at"], last["memory_id"])))

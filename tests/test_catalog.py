@@ -130,3 +130,80 @@ def test_hot_space_paging_and_listing(spark):
     assert [r.memory_id for r in page] == [m for _, m in sorted(ref["hot"])][:5]
     assert page[0].next_token is not None and page[0].total_memories == 5
     mem.unpersist()
+
+
+def _patched(state, patches):
+    """One space's patches one by one in plain Python: the state after each good one, by ``seq``."""
+    out = {}
+    for seq, name, public, replace, merge in sorted(patches):
+        state = (name if name is not None else state[0], public if public is not None else state[1],
+                 replace if replace is not None else {**state[2], **merge} if merge is not None else state[2])
+        out[seq] = state
+    return out
+
+
+def test_patches_in_blocks_equal_one_by_one(spark):
+    import json
+    import random
+    rnd = random.Random(7)
+    spaces = T.spaces(spark, SF_SMALL)
+    sizes = {"src1": 1200, "src2": 33, "src3": 32, "src4": 1}       # three levels, two, one
+    given, rows = {}, []
+    for space, n in sizes.items():
+        given[space] = []
+        for seq in rnd.sample(range(10_000), n):
+            labels = {f"k{rnd.randrange(12)}": str(rnd.randrange(99)) for _ in range(rnd.randrange(3))}
+            kind = rnd.choice(["none", "merge", "merge", "merge", "replace" if rnd.random() < 0.2 else "none"])
+            name, public = rnd.choice([None, None, f"n{seq}"]), rnd.choice([None, True, False])
+            given[space].append((seq, name, public, labels if kind == "replace" else None, labels if kind == "merge" else None))
+            rows.append((space, seq, name, public, json.dumps(labels) if kind == "replace" else None,
+                         json.dumps(labels) if kind == "merge" else None))
+        rows.append((space, 20_000, "lost", None, "{}", "{}"))        # in error: changes nothing
+    rows.append((None, 1, "lost", None, None, None))
+    rnd.shuffle(rows)
+    patches = spark.createDataFrame(rows, "space_id string, seq long, name string, public_read boolean, replace_labels_json string, merge_labels_json string")
+    rec, snap = C.update_spaces(spaces, patches)
+    got = {(r.space_id, r.seq): r for r in rec.collect()}
+    assert len(got) == len(rows) and sum(not r.success for r in got.values()) == len(sizes) + 1
+    after = {r.space_id: (r.name, r.public_read, r.labels) for r in snap.collect()}
+    for r in spaces.collect():
+        want = _patched((r.name, r.public_read, r.labels), given.get(r.space_id, []))
+        for seq, state in want.items():
+            x = got[r.space_id, seq]
+            assert (x.name, x.public_read, x.labels) == state
+        assert after[r.space_id] == (want[max(want)] if want else (r.name, r.public_read, r.labels))
+
+
+def test_hot_space_of_patches_stays_on_the_jvm(spark):
+    """40,000 patches of one space: no Python node, no window over the space, each block at most its bound."""
+    n = 40_000
+    patches = spark.range(n).select(F.lit("src1").alias("space_id"), F.col("id").alias("seq"), F.concat(F.lit("n"), F.col("id")).alias("name"),
+                                    F.lit(None).cast("boolean").alias("public_read"), F.lit(None).cast("string").alias("replace_labels_json"),
+                                    F.concat(F.lit('{"k'), F.col("id") % 5, F.lit('":"'), F.col("id"), F.lit('"}')).alias("merge_labels_json"))
+    rec, snap = C.update_spaces(T.spaces(spark, SF_SMALL), patches)
+    wrong = rec.where((F.col("name") != F.concat(F.lit("n"), "seq")) | (F.col("labels")[F.concat(F.lit("k"), F.col("seq") % 5)] != F.col("seq").cast("string")))
+    assert rec.count() == n and wrong.count() == 0
+    assert snap.where("space_id = 'src1'").first().labels == {"kind": "docs", **{f"k{(n - 1 - i) % 5}": str(n - 1 - i) for i in range(5)}}
+    changes = spark.range(n).select(F.lit("s").alias("space_id"), F.col("id").alias("no"), F.struct(
+        F.lit("a").alias("name"), F.lit(True).alias("public_read"), F.lit(False).alias("replaced"),
+        F.create_map(F.lit("k"), F.col("id").cast("string")).alias("labels")).alias("change"))
+    plan = C._running(changes, n)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "InArrow" not in plan and "Python" not in plan and "Window" not in plan
+
+
+def test_default_page_size_takes_one_pass(spark):
+    """1,001 and 1,000 memories of a space: a next page, and none; the table is scanned once."""
+    from test_plans import _plan
+    mem = spark.range(2001).select(F.col("id").alias("memory_id"), F.when(F.col("id") < 1001, "a").otherwise("b").alias("space_id"),
+                                   F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"), F.lit("COMPLETED").alias("processing_status"))
+    req = spark.createDataFrame([("a", "a", None, None, None), ("b", "b", None, None, None)],
+                                "request_id string, space_id string, page_size int, next_token string, status string")
+    page = M.list_memories(mem, req)
+    got = page.groupBy("request_id").agg(F.count("*").alias("n"), F.max("position").alias("last"), F.max("next_token").alias("t"),
+                                         F.max("total_memories").alias("total")).collect()
+    got = {r.request_id: r for r in got}
+    assert got["a"].n == got["b"].n == got["a"].last == got["a"].total == 1000 and got["a"].t and got["b"].t is None
+    rest = M.list_memories(mem, spark.createDataFrame([("a", "a", None, got["a"].t, None)], req.schema)).collect()
+    assert [r.memory_id for r in rest] == [1000]
+    plan = _plan(page).split("== Initial Plan ==")[0]
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Range (0, 2001") == 1
