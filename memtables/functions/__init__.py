@@ -2,7 +2,7 @@
 whole-stage codegen); none is a Python UDF."""
 
 from memtables.functions.text import (  # noqa: F401
-    java_trim, valid_utf8, base64_flat, tokens, first_sentence, sha_id,
+    java_trim, valid_utf8, base64_flat, tokens, sha_id,
 )
 from memtables.functions.json import (  # noqa: F401
     val, strict_parse_json, labels_from_json, labels_text, merge_labels,

@@ -32,11 +32,6 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 
-def first_sentence(text: Column) -> Column:
-    """Leading text up to and including the first run of . ! ?"""
-    return F.trim(F.regexp_extract(F.coalesce(text, F.lit("")), r"^[^.!?]*[.!?]*", 0))
-
-
 def sha_id(kind: str, *cols: Column) -> Column:
     """Repeatable id from a natural key: hex SHA-256 of the kind and the parts. Each part stands with its
     length in front and null as ``-``, so different keys never give one text."""

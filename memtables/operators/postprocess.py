@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memtables import schema as S
-from memtables.functions.text import first_sentence, sha_id, tokens
+from memtables.functions.text import sha_id, tokens
 from memtables.operators import retrieval as R
 from memtables.operators import sizing as SZ
 from memtables.operators.outcomes import first_error, with_outcome
 from memtables.operators.sizing import scan_bytes
+from memtables.operators.summary import summaries
 from memtables.session import materialized
 
 
@@ -176,19 +177,17 @@ CONTEXT_SEPARATOR = "\n\n"
 
 def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -> DataFrame:
     """Per query: the found chunk texts in rank order, joined (the summary's
-    input), and an extractive reply from the first sentences of all of them.
-    Bounded: a query holds at most k results."""
+    input), and an extractive reply, the most central of their sentences
+    (``summary.summaries``). Bounded: a query holds at most k results."""
     res = results
     if "chunk_text" not in res.columns:
         res = res.join(chunk_texts.select("chunk_id", "chunk_text"), "chunk_id", "left")
     items = F.array_sort(F.collect_list(F.struct("rank", F.coalesce("chunk_text", F.lit("")).alias("t"))))
-    g = res.groupBy("query_id").agg(items.alias("_items"))
-    texts = F.transform("_items", lambda x: x["t"])
-    firsts = F.transform("_items", lambda x: first_sentence(x["t"]))
+    g = res.groupBy("query_id").agg(items.alias("_items")).join(summaries(res), "query_id", "left")
     return g.select(
         "query_id",
-        F.array_join(texts, CONTEXT_SEPARATOR).alias("context"),
-        F.array_join(F.filter(firsts, lambda s: s != ""), " ").alias("abstract_reply"),
+        F.array_join(F.transform("_items", lambda x: x["t"]), CONTEXT_SEPARATOR).alias("context"),
+        F.coalesce("abstract_reply", F.lit("")).alias("abstract_reply"),
         F.size("_items").cast("long").alias("n_chunks"),
     )
 
@@ -233,9 +232,10 @@ def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame,
         .join(retrieval_outcomes(requests), "query_id") \
         .join(res, "query_id", "left").join(mem, "query_id", "left")
     out = out.withColumn("total_results", F.when(F.col("_r").isNull(), F.lit(0)).otherwise(F.size("_r")).cast("long"))
-    # the reply reads the texts that the results carry, in rank order
-    firsts = F.filter(F.transform("_r", lambda x: first_sentence(F.coalesce(x["chunk_text"], F.lit("")))), lambda t: t != "")
-    out = out.withColumn("abstract_reply", F.when(F.col("_llm") & (F.col("total_results") > 0), F.array_join(firsts, " ")))
+    # the reply reads the texts that the results carry
+    asked = requests.where(F.coalesce("llm_id", F.lit("")) != "").select("query_id")
+    out = out.join(summaries(results.join(asked, "query_id", "left_semi")), "query_id", "left")
+    out = out.withColumn("abstract_reply", F.when(F.col("_llm") & (F.col("total_results") > 0), F.coalesce("abstract_reply", F.lit(""))))
     if freshness is not None:
         from memtables.streaming.indexing import wait_messages
         out = wait_messages(out, requests, freshness).withColumn("message", F.when(F.col("_wait"), F.col("message")))

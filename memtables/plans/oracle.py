@@ -166,18 +166,28 @@ FROM req r LEFT JOIN (SELECT query_id, count(*) AS total_results,
                              count(DISTINCT memory_id) AS total_memories
                       FROM res GROUP BY query_id) a USING (query_id)""")
 
-_FIRST = "trim(regexp_extract(chunk_text, '^[^.!?]*[.!?]*', 0))"
-sql("abstract_context", chain() + f"""
-SELECT query_id,
-       string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context,
-       coalesce(string_agg(CASE WHEN {_FIRST} <> '' THEN {_FIRST} END, ' ' ORDER BY rank), '')
-         AS abstract_reply,
-       count(*) AS n_chunks
-FROM res GROUP BY query_id""")
+# the most central sentences of ``res`` that fit 400 characters, as CTEs ending in ``reply``
+REPLY = rf"""cut AS (SELECT query_id, rank, regexp_extract_all(chunk_text, '[^.!?]+[.!?]*') AS x FROM res),
+raw AS (SELECT query_id, rank, i, trim(regexp_replace(x[i], '[ \t\n\r\f]+', ' ', 'g')) AS s FROM cut, unnest(range(1, len(x) + 1)) t(i)),
+sen AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY query_id, s ORDER BY rank, i) = 1),
+tok AS (SELECT query_id, rank, i, s, unnest({tokens('s')}) AS w FROM sen),
+held AS (SELECT query_id, w, count(*) AS n FROM tok GROUP BY query_id, w),
+sco AS (SELECT query_id, rank, i, s, sum(n)::DOUBLE * sum(n)::DOUBLE / count(*)::DOUBLE AS score
+        FROM tok JOIN held USING (query_id, w) GROUP BY query_id, rank, i, s),
+ord AS (SELECT *, row_number() OVER b AS place, sum(length(s) + 1) OVER (b ROWS UNBOUNDED PRECEDING) - 1 AS upto
+        FROM sco WINDOW b AS (PARTITION BY query_id ORDER BY score DESC, rank, i)),
+reply AS (SELECT query_id, string_agg(left(s, 400), ' ' ORDER BY rank, i) AS reply
+          FROM ord WHERE place = 1 OR upto <= 400 GROUP BY query_id)"""
+
+sql("abstract_context", chain() + f""",
+{REPLY},
+con AS (SELECT query_id, string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context, count(*) AS n_chunks
+        FROM res GROUP BY query_id)
+SELECT query_id, context, coalesce(reply, '') AS abstract_reply, n_chunks FROM con LEFT JOIN reply USING (query_id)""")
 
 sql("result_sets", chain(threshold=0.25) + f""",
+{REPLY},
 agg_r AS (SELECT query_id, count(*) AS total_results,
-                 coalesce(string_agg(CASE WHEN {_FIRST} <> '' THEN {_FIRST} END, ' ' ORDER BY rank), '') AS reply,
                  string_agg(chunk_id::VARCHAR, ',' ORDER BY rank) AS chunk_ids
           FROM res GROUP BY query_id),
 mems AS (SELECT query_id, memory_id, min(memory_index) AS mi FROM res WHERE query_id % 3 <> 0 GROUP BY query_id, memory_id),
@@ -185,7 +195,8 @@ agg_m AS (SELECT query_id, count(*) AS total_memories,
                  string_agg(memory_id::VARCHAR, ',' ORDER BY mi) AS memory_ids
           FROM mems GROUP BY query_id)
 SELECT r.query_id, true AS success, NULL::VARCHAR AS error, sha256('2:rs|' || length(r.query_id::VARCHAR) || ':' || r.query_id) AS result_set_id,
-       CASE WHEN r.query_id % 2 = 0 THEN a.reply END AS abstract_reply,
+       CASE WHEN r.query_id % 2 = 0 AND a.total_results > 0 THEN coalesce(p.reply, '') END AS abstract_reply,
        coalesce(a.total_results, 0) AS total_results, coalesce(m.total_memories, 0) AS total_memories,
        coalesce(a.chunk_ids, '') AS chunk_ids, coalesce(m.memory_ids, '') AS memory_ids
-FROM req r LEFT JOIN agg_r a ON a.query_id = r.query_id LEFT JOIN agg_m m ON m.query_id = r.query_id""")
+FROM req r LEFT JOIN agg_r a ON a.query_id = r.query_id LEFT JOIN agg_m m ON m.query_id = r.query_id
+  LEFT JOIN reply p ON p.query_id = r.query_id""")

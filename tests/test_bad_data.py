@@ -146,7 +146,7 @@ def test_unusable_requests_are_error_rows(spark):
     res = P.retrieve_postprocessed(req, chunks, texts, mem)
     assert [r.query_id for r in res.collect()] == [1]
     sets = {r.query_id: r for r in P.result_sets(res, req.withColumn("llm_id", F.lit("any")), mem, indexing_freshness(mem)).collect()}
-    assert len(sets) == 6 and sets[1].total_results == 1 and sets[1].abstract_reply == "Hello there."
+    assert len(sets) == 6 and sets[1].total_results == 1 and sets[1].abstract_reply == "Hello there. Bye."
     assert sets[4].abstract_reply is None and sets[4].message == MSG_STILL_PROCESSING and sets[5].error
 
 

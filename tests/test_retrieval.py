@@ -131,3 +131,20 @@ def test_result_sets_envelope(spark):
             assert [x.memory_index for x in r.memories] == list(range(len(r.memories)))
             assert {x.memory_id for x in r.results} == {m.memory_id for m in r.memories}
             assert all(x.relevance_score >= 0.5 for x in r.results)
+
+
+def test_reply_takes_the_central_sentences(spark):
+    from memtables.operators.summary import summaries
+    first = "Nothing of note stands here."
+    core = "The red fox and the grey wolf hunt at night."
+    also = "A grey wolf and a red fox hunt."
+    rows = [(1, 1, f"{first} {core}\n{also}"), (1, 2, f"{core} !! Odd."), (2, 1, None), (2, 2, ""), (3, 1, "..."), (4, 1, "word " * 200 + ". Short."),
+            (5, 1, "a b. c d"), (5, 2, "c d")]
+    df = spark.createDataFrame(rows, "query_id long, rank int, chunk_text string")
+    got = {r.query_id: r.abstract_reply for r in summaries(df, chars=80).collect()}
+    assert got[1] == f"{core} {also}" and set(got) == {1, 4, 5}     # not each chunk's first sentence, a repeated one once
+    assert got[5] == "a b. c d" and len(got[4]) <= 80
+    assert {r.query_id: r.abstract_reply for r in summaries(df, chars=10).where("query_id = 1").collect()} == {1: core[:10]}
+    assert summaries(df.limit(0)).count() == 0
+    plan = summaries(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
