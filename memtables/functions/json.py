@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from memtables.functions.text import java_trim
 from memtables.schema import MSG_LABELS_PREFIX
@@ -18,6 +21,36 @@ def val(path: str, type_: str = "string", col: str | Column = "metadata") -> Col
     return F.try_variant_get(c, path, type_)
 
 
+def with_path_columns(df: DataFrame, paths: dict[str, tuple[str, str]], col: str = "metadata") -> DataFrame:
+    """Adds a typed column for each ``name: (path, type)`` of the VARIANT column ``col``. What it holds
+    stands in the column's metadata, which Parquet files keep, so :func:`val_of` finds it again."""
+    clash = {n.lower() for n in paths} & {c.lower() for c in df.columns}
+    if clash or len({n.lower() for n in paths}) < len(paths):
+        raise ValueError(f"column names taken: {sorted(clash) or sorted(paths)}")
+    held = lambda path, type_: {PATH_KEY: f"{col} {_type_name(type_)} {path}"}
+    return df.select("*", *(val(path, type_, col).alias(name, metadata=held(path, type_)) for name, (path, type_) in paths.items()))
+
+
+def val_of(df: DataFrame) -> Callable[..., Column]:
+    """:func:`val` for the rows of ``df``: a path that has a typed column (:func:`with_path_columns`) is read from
+    it, so a comparison reaches the scan and its row-group statistics; any other from the VARIANT."""
+    held = {f.metadata[PATH_KEY]: f.name for f in df.schema.fields if PATH_KEY in f.metadata}
+
+    def of(path: str, type_: str = "string", col: str = "metadata") -> Column:
+        name = held.get(f"{col} {_type_name(type_)} {path}")
+        return val(path, type_, col) if name is None else df[name]
+    return of
+
+
+#: key of a typed path column's metadata
+PATH_KEY = "memtables.path"
+
+
+def _type_name(type_: str) -> str:
+    """One name for each type: ``int`` and ``integer`` are the same."""
+    return DataType.fromDDL(type_).simpleString()
+
+
 # One whole JSON value, nothing after it: Spark's JSON parser stops after the
 # first value and ignores the rest; a strict reader does not.
 _WHOLE_VALUE = (r'(?s)^[\x00-\x20]*(\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null)'

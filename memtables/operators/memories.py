@@ -10,11 +10,13 @@ partitioning and per-partition offsets, never a window over one whole space.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memtables import schema as S
-from memtables.functions.json import strict_parse_json, val  # noqa: F401  (val re-exported)
+from memtables.functions.json import strict_parse_json, val, val_of  # noqa: F401  (val re-exported)
 from memtables.operators.outcomes import first_error, with_outcome
 from memtables.operators.sizing import MAX_BROADCAST_ROWS, reduce_to_keys
 from memtables.session import materialized
@@ -25,6 +27,9 @@ GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 CONTENT_COLS = ("original_content", "original_content_b64")
 
 
+Predicate = Column | Callable[[Callable[..., Column]], Column]
+
+
 def status_of(col: str = "processing_status") -> Column:
     return F.coalesce(F.col(col), F.lit(S.STATUS_PENDING))
 
@@ -44,9 +49,12 @@ def filter_by_status(memories: DataFrame, status: str | Column | None) -> DataFr
     return memories.where((status == "") | status.isNull() | (status_of() == status))
 
 
-def filter_by_metadata(memories: DataFrame, predicate: Column | None) -> DataFrame:
-    """Any Column predicate, typically over ``val('$.path', type)``."""
-    return memories if predicate is None else memories.where(predicate)
+def filter_by_metadata(memories: DataFrame, predicate: Predicate | None) -> DataFrame:
+    """Any Column predicate, typically over ``val('$.path', type)``; or a function of ``val``, which reads the
+    table's typed path columns where it has them: ``lambda val: val('$.k', 'int') < 50``."""
+    if predicate is None:
+        return memories
+    return memories.where(predicate if isinstance(predicate, Column) else predicate(val_of(memories)))
 
 
 def project_content(memories: DataFrame, include_content: bool) -> DataFrame:
@@ -93,7 +101,7 @@ def clamp_page_size(n: Column) -> Column:
 
 # -- 16 list_memories -------------------------------------------------------------------
 
-def list_memories(memories: DataFrame, requests: DataFrame, where: Column | None = None,
+def list_memories(memories: DataFrame, requests: DataFrame, where: Predicate | None = None,
                   include_content: bool = S.DEFAULT_LIST_INCLUDE_CONTENT) -> DataFrame:
     """One page per request ``request_id, space_id, page_size, next_token,
     status``. Returns the page rows with ``position``, ``total_memories`` (the

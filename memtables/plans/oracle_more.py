@@ -225,7 +225,8 @@ FROM r WHERE position <= 10""")
 sql("filter_by_status", f"""{with_(MEM)}
 SELECT memory_id, space_id, 'PENDING' AS processing_status FROM mem WHERE processing_status IS NULL""")
 
-sql("filter_by_metadata", f"""{with_(MEM)}
+for _n in ("filter_by_metadata", "filter_by_path_columns"):
+    sql(_n, f"""{with_(MEM)}
 SELECT memory_id, space_id, json_extract(props, '$.k')::INTEGER AS k FROM mem
 WHERE json_extract(props, '$.k')::INTEGER < 50""")
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memtables.functions.json import labels_text, val
+from memtables.functions.json import labels_text, val, val_of
 from memtables.operators import catalog as C
 from memtables.operators import memories as M
 from memtables.operators.embedding import embedder_registry
 from memtables.plans.registry import query
+from memtables.sources import files as FS
 from memtables.sources import tables as T
 
 
@@ -274,6 +275,15 @@ def filter_by_metadata(spark: SparkSession, d: str) -> DataFrame:
     return m.select("memory_id", "space_id", val("$.k", "int").alias("k"))
 
 
+@query("filter_by_path_columns")
+def filter_by_path_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The same filter over stored memories whose path ``$.k`` has a typed column."""
+    paths = FS.write_memory_tables({"memories": T.memories(spark, d)}, spark=spark, paths={"meta_k": ("$.k", "int")})
+    stored = FS.read_memory_table(spark, paths["memories"])
+    m = M.filter_by_metadata(stored, lambda val: val("$.k", "int") < 50)
+    return m.select("memory_id", "space_id", val_of(m)("$.k", "int").alias("k"))
+
+
 def _get_requests_mem(spark: SparkSession, d: str) -> DataFrame:
     lab = T.read(spark, d, "labels")
     return lab.select(F.col("doc_id").alias("memory_id")).union(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from memtables.functions.json import with_path_columns
 from memtables.session import shared_dir
 
 
@@ -56,7 +57,7 @@ def space_bucket(space_id: F.Column, buckets: int = BUCKETS) -> F.Column:
 
 def write_memory_tables(tables: dict[str, DataFrame], root: str | None = None,
                         spark: SparkSession | None = None, mode: str = "overwrite",
-                        buckets: int = BUCKETS) -> dict[str, str]:
+                        buckets: int = BUCKETS, paths: dict[str, tuple[str, str]] | None = None) -> dict[str, str]:
     """Writes entity tables as Parquet under ``root`` (default: a fresh folder in
     the session's shared checkpoint folder). Returns the paths.
 
@@ -64,16 +65,22 @@ def write_memory_tables(tables: dict[str, DataFrame], root: str | None = None,
     in a fixed number of folders by the hash of ``space_id``, whose rows are sorted by
     it: reading some spaces prunes folders and row groups, and the number of files
     doesn't grow with the spaces. Rows are rebalanced by size, so a hot space fills
-    several files. ``space_id`` stays a data column of its own type."""
+    several files. ``space_id`` stays a data column of its own type.
+
+    ``paths`` (``name: (path, type)``) copies hot paths of ``metadata`` to typed columns, by which metadata
+    filters written with ``val_of`` prune; rows of a folder are then sorted by them within a space."""
     if root is None:
         spark = spark or next(iter(tables.values())).sparkSession
         root = shared_dir(spark, "tables")
     out = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
+        by = []
+        if paths and "metadata" in df.columns:
+            df, by = with_path_columns(df, paths), list(paths)
         if {"space_id", "memory_id"} <= set(df.columns):
             df = (df.withColumn("space_bucket", space_bucket(F.col("space_id"), buckets)).hint("rebalance", "space_bucket")
-                  .sortWithinPartitions("space_bucket", "space_id"))
+                  .sortWithinPartitions("space_bucket", "space_id", *by))
             df.write.mode(mode).partitionBy("space_bucket").parquet(path)
         else:
             df.write.mode(mode).parquet(path)

@@ -1,9 +1,10 @@
 """Physical-plan checks: pruning, pushdown, partial group limits, no
 whole-table windows."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from memtables.functions.json import val
+from memtables.functions.json import val, val_of
 from memtables.operators import catalog as C
 from memtables.operators import memories as M
 from memtables.operators import postprocess as P
@@ -166,3 +167,22 @@ def test_topk_prunes_space_partitions(spark):
     scan = [l for l in plan.split("\n") if "FileScan parquet" in l][0]
     assert "PartitionFilters: [" in scan and "label-2" in scan and "label-3" in scan
     assert {r.space_id for r in top.collect()} <= {"label-2", "label-3"}
+
+
+def test_metadata_paths_reach_the_scan(spark, tmp_path):
+    mem = T.memories(spark, SF_SMALL)
+    paths = FS.write_memory_tables({"memories": mem}, root=str(tmp_path), spark=spark, paths={"meta_k": ("$.k", "integer")})
+    stored = FS.read_memory_table(spark, paths["memories"])
+    small = lambda v: v("$.k", "int") < 50
+    want = sorted(r[0] for r in mem.where(small(val)).select("memory_id").collect())
+    q = M.filter_by_metadata(stored, small).select("memory_id")
+    assert sorted(r[0] for r in q.collect()) == want and want
+    plan = _plan(q)
+    assert "LessThan(meta_k,50)" in plan.split("PushedFilters: [")[1].split("]")[0] and "variant" not in plan
+    # other paths and types, and tables without such columns, read the VARIANT
+    for df, path, type_ in ((stored, "$.k", "string"), (stored, "$.j", "int"), (mem, "$.k", "int")):
+        assert "variant_get" in df.select(val_of(df)(path, type_).alias("x"))._jdf.queryExecution().analyzed().toString()
+    page = M.list_memories(stored, _req(spark), where=small)
+    assert [r.memory_id for r in page.collect()] == [r.memory_id for r in M.list_memories(mem, _req(spark), where=small(val)).collect()]
+    with pytest.raises(ValueError):
+        FS.write_memory_tables({"memories": mem}, root=str(tmp_path / "x"), spark=spark, paths={"Space_ID": ("$.k", "int")})
