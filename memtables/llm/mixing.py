@@ -16,12 +16,13 @@ is in order of size, the words taken stay within about one large document of the
 The place i in the line is a prefix sum in two levels: documents are counted by
 cell (source, size, part), cells are summed up per source, and only a cell's own
 rows are ranked together. Documents of one source and size are cut into
-parts of about ``CELL`` rows by document id, so no cell grows with a hot source
-or size; cells per source grow with the range of sizes.
+parts of about ``CELL`` rows by the hash of the document's id (null ids: of the whole row), so
+no cell grows with a hot source or size, whatever the ids; a source has a cell for each size and
+each ``CELL`` rows of one.
 
 Defined results: a null text has size 0; documents of size 0 have copies like
 others but take no words; an empty source (all sizes 0) has target 0 and no
-copies; rows of one size stand in order of id (null ids in part 0), then of the hash
+copies; ids may be of any type; rows of one part stand in order of id (nulls first), then of the hash
 of the whole row; equal rows stand next to each other, and each has its own place
 and copies; an empty table gives no rows. Extra columns are kept by :func:`mix`.
 """
@@ -79,7 +80,7 @@ def _drawn(docs: DataFrame, id_col: str, text: str, source: str, seed: str, weig
     same = F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))
     distinct = rows.groupBy("id", "source", "size", "tie").agg(F.count("*").alias("n"))
     distinct = distinct.join(parts, same).drop("c_source", "c_size").withColumn(
-        "part", F.coalesce(F.pmod(F.col("id").cast("long"), F.col("parts")), F.lit(0))).drop("parts")
+        "part", F.pmod(F.coalesce(id_hash(F.col("id")), F.col("tie")), F.col("parts"))).drop("parts")
     line = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
     cells = (distinct.groupBy("source", "size", "part").agg(F.sum("n").alias("cell_n"))
              .withColumn("cell_before", F.coalesce(F.sum("cell_n").over(line), F.lit(0))))
@@ -94,6 +95,11 @@ def _drawn(docs: DataFrame, id_col: str, text: str, source: str, seed: str, weig
                          F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("r"))
 
 
+def id_hash(value: Column) -> Column:
+    """32 bits of an id's MD5: ids of any stride, and text, spread evenly. Null for null."""
+    return F.conv(F.substring(F.md5(F.encode(value.cast("string"), "UTF-8")), 1, 8), 16, 10).cast("long")
+
+
 def row_hash(docs: DataFrame) -> Column:
     """The hash of a whole row (columns that Spark can't hash are left out)."""
     hard = ("map", "variant")

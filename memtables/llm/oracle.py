@@ -99,7 +99,8 @@ goals AS (
          ('0x' || substr(md5('mix-1|' || coalesce('s' || source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
   FROM levels CROSS JOIN water),
 ranked AS (
-  SELECT rows.*, row_number() OVER (PARTITION BY rows.source ORDER BY rows.size, doc_id % parts, doc_id) AS i
+  SELECT rows.*, row_number() OVER (PARTITION BY rows.source ORDER BY rows.size,
+                                       ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % parts, doc_id) AS i
   FROM rows JOIN cells ON rows.source IS NOT DISTINCT FROM cells.source AND rows.size = cells.size),
 drawn AS (
   SELECT doc_id, size, source_size, target, u, i, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS r

@@ -422,6 +422,18 @@ def test_many_equal_rows_are_dealt_out(spark):
     assert len(got) == 2500 and sum(r.copies for r in got) == mixing.mix(docs).count() and abs(mixing.mix(docs).count() - 3750) <= 1
 
 
+def test_cells_of_strided_null_and_text_ids(spark):
+    """Ids of one stride spread over the parts; ids that aren't numbers, and none at all, are mixed alike."""
+    spread = spark.range(0, 20 * 5000, 20).select(F.pmod(mixing.id_hash(F.col("id")), F.lit(20)).alias("p")).groupBy("p").count().collect()
+    assert len(spread) == 20 and max(r["count"] for r in spread) < 400
+    for doc_id in (F.col("id") * 20, F.concat(F.lit("a"), F.col("id")), F.lit(None).cast("string")):
+        docs = spark.range(3000).select(doc_id.alias("doc_id"), F.concat(F.lit("a b "), F.col("id")).alias("text"), F.lit("s").alias("source"))
+        got = mixing.copies(docs)
+        n = got.agg(F.sum("copies")).first()[0]
+        assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType and got.count() == 3000 and abs(n - 4500) <= 1
+        assert mixing.mix(docs).count() == n and mixing.mix(docs).select("text").distinct().count() == 3000
+
+
 # -- personal data -------------------------------------------------------------
 
 def brute_base(x):
