@@ -40,6 +40,12 @@ _COUNTED = np.stack([np.isin(np.arange(256), list(v)) for v in _COUNT_OF.values(
 N_STATS = 2 * len(_COUNT_OF) + 8
 
 
+def four_grams(words: np.ndarray) -> np.ndarray:
+    """A hash of every four words in a row."""
+    n = max(0, len(words) - 3)
+    return sum((words[k:k + n] * np.uint64(2 * k + 1) for k in range(4)), np.zeros(n, np.uint64))
+
+
 def structure(data: bytes, words: np.ndarray) -> np.ndarray:
     """Statistics of a whole text, each about 0 to 1; ``words``: the hash of every word."""
     counts = np.zeros(256)
@@ -50,11 +56,10 @@ def structure(data: bytes, words: np.ndarray) -> np.ndarray:
     lines = [x for x in data.split(b"\n") if x.strip()]
     n_lines = max(1, len(lines))
     share = kinds / n
-    ordered = words[:len(words) // 4 * 4].reshape(-1, 4)
-    fours = len(np.unique(ordered @ np.array([1, 3, 5, 7], np.uint64))) if len(ordered) else 0
+    fours = four_grams(words)
     more = [np.log1p(len(words)) / 10, len(set(lines)) / n_lines, min(1.0, n / n_words / 20),
             len(np.unique(words)) / n_words, np.log1p(len(lines)) / 8, min(1.0, n / n_lines / 500),
-            1 - fours / max(1, len(ordered)), min(1.0, kinds[0] / max(1.0, kinds[0] + kinds[1]))]
+            1 - len(np.unique(fours)) / max(1, len(fours)), min(1.0, kinds[0] / max(1.0, kinds[0] + kinds[1]))]
     return np.concatenate([share, np.sqrt(share), more])
 
 

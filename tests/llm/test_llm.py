@@ -95,6 +95,15 @@ def test_quality_edges(odd, labels):
     assert quality.score(odd.limit(0), quality._constant(0.5, quality.N_STATS)).count() == 0
 
 
+def test_every_four_words_in_a_row_count():
+    words = np.random.default_rng(5).integers(0, 2**64, 50, dtype=np.uint64)
+    for gap in range(9):                                    # a phrase found twice, at any distance
+        text = np.concatenate([words[:6], words[10:10 + gap], words[:6]])
+        grams = quality.four_grams(text)
+        assert len(grams) == len(text) - 3 and len(grams) - len(np.unique(grams)) == len(grams) - len({tuple(text[i:i + 4]) for i in range(len(grams))}) >= 3
+    assert [len(quality.four_grams(words[:n])) for n in (0, 3, 4)] == [0, 0, 1]
+
+
 # -- line dedup ----------------------------------------------------------------
 
 def brute_lines(rows):
