@@ -8,8 +8,9 @@ least; ties go to the fuller window. The level array holds N and, for each
 level, the open windows.
 
 Windows that never fill are closed by cutting: rests from the emptiest open
-windows fill the gaps of the fullest. This happens at the end of a task and
-whenever ``max_open`` windows are open, so a task holds at most that many
+windows fill the gaps of the fullest. At the end of a task all are closed so. Whenever
+``max_open`` windows are open, the fullest thirty-second of them is, and the other
+windows stay in the level array; so a task holds at most that many
 windows in memory. What is left of a task (under one window) is cut into
 windows whose lengths are powers of two, which need no padding.
 
@@ -96,50 +97,55 @@ class LevelArray:
         change[1:] -= 2 * n[1:b - s + 1] - 1
         change[1:][n[1:b - s + 1] == 0] = np.iinfo(np.int64).max
         h = b - s - int(np.argmin(change[::-1]))
-        if h:
-            window = self.open[h].pop()
-            n[h] -= 1
-        else:
-            window = []
-            self.n_open += 1
+        window = self._take(h) if h else []
         window.append(piece)
         if h + s == b:
-            self.n_open -= 1
             yield window
             return
-        self.open[h + s].append(window)
-        n[h + s] += 1
+        self._open(h + s, window)
         if self.n_open >= self.max_open:
-            rest = yield from self.close()
-            if rest:
-                level = sum(len(p[2]) for p in rest)
-                self.open[level].append(rest)
-                self.count[level] += 1
-                self.n_open = 1
+            yield from self.fill(self.max_open - max(1, self.max_open // 32))
+
+    def _take(self, level: int) -> list[Piece]:
+        self.count[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def fill(self, until: int) -> Iterator[list[Piece]]:
+        """Fills the fullest windows with pieces of the emptiest, yielding them, until at most ``until`` are
+        open; the others stay at their levels."""
+        while self.n_open > max(1, until):
+            used = np.flatnonzero(self.count[:self.size])
+            level = int(used[-1])
+            window, gap = self._take(level), self.size - level
+            while gap and self.n_open:
+                level = int(np.flatnonzero(self.count[:self.size])[0])
+                other = self._take(level)
+                while gap and other:
+                    doc, start, ids = other.pop()
+                    if len(ids) > gap:
+                        keep = len(ids) - gap
+                        other.append((doc, start, ids[:keep]))
+                        start, ids = start + keep, ids[keep:]
+                    window.append((doc, start, ids))
+                    gap -= len(ids)
+                    level -= len(ids)
+                if other:
+                    self._open(level, other)
+            if gap:
+                self._open(self.size - gap, window)
+            else:
+                yield window
+
+    def _open(self, level: int, window: list[Piece]) -> None:
+        self.open[level].append(window)
+        self.count[level] += 1
+        self.n_open += 1
 
     def close(self):
         """Yields full windows made of all open ones; returns what is left, under one window."""
-        windows = [w for level in reversed(self.open) for w in level]
-        self.open = [[] for _ in range(self.size)]
-        self.count[:] = 0
-        self.n_open = 0
-        first, last = 0, len(windows) - 1
-        while first < last:
-            gap = self.size - sum(len(p[2]) for p in windows[first])
-            while gap and first < last:
-                doc, start, ids = windows[last].pop()
-                if len(ids) > gap:
-                    keep = len(ids) - gap
-                    windows[last].append((doc, start, ids[:keep]))
-                    start, ids = start + keep, ids[keep:]
-                windows[first].append((doc, start, ids))
-                gap -= len(ids)
-                if not windows[last]:
-                    last -= 1
-            if not gap:
-                yield windows[first]
-                first += 1
-        return windows[first] if first == last else []
+        yield from self.fill(0)
+        return [p for level in np.flatnonzero(self.count[:self.size]) for p in self._take(int(level))]
 
 
 def powers_of_two(pieces: list[Piece]) -> Iterator[list[Piece]]:

@@ -209,6 +209,19 @@ def test_packing_covers_every_id_once(lengths, max_open):
     assert {k: sorted(v) for k, v in seen.items()} == {k: list(range(n)) for k, n in enumerate(lengths)}
 
 
+def test_full_level_array_keeps_its_levels():
+    """Rests of over half a window, no two of which fit one: only the fullest windows are closed by cutting."""
+    rng, levels, n = np.random.default_rng(4), packing.LevelArray(64, 320), 0
+    rests = rng.integers(33, 64, 5000).tolist()
+    for k, s in enumerate(rests):
+        done = list(levels.place((k, 0, np.arange(s, dtype="<u4"))))
+        n += sum(sum(len(ids) for _, _, ids in w) for w in done)
+        assert all(sum(len(ids) for _, _, ids in w) == 64 for w in done) and (k < 319 or 300 <= levels.n_open < 320)
+        assert levels.n_open == levels.count[1:64].sum() == sum(map(len, levels.open))
+        assert all(sum(len(p[2]) for p in w) == h for h, ws in enumerate(levels.open) for w in ws)
+    assert n + sum(h * levels.count[h] for h in range(64)) == sum(rests)
+
+
 def test_level_choice_is_least_sum_of_squares():
     levels = packing.LevelArray(16)
     rng = np.random.default_rng(3)
