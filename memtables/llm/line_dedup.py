@@ -19,8 +19,8 @@ State (:class:`LineState`), three tables in the session's shared folder:
 inserted gives back the earlier decisions. :func:`drop_lines` probes each line
 of each text in its shard's filter. Only hits go on to the exact table, which
 decides; the filter never decides alone. Filters go to the tasks by broadcast
-while their total size (checked) is at most ``FILTER_BYTES``; beyond that all long keys
-go to the exact table, with the same result.
+while their total size (checked) is at most ``FILTER_BYTES``; beyond that the keys go to
+their shard's filter, in pieces of about ``PIECE`` keys, with the same result.
 
 Shards hold about ``SHARD_KEYS`` repeated keys; with more keys a state is re-cut
 into more shards. A key that many documents share is counted by partial sums.
@@ -50,6 +50,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 SHARD_KEYS = 200_000
 FILTER_BYTES = 64 << 20
+PIECE = 500_000
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -262,6 +263,24 @@ def delete(ids: DataFrame, state: LineState, *, id_col: str = "doc_id") -> LineS
     return _state(postings, materialized(refs), state, state.min_chars, state.min_docs)
 
 
+def _probed(keys: DataFrame, state: LineState) -> DataFrame:
+    """The rows of ``keys`` (doc, key) that their shard's filter may hold. A shard's keys are dealt out in pieces,
+    each of which meets a copy of the filter (under a MB)."""
+    keys = materialized(_sharded(keys, state.shards))
+    pieces = keys.groupBy("shard").agg(F.ceil(F.count("*") / PIECE).alias("pieces"))
+    cut = keys.join(pieces, "shard").withColumn("piece", F.pmod(F.monotonically_increasing_id(), "pieces")).drop("pieces")
+    filters = state.filters.join(pieces, "shard").select("shard", "filter", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
+
+    def probe(rows: pa.Table, held: pa.Table) -> pa.Table:
+        rows = rows.select(["doc", "key"])
+        if not len(rows) or not len(held):
+            return rows.slice(0, 0)
+        table = np.frombuffer(held.column("filter")[0].as_py(), np.uint16).reshape(-1, CuckooFilter.SLOTS)
+        return rows.filter(pa.array(CuckooFilter(table=table).contains(_as_array(rows.column("key").to_pylist()))))
+    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("key", T.BinaryType())])
+    return cut.groupBy("shard", "piece").cogroup(filters.groupBy("shard", "piece")).applyInArrow(probe, schema)
+
+
 def drop_lines(docs: DataFrame, state: LineState, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without the lines that the state drops (null texts stay null),
     with ``n_lines`` (before) and ``n_dropped``."""
@@ -271,6 +290,8 @@ def drop_lines(docs: DataFrame, state: LineState, *, id_col: str = "doc_id", tex
         filters = {r["shard"]: CuckooFilter(table=np.frombuffer(bytes(r["filter"]), np.uint16).reshape(-1, CuckooFilter.SLOTS))
                    for r in state.filters.collect()}
     maybe = line_keys(docs, state.min_chars, id_col=id_col, text=text, filters=filters, shards=state.shards)
+    if filters is None:
+        maybe = _probed(maybe, state)
     repeated = state.refs.where(F.col("n_docs") >= state.min_docs).select("key", "keeper")
     drops = materialized(maybe.join(repeated, "key").where("doc != keeper").groupBy("doc").agg(F.collect_set("key").alias("_drop")))
     added = ["n_lines", "n_dropped"]

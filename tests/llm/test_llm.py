@@ -143,9 +143,17 @@ def test_line_dedup_insert_and_delete(spark, odd):
     assert dropped(odd.limit(0), first) == []
 
 
-def test_line_dedup_without_broadcast_filters(odd, monkeypatch):
+@pytest.mark.parametrize("piece", [3, 1000])
+def test_line_dedup_without_broadcast_filters(odd, monkeypatch, piece):
     monkeypatch.setattr(line_dedup, "FILTER_BYTES", -1)
-    assert dropped(odd, line_dedup.insert(odd)) == brute_lines([(r.doc_id, r.text) for r in odd.collect()])
+    monkeypatch.setattr(line_dedup, "PIECE", piece)
+    state = line_dedup.insert(odd)
+    assert dropped(odd, state) == brute_lines([(r.doc_id, r.text) for r in odd.collect()])
+    # the filters decide what goes on: keys held by few documents don't, but for false positives
+    keys = line_dedup.line_keys(odd, state.min_chars)
+    held = {bytes(r.key) for r in state.refs.where(F.col("n_docs") >= state.min_docs).collect()}
+    passed = line_dedup._probed(keys, state).collect()
+    assert held == {bytes(r.key) for r in passed} and len(passed) == sum(bytes(r.key) in held for r in keys.collect()) < keys.count()
 
 
 @given(st.sets(st.binary(min_size=16, max_size=16), max_size=300), st.sets(st.integers(0, 299)))
@@ -582,6 +590,59 @@ def test_pipeline_stages(spark):
     assert tokens(corpus_pipeline.run(spark, SF)) == tokens(docs)
 
 
+def test_pipeline_rows_equal_plain_python(spark):
+    """Every stage against a plain pass over its own input (of the first, the classifier's verdicts are given)."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pairs = lambda df: [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    stages, before = dict(corpus_pipeline.STAGES), pairs(docs)
+
+    def after(name, docs):
+        out = stages[name](spark, docs, SF)
+        return spark.createDataFrame(out.collect(), out.schema)
+    toxic = {r.doc_id for r in toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+             .where(F.col("p_toxic") >= queries.TOXIC_FROM).collect()}
+    docs = after("toxicity", docs)
+    assert toxic and sorted(pairs(docs)) == sorted(r for r in before if r[0] not in toxic)
+
+    before = pairs(docs)
+    docs = after("line_dedup", docs)
+    assert sorted(pairs(docs)) == sorted((i, t) for i, _, _, t in brute_lines(before))
+
+    before = pairs(docs)
+    docs = after("simhash_near_dedup", docs)
+    assert sorted(pairs(docs), key=repr) == brute_groups(before) and docs.count() < len(before)
+
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    sources, want = sorted({s for _, _, s in rows}), collections.Counter()
+    size = lambda t: len(re.findall("[^\x20\x09-\x0D]+", t or ""))
+    whole = {s: sum(size(t) for _, t, q in rows if q == s) for s in sources}
+    weight, free, left, target = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}, set(sources), 1.5 * sum(whole.values()), {}
+    while free:
+        share = {s: left * weight[s] / sum(weight[q] for q in free) for s in free}
+        over = {s for s in free if share[s] > 2 * whole[s]}
+        for s in over or free:
+            target[s] = 2.0 * whole[s] if over else share[s]
+            left -= target[s]
+        free -= over or set(free)
+    for s in sources:
+        u = int(hashlib.md5(f"{mixing.SEED}|s{s}".encode()).hexdigest()[:8], 16) / 2**32
+        r, line = target[s] / whole[s], sorted((size(t), i, t) for i, t, q in rows if q == s)
+        for k, (_, i, t) in enumerate(line):
+            want[i, t] += int((k + 1) * r + u) - int(k * r + u)
+    docs = after("mixing", docs)
+    got = collections.Counter(pairs(docs))
+    off = {k for k in got | want if got[k] != want[k]}
+    assert len(off) <= 2 and abs(sum(got.values()) - sum(want.values())) <= 1       # a boundary may round to either side
+
+    from tokenizers import Tokenizer
+    plain_ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = {i: len(plain_ids.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in got}
+    pieces = collections.defaultdict(int)
+    for r in stages["packing"](spark, docs, SF).collect():
+        pieces[r.doc_id] += r.length
+    assert pieces == {i: n[i] * sum(c for (j, _), c in got.items() if j == i) for i in n}
+
+
 def test_pipeline_edges(spark, odd):
     for name, stage in corpus_pipeline.STAGES:
         for df in (odd, odd.limit(0)):
