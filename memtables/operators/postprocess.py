@@ -3,8 +3,10 @@ cut to k, chronological resort (37), memory index (31), totals (32), the
 summary's input (33), and the whole chain (38).
 
 Everything after top-k works on at most k rows per query, so each step is a
-window over ``query_id`` on a small table; the joins that attach texts and
-creation times have the small result side and let AQE broadcast it.
+window over ``query_id`` on a small table; the joins that attach creation times
+have the small result side and let AQE broadcast it. Texts don't travel through
+the windows: found chunks are written once with a number, and results take
+their texts by it at the end.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from memtables.operators import retrieval as R
 from memtables.operators import sizing as SZ
 from memtables.operators.outcomes import first_error, with_outcome
 from memtables.operators.sizing import scan_bytes
-from memtables.operators.summary import summaries
+from memtables.operators.summary import with_reply
 from memtables.session import materialized
 
 
@@ -94,7 +96,16 @@ def post_processor_on() -> Column:
 
 # -- 38 the chain ------------------------------------------------------------
 
-MAX_BROADCAST_RESULTS = 2_000_000   # result rows allowed in a broadcast id set
+MAX_BROADCAST_RESULTS = 2_000_000   # found ids allowed in a broadcast id set
+
+
+def _only_found(table: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` that the results name, by a broadcast semi-join where their ids are few."""
+    ids = top.select(key).distinct()
+    if ids.limit(MAX_BROADCAST_RESULTS + 1).count() > MAX_BROADCAST_RESULTS:
+        return table
+    return table.join(F.broadcast(ids), key, "left_semi")
+
 
 def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_texts: DataFrame,
                            memories: DataFrame, *, method: str = "auto") -> DataFrame:
@@ -104,8 +115,9 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
     Requests in error (:func:`retrieval_outcomes`) have no results.
 
     The search runs once: its few rows are written, and everything after reads
-    them. Texts are attached and tokenised once per found chunk, and where the tables
-    are small, on all cores."""
+    them. Texts are read and tokenised once per found chunk, and where the tables
+    are small, on all cores; they are written with a number, which stands for the text until the
+    results are ranked and cut."""
     requests = requests.where(~_unknown_reranker())
     top = materialized(R.retrieve_topk(requests, chunk_vectors, method=method))
     opts = SZ.spread(requests.select(
@@ -115,24 +127,23 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
                        *_prepared("query_text", "_q", lambda i, name: F.col("reranker_id") == name))
     texts = chunk_texts.select("chunk_id", "chunk_text")
     created = memories.select("memory_id", "created_at")
-    if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES and top.count() <= MAX_BROADCAST_RESULTS:
-        # big text / memory tables and few results: their ids cut the big tables down with
-        # broadcast semi-joins, so those are scanned but never shuffled to meet a small result set
-        texts = texts.join(F.broadcast(top.select("chunk_id").distinct()), "chunk_id", "left_semi")
-        created = created.join(F.broadcast(top.select("memory_id").distinct()), "memory_id", "left_semi")
+    if scan_bytes(texts) + scan_bytes(created) > SZ.SEMI_JOIN_REDUCTION_BYTES:
+        # big text / memory tables and few found ids: those cut the big tables down with
+        # broadcast semi-joins, so the tables are scanned but never shuffled to meet a small result set
+        texts, created = _only_found(texts, top, "chunk_id"), _only_found(created, top, "memory_id")
     asked = (top.join(requests.select("query_id", "reranker_id"), "query_id").groupBy("chunk_id")
              .agg(*(F.coalesce(F.bool_or(F.col("reranker_id") == name), F.lit(False)).alias(f"_a{i}")
                     for i, name in enumerate(RERANKERS))))
     found = SZ.spread(asked.join(texts, "chunk_id", "left"))
-    found = found.select("chunk_id", "chunk_text", *_prepared("chunk_text", "_c", lambda i, name: F.col(f"_a{i}")))
-    j = (top.join(opts, "query_id")
-         .join(found, "chunk_id", "left")
-         .join(created, "memory_id", "left"))
+    found = materialized(found.select("chunk_id", "chunk_text", F.monotonically_increasing_id().alias("_text"),
+                                      *_prepared("chunk_text", "_c", lambda i, name: F.col(f"_a{i}"))))
+    j = top.join(opts, "query_id").join(found.drop("chunk_text"), "chunk_id", "left")
     rr = F.lit(None).cast("double")
     for i, (name, r) in enumerate(RERANKERS.items()):
         rr = F.when(F.col("reranker_id") == name,
                     r.score(F.col(f"_q{i}"), F.col(f"_c{i}")).cast("double")).otherwise(rr)
     j = j.withColumn("_rr", F.when(F.col("_post"), F.round(rr, S.SCORE_DIGITS)))
+    j = j.drop(*(f"{side}{i}" for side in ("_q", "_c") for i in range(len(RERANKERS)))).join(created, "memory_id", "left")
     reranked = F.col("_rr").isNotNull()
     j = j.withColumn("relevance_score", F.coalesce(F.col("_rr"), F.col("score")))
     by_q = Window.partitionBy("query_id")
@@ -153,6 +164,7 @@ def retrieve_postprocessed(requests: DataFrame, chunk_vectors: DataFrame, chunk_
         F.col("_order"))))
     j = R.memory_index(j, "rank")
     j = j.withColumn("total_results", F.count(F.lit(1)).over(by_q))
+    j = j.join(found.select("_text", "chunk_text"), "_text", "left")
     return j.select("query_id", "rank", "chunk_id", "memory_id", "space_id", "relevance_score",
                     "memory_index", "total_results", "created_at", "chunk_text")
 
@@ -178,12 +190,13 @@ CONTEXT_SEPARATOR = "\n\n"
 def abstract_context(results: DataFrame, chunk_texts: DataFrame | None = None) -> DataFrame:
     """Per query: the found chunk texts in rank order, joined (the summary's
     input), and an extractive reply, the most central of their sentences
-    (``summary.summaries``). Bounded: a query holds at most k results."""
+    (``summary.with_reply``). Bounded: a query holds at most k results. They are shuffled once with their
+    texts, by query."""
     res = results
     if "chunk_text" not in res.columns:
         res = res.join(chunk_texts.select("chunk_id", "chunk_text"), "chunk_id", "left")
     items = F.array_sort(F.collect_list(F.struct("rank", F.coalesce("chunk_text", F.lit("")).alias("t"))))
-    g = res.groupBy("query_id").agg(items.alias("_items")).join(summaries(res), "query_id", "left")
+    g = with_reply(res.repartition("query_id").groupBy("query_id").agg(items.alias("_items")), F.col("_items")["t"])
     return g.select(
         "query_id",
         F.array_join(F.transform("_items", lambda x: x["t"]), CONTEXT_SEPARATOR).alias("context"),
@@ -218,7 +231,7 @@ def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame,
     def switch(name: str, default: bool) -> Column:
         return F.coalesce(F.col(name), F.lit(default)) if name in requests.columns else F.lit(default)
     item = F.struct("rank", "chunk_id", "chunk_text", "memory_id", "relevance_score", "memory_index")
-    res = results.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("_r"))
+    res = results.repartition("query_id").groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("_r"))
     shown = results
     if "include_memory_definition" in requests.columns:
         wanted = requests.where(switch("include_memory_definition", S.DEFAULT_INCLUDE_MEMORY_DEFINITION)).select("query_id")
@@ -230,11 +243,10 @@ def result_sets(results: DataFrame, requests: DataFrame, memories: DataFrame,
     out = requests.select("query_id", F.col("query_text").alias("query"), (F.coalesce("llm_id", F.lit("")) != "").alias("_llm"),
                           switch("wait_for_indexing", S.DEFAULT_WAIT_FOR_INDEXING).alias("_wait")) \
         .join(retrieval_outcomes(requests), "query_id") \
-        .join(res, "query_id", "left").join(mem, "query_id", "left")
+        .join(mem, "query_id", "left").join(res, "query_id", "left")
     out = out.withColumn("total_results", F.when(F.col("_r").isNull(), F.lit(0)).otherwise(F.size("_r")).cast("long"))
     # the reply reads the texts that the results carry
-    asked = requests.where(F.coalesce("llm_id", F.lit("")) != "").select("query_id")
-    out = out.join(summaries(results.join(asked, "query_id", "left_semi")), "query_id", "left")
+    out = with_reply(out, F.when(F.col("_llm"), F.col("_r")["chunk_text"]))
     out = out.withColumn("abstract_reply", F.when(F.col("_llm") & (F.col("total_results") > 0), F.coalesce("abstract_reply", F.lit(""))))
     if freshness is not None:
         from memtables.streaming.indexing import wait_messages

@@ -148,3 +148,66 @@ def test_reply_takes_the_central_sentences(spark):
     assert summaries(df.limit(0)).count() == 0
     plan = summaries(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_texts_stay_out_of_the_windows(spark):
+    from memtables.operators.summary import summaries
+    cv, ct, mem = T.chunk_vectors(spark, SF_SMALL), T.chunk_texts(spark, SF_SMALL), T.memories(spark, SF_SMALL)
+    res = P.retrieve_postprocessed(T.retrieval_requests(spark, SF_SMALL, relevance_threshold=0.5), cv, ct, mem)
+    windows = [n for n in _nodes(res._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    assert windows and not any("chunk_text" in w.output().mkString(",") for w in windows)
+    # the reply's words are counted in the request's row, not as rows of their own
+    names = {n.nodeName() for n in _nodes(summaries(res)._jdf.queryExecution().optimizedPlan())}
+    assert "Generate" not in names
+    # the texts of a request are gathered once, for the results and the reply
+    req = T.retrieval_requests(spark, SF_SMALL, relevance_threshold=0.5, llm_id="any")
+    for df in (P.abstract_context(res), P.result_sets(res, req, mem)):
+        gathered = [n for n in _nodes(df._jdf.queryExecution().optimizedPlan())
+                    if n.nodeName() == "Aggregate" and "chunk_text" in n.expressions().mkString(",")]
+        assert len(gathered) == 1
+
+
+def test_copies_of_a_chunk_keep_their_places(spark):
+    """A chunk id with several texts: each is a result of its own, scored by its own text."""
+    e = [1.0, 0.0]
+    cv = spark.createDataFrame([(1, 7, "s", e), (2, 7, "s", e)], "chunk_id long, memory_id long, space_id string, embedding array<float>")
+    ct = spark.createDataFrame([(1, "red fox"), (1, "grey wolf"), (1, "grey wolf"), (3, "fox")], "chunk_id long, chunk_text string")
+    mem = spark.createDataFrame([(7, None)], "memory_id long, created_at timestamp_ntz")
+    req = spark.createDataFrame([(5, e, "red fox", "s", 3, None, "jaccard", None, None, None)],
+                                "query_id long, query_vector array<float>, query_text string, space_ids string, max_results int, "
+                                "relevance_threshold double, reranker_id string, llm_id string, llm_temperature double, chronological_resort boolean")
+    got = [(r.rank, r.chunk_id, r.relevance_score, r.chunk_text, r.total_results)
+           for r in P.retrieve_postprocessed(req, cv, ct, mem).orderBy("rank").collect()]
+    assert got == [(1, 1, 1.0, "red fox", 3), (2, 1, 0.0, "grey wolf", 3), (3, 1, 0.0, "grey wolf", 3)]
+
+
+def _peak(call):
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_little_beside_its_vectors():
+    import pandas as pd
+    import pyarrow as pa
+
+    from memtables.operators.embedding import HASH_DIM, _unit_counts_udf
+    n, d = 80_000, 64
+    arr = pa.ListArray.from_arrays(np.arange(0, n * d + 1, d, dtype=np.int32), np.ones(n * d, np.float32))
+    assert _peak(lambda: R._by_length(arr)) < 1.5 * n * d * 8
+    assert R._HELD_BYTES + R.QUERY_BLOCK_BYTES <= 32 << 20
+    buckets = pd.Series([np.arange(i % 50, dtype=np.int32) for i in range(10_000)])
+    unit, dims = _unit_counts_udf().func, pd.Series([HASH_DIM] * len(buckets))
+    assert _peak(lambda: unit(buckets, dims)) < 4 * len(buckets) * HASH_DIM * 4
+    norms = [float(np.linalg.norm(v)) for v in unit(buckets, dims)]
+    assert norms[0] == 0 and all(abs(x - 1) < 1e-6 for x in norms[1:50])
