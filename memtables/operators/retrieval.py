@@ -5,7 +5,7 @@ Exact top-k per query is computed without materialising query x chunk pairs as
 rows. Two physical forms, same answer:
 
 * **blocks** (the default, any number of queries): the query rows are written once to the shared folder, in
-  blocks of about 32 MiB sorted by space. A task holds 64 MiB of its chunks at a time, sorted once by space and
+  blocks of about 4 MiB sorted by space. A task holds 16 MiB of its chunks at a time, sorted once by space and
   id, and reads block after block from there, only those whose range of spaces meets its own. The chunk
   table is scanned once and never shuffled, and no query row passes through the driver. Where
   the table is laid out by ``space_bucket``, the folders to read come from the request table at run time
@@ -44,14 +44,16 @@ from memtables.sources.files import BUCKETS, space_bucket
 
 MAX_TILE_CHUNKS = 16_384
 MAX_TILE_QUERIES = 4_096
-QUERY_BLOCK_BYTES = 32 * 1024 * 1024   # query rows that a task holds at a time
-_HELD_BYTES = 64 * 1024 * 1024    # chunk rows that a task holds while it goes through the blocks
-_SCORE_BLOCK = 4_000_000          # scores held at once inside one task
+# what a Python worker holds is a small multiple of these, at any size of the tables
+QUERY_BLOCK_BYTES = 4 * 1024 * 1024    # query rows that a task holds at a time
+_HELD_BYTES = 16 * 1024 * 1024    # chunk rows that a task holds while it goes through the blocks
+_SCORE_BLOCK = 1_000_000          # scores held at once inside one task
+_UNIT_ROWS = 4_096                # vectors brought to unit length at once
 MAX_BROADCAST_SPACES = 1_000_000  # searched-space table rows allowed in a broadcast
 MAX_PUSHED_SPACES = 1_000         # space list pushed to the scan as an IN filter
 PUSH_FROM_BYTES = 64 * 1024 * 1024     # files below this are scanned whole
 _SMALL_SPACE = 4_096              # scores up to which spaces are scored together
-_PAIR_BYTES = 32 * 1024 * 1024    # of each side of the pairs scored together
+_PAIR_BYTES = 4 * 1024 * 1024     # of each side of the pairs scored together
 
 
 # -- 21 parse_space_keys -----------------------------------------------------
@@ -99,12 +101,17 @@ def _by_length(arr) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out = {}
     for d in np.unique(lens[lens > 0]).tolist():
         at = np.flatnonzero(lens == d)
-        flat = pc.list_flatten(arr.take(pa.array(at))).to_numpy(zero_copy_only=False)
-        m = np.nan_to_num(flat.astype(np.float64, copy=False).reshape(-1, d))
-        norms = np.linalg.norm(m, axis=1)
-        ok = norms > 0
-        if ok.any():
-            out[d] = (at[ok], m[ok] / norms[ok, None])
+        flat = pc.list_flatten(arr if len(at) == len(arr) else arr.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        m, n = np.empty((len(at), d), np.float64), 0
+        for i in range(0, len(at), _UNIT_ROWS):
+            some = np.nan_to_num(flat[i * d:(i + _UNIT_ROWS) * d].reshape(-1, d).astype(np.float64), copy=False)
+            norms = np.linalg.norm(some, axis=1)
+            ok = norms > 0
+            at[n:n + ok.sum()] = at[i:i + _UNIT_ROWS][ok]
+            m[n:n + ok.sum()] = some[ok] / norms[ok, None]
+            n += ok.sum()
+        if n:
+            out[d] = (at[:n], m[:n])
     return out
 
 
@@ -242,7 +249,8 @@ class _Side:
     """Chunks or queries of one step, sorted by space and id; vectors by length."""
 
     def __init__(self, rows: pa.Table, id_name: str, vector: str):
-        rows = rows.filter(pc.is_valid(rows.column("search_key")))
+        if rows.column("search_key").null_count:
+            rows = rows.filter(pc.is_valid(rows.column("search_key")))
         rows = rows.take(pc.sort_indices(rows, sort_keys=[("search_key", "ascending"), (id_name, "ascending")]))
         self.by_length = _by_length(rows.column(vector))
         self.rows = rows.drop_columns([vector])
@@ -347,6 +355,7 @@ def _blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> tupl
 
     def score(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side = _Side(pa.Table.from_batches(held), "chunk_id", "embedding")
+        held.clear()
         for files in blocks:
             queries = _block(files, side.spaces)
             if queries is not None:
