@@ -25,6 +25,7 @@ from memtables.operators.outcomes import with_outcome
 from memtables.operators.sizing import spread
 
 HASH_DIM = 256
+_COUNT_ROWS = 1_024               # vectors counted at once inside one task
 
 # id, name, dimension of the built-in embedders
 BUILTIN = [("emb-64", "precomputed 64-d vectors", 64),
@@ -66,15 +67,18 @@ def _unit_counts_udf():
         dims = dims.fillna(0).to_numpy().astype(np.int64)
         dim = int(dims.max(initial=1))
         buckets = buckets.where(dims > 0, pd.Series([[]] * len(buckets), index=buckets.index))
-        lens = buckets.map(len).to_numpy()
-        rows = np.repeat(np.arange(len(buckets)), lens)
-        flat = np.concatenate(buckets.to_list()).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
-        counts = np.zeros((len(buckets), dim), dtype=np.float64)
-        np.add.at(counts, (rows, flat), 1.0)
-        norms = np.sqrt((counts * counts).sum(axis=1))
-        nz = norms > 0
-        counts[nz] = counts[nz] / norms[nz, None]
-        return pd.Series([row[:d] if d else None for row, d in zip(counts.astype(np.float32), dims.tolist())])
+        out = np.empty((len(buckets), dim), dtype=np.float32)
+        for i in range(0, len(buckets), _COUNT_ROWS):
+            some = buckets.iloc[i:i + _COUNT_ROWS].to_list()
+            lens = np.array([len(b) for b in some])
+            flat = np.concatenate(some).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
+            at = np.repeat(np.arange(len(some)) * dim, lens) + flat
+            counts = np.bincount(at, minlength=len(some) * dim).reshape(len(some), dim).astype(np.float64)
+            norms = np.sqrt((counts * counts).sum(axis=1))
+            nz = norms > 0
+            counts[nz] /= norms[nz, None]
+            out[i:i + len(some)] = counts
+        return pd.Series([row[:d] if d else None for row, d in zip(out, dims.tolist())])
     return unit_counts
 
 
