@@ -10,6 +10,10 @@ rows. Two physical forms, same answer:
   table is scanned once and never shuffled, and no query row passes through the driver. Where
   the table is laid out by ``space_bucket``, the folders to read come from the request table at run time
   (dynamic partition pruning).
+  Where the candidates of one pass over the queries could be larger than the chunks that a task holds, the sides
+  change places: the scanned chunks are written in blocks sorted by space, and a task holds 4 MiB of query
+  rows, reads the blocks that meet their spaces and keeps the best k as it goes. Candidates are
+  then at most k for each query row, however many chunks there are.
 * **tiled**: the chunks of every searched space are cut into tiles
   of at most ``max_tile_chunks`` rows (salt = hash(chunk_id) mod n, n from the
   space's size), the queries of the space into blocks of at most
@@ -47,6 +51,7 @@ MAX_TILE_QUERIES = 4_096
 # what a Python worker holds is a small multiple of these, at any size of the tables
 QUERY_BLOCK_BYTES = 4 * 1024 * 1024    # query rows that a task holds at a time
 _HELD_BYTES = 16 * 1024 * 1024    # chunk rows that a task holds while it goes through the blocks
+_CANDIDATE_BYTES = 32             # of a candidate, as it is shuffled
 _SCORE_BLOCK = 1_000_000          # scores held at once inside one task
 _UNIT_ROWS = 4_096                # vectors brought to unit length at once
 MAX_BROADCAST_SPACES = 1_000_000  # searched-space table rows allowed in a broadcast
@@ -320,8 +325,8 @@ def open_parquet(uri: str) -> pq.ParquetFile:
     return pq.ParquetFile(fs.open_input_file(path))
 
 
-def _block(files: tuple[str, ...], spaces: np.ndarray) -> _Side | None:
-    """A block of queries, or None if none of them searches ``spaces`` (sorted). A task remembers the last one."""
+def _block(files: tuple[str, ...], spaces: np.ndarray, id_name: str = "query_id", vector: str = "query_vector") -> _Side | None:
+    """A stored block, or None if none of its rows is of ``spaces`` (sorted). A task remembers the last one."""
     if files not in _LAST_BLOCK:
         opened = [open_parquet(f) for f in files]
         meets = False
@@ -336,18 +341,32 @@ def _block(files: tuple[str, ...], spaces: np.ndarray) -> _Side | None:
         if not meets:
             return None
         _LAST_BLOCK.clear()
-        _LAST_BLOCK[files] = _Side(pa.concat_tables([f.read() for f in opened]), "query_id", "query_vector")
+        _LAST_BLOCK[files] = _Side(pa.concat_tables([f.read() for f in opened]), id_name, vector)
     return _LAST_BLOCK[files]
 
 
+def _by_space(stored: DataFrame, id_name: str, vector: str, n_blocks: int) -> DataFrame:
+    """Rows of a written table, written in ``n_blocks`` files sorted by space; a large space is in many of them."""
+    by_space = stored.repartitionByRange(n_blocks, "search_key", id_name, F.xxhash64(vector))
+    return materialized(by_space.sortWithinPartitions("search_key", id_name))
+
+
+def _n_blocks(n: int, d: int | None, block_bytes: int) -> int:
+    return -(-n * (8 * max(d or 1, 1) + 96) // block_bytes)
+
+
 def _blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> tuple[DataFrame, int]:
-    """Candidates of the form with stored query blocks, and the largest k asked."""
+    """Candidates of the form with stored blocks, and the largest k asked."""
     stored = materialized(queries)
     st = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d"), F.max("k").alias("k")).first()
-    n_blocks = -(-st["n"] * (8 * max(st["d"] or 1, 1) + 96) // QUERY_BLOCK_BYTES)
+    k_max = max(st["k"] or 1, 1)
+    n_blocks = _n_blocks(st["n"], st["d"], QUERY_BLOCK_BYTES)
+    if st["n"] * k_max * _CANDIDATE_BYTES > _HELD_BYTES:
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        stored = _by_space(stored, "query_id", "query_vector", max(n_blocks, 2 * cores))
+        return _chunk_blocks(stored, _searched_only(chunks, stored), schema, k_max), k_max
     if n_blocks > 1:
-        by_space = stored.repartitionByRange(n_blocks, "search_key", "query_id", F.xxhash64("query_vector"))
-        stored = materialized(by_space.sortWithinPartitions("search_key", "query_id"))
+        stored = _by_space(stored, "query_id", "query_vector", n_blocks)
     files = sorted(stored.inputFiles()) if st["n"] else []
     blocks = [(f,) for f in files] if n_blocks > 1 else [tuple(files)] if files else []
     chunks = _searched_only(chunks, stored)
@@ -373,7 +392,43 @@ def _blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> tupl
                 held, size = [], 0
         if held:
             yield from score(held)
-    return chunks.mapInArrow(run, schema), max(st["k"] or 1, 1)
+    return chunks.mapInArrow(run, schema), k_max
+
+
+def _chunk_blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType, k_max: int) -> DataFrame:
+    """Candidates with the chunks in stored blocks: of each query row, at most its best k."""
+    stored = materialized(chunks.where("search_key is not null"))
+    st = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
+    n_blocks = max(_n_blocks(st["n"], st["d"], _HELD_BYTES), 1)
+    blocks = [(f,) for f in sorted(_by_space(stored, "chunk_id", "embedding", n_blocks).inputFiles())] if st["n"] else []
+    out_schema = _arrow_schema(schema)
+    step = max(1, _HELD_BYTES // (_CANDIDATE_BYTES * k_max))     # query rows whose candidates a task holds
+
+    def score(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        side = _Side(pa.Table.from_batches(held), "query_id", "query_vector")
+        held.clear()
+        best = out_schema.empty_table()
+        for files in blocks:
+            chunks = _block(files, side.spaces, "chunk_id", "embedding")
+            if chunks is not None:
+                found = _table(out_schema, side.rows.column("query_id"), side.rows.column("k"), chunks.rows, _topk_spaces(side, chunks))
+                if found is not None:
+                    best = _prune(pa.concat_tables([best, found]))
+        yield from best.to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, n = [], 0, 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, step):
+                part = batch.slice(i, step)
+                held.append(part)
+                size, n = size + part.nbytes, n + part.num_rows
+                if size >= QUERY_BLOCK_BYTES or n >= step:
+                    yield from score(held)
+                    held, size, n = [], 0, 0
+        if held:
+            yield from score(held)
+    return queries.mapInArrow(run, schema)
 
 
 def _searched_only(chunks: DataFrame, stored: DataFrame) -> DataFrame:

@@ -211,3 +211,24 @@ def test_a_worker_holds_little_beside_its_vectors():
     assert _peak(lambda: unit(buckets, dims)) < 4 * len(buckets) * HASH_DIM * 4
     norms = [float(np.linalg.norm(v)) for v in unit(buckets, dims)]
     assert norms[0] == 0 and all(abs(x - 1) < 1e-6 for x in norms[1:50])
+
+
+def test_candidates_do_not_grow_with_the_passes(spark, monkeypatch):
+    """Many queries: at most k candidates for each query row, however many parts the chunk table has; the same results."""
+    rng = np.random.default_rng(7)
+    vec = rng.integers(-3, 4, (300, 6)).tolist()                # small whole numbers: zero vectors and ties
+    chunks = [(f"c{i:03d}", i % 9, None if i % 50 == 49 else f"s{i % 7 % 3}", None if i % 41 == 40 else [float(x) for x in v[:6 - i % 2]])
+              for i, v in enumerate(vec)] + [("c001", 1, "s1", [float(x) for x in vec[1][:5]])]
+    spaces = ["s0", "s1, s2,,s1", "s2,s0", " , ", "nowhere"]
+    reqs = [(i, None if i % 29 == 28 else [float(x) for x in v[:6 - i % 2]], spaces[i % 5], 1 + i % 5) for i, v in enumerate(vec[:60])]
+    cv = spark.createDataFrame(chunks, "chunk_id string, memory_id long, space_id string, embedding array<float>").repartition(8)
+    req = spark.createDataFrame(reqs, "query_id long, query_vector array<float>, space_ids string, max_results int")
+    rows = lambda **kw: sorted(map(tuple, R.retrieve_topk(req, cv, **kw).collect()))
+    want, everywhere = rows(), rows(all_spaces=True)
+    assert want == rows(method="tiled") and everywhere == rows(method="tiled", all_spaces=True)
+    monkeypatch.setattr(R, "_HELD_BYTES", 1 << 13)              # chunks in many blocks, few queries held at once
+    assert rows() == want and rows(all_spaces=True) == everywhere
+    queries = R._query_rows(req, 5, False)
+    cands, k = R._blocks(queries, cv.withColumn("search_key", F.col("space_id")), R._candidates_schema(queries, cv))
+    assert k == 5 and 0 < cands.count() <= queries.agg(F.sum("k")).first()[0]
+    assert R.retrieve_topk(req, cv.limit(0)).count() == 0
