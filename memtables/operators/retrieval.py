@@ -361,7 +361,8 @@ def _blocks(queries: DataFrame, chunks: DataFrame, schema: T.StructType) -> tupl
     st = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("d"), F.max("k").alias("k")).first()
     k_max = max(st["k"] or 1, 1)
     n_blocks = _n_blocks(st["n"], st["d"], QUERY_BLOCK_BYTES)
-    if st["n"] * k_max * _CANDIDATE_BYTES > _HELD_BYTES:
+    held_rows = _HELD_BYTES // (8 * max(st["d"] or 1, 1) + 96)
+    if st["n"] * min(k_max, held_rows) * _CANDIDATE_BYTES > _HELD_BYTES:
         cores = queries.sparkSession.sparkContext.defaultParallelism
         stored = _by_space(stored, "query_id", "query_vector", max(n_blocks, 2 * cores))
         return _chunk_blocks(stored, _searched_only(chunks, stored), schema, k_max), k_max
